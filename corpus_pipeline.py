@@ -1,15 +1,55 @@
-"""The corpus pipeline: five operators in a row over the table of documents."""
+"""The corpus pipeline: five operators in a row over the table of documents.
+
+Each stage is (name, function); a function takes (spark, docs, sf_dir), with the rows that the stage
+before kept, and returns a DataFrame. All but the last return the columns of documents. Models are
+fitted on the labelled rows of the data folder that the operators don't hold out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from shroud.llm import catalog, compression_quality, decontamination, packing, simhash, toxicity
+from shroud.llm.common import shared_dir, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model doesn't reject."""
+    return toxicity.keep_clean(docs, toxicity.train(spark, sf_dir))
+
+
+def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model doesn't reject."""
+    return compression_quality.keep_good(docs, compression_quality.train(spark, sf_dir))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of tokens."""
+    return packing.pack_documents(docs, catalog.tokenizer("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("quality", drop_bad), ("near_dedup", drop_near_duplicates), ("decontamination", drop_contaminated), ("packing", pack)]
+
+#: Trained models, tokenizers and graph search have no SQL; tests compare with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over documents; each result but the last is written to the shared folder and read again."""
+    docs, folder = table(spark, sf_dir, "documents"), shared_dir(spark, "pipeline")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{k}-{name}")
+            docs = spark.read.parquet(f"{folder}/{k}-{name}")
     return docs

@@ -191,6 +191,21 @@ def near_duplicates(docs: DataFrame, width: int = 3, reach: int = 2, id_col: str
     return made.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, width: int = 3, reach: int = 2) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, all columns as they are.
+
+    Rows that repeat a kept doc_id are dropped but for one. Rows without an id name no component and stay.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), width, reach).where("doc_id IS NOT NULL")
+    first = cut(found.groupBy("component_id").agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("rows")).withColumnRenamed("component_id", "__kept"))
+    kept = docs.join(first, docs["doc_id"] == first["__kept"], "left_semi")
+    twice = first.where("rows > 1").select("__kept")
+    if not twice.isEmpty():  # ids should be unique; where they aren't, one row of each is taken
+        again = docs.join(twice, docs["doc_id"] == twice["__kept"], "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(twice, kept["doc_id"] == twice["__kept"], "left_anti").unionByName(again)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
 def query() -> Callable:
     """The registered query over the whole table of documents."""
     return lambda spark, sf_dir: near_duplicates(table(spark, sf_dir, "documents"))
