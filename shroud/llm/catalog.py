@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from shroud.llm import compression_quality, decontamination, language_id, packing, simhash, token_counts, toxicity
+from shroud.llm import compression_quality, decontamination, language_id, media_jpeg, packing, simhash, token_counts, toxicity
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -22,6 +22,7 @@ def tokenizer(name: str) -> str:
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_media": media_jpeg.query(),
         "op2_packing": packing.query(tokenizer("word_bpe_49k.json")),
         "op3_simhash": simhash.query(),
         "op4_token_counts": token_counts.query(tokenizer("piece_bpe_32k.model")),
