@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from shroud.llm import compression_quality, decontamination, language_id, media_jpeg, packing, simhash, token_counts, toxicity
+from shroud.llm import compression_quality, decontamination, language_id, media_jpeg, packing, simhash, token_counts, toxicity, warc
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable]:
         "op3_simhash": simhash.query(),
         "op4_token_counts": token_counts.query(tokenizer("piece_bpe_32k.model")),
         "op5_quality": compression_quality.query(),
+        "op6_warc": warc.query(),
         "op7_decontamination": decontamination.query(),
         "op9_toxicity": toxicity.query(),
         "op10_language": language_id.query(),
@@ -34,4 +35,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": warc.SQL}
