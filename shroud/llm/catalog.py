@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from shroud.llm import compression_quality, decontamination, language_id, media_jpeg, packing, simhash, token_counts, toxicity, warc
+from shroud.llm import compression_quality, decontamination, language_id, media_jpeg, packing, simhash, token_counts, toxicity, url_filter, warc
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -29,10 +29,11 @@ def queries() -> dict[str, Callable]:
         "op5_quality": compression_quality.query(),
         "op6_warc": warc.query(),
         "op7_decontamination": decontamination.query(),
+        "op8_url_filter": url_filter.query(),
         "op9_toxicity": toxicity.query(),
         "op10_language": language_id.query(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": warc.SQL}
+    return {"op6_warc": warc.SQL, "op8_url_filter": url_filter.SQL}
