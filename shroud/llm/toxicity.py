@@ -25,7 +25,7 @@ from shroud.llm.ngrams import WordScores, labelled_sample, word_ngrams
 WINDOW, LOW, HIGH, BITS, DIMENSIONS = 3, 3, 8, 17, 8
 LEAST, ROUNDS, STEPS, RATE, SHRINK = 5, 15, 4, 0.03, 1e-3
 #: The model is fitted on at most PARTS x 1000 rows of each label, of at most CHARS characters each.
-PARTS, CHARS = 3, 20_000
+PARTS, CHARS = 2, 8_000
 
 
 @dataclass
@@ -70,6 +70,17 @@ def window_means(values: np.ndarray, sizes: np.ndarray, window: int) -> tuple[np
     return best, at
 
 
+def vocabulary_ngrams(words: list[str], step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """(word, bucket) of all n-grams, by word, in 32 bits."""
+    owners, buckets = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for at in range(0, len(words), step):
+        owner, bucket = word_ngrams(words[at : at + step], LOW, HIGH, BITS)
+        order = np.argsort(owner, kind="stable")
+        owners.append((owner[order] + at).astype(np.int32))
+        buckets.append(bucket[order].astype(np.int32))
+    return np.concatenate(owners), np.concatenate(buckets)
+
+
 def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     """Embeddings and softmax fitted to labelled texts; without texts of both labels, a model that gives all texts their share."""
     rng, labels = np.random.default_rng(seed), np.array([int(y) for _, y in rows])
@@ -81,9 +92,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     number: dict[str, int] = {}
     flat = np.array([number.setdefault(w, len(number)) for t in texts for w in t])
     sizes = np.array([len(t) for t in texts])
-    owner, bucket = word_ngrams(list(number), LOW, HIGH, BITS)
-    order = np.argsort(owner, kind="stable")
-    owner, bucket = owner[order], bucket[order]
+    owner, bucket = vocabulary_ngrams(list(number))
     many = np.maximum(np.bincount(owner, minlength=len(number)), 1)
     first = np.searchsorted(owner, np.arange(len(number) + 1))
     balance = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
