@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from shroud.plans import protection
 
+_ALL = [protection]
 
-def oracle_sql() -> dict:
-    return {}
+
+def queries() -> dict[str, Callable]:
+    return {name: run for module in _ALL for name, (run, _) in module.QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for module in _ALL for name, (_, sql) in module.QUERIES.items() if sql}
