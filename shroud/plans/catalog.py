@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from shroud.plans import protection
+from shroud.plans import governance, protection
 
-_ALL = [protection]
+_ALL = [protection, governance]
 
 
 def queries() -> dict[str, Callable]:
