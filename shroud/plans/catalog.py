@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from shroud.plans import governance, protection
+from shroud.plans import governance, protection, streams
 
-_ALL = [protection, governance]
+_ALL = [protection, governance, streams]
 
 
 def queries() -> dict[str, Callable]:
