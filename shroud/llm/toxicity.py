@@ -26,6 +26,8 @@ WINDOW, LOW, HIGH, BITS, DIMENSIONS = 3, 3, 8, 17, 8
 LEAST, ROUNDS, STEPS, RATE, SHRINK = 5, 15, 4, 0.03, 1e-3
 #: The model is fitted on at most PARTS x 1000 rows of each label, of at most CHARS characters each.
 PARTS, CHARS = 2, 8_000
+#: Bags of a text of label 1 that training goes through in turn.
+BAGS = 2
 
 
 @dataclass
@@ -114,8 +116,13 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     sums = [np.full_like(x, 1e-6) for x in (embed, soft, bias)]
     score = embed @ (soft[:, 1] - soft[:, 0])
     logits = of_words(score)
-    for _ in range(ROUNDS):
-        _, at = window_means(logits[flat], sizes, WINDOW)
+    toxic = (labels == 1) & (sizes > BAGS * WINDOW)
+    for turn in range(ROUNDS):
+        left = logits[flat]
+        _, at = window_means(left, sizes, WINDOW)
+        for _ in range(turn % BAGS):  # a text of label 1 also teaches its next best bags, so its weaker words are learned
+            left[(at[toxic, None] + np.arange(WINDOW)).ravel()] = -30
+            at = np.where(toxic, window_means(left, sizes, WINDOW)[1], at)
         length = np.minimum(sizes, WINDOW)
         bag = np.repeat(np.arange(len(texts)), length)
         words = flat[np.concatenate([np.arange(a, a + n) for a, n in zip(at, length, strict=True)])]
