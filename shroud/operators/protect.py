@@ -46,7 +46,7 @@ def quarantine(rows: DataFrame, fields: list[str]) -> DataFrame:
     return rows.select("user_id", rejection(fields).alias("reason")).where("reason IS NOT NULL")
 
 
-def protect(rows: DataFrame, keys: DataFrame, fields: list[str], operation_id: str, source_system: str) -> DataFrame:
+def protect(rows: DataFrame, keys: DataFrame, fields: list[str], operation_id: str | Column, source_system: str) -> DataFrame:
     """Records in the shape of the raw table, one for each accepted row whose user has a live key.
 
     ``pii_fields`` holds field name, token and encrypted bundle of each field in declared order. The
@@ -61,7 +61,7 @@ def protect(rows: DataFrame, keys: DataFrame, fields: list[str], operation_id: s
     return held.select(
         "tenant_id", "user_id", token.alias("email_token"), "encryption_version", "key_id",
         F.coalesce(email["encrypted_value"], F.lit("").cast("binary")).alias("encrypted_pii"), token.alias("data_hash"),
-        F.lit(operation_id).alias("operation_id"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ingested_at"),
+        (F.lit(operation_id) if isinstance(operation_id, str) else operation_id).alias("operation_id"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ingested_at"),
         F.lit(source_system).alias("source_system"), "pii_fields",
     )
 

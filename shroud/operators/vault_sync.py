@@ -23,12 +23,12 @@ def changed_users(source: DataFrame, user_column: str, updated_column: str | Non
     return rows.where(F.col(user_column).isNotNull()).select(F.col(user_column).cast("string").alias("user_id")).distinct()
 
 
-def work_units(users: DataFrame, size: int = UNIT, buckets: int = 1) -> DataFrame:
+def work_units(users: DataFrame, size: int = UNIT, buckets: int = 64) -> DataFrame:
     """Units of at most ``size`` user ids of each resource, sorted, with a running unit number; ids only, never values.
 
-    Ids are numbered within ``buckets`` hash buckets, so no task numbers them all; a bucket's last unit may be short.
+    Ids are numbered within ``buckets`` hash buckets of each resource, so no task numbers them all; a bucket's last unit may be short.
     """
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets))
+    bucket = F.conv(F.substring(F.md5(F.encode("user_id", "UTF-8")), 1, 8), 16, 10).cast("long") % buckets
     order = Window.partitionBy("resource_id", "bucket").orderBy("user_id")
     unit = F.floor((F.row_number().over(order) - 1) / size)
     rows = users.select("resource_id", "user_id").distinct().withColumn("bucket", bucket).withColumn("unit", unit.cast("long"))

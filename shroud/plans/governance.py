@@ -129,7 +129,7 @@ def joi_reread_users(spark, sf):
 
 def win_work_units(spark, sf):
     users = frame(spark, sf, "users").select(F.concat(F.lit("bigquery:proj.ds."), "tenant_id").alias("resource_id"), "user_id")
-    return S.work_units(users).select("resource_id", "unit", F.size("user_ids").cast("long").alias("n"), _JOIN("user_ids").alias("user_ids"))
+    return S.work_units(users, buckets=4).select("resource_id", "bucket", "unit", F.size("user_ids").cast("long").alias("n"), _JOIN("user_ids").alias("user_ids"))
 
 
 def _runs(spark, sf):
@@ -461,7 +461,7 @@ QUERIES = {
     "inc_latest_value": (inc_latest_value, ctes("sync_source") + "SELECT tenant_id, user_id, 'bigquery:proj.ds.events' AS resource_id, 'email' AS field_name, arg_max(email, (updated_at, email)) AS value FROM sync_source GROUP BY 1, 2"),
     "joi_not_yet_synced": (joi_not_yet_synced, _ID_FIELDS + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, value FROM fields ANTI JOIN vault_rows USING (tenant_id, user_id, field_name)"),
     "joi_reread_users": (joi_reread_users, ctes("vault_rows") + "SELECT c_custkey, c_name FROM customer WHERE CAST(c_custkey AS VARCHAR) IN (SELECT user_id FROM vault_rows WHERE field_name = 'phone')"),
-    "win_work_units": (win_work_units, ctes("users") + "SELECT resource_id, unit, count(*) AS n, string_agg(user_id, ',' ORDER BY user_id) AS user_ids FROM (SELECT concat('bigquery:proj.ds.', tenant_id) AS resource_id, user_id, (row_number() OVER (PARTITION BY tenant_id ORDER BY user_id) - 1) // 100 AS unit FROM users) GROUP BY 1, 2"),
+    "win_work_units": (win_work_units, ctes("users") + "SELECT resource_id, bucket, unit, count(*) AS n, string_agg(user_id, ',' ORDER BY user_id) AS user_ids FROM (SELECT *, (row_number() OVER (PARTITION BY resource_id, bucket ORDER BY user_id) - 1) // 100 AS unit FROM (SELECT concat('bigquery:proj.ds.', tenant_id) AS resource_id, user_id, CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % 4 AS bucket FROM users)) GROUP BY 1, 2, 3"),
     "inc_advance": (inc_advance, f"""SELECT resource_id, strftime(greatest(s.last_synced_at, r.mark), '%Y-%m-%d %H:%M:%S') AS last_synced_at, strftime(r.attempt, '%Y-%m-%d %H:%M:%S') AS last_attempt_at
       FROM (SELECT concat('res', CAST(i AS VARCHAR)) AS resource_id, CASE WHEN i % 2 = 0 THEN TIMESTAMP '2024-01-01 00:10:00' WHEN i = 5 THEN TIMESTAMP '2025-01-01' END AS last_synced_at FROM range(9) t(i)) s
       FULL JOIN (SELECT resource_id, max(started_at) FILTER (succeeded AND updated_at_column IS NOT NULL) AS mark, max(started_at) AS attempt FROM {_RUNS} GROUP BY 1) r USING (resource_id)"""),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,30 @@ def require_suffix(path: str) -> str:
     raise ValueError(f"only {' and '.join(SUFFIXES)} files are read: {path}")
 
 
+def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path`` and first line of each file, in one job over all of them."""
+    first = F.min_by("value", F.struct("start", "n"))
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    return lines.groupBy("path").agg(first.alias("header"))
+
+
+def header_columns(header: str) -> list[str]:
+    return next(csv.reader([header]), [])
+
+
+def read_files(spark: SparkSession, paths: list[str], suffix: str, columns: list[str], fields: list[str]) -> DataFrame:
+    """user_id and the declared fields of files with one suffix and the same columns, with ``operation_id``, which each file keeps when it is read again."""
+    file = F.concat_ws("|", "_metadata.file_path", F.col("_metadata.file_modification_time").cast("string"))
+    operation = F.substring(F.sha2(file, 256), 1, 32).alias("operation_id")
+    wanted = list(dict.fromkeys(["user_id", *fields]))
+    if suffix == ".json":
+        lines = spark.read.text(paths).select("value", operation).where(F.trim("value") != "")
+        parsed = F.from_json("value", string_schema([*wanted, CORRUPT]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        return lines.select(parsed.alias("r"), "operation_id").where(F.col(f"r.{CORRUPT}").isNull()).select(*[F.col(f"r.{c}").alias(c) for c in wanted], "operation_id")
+    rows = spark.read.option("header", True).option("escape", '"').schema(string_schema(columns)).csv(paths)
+    return rows.select(*[present(F.col(f"`{c}`")).alias(c) for c in wanted], operation)
+
+
 def read_file(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """A landing file by its suffix, with the columns user_id and the declared fields at least; a file that lacks one is an error that names it."""
     if require_suffix(path) == ".json":

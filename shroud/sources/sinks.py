@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +26,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def operation_of(path: str, modified: str) -> str:
-    """An operation id that a file keeps when it is read again."""
-    return hashlib.sha256(f"{path}|{modified}".encode()).hexdigest()[:32]
-
-
 def append_vault(records: DataFrame, path: str) -> None:
     """Appends vault rows, by resource, so that a diff reads one resource only."""
     append(records, path, ["resource_id"])

@@ -43,26 +43,52 @@ def dispose(spark: SparkSession, path: str, failed_dir: str | None = None) -> No
 
 
 def landing_batch(tenant_id: str, keys: Callable[[], DataFrame], fields: list[str], out: str, failed_dir: str, source_system: str) -> Callable[[DataFrame, int], None]:
-    """Protects each new file of a batch and appends its records; a good file is deleted, a bad one moved, and neither stops the others."""
+    """Protects all new files of a batch at once and appends their records; good files are deleted, bad ones moved, and neither stops the others.
+
+    A first job reads the files' headers. Files that lack a declared column are set aside, and those
+    of one suffix and header are read together. Only if that fails are they taken one by one, to find
+    the bad ones.
+    """
+
+    def take(spark: SparkSession, paths: list[str], suffix: str, columns: list[str]) -> None:
+        rows = landing.read_files(spark, paths, suffix, columns, fields).withColumn("tenant_id", F.lit(tenant_id))
+        records = P.protect(rows, keys(), fields, F.col("operation_id"), source_system)
+        sinks.append_once(records, out, ["tenant_id", "user_id", "operation_id"])
 
     def run(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        for path in _paths(batch):
-            try:
-                modified = str(_hadoop(spark, path)[0].getFileStatus(_hadoop(spark, path)[1]).getModificationTime())
-                rows = landing.read_file(spark, path, fields).withColumn("tenant_id", F.lit(tenant_id))
-                records = P.protect(rows, keys(), fields, sinks.operation_of(path, modified), source_system)
-                sinks.append_once(records, out, ["tenant_id", "user_id", "operation_id"])
-            except Exception:  # noqa: BLE001  whatever is wrong with one file, the others go on
+        paths = _paths(batch)
+        groups: dict[tuple, list[str]] = {}
+        tables = [p for p in paths if p.endswith(".csv")]
+        found = {r.path: r.header for r in landing.headers(spark, tables).collect()} if tables else {}
+        for path in paths:
+            columns = landing.header_columns(found.get(path) or "") if path.endswith(".csv") else None
+            if columns is not None and P.missing_columns(columns, fields):
                 dispose(spark, path, failed_dir)
             else:
-                dispose(spark, path)
+                groups.setdefault((".csv" if columns is not None else ".json", tuple(columns or ())), []).append(path)
+        for (suffix, columns), group in groups.items():
+            try:
+                take(spark, group, suffix, list(columns))
+                bad = set()
+            except Exception:  # noqa: BLE001  whatever is wrong with one file, the others go on
+                bad = {p for p in group if not _taken(lambda p=p, s=suffix, c=columns: take(spark, [p], s, list(c)))}
+            for path in group:
+                dispose(spark, path, failed_dir if path in bad else None)
 
     return run
 
 
+def _taken(work: Callable[[], None]) -> bool:
+    try:
+        work()
+    except Exception:  # noqa: BLE001
+        return False
+    return True
+
+
 def watch_landing(spark: SparkSession, inbound: str, checkpoint: str, sink: Callable[[DataFrame, int], None], files_per_trigger: int = 1000) -> StreamingQuery:
-    """A query over new .csv and .json files of a folder. Only their names are read by the stream; a batch reads the files themselves."""
+    """A query over new .csv and .json files of a folder. Only their names are read by the stream; a batch reads the files themselves. Files without a byte are not seen."""
     names = spark.readStream.format("binaryFile").schema(FILE).option("pathGlobFilter", "*.{csv,json}").option("maxFilesPerTrigger", files_per_trigger).load(inbound).select("path")
     return names.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
