@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -92,13 +93,12 @@ def destinations(events: DataFrame) -> DataFrame:
     return people.groupBy("tenant_id", "user_id").agg(F.array_sort(F.collect_set("destination")).alias("destinations"))
 
 
-def sanitised(value, key: str = ""):
-    """A parsed JSON value without what sensitive keys hold, at any depth; list items have no key."""
-    if any(word in key.lower() for word in SENSITIVE):
-        return REDACTED
-    if isinstance(value, dict):
-        return {k: sanitised(v, k) for k, v in value.items()}
-    return [sanitised(v) for v in value] if isinstance(value, list) else value
+_SENSITIVE_KEY = re.compile("|".join(SENSITIVE), re.IGNORECASE)
+
+
+def _redact_object(pairs: list[tuple]) -> dict:
+    """An object as it is parsed, innermost first, without what its sensitive keys hold."""
+    return {k: REDACTED if _SENSITIVE_KEY.search(k) else v for k, v in pairs}
 
 
 @pandas_udf(StringType())
@@ -106,10 +106,8 @@ def redact_json(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """JSON text of any depth without what sensitive keys hold; text that isn't JSON is redacted as a whole."""
 
     def one(text):
-        if text is None:
-            return None
         try:
-            return json.dumps(sanitised(json.loads(text)), ensure_ascii=False)
+            return text and json.dumps(json.loads(text, object_pairs_hook=_redact_object), ensure_ascii=False)
         except ValueError:
             return REDACTED
 
