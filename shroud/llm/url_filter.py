@@ -20,8 +20,9 @@ from shroud.llm.components import connected_components
 
 #: (verdict, host, path) of the registered query.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-#: Rules are tried row by row, without a join, up to this many.
+#: Rules of a list are tried row by row, without a join; more than this many belong in a table.
 MOST_RULES = 500
+Rules = list[tuple[str, str, str]] | DataFrame
 
 LINK, META = r"(?i)<link\b[^>]*>", r"(?i)<meta\b[^>]*>"
 CANONICAL, REFRESH = r"(?i)\brel\s*=\s*[\"']?canonical\b", r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"
@@ -38,16 +39,33 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
 
 
 def best_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
-    """struct(verdict, rule) of the longest rule that fits, null if none does; of equally long ones the first given."""
+    """struct(verdict, rule) of the longest rule that fits, null if none does; of equally long ones an allow goes before a block."""
     if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
+        raise ValueError(f"more than {MOST_RULES} rules belong in a table")
     found = F.lit(None).cast("struct<verdict:string,rule:string>")
-    for verdict, rule_host, rule_path in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):  # the last that fits stands
+    for verdict, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == "allow")):  # the last that fits stands
         fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
         found = F.when(fits, F.struct(F.lit(verdict).alias("verdict"), F.lit(rule_host + rule_path).alias("rule"))).otherwise(found)
     return found
 
 
+def with_rules(rows: DataFrame, rules: Rules) -> DataFrame:
+    """Rows with ``found``, the best rule of their host and path.
+
+    A table of rules (verdict, host, path), of any size, is joined on the host and its parent domains,
+    for each host and path once; what is found is joined back.
+    """
+    if not isinstance(rules, DataFrame):
+        return rows.withColumn("found", best_rule(F.col("host"), F.col("path"), rules))
+    labels = F.split("host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    urls = rows.select("host", "path").where("host <> ''").distinct().select("host", "path", F.explode(parents).alias("rule_host"))
+    table_ = rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict", F.concat("host", "path").alias("rule"))
+    fits = urls.join(table_, "rule_host").where(F.col("path").startswith(F.col("rule_path")))
+    best = F.max_by(F.struct("verdict", "rule"), F.struct(F.length("rule"), F.col("verdict") == "allow", "rule")).alias("found")
+    return rows.join(fits.groupBy("host", "path").agg(best), ["host", "path"], "left")
+
+
 def node(url: Column) -> Column:
     """host/path?query of a URL; null without a host."""
     host, path, query = url_parts(url)
@@ -75,16 +93,16 @@ def page_links(pages: DataFrame) -> DataFrame:
     return rows.where("host <> ''").select(node(F.col("url")).alias("a"), node(whole).alias("b"))
 
 
-def spread_blocks(edges: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
+def spread_blocks(edges: DataFrame, rules: Rules) -> DataFrame:
     """``alias`` of every URL that its component blocks: one there is blocked by a rule and none allowed by one."""
     found = connected_components(edges)
     host, path, _ = url_parts(F.concat(F.lit("x://"), "node"))
-    judged = found.select("node", "component", best_rule(host, path, rules)["verdict"].alias("verdict"))
+    judged = with_rules(found.select("node", "component", host.alias("host"), path.alias("path")), rules).select("component", F.col("found.verdict").alias("verdict"))
     bad = judged.groupBy("component").agg(F.count_if(F.col("verdict") == "block").alias("blocks"), F.count_if(F.col("verdict") == "allow").alias("allows")).where("blocks > 0 AND allows = 0")
     return found.join(bad, "component", "left_semi").select(F.col("node").alias("alias"))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], folder: str, redirects: DataFrame | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: Rules, folder: str, redirects: DataFrame | None = None) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, host, path, rule, verdict.
 
     ``redirects`` may add edges between whole URLs (source, target). A null url or html, an empty
@@ -99,7 +117,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], folder: str, redi
     edges.where("a IS NOT NULL AND b IS NOT NULL").distinct().write.parquet(f"{folder}/edges")
     edges = spark.read.schema("a string, b string").parquet(f"{folder}/edges")
     host, path, _ = url_parts(F.col("url"))
-    rows = pages.select("page_id", "url", host.alias("host"), path.alias("path")).withColumn("found", best_rule(F.col("host"), F.col("path"), rules))
+    rows = with_rules(pages.select("page_id", "url", host.alias("host"), path.alias("path")), rules)
     if edges.isEmpty():
         blocked = F.lit(False)
     else:

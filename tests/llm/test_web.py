@@ -69,6 +69,14 @@ def test_verdicts_against_sql(spark, tmp_path):
     assert {k: verdict[k] for k in ("9", "10", "13", "14", "12", "3", "16")} == {"9": "block", "10": "block", "13": "allow", "14": "block", "12": "allow", "3": "allow", "16": "allow"}
 
 
+def test_rules_as_a_table(spark, tmp_path):
+    table = spark.createDataFrame(url_filter.RULES, "verdict string, host string, path string")
+    got = spark_rows(url_filter.judge(frame(spark), table, str(tmp_path / "a")))
+    assert got == spark_rows(url_filter.judge(frame(spark), url_filter.RULES, str(tmp_path / "b")))
+    with pytest.raises(ValueError, match="table"):
+        url_filter.judge(frame(spark), url_filter.RULES * 200, str(tmp_path / "c"))
+
+
 def test_redirect_table_and_rules(spark, tmp_path):
     rows = [(1, "http://start.com/a", None), (2, "http://other.com/", None), (3, "http://sub.a.net/p", None), (4, "http://xa.net/p", None)]
     redirects = spark.createDataFrame([("http://start.com/a", "http://mid.com/b"), ("https://mid.com/b#x", "http://evil.net/")], "source string, target string")
