@@ -28,8 +28,8 @@ def latest(copy: DataFrame, user_column: str = "user_id", order: tuple[str, ...]
     return copy.withColumn("__n", F.row_number().over(newest)).where("__n = 1").drop("__n")
 
 
-def latest_by_struct(copy: DataFrame, user_column: str = "user_id", order: tuple[str, ...] = ("synced_at",)) -> DataFrame:
-    """The same rows without a sort: the largest struct of each user, combined before the shuffle."""
+def latest_combined(copy: DataFrame, user_column: str = "user_id", order: tuple[str, ...] = ("synced_at",)) -> DataFrame:
+    """The same rows as the largest struct of each user: each task sends one row per user, so a history of many rows is hardly shuffled."""
     rest = [c for c in copy.columns if c != user_column]
     best = F.max_by(F.struct(*rest), F.struct(*order)).alias("r")
     return copy.groupBy(user_column).agg(best).select(user_column, *[F.col(f"r.{c}").alias(c) for c in rest])

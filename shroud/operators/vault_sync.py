@@ -37,7 +37,7 @@ def work_units(users: DataFrame, size: int = UNIT, buckets: int = 64) -> DataFra
 
 def reread(source: DataFrame, users: DataFrame, user_column: str = "user_id") -> DataFrame:
     """Source rows of the given users, whose ids are compared as text."""
-    wanted = users.select(F.col("user_id").cast("string").alias("wanted")).distinct()
+    wanted = users.select(F.col("user_id").cast("string").alias("wanted"))
     return source.join(wanted, F.col(user_column).cast("string") == F.col("wanted"), "left_semi")
 
 
@@ -53,7 +53,7 @@ def long_fields(source: DataFrame, resource_id: str, fields: list[str], default_
 def not_yet_synced(fields: DataFrame, vault: DataFrame, tenant_in_key: bool = True) -> DataFrame:
     """Fields whose natural key isn't in the vault; without the tenant in the key, users of two tenants count as one."""
     on = NATURAL_KEY if tenant_in_key else NATURAL_KEY[1:]
-    return fields.join(vault.select(*on).distinct(), on, "left_anti")
+    return fields.join(vault.select(*on), on, "left_anti")
 
 
 def vault_records(fields: DataFrame, keys: DataFrame, synced_at: Column | None = None) -> DataFrame:

@@ -182,8 +182,8 @@ def win_latest_copy(spark, sf):
     return C.latest(frame(spark, sf, "sync_source"), "user_id", ("updated_at", "event_id")).select("user_id", "event_id", "email")
 
 
-def win_latest_without_sort(spark, sf):
-    return C.latest_by_struct(frame(spark, sf, "sync_source"), "user_id", ("updated_at", "event_id")).select("user_id", "event_id", "email")
+def win_latest_combined(spark, sf):
+    return C.latest_combined(frame(spark, sf, "sync_source"), "user_id", ("updated_at", "event_id")).select("user_id", "event_id", "email")
 
 
 # --- scans ---
@@ -470,7 +470,7 @@ QUERIES = {
     "agg_users_synced": (agg_users_synced, _ID_FIELDS + f"SELECT '{RESOURCE}' AS resource_id, count(DISTINCT (tenant_id, user_id)) AS users_synced FROM {_SYNCED}"),
     "joi_wide_copy": (joi_wide_copy, _ID_FIELDS + f"SELECT u.tenant_id, u.user_id, u.plan, max(CASE WHEN s.field_name = 'email' THEN s.value END) AS email, max(CASE WHEN s.field_name = 'phone' THEN s.value END) AS phone FROM users u JOIN {_SYNCED} s ON u.tenant_id = s.tenant_id AND u.user_id = s.user_id GROUP BY 1, 2, 3"),
     "win_latest_copy": (win_latest_copy, ctes("sync_source") + "SELECT user_id, event_id, email FROM sync_source QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, event_id DESC) = 1"),
-    "win_latest_without_sort": (win_latest_without_sort, ctes("sync_source") + "SELECT user_id, event_id, email FROM sync_source QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, event_id DESC) = 1"),
+    "win_latest_combined": (win_latest_combined, ctes("sync_source") + "SELECT user_id, event_id, email FROM sync_source QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, event_id DESC) = 1"),
     "agg_ghost_findings": (agg_ghost_findings, _PROFILES + f"SELECT column_name, pattern, count(*) AS findings FROM {_ghost('profiles')}) WHERE pattern IS NOT NULL GROUP BY 1, 2"),
     "sca_enabled_patterns": (sca_enabled_patterns, _PROFILES + f"SELECT column_name, pattern, count(*) AS findings FROM {_ghost('profiles')} UNION ALL SELECT 'email', {classify_sql('email')} FROM profiles) WHERE pattern IN ('EMAIL', 'NAME') GROUP BY 1, 2"),
     "agg_ghost_tokens": (agg_ghost_tokens, ctes("cells") + f"SELECT 'token' AS column_name, pattern, count(*) AS findings FROM (SELECT {classify_sql('token')} AS pattern FROM cells) WHERE pattern IS NOT NULL GROUP BY 2"),

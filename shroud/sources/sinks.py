@@ -16,7 +16,7 @@ def append_once(rows: DataFrame, path: str, key: list[str]) -> None:
     """Appends a row for each key that the table doesn't hold yet, so a batch that comes again adds nothing."""
     spark, rows = rows.sparkSession, rows.dropDuplicates(key)
     if exists(spark, path):
-        rows = rows.join(spark.read.parquet(path).select(*key).distinct(), key, "left_anti")
+        rows = rows.join(spark.read.parquet(path).select(*key), key, "left_anti")
     append(rows, path)
 
 
