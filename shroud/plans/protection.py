@@ -8,7 +8,7 @@ from shroud.functions import crypto, text
 from shroud.operators import keys as K
 from shroud.operators import protect as P
 from shroud.plans.fixtures import ctes, frame
-from shroud.plans.support import RESOURCE, email_sql, hmac_sql, work_dir, written
+from shroud.plans.support import email_sql, hmac_sql, work_dir, written
 from shroud.sources import landing, sinks
 
 FIELDS = ["email", "phone"]
