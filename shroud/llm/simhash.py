@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.llm.common import cut, table, text_slices, texts_of
+from shroud.llm.common import cut, shared_dir, table, text_slices, texts_of
 from shroud.llm.components import connected_components
 
-#: Fingerprints from which the shards' tree is built; the only ones that the driver sees.
-SAMPLE = 8192
-#: Distinct fingerprints that a shard is meant to hold.
-SHARD = 12_000
+#: Fingerprints from which the shards' tree is built, at most (512 kB); the only ones that the driver sees.
+SAMPLE = 1 << 16
+#: Fingerprints of the sample for each shard.
+PER_SHARD = 16
 #: Comparisons made at once within a shard.
 BLOCK = 1 << 21
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -55,15 +55,15 @@ def fingerprint(text: str, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and ``fp`` (signed long) of every row, repeated rows and null ids included; a null text has fingerprint 0."""
+    """``id``, ``key`` (a hash of the text) and ``fp`` (signed long) of every row, repeated rows and null ids included; a null text has fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([fingerprint(t, width) for t in texts_of(part, "text")], pa.int64())], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array([fingerprint(t, width) for t in texts_of(part, "text")], pa.int64())], names=["id", "key", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, fp long")
+    return docs.selectExpr(f"`{id_col}` AS id", f"xxhash64(`{text_col}`) AS key", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, key long, fp long")
 
 
 def _distance(a: np.ndarray, b) -> np.ndarray:
@@ -88,7 +88,7 @@ def shard_tree(sample: np.ndarray, shards: int) -> list:
     number = iter(range(shards + 1))
 
     def grow(points: np.ndarray, many: int):
-        found = _vantage(points) if many > 1 and len(points) >= 16 else None
+        found = _vantage(points) if many > 1 and len(points) >= 4 else None
         if found is None:
             return next(number)
         v, radius, d = found
@@ -147,11 +147,16 @@ def link_shard(points: np.ndarray, queries: np.ndarray, reach: int) -> np.ndarra
     return labels
 
 
-def links(nodes: DataFrame, reach: int, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
+def how_many_shards(fingerprints_: int) -> int:
+    """Small tables are dealt finely, for the sake of tasks; large ones into shards of 100,000, as each level of the tree deals half as many again."""
+    return max(1, min(64, fingerprints_ // 2000), min(fingerprints_ // 100_000, SAMPLE // PER_SHARD))
+
+
+def links(nodes: DataFrame, reach: int, shards: int | None = None) -> DataFrame:
     """Edges ``a``, ``b`` between the ``rep`` of distinct fingerprints ``fp``: in every shard a spanning forest of the pairs within ``reach`` bits."""
-    some = np.array([r.fp for r in nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()], np.int64).view(np.uint64)
-    shards = max(1, min(-(-nodes.count() // shard), max(1, len(some) // 16)))
-    tree = shard_tree(some, shards)
+    shards = shards or how_many_shards(nodes.count())
+    some = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(PER_SHARD * shards).collect() if shards > 1 else []
+    tree = shard_tree(np.array([r.fp for r in some], np.int64).view(np.uint64), shards)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,27 +188,37 @@ def near_duplicates(docs: DataFrame, width: int = 3, reach: int = 2, id_col: str
     other. A row with a null id takes the component of its fingerprint, null if no row has an id
     there. Repeated rows stay. Other columns aren't read. An empty table gives no rows.
     """
+    made, named = _components(docs, width, reach, id_col, text_col)
+    return made.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, width: int, reach: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and ``component_id`` of each distinct ``fp``."""
     made = cut(fingerprints(docs, width, id_col, text_col))
     nodes = cut(made.groupBy("fp").agg(F.min("id").alias("rep")))
     edges = cut(links(nodes.where("rep IS NOT NULL"), reach))
     found = connected_components(edges)
-    named = cut(nodes.join(found, nodes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id")))
-    return made.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return made, cut(nodes.join(found, nodes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, width: int = 3, reach: int = 2) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component, all columns as they are.
+    """The rows of ``docs`` whose doc_id is the smallest of their component, all columns as they are.
 
-    Rows that repeat a kept doc_id are dropped but for one. Rows without an id name no component and stay.
+    Of rows that repeat a kept doc_id in one component, one stays. Rows without an id name no
+    component and stay. What is dropped is written as a table, so Spark knows its size when it picks
+    the join: texts are shuffled only if that table is too large to send to all tasks.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), width, reach).where("doc_id IS NOT NULL")
-    first = cut(found.groupBy("component_id").agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("rows")).withColumnRenamed("component_id", "__kept"))
-    kept = docs.join(first, docs["doc_id"] == first["__kept"], "left_semi")
-    twice = first.where("rows > 1").select("__kept")
+    made, named = _components(docs.select("doc_id", "text"), width, reach, "doc_id", "text")
+    linked = made.where("id IS NOT NULL").join(named, "fp")
+    path = shared_dir(docs.sparkSession, "near-duplicates")
+    linked.where("id <> component_id").select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct().write.parquet(path)
+    dropped = docs.sparkSession.read.schema("__id long, __key long").parquet(path)
+    kept = docs.join(dropped, (docs["doc_id"] == dropped["__id"]) & (F.xxhash64(docs["text"]) == dropped["__key"]), "left_anti")
+    twice = cut(linked.where("id = component_id").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("__id")))
     if not twice.isEmpty():  # ids should be unique; where they aren't, one row of each is taken
-        again = docs.join(twice, docs["doc_id"] == twice["__kept"], "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(twice, kept["doc_id"] == twice["__kept"], "left_anti").unionByName(again)
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+        again = kept.join(twice, kept["doc_id"] == twice["__id"], "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(twice, kept["doc_id"] == twice["__id"], "left_anti").unionByName(again)
+    return kept
 
 
 def query() -> Callable:

@@ -51,6 +51,22 @@ def test_repeated_and_missing_ids(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "5", "None"]
 
 
+def test_one_id_with_two_texts(spark):
+    a, b = "first text about one thing and more of it " * 3, "quite another text on some other matter here " * 3
+    docs = spark.createDataFrame([(1, a), (5, a), (5, b), (7, b)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text[:5]) for r in simhash.keep_one(docs).collect()) == [(1, "first"), (5, "quite")]
+
+
+def test_empty_tables(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    for name in ("documents", "labels", "benchmark", "pages"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name, query in entry.queries().items():
+        if name == "pipeline" or name.startswith("op"):
+            assert query(spark, str(tmp_path)).collect() == [], name
+
+
 def test_queries_are_registered(spark):
     import __spark_entry__ as entry
 

@@ -69,7 +69,7 @@ def test_shards_lose_no_pair(spark):
     base = rng.integers(0, 1 << 63, 1500, dtype=np.int64)
     fps = np.unique(np.concatenate([base, base[:700] ^ (1 << rng.integers(0, 62, 700)), base[:300] ^ (1 << rng.integers(0, 62, 300)) ^ (1 << rng.integers(0, 62, 300))]))
     nodes = spark.createDataFrame([(int(f), i) for i, f in enumerate(fps)], "fp long, rep long")
-    edges = simhash.links(nodes, 2, sample=1024, shard=200)
+    edges = simhash.links(nodes, 2, shards=13)
     assert edges.count() <= 3 * len(fps)
     label = {r.node: r.component for r in components.connected_components(edges).collect()}
     close = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2
