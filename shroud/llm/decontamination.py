@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.llm.common import cut, table, text_slices, texts_of
+from shroud.llm.common import cut, shared_dir, table, text_slices, texts_of
 from shroud.llm.ngrams import SIGNS
 
 SEED, COVERAGE = 5, 0.8
@@ -149,10 +149,17 @@ def coverages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE) -> DataFrame:
-    """``key``, ``check`` of the texts that cover an item to the threshold, with the item covered most (smallest id of equals) and how many there are."""
+    """``key``, ``check`` of the texts that cover an item to the threshold, with the item covered most (smallest id of equals) and how many there are.
+
+    They are written as a table, so Spark knows its size when it picks a join: documents are shuffled
+    only if it is too large to send to all tasks.
+    """
     over = coverages(docs, benchmark).where(F.col("coverage") >= threshold)
     best = F.max_by(F.struct("item_id", "coverage", "tiles"), F.struct("coverage", -F.col("item_id"))).alias("best")
-    return cut(over.groupBy("key", "check").agg(best, F.count_distinct("item_id").alias("n_items")).select("key", "check", "best.*", "n_items"))
+    found = over.groupBy("key", "check").agg(best, F.count_distinct("item_id").alias("n_items")).select("key", "check", "best.*", "n_items")
+    path = shared_dir(docs.sparkSession, "contaminated")
+    found.write.parquet(path)
+    return docs.sparkSession.read.schema("key long, check long, item_id long, coverage double, tiles long, n_items long").parquet(path)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE) -> DataFrame:
