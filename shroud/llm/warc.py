@@ -242,7 +242,8 @@ def lookup(queries: DataFrame, folder: str, files: list[tuple[str, int, str]]) -
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-    ordered = queries.select("key", "page_id").distinct().repartitionByRange(F.col("key"), F.col("page_id")).sortWithinPartitions("key", "page_id")
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that few bytes of keys still mean many readers
+    ordered = queries.select("key", "page_id").distinct().repartitionByRange(tasks, F.col("key"), F.col("page_id")).sortWithinPartitions("key", "page_id")
     return ordered.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
