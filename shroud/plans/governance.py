@@ -465,8 +465,8 @@ QUERIES = {
     "inc_advance": (inc_advance, f"""SELECT resource_id, strftime(greatest(s.last_synced_at, r.mark), '%Y-%m-%d %H:%M:%S') AS last_synced_at, strftime(r.attempt, '%Y-%m-%d %H:%M:%S') AS last_attempt_at
       FROM (SELECT concat('res', CAST(i AS VARCHAR)) AS resource_id, CASE WHEN i % 2 = 0 THEN TIMESTAMP '2024-01-01 00:10:00' WHEN i = 5 THEN TIMESTAMP '2025-01-01' END AS last_synced_at FROM range(9) t(i)) s
       FULL JOIN (SELECT resource_id, max(started_at) FILTER (succeeded AND updated_at_column IS NOT NULL) AS mark, max(started_at) AS attempt FROM {_RUNS} GROUP BY 1) r USING (resource_id)"""),
-    "agg_run_progress": (agg_run_progress, f"SELECT run_id, count(*) AS units, count_if(status = 'COMPLETED') AS completed, count_if(status = 'FAILED') AS failed FROM {_RUNS} GROUP BY 1"),
-    "agg_run_summary": (agg_run_summary, f"SELECT run_id, resource_id, count_if(status <> 'ERROR') AS queued, count_if(status = 'ERROR') AS errors FROM {_RUNS} GROUP BY 1, 2"),
+    "agg_run_progress": (agg_run_progress, f"SELECT run_id, count(*) AS units, count(*) FILTER (WHERE status = 'COMPLETED') AS completed, count(*) FILTER (WHERE status = 'FAILED') AS failed FROM {_RUNS} GROUP BY 1"),
+    "agg_run_summary": (agg_run_summary, f"SELECT run_id, resource_id, count(*) FILTER (WHERE status <> 'ERROR') AS queued, count(*) FILTER (WHERE status = 'ERROR') AS errors FROM {_RUNS} GROUP BY 1, 2"),
     "agg_users_synced": (agg_users_synced, _ID_FIELDS + f"SELECT '{RESOURCE}' AS resource_id, count(DISTINCT (tenant_id, user_id)) AS users_synced FROM {_SYNCED}"),
     "joi_wide_copy": (joi_wide_copy, _ID_FIELDS + f"SELECT u.tenant_id, u.user_id, u.plan, max(CASE WHEN s.field_name = 'email' THEN s.value END) AS email, max(CASE WHEN s.field_name = 'phone' THEN s.value END) AS phone FROM users u JOIN {_SYNCED} s ON u.tenant_id = s.tenant_id AND u.user_id = s.user_id GROUP BY 1, 2, 3"),
     "win_latest_copy": (win_latest_copy, ctes("sync_source") + "SELECT user_id, event_id, email FROM sync_source QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, event_id DESC) = 1"),
@@ -474,12 +474,12 @@ QUERIES = {
     "agg_ghost_findings": (agg_ghost_findings, _PROFILES + f"SELECT column_name, pattern, count(*) AS findings FROM {_ghost('profiles')}) WHERE pattern IS NOT NULL GROUP BY 1, 2"),
     "sca_enabled_patterns": (sca_enabled_patterns, _PROFILES + f"SELECT column_name, pattern, count(*) AS findings FROM {_ghost('profiles')} UNION ALL SELECT 'email', {classify_sql('email')} FROM profiles) WHERE pattern IN ('EMAIL', 'NAME') GROUP BY 1, 2"),
     "agg_ghost_tokens": (agg_ghost_tokens, ctes("cells") + f"SELECT 'token' AS column_name, pattern, count(*) AS findings FROM (SELECT {classify_sql('token')} AS pattern FROM cells) WHERE pattern IS NOT NULL GROUP BY 2"),
-    "agg_ghost_counts_by_column": (agg_ghost_counts_by_column, _PROFILES + "SELECT " + ", ".join(f"count_if({classify_sql(c)} = '{p}') AS {c}_{p}" for c in ("notes", "remark") for p in text.PATTERNS) + " FROM profiles"),
+    "agg_ghost_counts_by_column": (agg_ghost_counts_by_column, _PROFILES + "SELECT " + ", ".join(f"count(*) FILTER (WHERE {classify_sql(c)} = '{p}') AS {c}_{p}" for c in ("notes", "remark") for p in text.PATTERNS) + " FROM profiles"),
     "sca_classify": (sca_classify, _PROFILES + f"SELECT id, {classify_sql('notes')} AS notes, {classify_sql('remark')} AS remark FROM profiles"),
     "lim_sample": (lim_sample, _PROFILES + f", picked AS (SELECT * FROM profiles ORDER BY sha256(CAST(id AS VARCHAR)), id LIMIT 200) SELECT column_name, pattern, count(*) AS findings FROM {_ghost('picked')}) WHERE pattern IS NOT NULL GROUP BY 1, 2"),
     "joi_schema_drift": (joi_schema_drift, _CATALOG + _CRAWL + "SELECT resource_id, status, len(names) AS column_count, array_to_string(new_columns, ',') AS new_columns, array_to_string(missing_columns, ',') AS missing_columns, CASE status WHEN 'UNREGISTERED' THEN 'register_resource_or_exclude_dataset' WHEN 'DRIFTED' THEN 'review_registry_column_drift' ELSE 'none' END AS recommended_action FROM diffs"),
     "joi_column_drift": (joi_column_drift, _CATALOG + "SELECT resource_id, column_name, CASE WHEN f IS NULL THEN 'missing' ELSE 'new' END AS drift FROM (SELECT DISTINCT concat('bigquery:', table_catalog, '.', table_schema, '.', table_name) AS resource_id, column_name, 1 AS f FROM catalog_columns) FULL JOIN (SELECT resource_id, column_name, 1 AS d FROM registry_columns) USING (resource_id, column_name) WHERE f IS NULL OR d IS NULL"),
-    "agg_crawl_counts": (agg_crawl_counts, _CATALOG + _CRAWL + "SELECT count_if(status = 'REGISTERED') AS registered, count_if(status = 'UNREGISTERED') AS unregistered, count_if(status = 'DRIFTED') AS drifted FROM diffs"),
+    "agg_crawl_counts": (agg_crawl_counts, _CATALOG + _CRAWL + "SELECT count(*) FILTER (WHERE status = 'REGISTERED') AS registered, count(*) FILTER (WHERE status = 'UNREGISTERED') AS unregistered, count(*) FILTER (WHERE status = 'DRIFTED') AS drifted FROM diffs"),
     "srt_catalog": (srt_catalog, _CATALOG + "SELECT table_schema, table_name, string_agg(column_name, ',' ORDER BY ordinal_position, column_name) AS columns FROM catalog_columns GROUP BY 1, 2"),
     "sca_exclusion": (sca_exclusion, _CATALOG + "SELECT DISTINCT table_schema, table_name FROM catalog_columns WHERE NOT (table_name GLOB '*7' OR concat(table_schema, '.', table_name) GLOB '*7' OR concat(table_schema, '.', table_name) GLOB 'ds1.tbl?' OR table_name GLOB 'tbl2[0-3]' OR concat(table_schema, '.', table_name) GLOB 'ds[!023].tbl1?')"),
     "sca_column_mode": (sca_column_mode, _CATALOG + "SELECT table_schema, table_name, column_name, CASE WHEN is_nullable = 'YES' THEN 'NULLABLE' ELSE 'REQUIRED' END AS mode FROM catalog_columns"),
