@@ -28,7 +28,7 @@ CAPACITY = 2048
 #: Remainders that wait in a task before they are packed.
 POOL = 4096
 #: Chunks of text whose ids a worker remembers.
-MEMORY = 700_000
+MEMORY = 450_000
 END_ID = 1
 
 
