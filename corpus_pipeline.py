@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shroud.llm import catalog, compression_quality, decontamination, packing, simhash, toxicity
+from shroud.llm import catalog, compression_quality, decontamination, near_copies, packing, toxicity
 from shroud.llm.common import shared_dir, table
 
 
@@ -24,8 +24,8 @@ def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies: five-word shingles, Jaccard similarity of at least 0.8."""
+    return near_copies.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

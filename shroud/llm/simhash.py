@@ -202,13 +202,17 @@ def _components(docs: DataFrame, width: int, reach: int, id_col: str, text_col:
 
 
 def keep_one(docs: DataFrame, width: int = 3, reach: int = 2) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of their component, all columns as they are; see ``keep_smallest``."""
+    return keep_smallest(docs, *_components(docs.select("doc_id", "text"), width, reach, "doc_id", "text"))
+
+
+def keep_smallest(docs: DataFrame, made: DataFrame, named: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of their component, all columns as they are.
 
     Of rows that repeat a kept doc_id in one component, one stays. Rows without an id name no
     component and stay. What is dropped is written as a table, so Spark knows its size when it picks
     the join: texts are shuffled only if that table is too large to send to all tasks.
     """
-    made, named = _components(docs.select("doc_id", "text"), width, reach, "doc_id", "text")
     linked = made.where("id IS NOT NULL").join(named, "fp")
     path = shared_dir(docs.sparkSession, "near-duplicates")
     linked.where("id <> component_id").select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct().write.parquet(path)
