@@ -82,9 +82,9 @@ def discovery_events(resources: DataFrame) -> DataFrame:
     return resources.select(F.lit(JOB_USERS[1]).alias("user_id"), F.col("resource_id").alias("destination"), F.concat(F.lit("dbt-pii-discovery:"), "resource_id").alias("operation_id"), F.lit("WAREHOUSE_METADATA_DISCOVERED").alias("event_type"), F.lit("METADATA").alias("data_classification"), details.alias("metadata"))
 
 
-def message_events(messages: DataFrame, destination: str) -> DataFrame:
-    """INGESTION of each single message, with the sorted names of its payload's keys."""
-    return messages.select("user_id", F.lit("pii-ingestor-worker").alias("source"), F.lit(destination).alias("destination"), "operation_id", F.lit("INGESTION").alias("event_type"), F.array_sort(F.map_keys("payload")).alias("payload_keys"))
+def message_events(messages: DataFrame, destination: str, *keep: str) -> DataFrame:
+    """INGESTION of each single message, with the sorted names of its payload's keys; columns to ``keep`` come first."""
+    return messages.select(*keep, "user_id", F.lit("pii-ingestor-worker").alias("source"), F.lit(destination).alias("destination"), "operation_id", F.lit("INGESTION").alias("event_type"), F.array_sort(F.map_keys("payload")).alias("payload_keys"))
 
 
 def destinations(events: DataFrame) -> DataFrame:

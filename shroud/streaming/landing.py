@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shroud.operators import keys as K
 from shroud.operators import lineage as L
 from shroud.operators import protect as P
 from shroud.operators import vault_sync as S
@@ -100,16 +101,18 @@ def parse_messages(lines: DataFrame) -> DataFrame:
 
 
 def message_batch(keys: Callable[[], DataFrame], out: str, events: str, dead: str) -> Callable[[DataFrame, int], None]:
-    """Records and lineage of single messages; malformed ones leave a count by reason, never their text."""
+    """Records and lineage of single messages, each once for its tenant, user and operation; malformed ones leave a count by reason, never their text."""
+    key = ["tenant_id", "user_id", "operation_id"]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         good = batch.where("NOT bad")
         reasons = good.transform(P.rejected_messages).select("reason").unionByName(batch.where("bad").select(F.lit("malformed").alias("reason")))
         reasons.groupBy("reason").agg(F.count("*").alias("n")).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(dead)
-        sinks.append_once(P.single_messages(good, keys()), out, ["tenant_id", "user_id", "operation_id"])
-        taken = good.join(batch.sparkSession.read.parquet(out).select("user_id", "operation_id"), ["user_id", "operation_id"], "left_semi")
-        sinks.append_once(L.message_events(taken, out), events, ["operation_id"])
+        sinks.append_once(P.single_messages(good, keys()), out, key)
+        named = good.withColumn("tenant_id", K.tenant(F.col("header_tenant"), F.col("body_tenant")))
+        taken = named.join(batch.sparkSession.read.parquet(out).select(*key), key, "left_semi")
+        sinks.append_once(L.message_events(taken, out, "tenant_id"), events, key)
         batch.unpersist()
 
     return run

@@ -58,3 +58,16 @@ def test_units_come_twice(spark, tmp_path):
     vault = spark.read.parquet(str(tmp_path / "vault"))
     assert sorted(r.user_id for r in vault.collect()) == ["u1", "u2", "u5"]
     assert K.live(some_keys(spark)).count() == 6
+
+
+def test_messages_that_share_an_operation(spark, tmp_path):
+    message = lambda tenant, user: f'{{"header_tenant":"{tenant}","user_id":"{user}","payload":{{"email":"{user}@b.com"}},"operation_id":"o1"}}'
+    keys = some_keys(spark).unionByName(some_keys(spark).withColumn("tenant_id", F.lit("t2")))
+    source, want = tmp_path / "m", [("t1", "u1", "o1"), ("t1", "u2", "o1"), ("t2", "u1", "o1")]
+    source.mkdir()
+    for name, lines in {"a": want[:2], "b": want, "c": [("t3", "u1", "o1")]}.items():
+        (source / f"{name}.txt").write_text("\n".join(message(t, u) for t, u, _ in lines) + "\n")
+    out, events, dead = (str(tmp_path / n) for n in ("out", "events", "dead"))
+    T.run_once(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.message_batch(lambda: keys, out, events, dead))
+    for path in (out, events):
+        assert sorted((r.tenant_id, r.user_id, r.operation_id) for r in spark.read.parquet(path).collect()) == want
