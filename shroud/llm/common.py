@@ -43,12 +43,29 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder's path below spark.checkpoint.dir, which driver and executors share; a local one only where that is unset."""
-    return f"{_checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder's path below spark.checkpoint.dir, which driver and executors share; ``discard`` deletes it."""
+    made = f"{_checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(made)
+    return made
+
+
+_made: list[str] = []
+
+
+def discard(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Deletes the given folders, or all that ``shared_dir`` named in this process: call it once nothing reads them any more."""
+    for folder in list(_made if folders is None else folders):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if folder in _made:
+            _made.remove(folder)
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session. Where it is unset a local master gets a local folder, and a cluster an error: executors would write to disks of their own."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return root or f"file://{tempfile.mkdtemp(prefix='checkpoint-')}"
 
 

@@ -1,9 +1,11 @@
 """Quality by compression: zstandard dictionaries of good and of bad text.
 
 Two dictionaries are trained, from labelled good and from labelled bad texts. A text is compressed in
-chunks with either one; the difference of the two sizes, over the larger one, says which it is more
-like, and how far it shrinks at all says how repetitive it is. A logistic curve fitted to labelled
-texts that no dictionary has seen turns these normalised sizes into a probability.
+chunks with either one, and the difference of the two sizes for each byte of the text says which it is
+more like: text that repeats itself needs neither dictionary and lies near 0, far from good text. As a
+few bytes say little, every text counts as if PRIOR bytes of average good text stood before it. A
+logistic curve fitted to labelled texts that no dictionary has seen turns that normalised difference,
+and nothing else, into a probability.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from shroud.llm.common import remainder, table, text_slices, texts_of
 from shroud.llm.ngrams import labelled_sample
 
 #: Dictionary bytes, bytes compressed at a time (a dictionary helps most at the start), level.
-DICTIONARY, CHUNK, LEVEL = 64 << 10, 1024, 3
+DICTIONARY, CHUNK, LEVEL = 16 << 10, 512, 3
+#: Bytes of average good text that stand before every text.
+PRIOR = 128
 #: A dictionary is trained from runs of STRETCH bytes, PER_TEXT of them of each text at most.
 STRETCH, PER_TEXT = 200, 3
-#: The model is fitted on at most PARTS x 1000 rows of each label, of at most CHARS characters each.
-PARTS, CHARS = 3, 20_000
+#: The model is fitted on at most so many ids of each label and so many bytes of their texts.
+MOST, MOST_BYTES = 3000, 24 << 20
 
 
 @dataclass
@@ -36,7 +40,8 @@ class Model:
     raw: bool  # dictionaries are plain text, for want of samples to train them
     mean: np.ndarray
     spread: np.ndarray
-    weights: np.ndarray  # of 1 and the features
+    weights: np.ndarray  # of 1 and the difference
+    usual: float = 0.0  # difference for each byte of good text
 
     def sizes(self) -> Sizes:
         return Sizes(self)
@@ -48,6 +53,7 @@ class Sizes:
     def __init__(self, model: Model):
         import zstandard
 
+        self.usual = model.usual
         kind = zstandard.DICT_TYPE_RAWCONTENT if model.raw else zstandard.DICT_TYPE_AUTO
         self.by = []
         for content in (model.good, model.bad):
@@ -56,8 +62,8 @@ class Sizes:
         self.frame = [len(c.compress(b"")) for c in self.by]
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """(good - bad) / larger, good / bytes, bad / bytes of each text; zeros for the empty text."""
-        out = np.zeros((len(texts), 3))
+        """(size under the dictionary of bad text - size under that of good text) / bytes of each text, with PRIOR bytes of good text before it."""
+        out = np.zeros((len(texts), 1))
         (good, bad), (g0, b0) = (c.compress for c in self.by), self.frame
         for i, text in enumerate(texts):
             data, g, b = text.encode(), 0, 0
@@ -65,8 +71,7 @@ class Sizes:
                 part = data[at : at + CHUNK]
                 g += len(good(part)) - g0
                 b += len(bad(part)) - b0
-            if data:
-                out[i] = (g - b) / max(g, b, 1), g / len(data), b / len(data)
+            out[i] = (b - g + PRIOR * self.usual) / (len(data) + PRIOR)
         return out
 
 
@@ -106,11 +111,15 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     if len({k for _, k in seen}) < 2 or len(set(y.tolist())) < 2:
         share = (sum(k for _, k in rows) + 1) / (len(rows) + 1)  # no labels: nothing is rejected
         prior = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-        return Model(b"", b"", True, np.zeros(3), np.ones(3), np.array([prior, 0, 0, 0]))
+        return Model(b"", b"", True, np.zeros(1), np.ones(1), np.array([prior, 0]))
     (good, plain_good), (bad, plain_bad) = (_dictionary([t for t, k in seen if k == label]) for label in (1, 0))
     raw = not (good and bad)
-    model = Model(plain_good if raw else good, plain_bad if raw else bad, raw, np.zeros(3), np.ones(3), np.zeros(4))
-    model.mean, model.spread, model.weights = logistic(model.sizes().features([t for t, _ in unseen]), y)
+    model = Model(plain_good if raw else good, plain_bad if raw else bad, raw, np.zeros(1), np.ones(1), np.zeros(2))
+    texts = [t for t, _ in unseen]
+    size = np.array([len(t.encode()) for t in texts])
+    plain = model.sizes().features(texts)[:, 0] * (size + PRIOR)  # nothing is usual as yet
+    model.usual = float(plain[y == 1].sum() / size[y == 1].sum())
+    model.mean, model.spread, model.weights = logistic(model.sizes().features(texts), y)
     return model
 
 
@@ -119,10 +128,10 @@ def probabilities(texts: list[str], model: Model, sizes: Sizes) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(spark: SparkSession, sf_dir: str) -> Model:
-    """Fitted on the labelled documents that aren't held out (crc32 of the id modulo 3 is 1)."""
+def train(spark: SparkSession, sf_dir: str, most: int = MOST, most_bytes: int = MOST_BYTES) -> Model:
+    """Fitted on the labelled documents that aren't held out (crc32 of the id modulo 3 is 1), at most ``most`` ids of each label and ``most_bytes`` of text; see ``labelled_sample``."""
     labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
-    return fit(labelled_sample(table(spark, sf_dir, "documents"), labels, F.col("quality"), PARTS, CHARS))
+    return fit(labelled_sample(table(spark, sf_dir, "documents"), labels, F.col("quality"), most, most_bytes))
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -135,8 +144,10 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[t
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted (1 if score >= 0.5).
 
-    Null and empty texts have sizes of 0. Null ids and repeated rows come back as they are; other
-    columns aren't read; an empty table gives no rows. No shuffle.
+    Null and empty texts score as average good text, and equal texts equally; a score of 0.5 exactly
+    counts as 1. A very long text is scored whole, chunk by chunk. Null ids and repeated rows come back
+    as they are; other columns aren't read, so their names may clash; an empty table gives no rows. No
+    shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries
 
@@ -150,7 +161,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score at least the threshold, all columns as they are."""
+    """The rows of ``docs`` that score at least the threshold, all columns as they are; null, empty, long and repeated texts as in ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -24,11 +24,16 @@ from shroud.llm.ngrams import WordScores, labelled_sample, word_ngrams
 
 LOW, HIGH, BITS = 1, 4, 15
 EPOCHS, RATE, SHRINK = 25, 0.5, 1e-5
-#: The classifiers are fitted on at most 1000 rows of each language, of at most CHARS characters each.
-CHARS = 2500
+#: The classifiers are fitted on at most so many ids of each language and so many bytes of their texts, RUNS runs of RUN characters of each.
+MOST, MOST_BYTES, RUNS, RUN = 1000, 24 << 20, 2, 150
 CLOSE = 0.9
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_PLAIN_LETTER = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; fractions, superscripts and circled digits aren't."""
+    return _PLAIN_LETTER.search(text) is not None or any(map(str.isalpha, text))
 
 
 @dataclass
@@ -66,7 +71,7 @@ def least_distance(code: np.ndarray) -> int:
 
 def fit(rows: list[tuple[str, str]]) -> Model:
     """Classifiers of every bit, fitted together by gradient steps; a fifth of the rows is kept back to weigh bits and set the scale."""
-    rows = [(t.lower(), y) for t, y in rows if _LETTER.search(t)]
+    rows = [(t.lower(), y) for t, y in rows if has_letter(t)]
     languages = sorted({y for _, y in rows})
     codes = codewords(len(languages)) if languages else np.zeros((0, 1), np.int64)
     if len(languages) < 2:
@@ -131,7 +136,7 @@ def _chances(losses: np.ndarray, scale: float) -> np.ndarray:
 
 def predict(texts: list[str], model: Model, scores: WordScores) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, its share among the codewords' chances, and whether it is ambiguous; UNKNOWN with 0 where no letter is or none was learned."""
-    known = [bool(_LETTER.search(t)) for t in texts]
+    known = [has_letter(t) for t in texts]
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
     split = [t.lower().split() if k else [] for t, k in zip(texts, known, strict=True)]
@@ -149,18 +154,27 @@ def predict(texts: list[str], model: Model, scores: WordScores) -> tuple[list[st
     return names, np.where(known, share, 0.0), unsure | ~np.array(known)
 
 
-def train(spark: SparkSession, sf_dir: str) -> Model:
-    """Fitted on documents with a language that aren't held out (crc32 of the id modulo 3 is 1)."""
+def runs(text: str) -> list[str]:
+    """RUNS evenly spaced runs of RUN characters, from the text's start to its end; a text that isn't longer as a whole."""
+    if len(text) <= RUNS * RUN:
+        return [text]
+    return [text[k * (len(text) - RUN) // (RUNS - 1) :][:RUN] for k in range(RUNS)]
+
+
+def train(spark: SparkSession, sf_dir: str, most: int = MOST, most_bytes: int = MOST_BYTES) -> Model:
+    """Fitted on documents with a language that aren't held out (crc32 of the id modulo 3 is 1), at most ``most`` ids of each language and ``most_bytes`` of text; see ``labelled_sample``."""
     docs = table(spark, sf_dir, "documents")
     rows = docs.where(F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 3) != 1))
-    return fit(labelled_sample(docs, rows, F.col("lang"), 1, CHARS))
+    return fit([(part, y) for text, y in labelled_sample(docs, rows, F.col("lang"), most, most_bytes) for part in runs(text)])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score, ambiguous.
 
-    A null text, or one without a letter, is UNKNOWN with score 0 and ambiguous. Null ids and
-    repeated rows come back as they are; other columns aren't read; an empty table gives no rows.
+    A null text, or one without a letter, is UNKNOWN with score 0 and ambiguous; of codewords that are
+    equally near, the first language in order counts. A very long text is read whole. Null ids and
+    repeated rows come back as they are; other columns aren't read, so their names may clash; an empty
+    table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS x bits numbers
 

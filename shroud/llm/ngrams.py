@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from shroud.llm.common import cut
 
 #: Words whose scores a worker remembers.
 MEMORY = 400_000
-#: Rows of a label in one part of a sample; up to this many Spark cuts a ranking before it shuffles.
-PART = 1000
+#: Ids that are ranked for each one taken into a sample.
+SLACK = 1.5
 #: Signs around a word, which are no part of its n-grams.
 SIGNS = ".,;:!?\"'()[]{}<>|#$%&*+-/\\=@^_`~…«»“”„’‘¿¡"
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(1_000_003)
@@ -59,15 +64,36 @@ class WordScores:
         return self.values[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, parts: int, most_chars: int) -> list[tuple[str, object]]:
-    """At most ``parts`` x PART (text, label) rows of each label, picked by a hash of the id: the bounded sample a model is fitted on.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, most: int, most_bytes: int) -> list[tuple[str, object]]:
+    """(text, label) of about ``most`` ids of each label at most, picked by a hash of the id, whole texts of any length: what a model is fitted on.
 
-    ``labels`` has doc_id; ``docs`` has doc_id and text. Null labels and ids, null texts and texts of
-    over ``most_chars`` characters aren't fitted on. Only ids and labels are ranked and shuffled.
+    ``labels`` has doc_id; ``docs`` has doc_id and text. An id counts once however often it is
+    repeated: of several texts the smallest, and of several labels none, for it teaches neither. Null
+    labels, ids and texts aren't fitted on. Both bounds hold on the driver: ids of a label are taken
+    in order of their hash until there are ``most`` of them or their texts reach ``most_bytes`` shared
+    out among the labels; the text that passes that mark is the last. A count of ids comes first, so
+    only ids below a hash that keeps about ``most`` of each label are shuffled and ranked.
     """
-    hashed = F.xxhash64("doc_id")
-    rank = Window.partitionBy("label", F.pmod(hashed, F.lit(parts))).orderBy(hashed, "doc_id")
+    spark, hashed = docs.sparkSession, F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    local = lambda rows, *more: F.broadcast(spark.createDataFrame(rows, StructType([docs.schema["doc_id"], *more])))  # noqa: E731  rows that were bounded before they came to the driver
     named = labels.select("doc_id", label.alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
-    picked = named.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= PART).select("doc_id", "label")
-    found = docs.select("doc_id", "text").where(F.length("text") <= most_chars).join(F.broadcast(picked), "doc_id")  # bounded by the ranking
-    return sorted((r.text, r.label) for r in found.collect())
+    low = F.lit(0)
+    for r in named.groupBy("label").agg(F.approx_count_distinct("doc_id").alias("n")).collect():
+        low = F.when(F.col("label") == r["label"], F.lit(int(min(1, SLACK * most / r["n"]) * (1 << 30)))).otherwise(low)
+    near = local([(r["doc_id"],) for r in named.where(hashed < low).select("doc_id").distinct().collect()])
+    once = named.join(near, "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other")
+    ranked = defaultdict(list)
+    for r in once.select("doc_id", "label", hashed.alias("h")).collect():
+        ranked[r["label"]].append((r["h"], r["doc_id"]))
+    picked = local([(i, str(y)) for y in ranked for _, i in sorted(ranked[y])[:most]], StructField("label", StringType()))
+    found = docs.where("text IS NOT NULL").select("doc_id", "text").join(picked, "doc_id")
+    texts = cut(found.groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+    sizes = texts.select("doc_id", "label", F.octet_length("text").alias("size"), hashed.alias("h")).collect()
+    room, taken = {str(y): most_bytes // len(ranked) for y in ranked}, []
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if room[r["label"]] > 0:
+            room[r["label"]] -= r["size"]
+            taken.append((r["doc_id"],))
+    kind = {str(y): y for y in ranked}
+    whole = texts if len(taken) == len(sizes) else texts.join(local(taken), "doc_id")
+    return sorted((r["text"], kind[r["label"]]) for r in whole.collect())

@@ -24,10 +24,10 @@ from shroud.llm.ngrams import WordScores, labelled_sample, word_ngrams
 
 WINDOW, LOW, HIGH, BITS, DIMENSIONS = 3, 3, 8, 17, 8
 LEAST, ROUNDS, STEPS, RATE, SHRINK = 5, 15, 4, 0.03, 1e-3
-#: The model is fitted on at most PARTS x 1000 rows of each label, of at most CHARS characters each.
-PARTS, CHARS = 2, 8_000
+#: The model is fitted on at most so many ids of each label and so many bytes of their texts.
+MOST, MOST_BYTES = 2000, 8 << 20
 #: Bags of a text of label 1 that training goes through in turn.
-BAGS = 2
+BAGS = 3
 
 
 @dataclass
@@ -176,10 +176,10 @@ def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
     return float(w[0]), float(w[1])
 
 
-def train(spark: SparkSession, sf_dir: str) -> Model:
-    """Fitted on the labelled documents that aren't held out (crc32 of the id modulo 5 is not 0)."""
+def train(spark: SparkSession, sf_dir: str, most: int = MOST, most_bytes: int = MOST_BYTES) -> Model:
+    """Fitted on the labelled documents that aren't held out (crc32 of the id modulo 5 is not 0), at most ``most`` ids of each label and ``most_bytes`` of text; see ``labelled_sample``."""
     labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
-    return fit_and_calibrate(labelled_sample(table(spark, sf_dir, "documents"), labels, F.col("toxic"), PARTS, CHARS))
+    return fit_and_calibrate(labelled_sample(table(spark, sf_dir, "documents"), labels, F.col("toxic"), most, most_bytes))
 
 
 def text_scores(texts: list[str], model: Model, scores: WordScores) -> np.ndarray:
@@ -200,8 +200,10 @@ def score_batches(batches: Iterator[pa.RecordBatch], column: str, model: Model)
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted (1 if score >= 0.5).
 
-    Null and empty texts score as an empty bag does. Null ids and repeated rows come back as they
-    are; other columns aren't read; an empty table gives no rows. No shuffle.
+    Null and empty texts score as an empty bag does, and equal texts equally; a score of 0.5 exactly
+    counts as 1. A very long text is scored whole, by its worst bag. Null ids and repeated rows come
+    back as they are; other columns aren't read, so their names may clash; an empty table gives no
+    rows. No shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers
 
@@ -215,7 +217,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, all columns as they are."""
+    """The rows of ``docs`` that score below the threshold, all columns as they are; null, empty, long and repeated texts as in ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -1,14 +1,17 @@
 """Held-out accuracy of the trained models, and their defined results at the edges."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from shroud.llm import compression_quality, language_id, ngrams, toxicity
 
 SF = "/root/testdata/sf0.1"
-EDGES = [None, "", " ", "1234 !!!", "日本語", "x" * 200_000, "der die das", "der die das"]
+EDGES = [None, "", " ", "1234 !!!", "日本語", "x" * 200_000, "der die das", "der die das", "½", "² ①"]
 
 
 def edges(spark):
@@ -63,7 +66,7 @@ def test_language(spark):
     right = np.array([n == r.lang for n, r in zip(names, rows, strict=True)])
     assert right.mean() > 0.99 and unsure[right].mean() < 0.05
     got = {r.doc_id: r for r in language_id.identify(edges(spark), model).collect()}
-    assert [got[i].lang_pred for i in (0, 1, None, 3)] == ["und"] * 4 and got[1].score == 0 and got[1].ambiguous
+    assert [got[i].lang_pred for i in (0, 1, None, 3, 8, 9)] == ["und"] * 6 and got[1].score == 0 and got[1].ambiguous
     assert got[6].lang_pred == got[7].lang_pred == "de"
 
 
@@ -74,6 +77,62 @@ def test_codewords_differ(n):
     assert n < 4 or language_id.least_distance(code) >= 3
 
 
+def test_sample_of_repeats_conflicts_and_long_texts(spark):
+    docs = spark.createDataFrame([(1, "one")] * 60 + [(1, "another one"), (2, "x" * 300_000), (3, None), (4, "four"), (5, "five"), (None, "none")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1)] * 60 + [(2, 1), (3, 1), (4, 0), (4, 1), (5, 0), (6, 0), (7, None), (None, 1)], "doc_id long, y int")
+    sample = lambda **k: ngrams.labelled_sample(docs, labels, F.col("y"), **({"most": 100, "most_bytes": 1 << 20} | k))
+    assert sample() == [("another one", 1), ("five", 0), ("x" * 300_000, 1)]  # once each, whole, and not what has two labels
+    assert max(Counter(y for _, y in sample(most=1)).values()) == 1
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    got = ngrams.labelled_sample(many.select("doc_id", "text"), many, F.col("y"), 300, 1 << 20)
+    assert Counter(y for _, y in got) == {0: 300, 1: 300} and got == ngrams.labelled_sample(many.select("doc_id", "text").repartition(7), many, F.col("y"), 300, 1 << 20)
+    assert sum(len(t) for t, _ in ngrams.labelled_sample(many.select("doc_id", "text"), many, F.col("y"), 300, 2000)) < 2000 + 20
+
+
+def test_quality_against_plain_sizes():
+    rows = [(f"good words of one kind {k} and more of them", 1) for k in range(40)] + [(f"### bad $$$ {k} %%% junk &&& {k}", 0) for k in range(40)]
+    model = compression_quality.fit(rows)
+    kind = zstandard.DICT_TYPE_RAWCONTENT if model.raw else zstandard.DICT_TYPE_AUTO
+    for text in ("", "a", "good words of another kind", "### junk %%%" * 200, "é" * 700):
+        sizes = []
+        for content in (model.good, model.bad):
+            packer = zstandard.ZstdCompressor(level=compression_quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=kind))
+            data = text.encode()
+            sizes.append(sum(len(packer.compress(data[at : at + compression_quality.CHUNK])) - len(packer.compress(b"")) for at in range(0, len(data), compression_quality.CHUNK)))
+        difference = (sizes[1] - sizes[0] + compression_quality.PRIOR * model.usual) / (len(text.encode()) + compression_quality.PRIOR)
+        z = (difference - model.mean[0]) / model.spread[0] * model.weights[1] + model.weights[0]
+        assert compression_quality.probabilities([text], model, model.sizes())[0] == pytest.approx(1 / (1 + np.exp(-z)))
+    assert len(model.weights) == 2  # the difference is all that the score has
+
+
+def test_toxicity_against_plain_bags():
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng.normal(size=(1 << 10, 1)).astype(np.float32), 0.3, 1.7)
+    for text in ("", "one", "one two", "One two, three four five!", "a " * 50):
+        words = [w.strip(ngrams.SIGNS) for w in text.lower().split()]
+        scores = []
+        for w in words:
+            _, buckets = ngrams.word_ngrams([w], toxicity.LOW, toxicity.HIGH, 10)
+            scores.append(float(np.mean([model.scores[b, 0] for b in buckets])) if len(buckets) else 0.0)
+        bags = [scores[k : k + toxicity.WINDOW] for k in range(max(1, len(scores) - toxicity.WINDOW + 1))]
+        worst = max(float(np.mean(b)) if b else 0.0 for b in bags)
+        assert toxicity.text_scores([text], model, model.word_scores())[0] == pytest.approx(1 / (1 + np.exp(-(0.3 + 1.7 * worst))), rel=1e-4)
+
+
+def test_decoding_against_a_plain_loop():
+    rng = np.random.default_rng(4)
+    codes = language_id.codewords(4)
+    model = language_id.Model(["de", "en", "es", "fr"], codes, rng.random(codes.shape[1]), np.zeros((2, codes.shape[1]), np.float32), np.zeros(codes.shape[1]), 1.0)
+    for margins in rng.normal(size=(50, codes.shape[1])):
+        losses = [sum(w * np.log1p(np.exp(-m * b)) for w, m, b in zip(model.weights, margins, code, strict=True)) / sum(model.weights) for code in codes]
+        assert language_id.decode_losses(margins[None], model)[0] == pytest.approx(losses)
+
+
+@pytest.mark.parametrize("text,letter", [("½", False), ("² ①", False), ("1234 !!!", False), ("", False), ("ª", True), ("日", True), ("é", True), ("1a", True)])
+def test_letters(text, letter):
+    assert language_id.has_letter(text) == letter
+
+
 def test_models_without_labels():
     for rows in ([], [("a b", 1)], [("", 0), ("", 1)]):
         model = toxicity.fit(rows)
