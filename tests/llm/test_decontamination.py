@@ -10,6 +10,7 @@ from shroud.llm import decontamination as D
 
 def plain_tiles(text, item):
     """Longest unmarked common run first; ties: first in the item, then in the text."""
+    least = min(D.SEED, len(item))
     marked_t, marked_i, out = set(), set(), []
     while True:
         best = None
@@ -18,7 +19,7 @@ def plain_tiles(text, item):
                 n = 0
                 while a + n < len(text) and b + n < len(item) and text[a + n] == item[b + n] and a + n not in marked_t and b + n not in marked_i:
                     n += 1
-                if n >= D.SEED and (best is None or n > best[2]):
+                if n >= least and (best is None or n > best[2]):
                     best = (a, b, n)
         if best is None:
             return out
@@ -27,17 +28,45 @@ def plain_tiles(text, item):
         marked_i.update(range(best[1], best[1] + best[2]))
 
 
-def hits(text, item):
-    return np.array([(a, b) for a in range(len(text) - 4) for b in range(len(item) - 4) if text[a : a + 5] == item[b : b + 5]], np.int64).reshape(-1, 2).T
-
-
+@pytest.mark.parametrize("collide", [False, True])
 @pytest.mark.parametrize("seed", range(25))
-def test_tiles(seed):
+def test_tiles(seed, collide, monkeypatch):
     rng = random.Random(seed)
-    item = [rng.choice("abcd") for _ in range(rng.randrange(5, 30))]
+    item = [rng.choice("abcd") for _ in range(rng.randrange(1, 30))]
     text = [rng.choice("abcd") for _ in range(rng.randrange(0, 40))] + item[7:] + ["x"] + item[:9] + item
-    got = D.tiles(*hits(text, item))
-    assert got == plain_tiles(text, item)
+    if collide:  # every hash agrees: the words decide
+        monkeypatch.setattr(D.Runs, "hashes", lambda self, starts, length: np.zeros(len(starts), np.uint64))
+    assert D.tile_words(text, item) == plain_tiles(text, item)
+
+
+def test_repetitive_texts(spark):
+    same, item = "word " * 30_000, "word " * 2_000
+    assert D.tile_words(same.split(), item.split()) == [(0, 0, 2000)]
+    mixed = [w for k in range(300) for w in ("a", "a", "a", "a", "a", f"b{k}")]
+    assert len(D.tile_words(["a"] * 30_000, mixed)) == 300
+    docs = spark.createDataFrame([(1, same), (2, "word " * 1_599), (3, "word " * 1_600), (4, "else " * 30_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, "word " * 1_990)], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.n_items) for r in D.decontaminate(docs, bench).collect()}
+    assert got == {1: (7, 2), 2: (8, 1), 3: (8, 2), 4: (None, 0)}
+
+
+def test_short_items(spark):
+    docs = spark.createDataFrame([(1, "is it Yes, or"), (2, "three short words"), (3, "short three words"), (4, "a three. short, WORDS b"), (5, "yesterday")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "yes"), (8, "Three short words!"), (9, " ?! "), (10, None)], "item_id long, text string")
+    assert {r.doc_id: r.item_id for r in D.decontaminate(docs, bench).collect()} == {1: 7, 2: 8, 3: None, 4: 8, 5: None}
+
+
+def test_lower_threshold(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f x y z")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "a b c d e f 1 2 3 4 5 6")], "item_id long, text string")
+    assert [[r.contaminated for r in D.decontaminate(docs, bench, t).collect()] for t in (0.5, 0.6)] == [[True], [False]]
+
+
+def test_names_that_clash(spark):
+    text = "one two three four five six"
+    docs = spark.createDataFrame([(1, text, 0, 0, 0, 0), (2, "other", 1, 1, 1, 1)], "doc_id long, text string, __key long, __check long, key long, item long")
+    kept = D.keep_clean(docs, spark.createDataFrame([(7, text)], "item_id long, text string"))
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
 
 
 def test_query_against_brute_force(spark):
@@ -62,7 +91,7 @@ def test_query_against_brute_force(spark):
         t, best, n = D.words_of(text or ""), (None, 0.0, 0), 0
         for item_id, item in enumerate(items):
             w = D.words_of(item or "")
-            found = plain_tiles(t, w) if len(w) >= 5 else []
+            found = plain_tiles(t, w) if w else []
             share = sum(x[2] for x in found) / len(w) if found else 0
             if share >= D.COVERAGE:
                 n += 1
