@@ -15,7 +15,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     smallest grandparent seen over the node's edges, and a node takes its own grandparent, until no
     pointer changes: a number of rounds that grows with the logarithm of the longest chain. Rounds
     end in a checkpoint, so both sides of each join are plain shuffles and a hub's rows, however
-    many, are split among tasks by Spark's skew join; minima are taken before rows are shuffled.
+    many, are split among tasks by Spark's skew join. Minima are taken in each task before rows are
+    shuffled, so the task that holds a hub receives one row for it from each task at most.
     Edges with a null end are left out; loops and repeated edges change nothing; no edges, no rows.
     """
     clean = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")

@@ -1,11 +1,14 @@
-"""Near copies by exact Jaccard similarity of five-word shingles, found without loss by prefixes.
-
-Texts with the same set of shingles are one from the start. The shingles of a set are put in one order
-for all texts, rare ones first; of two sets that are similar enough, the first fifth of one and of the
-other share a shingle, so sets meet by the shingles of their prefixes only. The order takes common
-shingles from a bounded sample; a poor order costs time, never a pair. Candidates are confirmed on the
-whole sets. At first each set is compared with the smallest one it meets at a shingle; what is linked
-then isn't compared again, so a large group of near copies costs a number of pairs in line with its size.
+"""SimHash near-dedup of texts by five-word shingles, with links that are exact at a Jaccard similarity of 0.8.
+
+Texts with the same set of shingles are one from the start. Every set has a SimHash fingerprint, and the
+vantage-point trees of ``simhash`` offer pairs of sets whose fingerprints are close; each pair is
+confirmed on the whole sets. Sets of a similarity near 0.8 lie up to 20 bits apart, where no branch of
+such a tree can be pruned, so an exact way takes what lies beyond the trees' reach: the shingles of a set
+are put in one order for all texts, rare ones first; of two sets that are similar enough, the first fifth
+of one and of the other share a shingle, so sets meet by the shingles of their prefixes only. The order
+takes common shingles from a bounded sample; a poor order costs time, never a pair. Each set is compared
+with the smallest one it meets at a shingle; what is linked then isn't compared again, so a large group
+of near copies costs a number of pairs in line with its size.
 """
 
 from __future__ import annotations
@@ -17,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shroud.llm import simhash
 from shroud.llm.common import cut, text_slices, texts_of
 from shroud.llm.components import connected_components
-from shroud.llm.simhash import keep_smallest
 
+#: Bits within which the vantage-point trees search.
+REACH = 2
 #: Words of a shingle. Sets link if their intersection is at least four fifths of their union.
 WIDTH = 5
 #: Rows from which common shingles are taken, and how many of those tasks are told, at most.
@@ -104,12 +109,21 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return cut(met.where(_similar(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")))).select("a", "b"))
 
 
-def links(posts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i) and ``nodes`` (rep, text)."""
+def tree_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` between sets (rep, sim) that reach 0.8, out of those with the same fingerprint or one that the trees reach."""
+    prints = cut(sets.groupBy("sim").agg(F.min("rep").alias("first")))
+    same = sets.join(prints, "sim").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+    near = simhash.links(prints.select(F.col("sim").alias("fp"), F.col("first").alias("rep")), REACH)
+    return _confirmed(same.unionByName(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), nodes)
+
+
+def links(posts: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i) and ``nodes`` (rep, text); ``known`` are edges found before."""
     met = posts.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h")
     several = cut(posts.join(met, "h").select("h", F.struct("n", "rep", "i").alias("p")))
     shared = cut(several.join(several.groupBy("h").agg(F.min("p").alias("first")), "h"))
-    near = _confirmed(shared.where("p.rep <> first.rep").where(_may("first", "p")).select(F.col("first.rep").alias("a"), F.col("p.rep").alias("b")), nodes)
+    met = shared.where("p.rep <> first.rep").where(_may("first", "p")).select(F.least("first.rep", "p.rep").alias("a"), F.greatest("first.rep", "p.rep").alias("b"))
+    near = cut(known.unionByName(_confirmed(met.join(known, ["a", "b"], "left_anti"), nodes)))
     group = connected_components(near).withColumnRenamed("component", "label")
     held = shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", "first", F.coalesce("label", F.col("p.rep")).alias("label"))
     held = cut(held)
@@ -120,7 +134,10 @@ def links(posts: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``id``, ``key`` (a hash of the text) and ``fp`` (the key of its set) of every row, and ``component_id`` of each distinct ``fp`` of rows with an id."""
+    """``id``, ``key`` (a hash of the text) and ``fp`` (the key of its set) of every row, and ``component_id`` of each distinct ``fp`` of rows with an id.
+
+    A null or empty text has the empty set, which links to itself alone.
+    """
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,20 +145,25 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 sets = [shingle_set(t) for t in texts_of(part, "text")]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists([prefix(s, *order) for s in sets])], names=["id", "key", "fp", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([simhash.majority(s.astype(">i8").tobytes()) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists([prefix(s, *order) for s in sets])], names=["id", "key", "fp", "sim", "n", "prefix"])
 
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text")
-    made = cut(texts.mapInArrow(run, "id long, key long, fp long, n int, prefix array<long>"))
-    first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    sets = cut(first.select("fp", "f.*", "n", "prefix").withColumn("rep", F.monotonically_increasing_id()))
+    made = cut(texts.mapInArrow(run, "id long, key long, fp long, sim long, n int, prefix array<long>"))
+    first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    sets = cut(first.select("fp", "f.*", "sim", "n", "prefix").withColumn("rep", F.monotonically_increasing_id()))
     posts = sets.select("rep", "n", F.posexplode("prefix").alias("i", "h"))
     nodes = texts.join(sets.select("id", "key", "rep"), ["id", "key"]).select("rep", "text")
-    found = connected_components(links(posts, nodes))
+    found = connected_components(links(posts, nodes, tree_links(sets, nodes)))
     label = sets.select("fp", "id", "rep").join(found, F.col("rep") == F.col("node"), "left").select("fp", "id", F.coalesce("component", "rep").alias("group"))
     least = label.groupBy("group").agg(F.min("id").alias("component_id"))
     return made.select("id", "key", "fp"), cut(label.join(least, "group").select("fp", "component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of what links of 0.8 reach, all columns as they are; see ``simhash.keep_smallest``."""
-    return keep_smallest(docs, *groups(docs.select("doc_id", "text")))
+    """The rows of ``docs`` whose doc_id is the smallest of what links of 0.8 reach, all columns as they are.
+
+    Null and empty texts are copies of each other, and shorter texts than a shingle of texts with the
+    same words; very long ones are compared whole. For null and repeated ids see
+    ``simhash.keep_smallest``. An empty table stays empty.
+    """
+    return simhash.keep_smallest(docs, *groups(docs.select("doc_id", "text")))

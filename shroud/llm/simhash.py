@@ -49,6 +49,11 @@ def fingerprint(text: str, width: int) -> int:
         joined, stops = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
         starts = [0, *stops[: -width].tolist()]
         hashes = b"".join([xxh64_digest(joined[i:j], 42) for i, j in zip(starts, (stops[width - 1 :] - 1).tolist(), strict=True)])
+    return majority(hashes)
+
+
+def majority(hashes: bytes) -> int:
+    """The bits that over half of big-endian 64-bit hashes have, as a signed number."""
     rows = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
     counts = (np.bincount((rows + _PLACE).ravel(), minlength=2048).reshape(8, 256) @ _BITS).ravel()
     return int(np.packbits(2 * counts > len(rows)).view(">i8")[0])
@@ -186,7 +191,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, reach: int = 2, id_col: str
     Two fingerprints link if they differ in at most ``reach`` bits; a component is what links reach,
     named by its smallest id. A null text counts as empty and has fingerprint 0, which links like any
     other. A row with a null id takes the component of its fingerprint, null if no row has an id
-    there. Repeated rows stay. Other columns aren't read. An empty table gives no rows.
+    there. Repeated rows stay. A very long text is hashed whole. Other columns aren't read, so their
+    names may clash. An empty table gives no rows.
     """
     made, named = _components(docs, width, reach, id_col, text_col)
     return made.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
