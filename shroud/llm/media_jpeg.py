@@ -14,7 +14,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ from shroud.llm.common import table, text_slices
 UNIT, BLOCK, ACROSS = 576, 64, 3
 #: Units of the highest image: a JPEG has at most 65535 lines.
 MOST_UNITS = 65535 // (8 * UNIT // BLOCK // ACROSS)
+#: Bytes that are encoded or decoded side by side: a longer payload goes image by image.
+AT_ONCE = 4 << 20
 #: Sizes of coefficients by falling use in text, and their code lengths; the code of ones alone stays free.
 _SIZES, _LENGTHS = (5, 4, 7, 6, 3, 8, 1, 2), (1, 2, 3, 4, 5, 6, 8, 8)
 
@@ -84,7 +86,10 @@ def pad(data: bytes) -> bytes:
 
 
 def encode(payloads: list[bytes]) -> list[bytes]:
-    """The stored form of each payload: one JPEG, or several in a row."""
+    """The stored form of each payload: one JPEG, or several in a row. A very long payload is encoded image by image."""
+    if len(payloads) == 1 and len(payloads[0]) > AT_ONCE:
+        step = MOST_UNITS * UNIT
+        return [b"".join(encode([payloads[0][at : at + step]])[0] for at in range(0, len(payloads[0]), step))]
     units = []  # of each image
     images = []  # of each payload
     for p in payloads:
@@ -316,6 +321,20 @@ def coefficients(images: list[Image], buffer: np.ndarray) -> list[np.ndarray]:
     return [out[a:b] for a, b in pieces]
 
 
+def _decoded(images: list[Image], buffer: np.ndarray) -> list[np.ndarray]:
+    """``coefficients`` of images that stand in order, a few at a time, so that long texts take no more memory than their own size."""
+    out, first = [], 0
+    while first < len(images):
+        last = first + 1
+        while last < len(images) and images[last].end - images[first].scan <= AT_ONCE:
+            last += 1
+        low, high = images[first].scan, images[last - 1].end + 2
+        moved = [replace(i, scan=i.scan - low, end=i.end - low) for i in images[first:last]]
+        out += coefficients(moved, buffer[low:high])
+        first = last
+    return out
+
+
 def thumbnail(image: Image, blocks: np.ndarray) -> np.ndarray:
     """Luminance of the first component, one pixel for each of its blocks, from DC coefficients alone."""
     across, down = image.mcus
@@ -331,26 +350,29 @@ def thumbnail(image: Image, blocks: np.ndarray) -> np.ndarray:
 
 
 def difference_hash(pixels: np.ndarray) -> str:
-    """64 bits as hex: of 8 x 9 cells of the thumbnail, is each darker than the one to its right."""
-    rows = np.linspace(0, len(pixels), 9).astype(int)
-    columns = np.linspace(0, pixels.shape[1], 10).astype(int)
-    sums = np.zeros((len(pixels) + 1, pixels.shape[1] + 1), np.int64)
-    sums[1:, 1:] = pixels.astype(np.int64).cumsum(axis=0).cumsum(axis=1)
-    low_r, high_r = rows[:-1], np.maximum(rows[1:], rows[:-1] + 1).clip(max=len(pixels))
-    low_c, high_c = columns[:-1], np.maximum(columns[1:], columns[:-1] + 1).clip(max=pixels.shape[1])
-    low_r, low_c = np.minimum(low_r, high_r - 1), np.minimum(low_c, high_c - 1)
-    area = (high_r - low_r)[:, None] * (high_c - low_c)[None, :]
-    cells = (sums[np.ix_(high_r, high_c)] - sums[np.ix_(low_r, high_c)] - sums[np.ix_(high_r, low_c)] + sums[np.ix_(low_r, low_c)]) / area
-    return np.packbits(cells[:, :-1] < cells[:, 1:]).tobytes().hex()
+    """64 bits as hex: the thumbnail's pixels in scan order, folded into 8 bands of 9 cells; in band r, is a cell darker than the one r + 1 to its right, around the end.
+
+    Fewer than 9 pixels are repeated, and fewer rows of 9 than bands share their rows among the bands,
+    so each bit compares two cells that hold different pixels wherever there are 9.
+    """
+    flat = np.resize(pixels.ravel().astype(np.int64), -(-max(pixels.size, 1) // 9) * 9).reshape(-1, 9)
+    bounds = np.arange(9) * len(flat) // 8
+    low = np.minimum(bounds[:-1], len(flat) - 1)
+    high = np.maximum(bounds[1:], low + 1)
+    sums = np.concatenate([np.zeros((1, 9), np.int64), flat.cumsum(axis=0)])
+    cells = (sums[high] - sums[low]) / (high - low)[:, None]
+    column = np.arange(8)
+    other = (column[None, :] + 1 + column[:, None]) % 9
+    return np.packbits(cells[:, :8] < np.take_along_axis(cells, other, axis=1)).tobytes().hex()
 
 
 def read(media: list[bytes]) -> list[tuple[bytes, list[Image], np.ndarray]]:
-    """(payload, images, thumbnail over all of its images) of each stored form."""
+    """(payload, images, thumbnail over all of its images) of each stored form; AT_ONCE bytes of scans are decoded side by side."""
     data = b"".join(media)
     buffer = np.frombuffer(data + b"\0", np.uint8)
     stops = np.cumsum([len(m) for m in media]).tolist()
     found = parse_all(data, buffer, [0, *stops[:-1]], stops)
-    blocks, at, out = coefficients([i for images in found for i in images], buffer), 0, []
+    blocks, at, out = _decoded([i for images in found for i in images], buffer), 0, []
     for images in found:
         own = blocks[at : at + len(images)]
         at += len(images)
@@ -361,7 +383,12 @@ def read(media: list[bytes]) -> list[tuple[bytes, list[Image], np.ndarray]]:
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes and the ``media`` column of every row; a null text is stored as the empty one."""
+    """id, n_bytes and the ``media`` column of every row; a null text is stored as the empty one.
+
+    Repeated rows and null ids come back as they are, and equal texts get equal forms; a very long text
+    is stored as images in a row. Other columns aren't read, so their names may clash; an empty table
+    gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,6 +406,7 @@ def describe(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
     ``feature`` is the difference hash of the thumbnail; width and height are those of all images
     below each other. Repeated rows and null ids come back as they are. Equal texts give equal values.
+    An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

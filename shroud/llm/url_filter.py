@@ -20,7 +20,7 @@ from shroud.llm.components import connected_components
 
 #: (verdict, host, path) of the registered query.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-#: Rules of a list are tried row by row, without a join; more than this many belong in a table.
+#: Rules of a list are tried row by row, without a join; a longer list is made a table.
 MOST_RULES = 500
 Rules = list[tuple[str, str, str]] | DataFrame
 
@@ -40,8 +40,6 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
 
 def best_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
     """struct(verdict, rule) of the longest rule that fits, null if none does; of equally long ones an allow goes before a block."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules belong in a table")
     found = F.lit(None).cast("struct<verdict:string,rule:string>")
     for verdict, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == "allow")):  # the last that fits stands
         fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
@@ -53,8 +51,10 @@ def with_rules(rows: DataFrame, rules: Rules) -> DataFrame:
     """Rows with ``found``, the best rule of their host and path.
 
     A table of rules (verdict, host, path), of any size, is joined on the host and its parent domains,
-    for each host and path once; what is found is joined back.
+    for each host and path once; what is found is joined back. A list of over MOST_RULES is such a table.
     """
+    if not isinstance(rules, DataFrame) and len(rules) > MOST_RULES:
+        rules = rows.sparkSession.createDataFrame(rules, "verdict string, host string, path string").distinct()
     if not isinstance(rules, DataFrame):
         return rows.withColumn("found", best_rule(F.col("host"), F.col("path"), rules))
     labels = F.split("host", r"\.")
@@ -107,8 +107,8 @@ def judge(pages: DataFrame, rules: Rules, folder: str, redirects: DataFrame | No
 
     ``redirects`` may add edges between whole URLs (source, target). A null url or html, an empty
     one and one without :// have empty host and path, fit no rule, belong to no component, and are
-    allowed. Repeated rows and null ids come back as they are; other columns aren't read. Edges and
-    blocked aliases are written below ``folder``, so Spark knows their size when it picks the join.
+    allowed. Very long pages are searched whole. Repeated rows and null ids come back as they are; other
+    columns aren't read, so their names may clash; an empty table gives no rows. Edges and blocked aliases are written below ``folder``, so Spark knows their size when it picks the join.
     """
     spark = pages.sparkSession
     edges = page_links(pages)

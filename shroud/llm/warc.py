@@ -261,7 +261,10 @@ def archive_and_read(spark: SparkSession, pages: DataFrame, folder: str) -> Data
     """Archives ``pages`` below ``folder``, indexes them, and reads every page's record back through the index.
 
     One row per row of ``pages``, other columns unread: page_id, payload_bytes, payload_digest,
-    record_type, refers_to. An empty table gives no rows.
+    record_type, refers_to. A null html is the empty payload, a null url has the empty key, and a row
+    without an id is a response. Rows that repeat an id have a record each; of equal payloads that share
+    the largest id all are responses. A very long payload is one record. Other names may clash. An empty
+    table gives no rows.
     """
     files = write_index(write_archives(pages, folder), folder)
     return lookup(keys_of(pages), folder, files)

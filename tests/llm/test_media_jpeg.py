@@ -113,6 +113,43 @@ def test_other_scans(sampling, width, height, interval):
         assert thumb[0, 0] == np.clip(128 + np.round(blocks[0, 0] * 5 / 8), 0, 255)
 
 
+def plain_hash(pixels):
+    flat = [int(p) for p in pixels.ravel()]
+    while len(flat) % 9:
+        flat.append(flat[len(flat) % pixels.size])
+    rows = [flat[k : k + 9] for k in range(0, len(flat), 9)]
+    bits = ""
+    for band in range(8):
+        low = min(band * len(rows) // 8, len(rows) - 1)
+        some = rows[low : max((band + 1) * len(rows) // 8, low + 1)]
+        cells = [sum(c) / len(some) for c in zip(*some, strict=True)]
+        bits += "".join("1" if cells[c] < cells[(c + 1 + band) % 9] else "0" for c in range(8))
+    return f"{int(bits, 2):016x}"
+
+
+@pytest.mark.parametrize("shape", [(3, 3), (6, 3), (27, 3), (2700, 3), (1, 1), (2, 2), (8, 9), (7, 11)])
+def test_feature_against_plain_cells(shape):
+    rng = np.random.default_rng(sum(shape))
+    for _ in range(20):
+        pixels = rng.integers(0, 256, shape).astype(np.uint8)
+        assert J.difference_hash(pixels) == plain_hash(pixels)
+
+
+def test_all_bits_of_the_feature_are_used():
+    rng = random.Random(3)
+    hashes = [int(J.difference_hash(J.read(J.encode([J.pad(rng.randbytes(576))]))[0][2]), 16) for _ in range(200)]
+    assert all(0.2 < sum(h >> bit & 1 for h in hashes) / 200 < 0.8 for bit in range(64)) and len(set(hashes)) > 190
+
+
+def test_long_payloads_go_image_by_image(monkeypatch):
+    payload, short = J.pad(random.Random(5).randbytes(5 * J.MOST_UNITS * J.UNIT + 7)), J.pad(b"short")
+    whole, small = J.encode([payload, short])
+    monkeypatch.setattr(J, "AT_ONCE", 1 << 20)
+    assert J.encode([payload]) == [whole]
+    (a, b) = J.read([whole, small])
+    assert a[0] == payload and len(a[1]) == 6 and b[0] == short
+
+
 def test_what_is_not_baseline_is_an_error():
     (media,) = J.encode([J.pad(b"x")])
     with pytest.raises(ValueError, match="baseline"):

@@ -73,8 +73,16 @@ def test_rules_as_a_table(spark, tmp_path):
     table = spark.createDataFrame(url_filter.RULES, "verdict string, host string, path string")
     got = spark_rows(url_filter.judge(frame(spark), table, str(tmp_path / "a")))
     assert got == spark_rows(url_filter.judge(frame(spark), url_filter.RULES, str(tmp_path / "b")))
-    with pytest.raises(ValueError, match="table"):
-        url_filter.judge(frame(spark), url_filter.RULES * 200, str(tmp_path / "c"))
+    assert got == spark_rows(url_filter.judge(frame(spark), url_filter.RULES * 200, str(tmp_path / "c")))
+
+
+def test_very_long_pages_and_repeated_ids(spark, tmp_path):
+    long = "<p>" + "word " * 400_000 + '<link rel="canonical" href="http://bad.net/z">'
+    rows = [(1, "http://c.com/z", long), (1, "http://c.com/z", long), (1, "http://c.com/y", long), (2, "http://d.com/", "x" * 1000)]
+    got = [(r.page_id, r.verdict) for r in url_filter.judge(frame(spark, rows), url_filter.RULES, str(tmp_path / "f")).collect()]
+    assert sorted(got) == [(1, "block"), (1, "block"), (1, "block"), (2, "allow")]
+    read = warc.archive_and_read(spark, frame(spark, [(1, "http://c.com/z", long), (2, "http://c.com/z", long), (3, None, "x" * 1000), (3, None, "x" * 1000)]), str(tmp_path / "w")).collect()
+    assert {(r.page_id, r.record_type, r.refers_to) for r in read} == {(1, "revisit", 2), (2, "response", None), (3, "response", None)} and len(read) == 4
 
 
 def test_redirect_table_and_rules(spark, tmp_path):
