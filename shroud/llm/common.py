@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -69,6 +70,12 @@ def _checkpoint_root(spark: SparkSession) -> str:
     return root or f"file://{tempfile.mkdtemp(prefix='checkpoint-')}"
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of frames that are no longer referenced, such as those behind a checkpoint."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows with their lineage cut by a reliable checkpoint."""
     spark = df.sparkSession

@@ -87,8 +87,8 @@ def pad(data: bytes) -> bytes:
 
 def encode(payloads: list[bytes]) -> list[bytes]:
     """The stored form of each payload: one JPEG, or several in a row. A very long payload is encoded image by image."""
-    if len(payloads) == 1 and len(payloads[0]) > AT_ONCE:
-        step = MOST_UNITS * UNIT
+    step = MOST_UNITS * UNIT  # one image
+    if len(payloads) == 1 and len(payloads[0]) > max(AT_ONCE, step):
         return [b"".join(encode([payloads[0][at : at + step]])[0] for at in range(0, len(payloads[0]), step))]
     units = []  # of each image
     images = []  # of each payload

@@ -14,6 +14,7 @@ of near copies costs a number of pairs in line with its size.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shroud.llm import simhash
-from shroud.llm.common import cut, text_slices, texts_of
+from shroud.llm.common import cut, release, text_slices, texts_of
 from shroud.llm.components import connected_components
 
 #: Bits within which the vantage-point trees search.
@@ -30,6 +31,8 @@ REACH = 2
 WIDTH = 5
 #: Rows from which common shingles are taken, and how many of those tasks are told, at most.
 SAMPLE, COMMON = 1 << 12, 1 << 18
+#: Buckets of text hashes of which tasks are told, at most.
+BUCKETS = 1 << 20
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -94,7 +97,19 @@ def _may(a: str, b: str) -> Column:
     return _similar(n, m, F.least(n - F.col(f"{a}.i"), m - F.col(f"{b}.i")))
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+@dataclass
+class Nodes:
+    """Where the texts of sets are: ``texts`` (id, key, text) and the ``keys`` (id, key, rep) of one text for each set."""
+
+    texts: DataFrame
+    keys: DataFrame
+
+
+def _bucket() -> Column:
+    return F.pmod("key", F.lit(BUCKETS))
+
+
+def _confirmed(pairs: DataFrame, nodes: Nodes) -> DataFrame:
     """The pairs ``a``, ``b`` of ids whose sets, made again from their texts, reach 0.8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +118,17 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("rep"), _lists([shingle_set(t) for t in texts_of(part, "text")])], names=["rep", "s"])
 
     pairs = cut(pairs.distinct())
+    release(pairs.sparkSession)
     named = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    sets = cut(nodes.join(named, "rep", "left_semi").select("rep", "text").mapInArrow(run, "rep long, s array<long>").dropDuplicates(["rep"]))
+    wanted = cut(nodes.keys.join(named, "rep", "left_semi"))
+    buckets = wanted.select(_bucket().alias("bucket")).distinct()  # BUCKETS of them at most: most texts that aren't wanted go no further
+    texts = nodes.texts.join(F.broadcast(buckets), _bucket() == F.col("bucket"), "left_semi").join(wanted, ["id", "key"])
+    sets = cut(texts.select("rep", "text").mapInArrow(run, "rep long, s array<long>").dropDuplicates(["rep"]))
     met = pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("s").alias("y")), "b")
     return cut(met.where(_similar(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")))).select("a", "b"))
 
 
-def tree_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+def tree_links(sets: DataFrame, nodes: Nodes) -> DataFrame:
     """Edges ``a``, ``b`` between sets (rep, sim) that reach 0.8, out of those with the same fingerprint or one that the trees reach."""
     prints = cut(sets.groupBy("sim").agg(F.min("rep").alias("first")))
     same = sets.join(prints, "sim").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
@@ -117,9 +136,13 @@ def tree_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     return _confirmed(same.unionByName(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), nodes)
 
 
-def links(posts: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
-    """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i) and ``nodes`` (rep, text); ``known`` are edges found before."""
-    met = posts.groupBy("h").agg(F.count("*").alias("many")).where("many > 1").select("h")
+def links(posts: DataFrame, nodes: Nodes, known: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i); ``known`` are edges found before.
+
+    The smaller set of a pair holds a shingle of both within the first ninth of its own, so a shingle
+    that stands there in no set joins none.
+    """
+    met = posts.groupBy("h").agg(F.count("*").alias("many"), F.count_if(F.expr("9 * i <= n")).alias("early")).where("many > 1 AND early > 0").select("h")
     several = cut(posts.join(met, "h").select("h", F.struct("n", "rep", "i").alias("p")))
     shared = cut(several.join(several.groupBy("h").agg(F.min("p").alias("first")), "h"))
     met = shared.where("p.rep <> first.rep").where(_may("first", "p")).select(F.least("first.rep", "p.rep").alias("a"), F.greatest("first.rep", "p.rep").alias("b"))
@@ -152,7 +175,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     sets = cut(first.select("fp", "f.*", "sim", "n", "prefix").withColumn("rep", F.monotonically_increasing_id()))
     posts = sets.select("rep", "n", F.posexplode("prefix").alias("i", "h"))
-    nodes = texts.join(sets.select("id", "key", "rep"), ["id", "key"]).select("rep", "text")
+    nodes = Nodes(texts, sets.select("id", "key", "rep"))
     found = connected_components(links(posts, nodes, tree_links(sets, nodes)))
     label = sets.select("fp", "id", "rep").join(found, F.col("rep") == F.col("node"), "left").select("fp", "id", F.coalesce("component", "rep").alias("group"))
     least = label.groupBy("group").agg(F.min("id").alias("component_id"))

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from shroud.llm import compression_quality, decontamination, simhash, toxicity
+from tests.llm.test_near_copies import plain_kept
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,16 +24,7 @@ def test_stages(spark):
         elif name == "quality":
             want = {i for i, t in at.items() if compression_quality.probabilities([t], good, sizes)[0] >= 0.5}
         elif name == "near_dedup":
-            prints = {i: simhash.fingerprint(t, 3) for i, t in at.items()}
-            label = {i: i for i in at}
-            for _ in at:
-                for a in at:
-                    for b in at:
-                        if bin((prints[a] ^ prints[b]) % (1 << 64)).count("1") <= 2 and label[b] < label[a]:
-                            label[a] = label[b]
-                if all(label[a] == label[label[a]] for a in at):
-                    break
-            want = {i for i in at if label[i] == i}
+            want = set(plain_kept(list(at.items())))
         else:
             bad = {r.doc_id for r in decontamination.decontaminate(docs, benchmark).collect() if r.contaminated}
             want = set(at) - bad
