@@ -65,6 +65,13 @@ def prefix(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.n
     return shingles[np.lexsort((shingles, often))][: len(shingles) // 5 + 1]
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each shingle by its hash, set if an odd number of shingles fall there: at least as many bits as shingles, a power of two of 64-bit words."""
+    words = 1 << max(0, int(len(shingles) - 1) >> 6).bit_length()
+    odd = np.bincount(shingles & (64 * words - 1), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
@@ -99,7 +106,7 @@ def _may(a: str, b: str) -> Column:
 
 @dataclass
 class Nodes:
-    """Where the texts of sets are: ``texts`` (id, key, text) and the ``keys`` (id, key, rep) of one text for each set."""
+    """Where the texts of sets are: ``texts`` (id, key, text) and the ``keys`` (id, key, rep, n, sketch) of one text for each set."""
 
     texts: DataFrame
     keys: DataFrame
@@ -109,18 +116,34 @@ def _bucket() -> Column:
     return F.pmod("key", F.lit(BUCKETS))
 
 
+def _folded(sketch: Column, size: Column) -> Column:
+    """A sketch of that size, or of twice that."""
+    halves = F.zip_with(F.slice(sketch, F.lit(1), size), F.slice(sketch, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(sketch) > size, halves).otherwise(sketch)
+
+
+def _may_reach(pairs: DataFrame, nodes: Nodes) -> DataFrame:
+    """The distinct pairs whose sizes and sketches don't rule 0.8 out: where sketches differ in a bit, the sets differ in a shingle."""
+    of = lambda end, *names: nodes.keys.select(F.col("rep").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in names])
+    met = pairs.distinct().join(of("a", "n", "sketch"), "a").join(of("b", "n", "sketch"), "b")
+    sizes = met.where(_similar(F.col("n_a"), F.col("n_b"), F.least("n_a", "n_b")))
+    size = F.least(F.size("sketch_a"), F.size("sketch_b"))
+    bits = F.zip_with(_folded(F.col("sketch_a"), size), _folded(F.col("sketch_b"), size), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return sizes.where(9 * F.aggregate(bits, F.lit(0), lambda s, x: s + x) <= F.col("n_a") + F.col("n_b")).select("a", "b")
+
+
 def _confirmed(pairs: DataFrame, nodes: Nodes) -> DataFrame:
-    """The pairs ``a``, ``b`` of ids whose sets, made again from their texts, reach 0.8."""
+    """The pairs ``a``, ``b`` of ids whose sets reach 0.8: those that sketches leave are compared on sets made again from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("rep"), _lists([shingle_set(t) for t in texts_of(part, "text")])], names=["rep", "s"])
 
-    pairs = cut(pairs.distinct())
+    pairs = cut(_may_reach(pairs, nodes))
     release(pairs.sparkSession)
     named = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    wanted = cut(nodes.keys.join(named, "rep", "left_semi"))
+    wanted = cut(nodes.keys.join(named, "rep", "left_semi").select("id", "key", "rep"))
     buckets = wanted.select(_bucket().alias("bucket")).distinct()  # BUCKETS of them at most: most texts that aren't wanted go no further
     texts = nodes.texts.join(F.broadcast(buckets), _bucket() == F.col("bucket"), "left_semi").join(wanted, ["id", "key"])
     sets = cut(texts.select("rep", "text").mapInArrow(run, "rep long, s array<long>").dropDuplicates(["rep"]))
@@ -168,14 +191,14 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 sets = [shingle_set(t) for t in texts_of(part, "text")]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([simhash.majority(s.astype(">i8").tobytes()) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists([prefix(s, *order) for s in sets])], names=["id", "key", "fp", "sim", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([simhash.majority(s.astype(">i8").tobytes()) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists([sketch(s) for s in sets]), _lists([prefix(s, *order) for s in sets])], names=["id", "key", "fp", "sim", "n", "sketch", "prefix"])
 
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text")
-    made = cut(texts.mapInArrow(run, "id long, key long, fp long, sim long, n int, prefix array<long>"))
-    first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    sets = cut(first.select("fp", "f.*", "sim", "n", "prefix").withColumn("rep", F.monotonically_increasing_id()))
+    made = cut(texts.mapInArrow(run, "id long, key long, fp long, sim long, n int, sketch array<long>, prefix array<long>"))
+    first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
+    sets = cut(first.select("fp", "f.*", "sim", "n", "sketch", "prefix").withColumn("rep", F.monotonically_increasing_id()))
     posts = sets.select("rep", "n", F.posexplode("prefix").alias("i", "h"))
-    nodes = Nodes(texts, sets.select("id", "key", "rep"))
+    nodes = Nodes(texts, sets.select("id", "key", "rep", "n", "sketch"))
     found = connected_components(links(posts, nodes, tree_links(sets, nodes)))
     label = sets.select("fp", "id", "rep").join(found, F.col("rep") == F.col("node"), "left").select("fp", "id", F.coalesce("component", "rep").alias("group"))
     least = label.groupBy("group").agg(F.min("id").alias("component_id"))

@@ -25,7 +25,7 @@ from shroud.llm.ngrams import WordScores, labelled_sample, word_ngrams
 WINDOW, LOW, HIGH, BITS, DIMENSIONS = 3, 3, 8, 17, 8
 LEAST, ROUNDS, STEPS, RATE, SHRINK = 5, 15, 4, 0.03, 1e-3
 #: The model is fitted on at most so many ids of each label and so many bytes of their texts.
-MOST, MOST_BYTES = 2000, 8 << 20
+MOST, MOST_BYTES = 2000, 6 << 20
 #: Bags of a text of label 1 that training goes through in turn.
 BAGS = 3
 
@@ -88,12 +88,12 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     rng, labels = np.random.default_rng(seed), np.array([int(y) for _, y in rows])
     share = (labels.sum() + 0.01) / (len(labels) + 1)
     prior = float(np.log(share / (1 - share)))
-    texts = [_words(t) for t, _ in rows]
-    if len(set(labels[[bool(t) for t in texts]].tolist()) if len(texts) else ()) < 2:
-        return Model(np.zeros((1 << BITS, 1), np.float32), prior, 1.0)
     number: dict[str, int] = {}
-    flat = np.array([number.setdefault(w, len(number)) for t in texts for w in t])
-    sizes = np.array([len(t) for t in texts])
+    texts = [np.fromiter((number.setdefault(w, len(number)) for w in _words(t)), np.int32) for t, _ in rows]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    if len(set(labels[sizes > 0].tolist())) < 2:
+        return Model(np.zeros((1 << BITS, 1), np.float32), prior, 1.0)
+    flat = np.concatenate(texts)
     owner, bucket = vocabulary_ngrams(list(number))
     many = np.maximum(np.bincount(owner, minlength=len(number)), 1)
     first = np.searchsorted(owner, np.arange(len(number) + 1))

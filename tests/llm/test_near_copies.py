@@ -59,6 +59,22 @@ def test_stage_on_the_documents(spark):
     assert got == plain_kept([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_sketches_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for n in [1, 2, 63, 64, 65, 128, 129, *rng.integers(1, 900, 60).tolist()]:
+        x = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        y = np.unique(np.concatenate([x[: len(x) - len(x) // rng.integers(3, 30)], rng.integers(0, 1 << 62, int(n // rng.integers(3, 30)))]))
+        rows.append((x, y))
+    keys = [(2 * k + side, len(s), near_copies.sketch(s).tolist()) for k, pair in enumerate(rows) for side, s in enumerate(pair)]
+    nodes = near_copies.Nodes(None, spark.createDataFrame(keys, "rep long, n int, sketch array<long>"))
+    pairs = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(rows))] + [(2 * k, 2 * k + 3) for k in range(len(rows) - 1)], "a long, b long")
+    left = {(r.a, r.b) for r in near_copies._may_reach(pairs, nodes).collect()}
+    near = {2 * k for k, (x, y) in enumerate(rows) if 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y))}
+    assert {(a, a + 1) for a in near} <= left and 10 < len(near) < 60
+    assert not [p for p in left if p[1] != p[0] + 1 and min(len(rows[p[0] // 2][0]), len(rows[p[1] // 2][1])) > 20]
+
+
 def test_prefixes_meet(spark):
     rng = np.random.default_rng(2)
     for n in range(1, 120):
