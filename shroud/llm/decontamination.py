@@ -31,7 +31,7 @@ SEED, COVERAGE = 5, 0.8
 #: Bits of the bitmap of seeds: as many for each seed, between the least and the most (16 MB).
 BITS_PER_SEED, LEAST_BITS, MOST_BITS = 256, 1 << 20, 1 << 27
 #: Words whose hash a worker remembers.
-MEMORY = 300_000
+MEMORY = 150_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from shroud.llm.common import cut
 
 #: Words whose scores a worker remembers.
-MEMORY = 400_000
+MEMORY = 200_000
 #: Ids that are ranked for each one taken into a sample.
 SLACK = 1.5
 #: Signs around a word, which are no part of its n-grams.

@@ -118,7 +118,8 @@ def _counter(model_file: str) -> PieceCounter:
 def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
-    A null text counts as empty: 0 bytes, 0 tokens. Repeated rows and null ids come back as they are;
+    A null text counts as empty: 0 bytes, 0 tokens. A very long text is counted whole, cut where no
+    piece can span, and equal texts have equal counts. Repeated rows and null ids come back as they are;
     other columns are not read, so their names may clash. An empty table gives no rows. No shuffle.
     """
 
