@@ -44,10 +44,23 @@ def _masked(dek_hex: Column, mask: int) -> Column:
     return F.unhex(F.concat(*pieces, F.lit(f"{mask:02x}" * 32)))
 
 
+def masks(dek_hex: Column) -> dict[str, Column]:
+    """The columns ``inner_mask`` and ``outer_mask`` of a user's key, from which ``masked_token`` makes tokens."""
+    return {"inner_mask": _masked(dek_hex, INNER), "outer_mask": _masked(dek_hex, OUTER)}
+
+
+def masked_token(value: Column) -> Column:
+    """The token of a text of a row that has the columns of ``masks``."""
+    return _hmac(value, F.col("inner_mask"), F.col("outer_mask"))
+
+
 def token(value: Column, dek_hex: Column) -> Column:
     """HMAC-SHA256 of a text under the user's key, 64 hex digits: equal within a user only."""
-    inner = F.sha2(F.concat(_masked(dek_hex, INNER), F.encode(value, "UTF-8")), 256)
-    return F.sha2(F.concat(_masked(dek_hex, OUTER), F.unhex(inner)), 256)
+    return _hmac(value, _masked(dek_hex, INNER), _masked(dek_hex, OUTER))
+
+
+def _hmac(value: Column, inner: Column, outer: Column) -> Column:
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, F.encode(value, "UTF-8")), 256))), 256)
 
 
 def bundle(value: Column, dek_hex: Column, user_id: Column, key_id: Column) -> Column:

@@ -88,15 +88,17 @@ def resource_id(catalog: Column, schema: Column, table: Column) -> Column:
     return F.concat(F.lit("bigquery:"), catalog, F.lit("."), schema, F.lit("."), table)
 
 
-def redact(metadata: Column) -> Column:
-    """A flat map<string,string> with the values of sensitive keys replaced."""
-    return F.transform_values(metadata, lambda k, v: F.when(F.lower(k).rlike("|".join(SENSITIVE)), F.lit(REDACTED)).otherwise(v))
+def redact(metadata: Column, of_bytes: bool = False) -> Column:
+    """A flat map with the values of sensitive keys replaced, as text; with ``of_bytes`` the other values are bytes and become ``<n bytes>``."""
+    shown = lambda v: F.concat(F.lit("<"), F.octet_length(v).cast("string"), F.lit(" bytes>")) if of_bytes else v.cast("string")
+    return F.transform_values(metadata, lambda k, v: F.when(F.lower(k).rlike("|".join(SENSITIVE)), F.lit(REDACTED)).otherwise(shown(v)))
 
 
 def json_safe(value: Column, kind: str) -> Column:
     """Text of a cell: dates and times in ISO form, bytes as UTF-8 with replacements, others as Spark writes them."""
-    if kind == "timestamp":
-        return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+    if kind in ("timestamp", "timestamp_ntz"):  # a fraction is shown, with six digits, if there is one
+        whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+        return F.when(F.date_format(value, "SSSSSS") == "000000", whole).otherwise(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     if kind == "date":
         return F.date_format(value, "yyyy-MM-dd")
     if kind == "binary":

@@ -32,17 +32,25 @@ def location_parts(location: Column, default_project: Column) -> Column:
     return F.when(dot > 0, F.struct(F.substring_index(location, ".", 1).alias("project"), F.substr(location, dot + 1).alias("dataset"))).otherwise(F.struct(default_project.alias("project"), location.alias("dataset")))
 
 
+def with_defaults(rows: DataFrame) -> DataFrame:
+    """Rows with ``sure`` and ``method``, the confidence and detection method or their defaults."""
+    return rows.select("*", F.coalesce(non_empty(F.col("confidence")), F.lit("INFERRED_HIGH")).alias("sure"), F.coalesce(non_empty(F.col("detection_method")), F.lit("INFORMATION_SCHEMA")).alias("method"))
+
+
 def group_resources(rows: DataFrame, default_project: str) -> DataFrame:
-    """One row per resource: names from its first row (by ``pos``), fields in order with defaults, and classifications by field, of which the last counts."""
-    filled = rows.select("*", F.coalesce(non_empty(F.col("confidence")), F.lit("INFERRED_HIGH")).alias("sure"), F.coalesce(non_empty(F.col("detection_method")), F.lit("INFORMATION_SCHEMA")).alias("method"))
-    fields = F.array_sort(F.collect_list(F.struct("pos", "field_name", "classification", "sure", "method")))
-    first = F.min_by(F.struct(F.coalesce(non_empty(F.col("table_catalog")), F.lit(default_project)).alias("project_id"), F.col("table_schema").alias("dataset_id"), F.col("table_name").alias("table_id")), "pos")
-    grouped = filled.groupBy("resource_id").agg(first.alias("t"), fields.alias("fields"))
-    last = lambda f: F.element_at(F.filter("fields", lambda x: x["field_name"] == f), -1)["classification"]
+    """One row per resource: names from its first row (by ``pos``), fields in order of their first row, and classifications by field, of which the last counts.
+
+    A field is listed once, with the number ``n`` of its rows: rows are combined by resource and field
+    before they meet in one task, so a resource with a third of all rows costs its fields only.
+    """
+    first = F.min_by(F.struct(F.coalesce(non_empty(F.col("table_catalog")), F.lit(default_project)).alias("project_id"), F.col("table_schema").alias("dataset_id"), F.col("table_name").alias("table_id"), "sure", "method"), "pos").alias("first")
+    fields = with_defaults(rows).groupBy("resource_id", "field_name").agg(F.min("pos").alias("pos"), first, F.max_by("classification", "pos").alias("classification"), F.count("*").alias("n"))
+    listed = F.array_sort(F.collect_list(F.struct("pos", "field_name", "classification", F.col("first.sure").alias("sure"), F.col("first.method").alias("method"), "n")))
+    grouped = fields.groupBy("resource_id").agg(F.min_by("first", "pos").alias("t"), listed.alias("fields"))
     names = F.transform("fields", lambda x: x["field_name"])
-    return grouped.select("resource_id", "t.*", names.alias("field_names"), "fields", F.map_from_arrays(F.array_distinct(names), F.transform(F.array_distinct(names), last)).alias("classifications"))
+    return grouped.select("resource_id", "t.project_id", "t.dataset_id", "t.table_id", names.alias("field_names"), "fields", F.map_from_arrays(names, F.transform("fields", lambda x: x["classification"])).alias("classifications"))
 
 
-def publish_counts(resources: DataFrame) -> DataFrame:
-    """Resources and fields of a run."""
-    return resources.agg(F.count("*").alias("resources"), F.coalesce(F.sum(F.size("field_names")), F.lit(0)).cast("long").alias("fields"))
+def publish_counts(rows: DataFrame) -> DataFrame:
+    """Resources and field rows of a run, counted without any list."""
+    return rows.groupBy("resource_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("resources"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("fields"))

@@ -14,7 +14,9 @@ def wide_copy(source: DataFrame, vault: DataFrame, resource_id: str, fields: lis
 
     A field that the vault lacks is null, never plain text. Other columns are JSON-safe text.
     """
-    own = vault.where(F.col("resource_id") == resource_id).groupBy("tenant_id", "user_id").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "encrypted_value"))).alias("cells"))
+    latest_value = F.max_by("encrypted_value", "synced_at").alias("encrypted_value")  # one for each natural key, even if the vault should hold it twice
+    held = vault.where(F.col("resource_id") == resource_id).groupBy("tenant_id", "user_id", "field_name").agg(latest_value)
+    own = held.groupBy("tenant_id", "user_id").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "encrypted_value"))).alias("cells"))
     kinds = dict(source.dtypes)
     plain = [json_safe(F.col(c), kinds[c]).alias(c) for c in source.columns if c not in fields]
     rows = source.where("user_id IS NOT NULL").join(own, ["tenant_id", "user_id"])

@@ -6,12 +6,14 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from shroud.functions.crypto import masks
 from shroud.functions.text import non_empty
+from shroud.sources.sinks import append, exists
 
 KEY = ["tenant_id", "user_id"]
 #: States in which a key must not be used.
@@ -63,9 +65,31 @@ def new_keys(users: DataFrame, keys: DataFrame) -> DataFrame:
     return users_without_key(users, keys).select(*KEY, F.lit("v1").alias("key_id"), F.lit("v2").alias("encryption_version"), made(F.col("user_id")).alias("dek_hex"), F.lit("ACTIVE").alias("status"))
 
 
+KEY_SCHEMA = "tenant_id string, user_id string, key_id string, encryption_version string, dek_hex string, status string"
+
+
+class KeyTable:
+    """Keys in a Parquet table: read as they are at the moment, and new ones appended for users without any. One writer at a time, or a user may get two keys."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(KEY_SCHEMA).parquet(self.path) if exists(self.spark, self.path) else self.spark.createDataFrame([], KEY_SCHEMA)
+
+    def ensure(self, users: DataFrame) -> DataFrame:
+        """All keys, after every (tenant, user) of ``users`` without one got one. New keys are random, so they are written before anyone reads them."""
+        append(new_keys(users, self.read()), self.path)
+        return self.read()
+
+
 def attach(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows with dek_hex, key_id and encryption_version of their user's live key; rows without one are left out (see ``without_key``)."""
-    return rows.join(live(keys).select(*KEY, "dek_hex", "key_id", "encryption_version"), KEY)
+    """Rows with key_id, encryption_version, dek_hex and its two HMAC masks of their user's live key; rows without one are left out (see ``without_key``).
+
+    Masks are made here, once for each row, so that fields that are unpivoted or tokenised later don't make them again.
+    """
+    held = rows.join(live(keys).select(*KEY, "dek_hex", "key_id", "encryption_version"), KEY)
+    return held.withColumns(masks(F.col("dek_hex")))
 
 
 def without_key(rows: DataFrame, keys: DataFrame) -> DataFrame:

@@ -31,48 +31,38 @@ def match(models: DataFrame, resources: DataFrame) -> DataFrame:
     return models.join(first, "node_id", "left")
 
 
-def tenant_violations(matched: DataFrame) -> DataFrame:
-    """Tenant-scoped resource, and the model lacks its tenant column."""
-    r = F.col("resource")
-    broken = r["tenant_scoped"] & ~F.coalesce(F.array_contains("columns", r["tenant_column"]), F.lit(False))
-    message = F.concat(r["resource_id"], F.lit(" is tenant-scoped but the model lacks "), F.coalesce(r["tenant_column"], F.lit("tenant_id")))
-    return matched.where(broken).select("name", F.lit("tenant_id_required").alias("rule"), message.alias("message"))
+def _broken(condition: Column, status: str, rule: str, message: Column) -> Column:
+    return F.when(F.coalesce(condition, F.lit(False)), F.struct(F.lit(status).alias("status"), F.lit(rule).alias("rule"), message.alias("message")))
 
 
-def user_scope_violations(matched: DataFrame) -> DataFrame:
-    """Crypto-shredded resource, no user column in the model, and no documented exception."""
-    r = F.col("resource")
-    excepted = F.coalesce(F.lower(r["handling_policy"]).contains("exception"), F.lit(False)) | F.coalesce(F.exists(r["evidence"], lambda e: e.startswith("exception:")), F.lit(False))
-    broken = (r["deletion_strategy"] == "CRYPTO_SHRED") & ~F.coalesce(F.array_contains("columns", r["user_column"]), F.lit(False)) & ~excepted
-    message = F.concat(r["resource_id"], F.lit(" uses CRYPTO_SHRED but the model lacks "), F.coalesce(r["user_column"], F.lit("user_id")))
-    return matched.where(broken).select("name", F.lit("user_scope_required").alias("rule"), message.alias("message"))
-
-
-def identifier_violations(matched: DataFrame) -> DataFrame:
-    """A mart model exposes a direct identifier that isn't allowed in marts: one row per column."""
-    marts = matched.where(is_mart(F.col("name"), F.col("path"), F.array_join("fqn", ".")) & F.col("resource").isNotNull())
-    rows = marts.select("name", "columns", F.col("resource.resource_id").alias("resource_id"), F.explode("resource.identifiers").alias("i"))
-    broken = rows.where(F.array_contains("columns", F.col("i.name")) & ~F.col("i.allowed_in_mart"))
-    return broken.select("name", F.lit("direct_identifier_in_mart").alias("rule"), F.concat(F.lit("mart model exposes direct identifier column "), "i.name", F.lit(" from "), "resource_id").alias("message"))
-
-
-def unmatched(matched: DataFrame) -> DataFrame:
-    rows = matched.where("resource IS NULL")
-    return rows.select("name", F.lit("missing_registry_resource").alias("rule"), F.concat(F.lit("no registry resource matches "), F.array_join("candidates", ", ")).alias("message"))
-
-
-def manual_reviews(matched: DataFrame) -> DataFrame:
-    """Resources that need a review by hand, unless the model says that it was approved."""
-    r = F.col("resource")
-    needed = F.coalesce(r["deletion_strategy"] == "MANUAL_REVIEW", F.lit(False)) | F.coalesce(F.lower(r["handling_policy"]).contains("manual"), F.lit(False))
-    rows = matched.where(r.isNotNull() & needed & ~F.coalesce("approved", F.lit(False)))
-    return rows.select("name", F.lit("manual_review_required").alias("rule"), F.concat(r["resource_id"], F.lit(" requires manual review")).alias("message"))
+def _lacks(what: str, column: Column, default: str) -> Column:
+    return F.concat(F.col("resource.resource_id"), F.lit(f" {what} but the model lacks "), F.coalesce(column, F.lit(default)))
 
 
 def all_checks(matched: DataFrame) -> DataFrame:
-    """Every broken rule with its status: only a missing review is a warning."""
-    fails = [f(matched).withColumn("status", F.lit("FAIL")) for f in (unmatched, tenant_violations, user_scope_violations, identifier_violations)]
-    return reduce(DataFrame.unionByName, [*fails, manual_reviews(matched).withColumn("status", F.lit("WARN"))])
+    """Every broken rule of every model, in one pass: status, rule, name, message. Only a missing review is a warning.
+
+    missing_registry_resource: no resource matches. tenant_id_required: the resource is tenant-scoped
+    and the model lacks its tenant column. user_scope_required: the resource is crypto-shredded, the
+    model lacks its user column, and no exception is documented. manual_review_required: the resource
+    needs a review by hand that the model doesn't say was approved. direct_identifier_in_mart: a mart
+    model exposes a direct identifier that isn't allowed in marts, one row for each.
+    """
+    r, has = F.col("resource"), lambda c: F.coalesce(F.array_contains("columns", c), F.lit(False))
+    policy = F.coalesce(F.lower(r["handling_policy"]), F.lit(""))
+    excepted = policy.contains("exception") | F.coalesce(F.exists(r["evidence"], lambda e: e.startswith("exception:")), F.lit(False))
+    review = (r["deletion_strategy"].eqNullSafe("MANUAL_REVIEW") | policy.contains("manual")) & ~F.coalesce("approved", F.lit(False))
+    rules = [
+        _broken(r.isNull(), "FAIL", "missing_registry_resource", F.concat(F.lit("no registry resource matches "), F.array_join("candidates", ", "))),
+        _broken(r["tenant_scoped"] & ~has(r["tenant_column"]), "FAIL", "tenant_id_required", _lacks("is tenant-scoped", r["tenant_column"], "tenant_id")),
+        _broken((r["deletion_strategy"] == "CRYPTO_SHRED") & ~has(r["user_column"]) & ~excepted, "FAIL", "user_scope_required", _lacks("uses CRYPTO_SHRED", r["user_column"], "user_id")),
+        _broken(r.isNotNull() & review, "WARN", "manual_review_required", F.concat(r["resource_id"], F.lit(" requires manual review"))),
+    ]
+    text = lambda i: F.concat(F.lit("mart model exposes direct identifier column "), i["name"], F.lit(" from "), r["resource_id"])
+    exposed = F.transform(F.filter(r["identifiers"], lambda i: has(i["name"]) & ~i["allowed_in_mart"]), lambda i: _broken(F.lit(True), "FAIL", "direct_identifier_in_mart", text(i)))
+    mart = is_mart(F.col("name"), F.col("path"), F.array_join("fqn", ".")) & r["identifiers"].isNotNull()
+    every = F.array_compact(F.concat(F.array(*rules), F.when(mart, exposed).otherwise(F.array().cast("array<struct<status:string,rule:string,message:string>>"))))
+    return matched.select("name", F.explode(every).alias("v")).select("v.status", "v.rule", "name", "v.message")
 
 
 def overall(checks: DataFrame) -> DataFrame:

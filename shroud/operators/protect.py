@@ -41,12 +41,12 @@ def accepted(rows: DataFrame, fields: list[str]) -> DataFrame:
     return rows.where(rejection(fields).isNull())
 
 
-def quarantine(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """user_id and reason of every row that ``accepted`` drops."""
-    return rows.select("user_id", rejection(fields).alias("reason")).where("reason IS NOT NULL")
+def quarantine(rows: DataFrame, fields: list[str], *keep: str) -> DataFrame:
+    """user_id and reason of every row that ``accepted`` drops; columns to ``keep`` come first."""
+    return rows.select(*keep, "user_id", rejection(fields).alias("reason")).where("reason IS NOT NULL")
 
 
-def protect(rows: DataFrame, keys: DataFrame, fields: list[str], operation_id: str | Column, source_system: str) -> DataFrame:
+def protect(rows: DataFrame, keys: DataFrame, fields: list[str], operation_id: str | Column, source_system: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records in the shape of the raw table, one for each accepted row whose user has a live key.
 
     ``pii_fields`` holds field name, token and encrypted bundle of each field in declared order. The
@@ -54,7 +54,7 @@ def protect(rows: DataFrame, keys: DataFrame, fields: list[str], operation_id: s
     """
     held = K.attach(accepted(rows, fields), keys)
     dek, user = F.col("dek_hex"), F.col("user_id")
-    each = [F.struct(F.lit(f).alias("field_name"), crypto.token(F.col(f), dek).alias("token"), F.encode(crypto.bundle(F.col(f), dek, user, F.col("key_id")), "UTF-8").alias("encrypted_value")) for f in fields]
+    each = [F.struct(F.lit(f).alias("field_name"), crypto.masked_token(F.col(f)).alias("token"), F.encode(crypto.bundle(F.col(f), dek, user, F.col("key_id")), "UTF-8").alias("encrypted_value")) for f in fields]
     held = held.withColumn("pii_fields", F.array(*each))
     email = F.try_element_at(F.filter("pii_fields", lambda x: x["field_name"] == "email"), F.lit(1))
     token = F.coalesce(email["token"], F.lit(""))
@@ -62,17 +62,22 @@ def protect(rows: DataFrame, keys: DataFrame, fields: list[str], operation_id: s
         "tenant_id", "user_id", token.alias("email_token"), "encryption_version", "key_id",
         F.coalesce(email["encrypted_value"], F.lit("").cast("binary")).alias("encrypted_pii"), token.alias("data_hash"),
         (F.lit(operation_id) if isinstance(operation_id, str) else operation_id).alias("operation_id"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ingested_at"),
-        F.lit(source_system).alias("source_system"), "pii_fields",
+        F.lit(source_system).alias("source_system"), "pii_fields", *keep,
     )
 
 
+def taken_messages(messages: DataFrame) -> DataFrame:
+    """Messages with tenant, user and e-mail, as columns."""
+    named = messages.withColumn("tenant_id", K.tenant(F.col("header_tenant"), F.col("body_tenant"))).withColumn("email", F.try_element_at("payload", F.lit("email")))
+    return named.where("tenant_id IS NOT NULL AND user_id IS NOT NULL AND email IS NOT NULL")
+
+
 def single_messages(messages: DataFrame, keys: DataFrame) -> DataFrame:
     """Records of single messages (header_tenant, body_tenant, user_id, payload map, operation_id): the payload's e-mail as a bare payload.
 
     Messages without tenant, user or e-mail give no record (see ``rejected_messages``).
     """
-    named = messages.withColumn("tenant_id", K.tenant(F.col("header_tenant"), F.col("body_tenant"))).withColumn("email", F.try_element_at("payload", F.lit("email")))
-    held = K.attach(named.where("tenant_id IS NOT NULL AND user_id IS NOT NULL AND email IS NOT NULL"), keys)
+    held = K.attach(taken_messages(messages), keys)
     return held.select("user_id", "tenant_id", crypto.encrypt(F.col("email"), F.col("dek_hex"), F.col("user_id")).alias("encrypted_pii"), "key_id", "operation_id")
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shroud.functions import crypto
 from shroud.operators import keys as K
+from shroud.sources.sinks import exists
 
 UNIT = 100
+VAULT = "tenant_id string, user_id string, key_id string, token string, encrypted_value string, synced_at timestamp, resource_id string, field_name string"
 NATURAL_KEY = ["tenant_id", "user_id", "resource_id", "field_name"]
 
 
@@ -58,16 +60,23 @@ def not_yet_synced(fields: DataFrame, vault: DataFrame, tenant_in_key: bool = Tr
 
 def vault_records(fields: DataFrame, keys: DataFrame, synced_at: Column | None = None) -> DataFrame:
     """Rows for the vault: token and stored form of each value under its user's live key. Write them before anything is derived."""
-    held = K.attach(fields, keys)
+    users = fields.groupBy(*K.KEY).agg(F.collect_list(F.struct("resource_id", "field_name", "value")).alias("f"))  # a key is joined and masked once for a user
+    held = K.attach(users, keys).select("*", F.explode("f").alias("one")).select(*K.KEY, "key_id", "dek_hex", "inner_mask", "outer_mask", "one.*")
     stored = crypto.vault_value(crypto.bundle(F.col("value"), F.col("dek_hex"), F.col("user_id"), F.col("key_id")))
     at = F.current_timestamp() if synced_at is None else synced_at
-    return held.select(*NATURAL_KEY, "key_id", crypto.token(F.col("value"), F.col("dek_hex")).alias("token"), stored.alias("encrypted_value"), at.alias("synced_at"))
+    return held.select(*NATURAL_KEY, "key_id", crypto.masked_token(F.col("value")).alias("token"), stored.alias("encrypted_value"), at.alias("synced_at"))
 
 
-def sync(source: DataFrame, vault: DataFrame, keys: DataFrame, resource_id: str, fields: list[str], default_tenant: str, updated_column: str | None = None) -> DataFrame:
-    """New vault rows of one resource. The vault is read for this resource and its key columns only."""
+def sync(source: DataFrame, vault: DataFrame, keys: K.KeyTable, resource_id: str, fields: list[str], default_tenant: str, updated_column: str | None = None) -> DataFrame:
+    """New vault rows of one resource; users of a missing field who have no key get one first, and shredded users none. The vault is read for this resource and its key columns only."""
     known = vault.where(F.col("resource_id") == resource_id)
-    return vault_records(not_yet_synced(long_fields(source, resource_id, fields, default_tenant, updated_column), known), keys)
+    missing = not_yet_synced(long_fields(source, resource_id, fields, default_tenant, updated_column), known)
+    return vault_records(missing, keys.ensure(missing))
+
+
+def read_vault(spark: SparkSession, path: str) -> DataFrame:
+    """The stored vault, or an empty one before the first row is written."""
+    return spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], VAULT)
 
 
 def users_synced(records: DataFrame) -> DataFrame:

@@ -67,6 +67,20 @@ SELECT DISTINCT 'proj' AS table_catalog, concat('ds', CAST(p_size % 4 AS VARCHAR
 FROM part
 """
 
+CATALOG_TABLES = """
+SELECT DISTINCT table_catalog, table_schema, table_name,
+       CASE WHEN table_name LIKE '%3' THEN 'VIEW' WHEN table_name LIKE '%6' THEN 'EXTERNAL' ELSE 'BASE TABLE' END AS table_type
+FROM catalog_columns
+"""
+
+SYNC_RESOURCES = """
+SELECT r_regionkey AS k,
+       CASE r_regionkey WHEN 0 THEN 'bigquery:proj.crm.users' WHEN 1 THEN 'bigquery:broken' WHEN 2 THEN 'bigquery:proj.crm.gone' WHEN 3 THEN 'gcs:bucket' ELSE 'bigquery:proj.crm.phones' END AS resource_id,
+       CASE WHEN r_regionkey = 4 THEN 'phone' ELSE 'email' END AS declared,
+       CASE WHEN r_regionkey = 0 THEN 'changed_at' END AS updated_column
+FROM region
+"""
+
 REGISTRY_COLUMNS = """
 SELECT DISTINCT concat('bigquery:', table_catalog, '.', table_schema, '.', table_name) AS resource_id,
        CASE WHEN column_name = 'col3' AND table_name LIKE '%1' THEN 'gone' ELSE column_name END AS column_name
@@ -149,10 +163,10 @@ SELECT p_partkey AS pos, concat('bigquery:proj.ds', CAST(p_size % 4 AS VARCHAR(2
        CASE WHEN p_partkey % 3 = 0 THEN 'DIRECT_IDENTIFIER' ELSE 'ENCRYPTED_PII' END AS classification,
        CASE WHEN p_partkey % 6 = 0 THEN '' WHEN p_partkey % 6 = 1 THEN 'DECLARED' END AS confidence,
        CASE WHEN p_partkey % 4 = 0 THEN 'META' END AS detection_method
-FROM part WHERE p_partkey % 10 < 3
+FROM part
 """
 
-_ORDER = ["users", "keys", "live", "fields", "vault_rows", "lineage", "catalog_columns", "registry_columns", "cells", "profiles", "sync_source", "registry_raw", "models", "model_registry", "discovery"]
+_ORDER = ["users", "keys", "live", "fields", "vault_rows", "lineage", "catalog_columns", "catalog_tables", "registry_columns", "sync_resources", "cells", "profiles", "sync_source", "registry_raw", "models", "model_registry", "discovery"]
 _TEXTS = {name: globals()[name.upper()] for name in _ORDER}
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shroud.functions import crypto, text
@@ -14,9 +16,11 @@ from shroud.operators import ghost_scan as G
 from shroud.operators import keys as K
 from shroud.operators import lineage as L
 from shroud.operators import policy as Y
+from shroud.operators import sync_run as R
 from shroud.operators import vault_sync as S
 from shroud.plans.fixtures import ctes, frame
-from shroud.plans.support import RESOURCE, classify_sql, hmac_sql, work_dir, written
+from shroud.plans.protection import HELD
+from shroud.plans.support import RESOURCE, classify_sql, hmac_sql, key_table, work_dir, written
 from shroud.sources import manifest, registry, sinks
 
 SYNCED = dt.datetime(2024, 1, 15)
@@ -72,13 +76,20 @@ def prj_redaction(spark, sf):
 
 
 def prj_registry_filters(spark, sf):
-    r = _resources(spark, sf).cache()
+    """Each filter over registry documents; a resource that several filters keep has a row for each."""
+    r = _resources(spark, sf)
     parts = {"type": r.where("type = 'bigquery_table'"), "system": r.where("system = 'gcs'"), "owner": r.where("owner_connector = 'manual'"), "scan": registry.scan_enabled(r, "bigquery"), "copy": registry.wants_encrypted_copy(r)}
     rows = [p.select(F.lit(name).alias("filter"), "id") for name, p in parts.items()] + [registry.direct_identifiers(r).select(F.lit("direct").alias("filter"), F.col("resource_id").alias("id"))]
-    out = rows[0]
-    for p in rows[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, rows)
+
+
+def src_registry_file(spark, sf):
+    """A registry file of its own: an object with a version and all resources."""
+    doc = F.struct((F.max("k") + 3).cast("string").alias("version"), F.sort_array(F.collect_list(F.struct(F.coalesce("resource_camel", "resource_snake", "resource_plain").alias("id")))).alias("resources"))
+    path = work_dir(spark, "registry-file")
+    frame(spark, sf, "registry_raw").agg(F.to_json(doc).alias("value")).write.text(path)
+    documents = registry.read_documents(spark, path)
+    return registry.file_version(documents).crossJoin(documents.agg(F.count("*").alias("resources")))  # one row each
 
 
 def inc_skip_reasons(spark, sf):
@@ -102,14 +113,53 @@ def inc_changed_users(spark, sf):
 
 
 def inc_new_records(spark, sf):
-    """The whole sync of one resource: diff, keys, encryption, append; a second run adds nothing."""
-    keys, source = frame(spark, sf, "keys"), frame(spark, sf, "users")
-    vault, path = _vault(spark, sf)
+    """The whole sync of one resource: diff, keys for users without one, encryption, append; a second run adds nothing. A new user's token is random, so only whether it fits is shown."""
+    old, source = frame(spark, sf, "keys"), frame(spark, sf, "users")
+    keys, (vault, path) = key_table(old), _vault(spark, sf)
     for _ in range(2):
         vault = spark.read.parquet(path)
         sinks.append_vault(written(S.sync(source, vault, keys, RESOURCE, ["email", "phone"], "t0"), "synced"), path)
-    rows = spark.read.parquet(path).join(K.live(keys).select(*K.KEY, "dek_hex"), K.KEY)
-    return rows.select("tenant_id", "user_id", "resource_id", "field_name", "key_id", "token", crypto.open_vault_value(F.col("encrypted_value"), F.col("dek_hex"), F.col("user_id")).alias("opened"))
+    rows = spark.read.parquet(path).join(K.live(keys.read()).select(*K.KEY, "dek_hex"), K.KEY).join(old.select(*K.KEY, F.lit(True).alias("known")), K.KEY, "left")
+    opened = crypto.open_vault_value(F.col("encrypted_value"), F.col("dek_hex"), F.col("user_id"))
+    fits = crypto.token(opened, F.col("dek_hex")) == F.col("token")
+    return rows.select("tenant_id", "user_id", "resource_id", "field_name", "key_id", F.when(F.col("known"), F.col("token")).alias("token"), fits.alias("fits"), opened.alias("opened"))
+
+
+def inc_sync_run(spark, sf):
+    """Two runs over declared resources: good ones, a bad id, one that vanished, another system. The second run reads what changed since the first, and nobody's field twice."""
+    docs = frame(spark, sf, "sync_resources")
+    column = F.struct(F.col("declared").alias("name"), F.lit("ENCRYPTED_PII").alias("classification"), F.lit("ENCRYPT").alias("handling"))
+    doc = F.struct(F.col("resource_id").alias("resourceId"), F.lit("tenant").alias("tenantIdColumn"), F.lit("customer_key").alias("userIdColumn"), F.lit("manual").alias("ownerConnector"), F.array(column).alias("columns"), F.col("updated_column").alias("updatedAtColumn"))
+    resources = registry.normalise(registry.parse_resources(docs.select(F.col("k").cast("long").alias("pos"), F.to_json(doc).alias("value"))))
+    n, keys, vault = F.col("user_id").cast("long"), key_table(frame(spark, sf, "keys")), work_dir(spark, "run-vault")
+    late = n % 10 == 3
+    users = frame(spark, sf, "users").select(F.col("tenant_id").alias("tenant"), n.alias("customer_key"), "email", "phone", F.when(late, F.lit("2100-01-01")).otherwise("2024-01-01").cast("timestamp").alias("changed_at"))
+
+    def source(number):
+        def of(resource_id):
+            if resource_id.endswith("gone"):
+                raise FileNotFoundError(resource_id)
+            return users if number else users.where("changed_at < TIMESTAMP '2050-01-01'")
+
+        return of
+
+    state, out = spark.createDataFrame([], "resource_id string, last_synced_at timestamp, last_attempt_at timestamp"), []
+    for number in range(2):
+        results = R.Run(spark, source(number), keys, vault, "t0").all(resources, state)
+        held = written(spark.read.parquet(vault).groupBy("resource_id").agg(F.count("*").alias("fields")), "held")
+        out.append(results.join(held, "resource_id", "left").select(F.lit(number).cast("long").alias("run"), "resource_id", "status", "reason", "units", F.coalesce("fields", F.lit(0)).cast("long").alias("fields")))
+        state = S.advance(state, results)
+    return out[0].unionByName(out[1])
+
+
+def inc_sync_one(spark, sf):
+    """A run of one resource at a time: of another owner, not declared, and skipped ones."""
+    resources = _resources(spark, sf)
+    run = R.Run(spark, lambda resource_id: frame(spark, sf, "users"), key_table(frame(spark, sf, "keys")), work_dir(spark, "one-vault"), "t0")
+    state = spark.createDataFrame([], "resource_id string, last_synced_at timestamp")
+    first = resources.where("owner_connector = 'crm'").agg(F.min("id")).first()[0]
+    none = resources.where("owner_connector = 'manual' AND (system IS NULL OR system <> 'bigquery')").agg(F.min("id")).first()[0]
+    return reduce(DataFrame.unionByName, [run.one(resources, i, state) for i in (first, none, "bigquery:a.b.nowhere")]).select("resource_id", "status", "reason", "units")
 
 
 def inc_latest_value(spark, sf):
@@ -129,7 +179,7 @@ def joi_reread_users(spark, sf):
 
 def win_work_units(spark, sf):
     users = frame(spark, sf, "users").select(F.concat(F.lit("bigquery:proj.ds."), "tenant_id").alias("resource_id"), "user_id")
-    return S.work_units(users, buckets=4).select("resource_id", "bucket", "unit", F.size("user_ids").cast("long").alias("n"), _JOIN("user_ids").alias("user_ids"))
+    return S.work_units(users).select("resource_id", "bucket", "unit", F.size("user_ids").cast("long").alias("n"), _JOIN("user_ids").alias("user_ids"))
 
 
 def _runs(spark, sf):
@@ -274,12 +324,11 @@ def agg_discovered_resources(spark, sf):
 
 
 def sca_discovery_defaults(spark, sf):
-    g = V.group_resources(_discovery(spark, sf), "default").select(F.explode("fields").alias("f"))
-    return g.groupBy("f.sure", "f.method").agg(F.count("*").alias("n"))
+    return V.with_defaults(_discovery(spark, sf)).groupBy("sure", "method").agg(F.count("*").alias("n"))
 
 
 def agg_publish_counts(spark, sf):
-    return V.publish_counts(V.group_resources(_discovery(spark, sf), "default"))
+    return V.publish_counts(_discovery(spark, sf))
 
 
 def sca_locations(spark, sf):
@@ -354,27 +403,32 @@ def agg_batch_figures(spark, sf):
 
 
 def lin_batch_events(spark, sf):
-    figures = agg_batch_figures(spark, sf)
-    e = L.batch_events(figures, "gs://landing/users.csv", "topic", "op-1")
-    return e.select("tenant_id", "user_id", "source", "destination", "event_type", "context")
+    figures = agg_batch_figures(spark, sf).withColumns({"operation_id": F.lit("op-1"), "source": F.lit("gs://landing/users.csv")})
+    return L.batch_events(figures, "topic").select("tenant_id", "user_id", "source", "destination", "event_type", "context")
 
 
 def lin_row_events(spark, sf):
-    records = K.attach(frame(spark, sf, "users"), frame(spark, sf, "keys")).withColumn("operation_id", F.lit("op-1"))
-    return L.row_events(records, "gs://landing/users.csv", "topic").select("tenant_id", "user_id", "source", "destination", "event_type", "context")
+    """Events of the records that landing rows became; rows that were dropped have none."""
+    from shroud.plans.protection import _records
+
+    return L.row_events(_records(spark, sf), "gs://landing/users.csv", "topic").select("tenant_id", "user_id", "source", "destination", "event_type", "context")
+
+
+_JOB = ["event_type", "user_id", "tenant_id", "source", "destination", "data_classification", "operation_id", "metadata"]
 
 
 def lin_finding_events(spark, sf):
     found = agg_ghost_findings(spark, sf).select(F.lit(RESOURCE).alias("resource_id"), F.lit("bigquery").alias("system"), F.lit(None).cast("string").alias("destination"), "*")
-    return L.finding_events(found)
+    return L.finding_events(found, "t1").select(*_JOB, (F.to_timestamp("timestamp") <= F.current_timestamp()).alias("timed"))
 
 
 def lin_table_events(spark, sf):
-    return L.table_events(D.crawl(frame(spark, sf, "catalog_columns"), frame(spark, sf, "registry_columns"))).select("user_id", "destination", "operation_id", "event_type", "data_classification", F.get_json_object("metadata", "$.registry_status").alias("registry_status"), F.get_json_object("metadata", "$.column_count").alias("column_count"))
+    diffs = D.crawl(frame(spark, sf, "catalog_columns"), frame(spark, sf, "registry_columns"), kinds=frame(spark, sf, "catalog_tables"))
+    return L.table_events(diffs, "t1").select(*_JOB, (F.to_timestamp("timestamp") <= F.current_timestamp()).alias("timed"))
 
 
 def lin_discovery_events(spark, sf):
-    return L.discovery_events(V.group_resources(_discovery(spark, sf), "default")).select("user_id", "destination", "operation_id", "event_type", "data_classification", F.get_json_object("metadata", "$.project_id").alias("project_id"), F.get_json_object("metadata", "$.new_columns").alias("new_columns"))
+    return L.discovery_events(V.group_resources(_discovery(spark, sf), "default"), "t1").select(*_JOB)
 
 
 def lin_message_events(spark, sf):
@@ -388,6 +442,11 @@ def prj_redact(spark, sf):
     return frame(spark, sf, "lineage").select("event_id", F.to_json(text.redact(made)).alias("metadata"))
 
 
+def prj_redact_bytes(spark, sf):
+    made = F.map_from_arrays(F.array(F.lit("User_Email"), F.lit("payload")), F.transform(F.array("tenant_id", "destination"), lambda v: F.encode(v, "UTF-8")))
+    return frame(spark, sf, "lineage").select("event_id", F.to_json(text.redact(made, of_bytes=True)).alias("metadata"))
+
+
 def prj_redact_nested(spark, sf):
     doc = F.to_json(F.struct(F.struct(F.col("tenant_id").alias("phone"), F.array(F.struct(F.col("event_type").alias("full_name"), F.col("destination").alias("sink"))).alias("items")).alias("outer"), F.col("user_id").alias("rows")))
     return frame(spark, sf, "lineage").select("event_id", L.redact_json(doc).alias("metadata"))
@@ -442,14 +501,16 @@ _MATCH = """, made AS (SELECT *, coalesce(nullif(alias, ''), name) AS a FROM mod
 """
 _MODELS = ctes("models", "model_registry") + _MATCH
 _DISCOVERED = ctes("discovery") + """, located AS (SELECT *, CASE WHEN pos % 2 = 0 THEN 0 ELSE 2 END AS location FROM discovery),
- grouped AS (SELECT resource_id, arg_min(coalesce(table_catalog, 'default'), pos) AS project_id, arg_min(table_schema, pos) AS dataset_id, arg_min(table_name, pos) AS table_id, list(field_name ORDER BY pos) AS names FROM located GROUP BY 1),
- lasts AS (SELECT resource_id, field_name, arg_max(classification, pos) AS c FROM located GROUP BY 1, 2)
+ listed AS (SELECT resource_id, field_name, min(pos) AS first_pos, arg_max(classification, pos) AS c FROM located GROUP BY 1, 2),
+ names AS (SELECT resource_id, list(field_name ORDER BY first_pos) AS names, list(concat('"', field_name, '":"', c, '"') ORDER BY first_pos) AS pairs, string_agg(concat(field_name, '=', c), ',' ORDER BY field_name) AS classifications FROM listed GROUP BY 1),
+ grouped AS (SELECT * FROM names JOIN (SELECT resource_id, arg_min(coalesce(table_catalog, 'default'), pos) AS project_id, arg_min(table_schema, pos) AS dataset_id, arg_min(table_name, pos) AS table_id FROM located GROUP BY 1) USING (resource_id))
 """
 _EVENT = "CAST(NULL AS VARCHAR)"
 _MESSAGE_KEYS = "CASE WHEN email IS NOT NULL THEN 'email,plan' ELSE 'plan' END"
 
 QUERIES = {
     "src_registry": (src_registry, ctes("registry_raw") + f"SELECT id, {_TYPE} AS type, system, tenant_scoped, tenant_column AS tenant_id_column, user_column AS user_id_column, owner AS owner_connector, version_given AS registry_version, updated_column AS updated_at_column, scan_enabled, CASE WHEN scan_mode = 'full' THEN 'FULL' ELSE 'SAMPLED' END AS scan_mode, CASE WHEN k % 2 = 0 THEN 'EMAIL' ELSE '' END AS patterns FROM {_NORMAL}"),
+    "src_registry_file": (src_registry_file, ctes("registry_raw") + "SELECT CAST(max(k) + 3 AS BIGINT) AS version, count(*) AS resources FROM registry_raw"),
     "src_registry_version": (src_registry_version, ctes("registry_raw") + "SELECT coalesce(max(version_given), '0') AS version FROM registry_raw"),
     "prj_encrypted_fields": (prj_encrypted_fields, ctes("registry_raw") + f"SELECT id AS resource_id, CAST(0 AS BIGINT) AS position, declared AS name, declared = 'phone' AS allowed_in_mart FROM {_NORMAL}"),
     "prj_redaction": (prj_redaction, ctes("registry_raw") + f"SELECT id, strategies FROM {_NORMAL}"),
@@ -457,11 +518,21 @@ QUERIES = {
       UNION ALL SELECT 'owner', id FROM {_NORMAL} WHERE owner = 'manual' UNION ALL SELECT 'scan', id FROM {_NORMAL} WHERE scan_enabled AND system = 'bigquery' UNION ALL SELECT 'copy', id FROM {_NORMAL} WHERE contains(strategies, 'ENCRYPTED_COPY') UNION ALL SELECT 'direct', id FROM {_NORMAL} WHERE declared = 'email'"""),
     "inc_skip_reasons": (inc_skip_reasons, ctes("registry_raw") + f"SELECT id AS resource_id, CASE WHEN owner <> 'manual' THEN 'other_owner' WHEN system IS NULL OR system <> 'bigquery' THEN 'other_system' WHEN user_column IS NULL THEN 'no_user_column' WHEN NOT regexp_matches(id, '^bigquery:[^.]+\\.[^.]+\\.[^.]+$') THEN 'bad_id' END AS reason FROM {_NORMAL}"),
     "inc_changed_users": (inc_changed_users, ctes("sync_source") + "SELECT DISTINCT user_id FROM sync_source WHERE updated_at >= TIMESTAMP '2024-01-15 00:00:00' AND user_id IS NOT NULL"),
-    "inc_new_records": (inc_new_records, ctes("fields", "live", "users", "keys") + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, key_id, {hmac_sql('dek_hex', 'value')} AS token, value AS opened FROM (SELECT f.*, k.dek_hex, k.key_id FROM fields f JOIN live k USING (tenant_id, user_id))"),
+    "inc_new_records": (inc_new_records, ctes("fields", "users", "keys") + f"""SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, 'v1' AS key_id, CASE WHEN status IS NOT NULL THEN {hmac_sql('dek_hex', 'value')} END AS token, TRUE AS fits, value AS opened
+      FROM fields LEFT JOIN keys USING (tenant_id, user_id) WHERE status IS NULL OR status = 'ACTIVE'"""),
+    "inc_sync_run": (inc_sync_run, ctes("sync_resources", "users", "keys") + """, numbered AS (SELECT u.*, CAST(user_id AS BIGINT) % 10 = 3 AS late, CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % 64 AS bucket, coalesce(k.status, 'ACTIVE') AS state FROM users u LEFT JOIN keys k USING (tenant_id, user_id)),
+      runs AS (SELECT CAST(0 AS BIGINT) AS run UNION ALL SELECT 1), pairs AS (SELECT * FROM runs, sync_resources),
+      reads AS (SELECT p.run, p.resource_id, n.bucket, count(*) AS users FROM pairs p JOIN numbered n ON p.k IN (0, 4) AND CASE WHEN p.run = 0 THEN NOT n.late ELSE p.k = 4 OR n.late END GROUP BY 1, 2, 3),
+      units AS (SELECT run, resource_id, CAST(sum(ceil(users / 100.0)) AS BIGINT) AS units FROM reads GROUP BY 1, 2),
+      held AS (SELECT p.run, p.resource_id, count(*) AS fields FROM pairs p JOIN numbered n ON n.state = 'ACTIVE' AND (p.run = 1 OR NOT n.late) AND ((p.k = 0 AND n.email IS NOT NULL) OR (p.k = 4 AND n.phone IS NOT NULL)) GROUP BY 1, 2)
+      SELECT p.run, p.resource_id, CASE p.k WHEN 1 THEN 'ERROR' WHEN 2 THEN 'ERROR' WHEN 3 THEN 'SKIPPED' ELSE 'SYNCED' END AS status, CASE p.k WHEN 1 THEN 'bad_id' WHEN 2 THEN 'FileNotFoundError' WHEN 3 THEN 'other_system' END AS reason, coalesce(units, 0) AS units, coalesce(fields, 0) AS fields
+      FROM pairs p LEFT JOIN units USING (run, resource_id) LEFT JOIN held USING (run, resource_id)"""),
+    "inc_sync_one": (inc_sync_one, ctes("registry_raw") + f"""SELECT min(id) AS resource_id, 'ERROR' AS status, 'other_owner' AS reason, CAST(0 AS BIGINT) AS units FROM {_NORMAL} WHERE owner = 'crm'
+      UNION ALL SELECT min(id), 'SKIPPED', 'other_system', 0 FROM {_NORMAL} WHERE owner = 'manual' AND (system IS NULL OR system <> 'bigquery') UNION ALL SELECT 'bigquery:a.b.nowhere', 'ERROR', 'not_declared', 0"""),
     "inc_latest_value": (inc_latest_value, ctes("sync_source") + "SELECT tenant_id, user_id, 'bigquery:proj.ds.events' AS resource_id, 'email' AS field_name, arg_max(email, (updated_at, email)) AS value FROM sync_source GROUP BY 1, 2"),
     "joi_not_yet_synced": (joi_not_yet_synced, _ID_FIELDS + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, value FROM fields ANTI JOIN vault_rows USING (tenant_id, user_id, field_name)"),
     "joi_reread_users": (joi_reread_users, ctes("vault_rows") + "SELECT c_custkey, c_name FROM customer WHERE CAST(c_custkey AS VARCHAR) IN (SELECT user_id FROM vault_rows WHERE field_name = 'phone')"),
-    "win_work_units": (win_work_units, ctes("users") + "SELECT resource_id, bucket, unit, count(*) AS n, string_agg(user_id, ',' ORDER BY user_id) AS user_ids FROM (SELECT *, (row_number() OVER (PARTITION BY resource_id, bucket ORDER BY user_id) - 1) // 100 AS unit FROM (SELECT concat('bigquery:proj.ds.', tenant_id) AS resource_id, user_id, CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % 4 AS bucket FROM users)) GROUP BY 1, 2, 3"),
+    "win_work_units": (win_work_units, ctes("users") + "SELECT resource_id, bucket, unit, count(*) AS n, string_agg(user_id, ',' ORDER BY user_id) AS user_ids FROM (SELECT *, (row_number() OVER (PARTITION BY resource_id, bucket ORDER BY user_id) - 1) // 100 AS unit FROM (SELECT concat('bigquery:proj.ds.', tenant_id) AS resource_id, user_id, CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % 64 AS bucket FROM users)) GROUP BY 1, 2, 3"),
     "inc_advance": (inc_advance, f"""SELECT resource_id, strftime(greatest(s.last_synced_at, r.mark), '%Y-%m-%d %H:%M:%S') AS last_synced_at, strftime(r.attempt, '%Y-%m-%d %H:%M:%S') AS last_attempt_at
       FROM (SELECT concat('res', CAST(i AS VARCHAR)) AS resource_id, CASE WHEN i % 2 = 0 THEN TIMESTAMP '2024-01-01 00:10:00' WHEN i = 5 THEN TIMESTAMP '2025-01-01' END AS last_synced_at FROM range(9) t(i)) s
       FULL JOIN (SELECT resource_id, max(started_at) FILTER (succeeded AND updated_at_column IS NOT NULL) AS mark, max(started_at) AS attempt FROM {_RUNS} GROUP BY 1) r USING (resource_id)"""),
@@ -486,9 +557,9 @@ QUERIES = {
     "prj_table_reference": (prj_table_reference, "SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'a' END AS project, CASE WHEN p_partkey % 4 = 0 THEN 'b' END AS dataset, CASE WHEN p_partkey % 4 = 0 THEN concat('c', CAST(p_partkey AS VARCHAR)) END AS table_name FROM part"),
     "prj_resource_id": (prj_resource_id, _CATALOG + "SELECT DISTINCT concat('bigquery:', table_catalog, '.', table_schema, '.', table_name) AS resource_id FROM catalog_columns"),
     "set_discovery_union": (set_discovery_union, _DISCOVERED + "SELECT pos, location, resource_id, field_name FROM located"),
-    "agg_discovered_resources": (agg_discovered_resources, _DISCOVERED + "SELECT resource_id, project_id, dataset_id, table_id, array_to_string(names, ',') AS field_names, (SELECT string_agg(concat(field_name, '=', c), ',' ORDER BY field_name) FROM lasts l WHERE l.resource_id = g.resource_id) AS classifications FROM grouped g"),
+    "agg_discovered_resources": (agg_discovered_resources, _DISCOVERED + "SELECT resource_id, project_id, dataset_id, table_id, array_to_string(names, ',') AS field_names, classifications FROM grouped"),
     "sca_discovery_defaults": (sca_discovery_defaults, _DISCOVERED + "SELECT coalesce(nullif(confidence, ''), 'INFERRED_HIGH') AS sure, coalesce(nullif(detection_method, ''), 'INFORMATION_SCHEMA') AS method, count(*) AS n FROM located GROUP BY 1, 2"),
-    "agg_publish_counts": (agg_publish_counts, _DISCOVERED + "SELECT count(*) AS resources, CAST(sum(len(names)) AS BIGINT) AS fields FROM grouped"),
+    "agg_publish_counts": (agg_publish_counts, _DISCOVERED + "SELECT count(DISTINCT resource_id) AS resources, count(*) AS fields FROM located"),
     "sca_locations": (sca_locations, "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'proj' ELSE 'main' END AS project, p_brand AS dataset FROM part"),
     "sca_comma_list": (sca_comma_list, "SELECT p_partkey, concat('a', CAST(p_size AS VARCHAR), ',b,', p_brand) AS items FROM part"),
     "src_manifest": (src_manifest, _MODELS + "SELECT node_id, name, concat_ws(',', CASE WHEN has_email THEN 'email' END, 'plan', CASE WHEN has_tenant THEN 'tenant_id' END, CASE WHEN has_user THEN 'user_id' END) AS columns, approved, array_to_string(candidates, ',') AS candidates FROM cand"),
@@ -502,18 +573,24 @@ QUERIES = {
     "agg_destinations": (agg_destinations, ctes("lineage") + "SELECT tenant_id, user_id, string_agg(DISTINCT destination, ',' ORDER BY destination) AS destinations FROM lineage WHERE user_id NOT IN ('BATCH_JOB', 'UNKNOWN') GROUP BY 1, 2"),
     "agg_batch_figures": (agg_batch_figures, ctes("users", "keys", "live") + "SELECT u.tenant_id, count(*) AS rows_read, count(k.user_id) AS records_published FROM users u LEFT JOIN live k USING (tenant_id, user_id) GROUP BY 1"),
     "lin_batch_events": (lin_batch_events, ctes("users", "keys", "live") + """, f AS (SELECT u.tenant_id, count(*) AS r, count(k.user_id) AS w FROM users u LEFT JOIN live k USING (tenant_id, user_id) GROUP BY 1)
-      SELECT tenant_id, 'BATCH_JOB' AS user_id, 'gs://landing/users.csv' AS source, 'ingestion_pipeline' AS destination, 'DATA_READ' AS event_type, concat('{"operation_id":"op-1","event_type":"DATA_READ","dataClassification":"PII","row_count":"', CAST(r AS VARCHAR), '"}') AS context FROM f
-      UNION ALL SELECT tenant_id, 'BATCH_JOB', 'ingestion_pipeline', 'topic', 'DATA_PUBLISHED_TO_TOPIC', concat('{"operation_id":"op-1","event_type":"DATA_PUBLISHED_TO_TOPIC","dataClassification":"PII","record_count":"', CAST(w AS VARCHAR), '"}') FROM f"""),
-    "lin_row_events": (lin_row_events, ctes("users", "keys", "live") + """, h AS (SELECT tenant_id, user_id, key_id FROM users JOIN live USING (tenant_id, user_id))
-      SELECT tenant_id, user_id, 'gs://landing/users.csv' AS source, 'ingestion_pipeline' AS destination, 'DATA_ENCRYPTED' AS event_type, concat('{"operation_id":"op-1","event_type":"DATA_ENCRYPTED","dataClassification":"PII","key_id":"', key_id, '"}') AS context FROM h
-      UNION ALL SELECT tenant_id, user_id, 'topic', 'hubspot', 'DATA_PROVISIONED_TO_SINK', '{"operation_id":"op-1","event_type":"DATA_PROVISIONED_TO_SINK","dataClassification":"PII","sync_type":"initial_load"}' FROM h"""),
-    "lin_finding_events": (lin_finding_events, _PROFILES + f"""SELECT 'UNKNOWN' AS user_id, '{RESOURCE}' AS destination, 'ghost-scan:{RESOURCE}' AS operation_id, 'GHOST_DATA_DETECTED' AS event_type, 'GHOST_DATA' AS data_classification,
-      concat('{{"resource_id":"{RESOURCE}","system":"bigquery","column":"', column_name, '","pattern":"', pattern, '","count":', CAST(count(*) AS VARCHAR), ',"confidence":"PATTERN_MATCH","scanner":"ghost_data_scanner","recommended_action":"declare_in_pii_registry_or_remove_from_resource"}}') AS metadata
+      SELECT tenant_id, 'BATCH_JOB' AS user_id, 'gs://landing/users.csv' AS source, 'ingestion_pipeline' AS destination, 'DATA_READ' AS event_type, concat('{"operation_id":"op-1","event_type":"DATA_READ","dataClassification":"PII","file_size_rows":', CAST(r AS VARCHAR), '}') AS context FROM f
+      UNION ALL SELECT tenant_id, 'BATCH_JOB', 'ingestion_pipeline', 'topic', 'DATA_PUBLISHED_TO_TOPIC', concat('{"operation_id":"op-1","event_type":"DATA_PUBLISHED_TO_TOPIC","dataClassification":"PII","record_count":', CAST(w AS VARCHAR), '}') FROM f"""),
+    "lin_row_events": (lin_row_events, ctes("users", "keys", "live") + f""", h AS (SELECT tenant_id, user_id, key_id FROM {HELD})
+      SELECT tenant_id, user_id, 'gs://landing/users.csv' AS source, 'ingestion_pipeline' AS destination, 'DATA_ENCRYPTED' AS event_type, concat('{{"operation_id":"op-1","event_type":"DATA_ENCRYPTED","dataClassification":"PII","key_id":"', key_id, '"}}') AS context FROM h
+      UNION ALL SELECT tenant_id, user_id, 'topic', 'hubspot', 'DATA_PROVISIONED_TO_SINK', '{{"operation_id":"op-1","event_type":"DATA_PROVISIONED_TO_SINK","dataClassification":"PII","sync_type":"initial_load"}}' FROM h"""),
+    "lin_finding_events": (lin_finding_events, _PROFILES + f"""SELECT 'GHOST_DATA_DETECTED' AS event_type, 'UNKNOWN' AS user_id, 't1' AS tenant_id, 'bigquery_ghost_data_scanner' AS source, '{RESOURCE}' AS destination, 'GHOST_DATA' AS data_classification, 'ghost-scan:{RESOURCE}' AS operation_id, TRUE AS timed,
+      concat('{{"resource_id":"{RESOURCE}","system":"bigquery","column":"', column_name, '","pattern":"', pattern, '","count":', CAST(count(*) AS VARCHAR), ',"confidence":"PATTERN_MATCH","scanner":"bigquery_ghost_data_scanner","recommended_action":"declare_in_pii_registry_or_remove_from_resource"}}') AS metadata
       FROM {_ghost('profiles')}) WHERE pattern IS NOT NULL GROUP BY column_name, pattern"""),
-    "lin_table_events": (lin_table_events, _CATALOG + _CRAWL + "SELECT 'UNKNOWN' AS user_id, resource_id AS destination, concat('metadata-crawl:', table_catalog, '.', table_schema, '.', table_name) AS operation_id, 'WAREHOUSE_METADATA_DISCOVERED' AS event_type, 'METADATA' AS data_classification, status AS registry_status, CAST(len(names) AS VARCHAR) AS column_count FROM diffs"),
-    "lin_discovery_events": (lin_discovery_events, _DISCOVERED + """SELECT 'UNKNOWN' AS user_id, resource_id AS destination, concat('dbt-pii-discovery:', resource_id) AS operation_id, 'WAREHOUSE_METADATA_DISCOVERED' AS event_type, 'METADATA' AS data_classification, project_id, concat('["', array_to_string(names, '","'), '"]') AS new_columns FROM grouped"""),
+    "lin_table_events": (lin_table_events, ctes("catalog_columns", "registry_columns", "catalog_tables") + _CRAWL + """SELECT 'WAREHOUSE_METADATA_DISCOVERED' AS event_type, 'UNKNOWN' AS user_id, 't1' AS tenant_id, 'bigquery_metadata_crawler' AS source, resource_id AS destination, 'METADATA' AS data_classification,
+      concat('metadata-crawl:', d.table_catalog, '.', d.table_schema, '.', d.table_name) AS operation_id, TRUE AS timed,
+      concat('{"resource_id":"', resource_id, '","system":"bigquery","project_id":"', d.table_catalog, '","dataset_id":"', d.table_schema, '","table_id":"', d.table_name, '","table_type":"', k.table_type, '","registry_status":"', status, '","column_count":', CAST(len(names) AS VARCHAR), ',"new_columns":[', array_to_string(list_transform(new_columns, lambda c: concat('"', c, '"')), ','), '],"missing_registry_columns":[', array_to_string(list_transform(missing_columns, lambda c: concat('"', c, '"')), ','), '],"recommended_action":"',
+        CASE status WHEN 'UNREGISTERED' THEN 'register_resource_or_exclude_dataset' WHEN 'DRIFTED' THEN 'review_registry_column_drift' ELSE 'none' END, '"}') AS metadata
+      FROM diffs d JOIN catalog_tables k USING (table_catalog, table_schema, table_name) WHERE k.table_type IN ('BASE TABLE', 'VIEW')"""),
+    "lin_discovery_events": (lin_discovery_events, _DISCOVERED + """SELECT 'WAREHOUSE_METADATA_DISCOVERED' AS event_type, 'UNKNOWN' AS user_id, 't1' AS tenant_id, 'pii_discovery' AS source, resource_id AS destination, 'METADATA' AS data_classification, concat('dbt-pii-discovery:', resource_id) AS operation_id,
+      concat('{"resource_id":"', resource_id, '","system":"bigquery","project_id":"', project_id, '","dataset_id":"', dataset_id, '","table_id":"', table_id, '","registry_status":"UNREGISTERED","new_columns":["', array_to_string(names, '","'), '"],"classifications":{', array_to_string(pairs, ','), '},"recommended_action":"declare_in_dbt_meta_pii_or_console"}') AS metadata FROM grouped"""),
     "lin_message_events": (lin_message_events, ctes("users") + f"SELECT user_id, 'pii-ingestor-worker' AS source, 'bigquery:proj.ds.raw_users' AS destination, concat('op-', user_id) AS operation_id, 'INGESTION' AS event_type, {_MESSAGE_KEYS} AS payload_keys FROM users"),
     "prj_redact": (prj_redact, ctes("lineage") + """SELECT event_id, concat('{"User_Email":"<redacted>","table_name":"<redacted>","rows":"', destination, '"}') AS metadata FROM lineage"""),
+    "prj_redact_bytes": (prj_redact_bytes, ctes("lineage") + """SELECT event_id, concat('{"User_Email":"<redacted>","payload":"<', CAST(octet_length(encode(destination)) AS VARCHAR), ' bytes>"}') AS metadata FROM lineage"""),
     "prj_redact_nested": (prj_redact_nested, ctes("lineage") + """SELECT event_id, concat('{"outer": {"phone": "<redacted>", "items": [{"full_name": "<redacted>", "sink": "', destination, '"}]}, "rows": "', user_id, '"}') AS metadata FROM lineage"""),
     "sca_context_json": (sca_context_json, ctes("lineage") + """SELECT event_id, CASE WHEN event_type = 'INGESTION' THEN '{"operation_id":"op","dataClassification":"METADATA","event_type":"OVERRIDE"}' ELSE concat('{"operation_id":"op","event_type":"', event_type, '","dataClassification":"PII","rows":"3"}') END AS context FROM lineage"""),
     "sca_stamps": (sca_stamps, ctes("lineage") + "SELECT event_id, epoch_us(ts) AS micros, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM lineage"),

@@ -104,14 +104,18 @@ def prj_key_documents(spark, sf):
 def prj_json_safe(spark, sf):
     orders = frame(spark, sf, "orders")
     kinds = dict(orders.dtypes)
-    return orders.where("o_orderkey % 7 = 0").select("o_orderkey", text.json_safe(F.col("o_orderdate"), "timestamp" if kinds["o_orderdate"].startswith("timestamp") else kinds["o_orderdate"]).alias("ordered"), text.json_safe(F.to_date("o_orderdate"), "date").alias("day"), text.json_safe(F.encode("o_orderstatus", "UTF-8"), "binary").alias("state"))
+    later = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=(F.col("o_orderkey") % 3).cast("decimal(18,6)") / 8)
+    return orders.select(
+        "o_orderkey", text.json_safe(F.col("o_orderdate"), kinds["o_orderdate"]).alias("ordered"), text.json_safe(later, "timestamp").alias("later"),
+        text.json_safe(F.to_date("o_orderdate"), "date").alias("day"), text.json_safe(F.encode("o_orderstatus", "UTF-8"), "binary").alias("state"),
+    )
 
 
 def cry_round_trip(spark, sf):
     """Flagship: each live user's fields with token, and the text opened again from the written ciphertext."""
     rows = _fields_with_keys(spark, sf)
     dek, user = F.col("dek_hex"), F.col("user_id")
-    sealed = rows.select("tenant_id", "user_id", "field_name", "dek_hex", crypto.token(F.col("value"), dek).alias("token"), crypto.encrypt(F.col("value"), dek, user).alias("payload"))
+    sealed = written(rows.select("tenant_id", "user_id", "field_name", "dek_hex", crypto.token(F.col("value"), dek).alias("token"), crypto.encrypt(F.col("value"), dek, user).alias("payload")), "sealed")
     return sealed.select("tenant_id", "user_id", "field_name", "token", crypto.decrypt(F.col("payload"), dek, user).alias("opened"), F.length("payload").cast("long").alias("payload_chars"))
 
 
@@ -136,10 +140,10 @@ def cry_bundles(spark, sf):
 def cry_open_after_shred(spark, sf):
     """Stored values of all users: those whose key is shredded open to null."""
     keys = frame(spark, sf, "keys")
-    rows = frame(spark, sf, "fields").join(keys, K.KEY).where("field_name = 'email'")
-    stored = written(rows.select(*K.KEY, crypto.bundle(F.col("value"), F.col("dek_hex"), F.col("user_id"), F.col("key_id")).alias("bundle")), "shred")
+    rows = frame(spark, sf, "fields").join(keys, K.KEY)
+    stored = written(rows.select(*K.KEY, "field_name", crypto.bundle(F.col("value"), F.col("dek_hex"), F.col("user_id"), F.col("key_id")).alias("bundle")), "shred")
     held = stored.join(K.live(keys).select(*K.KEY, "dek_hex"), K.KEY, "left")
-    return held.select(*K.KEY, crypto.open_bundle(F.col("bundle"), F.col("dek_hex"), F.col("user_id")).alias("opened"))
+    return held.select(*K.KEY, "field_name", crypto.open_bundle(F.col("bundle"), F.col("dek_hex"), F.col("user_id")).alias("opened"))
 
 
 def cry_envelope(spark, sf):
@@ -205,13 +209,22 @@ def snk_wire(spark, sf):
 
 
 def snk_purge(spark, sf):
-    """A planted row is found by its operation and purged again."""
-    from shroud.operators.ghost_scan import with_canary, without_operation
+    """A planted row is found by its operation in the stored table, and gone once the table was rewritten without that operation."""
+    from shroud.operators.ghost_scan import with_canary
+
+    path, records = work_dir(spark, "purged"), _records(spark, sf).select("tenant_id", "user_id", "operation_id")
+    sinks.append(with_canary(records, spark.sql("SELECT 'canary' AS user_id, 'op-canary' AS operation_id")), path)
+    counts = lambda name: spark.read.parquet(path).groupBy("operation_id").agg(F.count("*").alias(name))
+    before = written(counts("rows_before"), "counts")
+    sinks.purge(spark, path, "op-canary")
+    return before.join(counts("rows_after"), "operation_id", "left").select("operation_id", "rows_before", F.coalesce("rows_after", F.lit(0)).cast("long").alias("rows_after"))
+
 
-    records = _records(spark, sf).select("tenant_id", "user_id", "operation_id")
-    planted = with_canary(records, spark.sql("SELECT 'canary' AS user_id, 'op-canary' AS operation_id"))
-    left = without_operation(planted, "op-canary")
-    return planted.groupBy("operation_id").agg(F.count("*").alias("rows_before")).join(left.groupBy("operation_id").agg(F.count("*").alias("rows_after")), "operation_id", "left").select("operation_id", "rows_before", F.coalesce("rows_after", F.lit(0)).cast("long").alias("rows_after"))
+def prj_required_columns(spark, sf):
+    """The required columns that files lack, for files with every second column of a list that the parts give."""
+    given = frame(spark, sf, "part").select((F.col("p_size") % 8).alias("kind")).groupBy("kind").agg(F.count("*").alias("files")).collect()  # eight kinds at most
+    kept = lambda kind: [c for bit, c in enumerate(["user_id", *FIELDS]) if kind >> bit & 1]
+    return spark.createDataFrame([(int(r.kind), r.files, ",".join(P.missing_columns([*kept(r.kind), "plan"], FIELDS))) for r in given], "kind long, files long, missing string")
 
 
 def _bundle_chars(v: str) -> str:
@@ -229,18 +242,19 @@ QUERIES = {
     "src_csv": (src_csv, ctes("users") + "SELECT user_id, concat('00', user_id) AS code, phone, CASE WHEN CAST(user_id AS BIGINT) % 6 < 4 THEN NULL WHEN CAST(user_id AS BIGINT) % 6 = 4 THEN 'None!' ELSE plan END AS plan FROM users"),
     "src_ndjson": (src_ndjson, ctes("users") + "SELECT user_id, email, user_id AS n FROM users WHERE CAST(user_id AS BIGINT) % 50 <> 7"),
     "src_chosen_files": (src_chosen_files, """SELECT concat('inbound/', p_name, CAST(p_partkey AS VARCHAR), CASE p_partkey % 6 WHEN 1 THEN '.json' ELSE '.csv' END) AS name FROM part WHERE p_partkey % 6 IN (0, 1, 4)"""),
+    "prj_required_columns": (prj_required_columns, "SELECT CAST(p_size % 8 AS BIGINT) AS kind, count(*) AS files, concat_ws(',', CASE WHEN p_size % 8 // 2 % 2 = 0 THEN 'email' END, CASE WHEN p_size % 8 // 4 % 2 = 0 THEN 'phone' END, CASE WHEN p_size % 2 = 0 THEN 'user_id' END) AS missing FROM part GROUP BY 1, 3"),
     "prj_accepted_rows": (prj_accepted_rows, ctes("users") + f"SELECT tenant_id, user_id, email, phone FROM users WHERE {ACCEPTED}"),
     "prj_quarantine": (prj_quarantine, ctes("users") + f"SELECT user_id, CASE WHEN email IS NULL OR phone IS NULL THEN 'missing_field' ELSE 'malformed_email' END AS reason FROM users WHERE NOT coalesce({ACCEPTED}, FALSE)"),
     "prj_legacy_columns": (prj_legacy_columns, _BASE + f"SELECT 'both' AS declared, tenant_id, user_id, {hmac_sql('dek_hex', 'email')} AS email_token, {hmac_sql('dek_hex', 'email')} AS data_hash, {_bundle_chars('email')} AS pii_bytes FROM {HELD} UNION ALL SELECT 'phone', u.tenant_id, u.user_id, '', '', 0 FROM users u JOIN live USING (tenant_id, user_id) WHERE phone IS NOT NULL"),
     "prj_tenant": (prj_tenant, ctes("users") + f"SELECT user_id, tenant_id AS tenant FROM {MESSAGES}"),
     "prj_rejected_messages": (prj_rejected_messages, ctes("users") + f"SELECT concat('op-', user_id) AS operation_id, CASE WHEN tenant_id IS NULL THEN 'missing_tenant' ELSE 'missing_email' END AS reason FROM {MESSAGES} WHERE tenant_id IS NULL OR email IS NULL"),
     "prj_key_documents": (prj_key_documents, ctes("keys") + "SELECT user_id, tenant_id, CASE CAST(user_id AS BIGINT) % 4 WHEN 1 THEN 'k9' WHEN 3 THEN 'v3' ELSE 'v1' END AS key_id, dek_hex AS dek, CASE CAST(user_id AS BIGINT) % 4 WHEN 2 THEN 'v2' ELSE 'v1' END AS encryption_version, status FROM keys WHERE status = 'ACTIVE'"),
-    "prj_json_safe": (prj_json_safe, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ordered, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS state FROM orders WHERE o_orderkey % 7 = 0"),
+    "prj_json_safe": (prj_json_safe, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ordered, concat(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S'), CASE o_orderkey % 3 WHEN 1 THEN '.125000' WHEN 2 THEN '.250000' ELSE '' END) AS later, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS state FROM orders"),
     "cry_round_trip": (cry_round_trip, _BASE + f"SELECT tenant_id, user_id, field_name, {hmac_sql('dek_hex', 'value')} AS token, value AS opened, {_b64('(octet_length(encode(value)) + 28)')} AS payload_chars FROM {_FIELDS_HELD}"),
     "cry_wrong_key": (cry_wrong_key, _BASE + f"SELECT user_id, field_name, CAST(NULL AS VARCHAR) AS other_user, CAST(NULL AS VARCHAR) AS other_key FROM {_FIELDS_HELD}"),
     "cry_tokens": (cry_tokens, _BASE + f"SELECT tenant_id, user_id, field_name, {hmac_sql('dek_hex', 'value')} AS token FROM {_FIELDS_HELD}"),
     "cry_bundles": (cry_bundles, _BASE + f"SELECT user_id, field_name, key_id, {_bundle_chars('value')} AS bundle_chars, {_b64(_bundle_chars('value'))} AS stored_chars, value AS opened FROM {_FIELDS_HELD}"),
-    "cry_open_after_shred": (cry_open_after_shred, _BASE + "SELECT tenant_id, user_id, CASE WHEN status = 'ACTIVE' THEN email END AS opened FROM users JOIN keys USING (tenant_id, user_id) WHERE email IS NOT NULL"),
+    "cry_open_after_shred": (cry_open_after_shred, _BASE + "SELECT tenant_id, user_id, field_name, CASE WHEN status = 'ACTIVE' THEN value END AS opened FROM fields JOIN keys USING (tenant_id, user_id)"),
     "cry_envelope": (cry_envelope, ctes("keys") + "SELECT tenant_id, user_id, dek_hex, CAST(NULL AS VARCHAR) AS other FROM keys"),
     "cry_record_fields": (cry_record_fields, _BASE + f"SELECT tenant_id, user_id, CAST(0 AS BIGINT) AS position, 'email' AS field_name, {hmac_sql('dek_hex', 'email')} AS token, email AS opened FROM {HELD} UNION ALL SELECT tenant_id, user_id, 1, 'phone', {hmac_sql('dek_hex', 'phone')}, phone FROM {HELD}"),
     "cry_single_messages": (cry_single_messages, _BASE + f"SELECT m.tenant_id, m.user_id, k.key_id, concat('op-', m.user_id) AS operation_id, m.email AS opened FROM {MESSAGES} m JOIN live k ON m.tenant_id = k.tenant_id AND m.user_id = k.user_id WHERE m.email IS NOT NULL"),

@@ -6,57 +6,113 @@ from pyspark.sql import functions as F
 
 from shroud.functions import crypto
 from shroud.operators import keys as K
+from shroud.operators import protect as P
 from shroud.operators import vault_sync as S
 from shroud.plans.fixtures import ctes, frame
-from shroud.plans.protection import ACCEPTED, MESSAGES, _messages
-from shroud.plans.support import RESOURCE, hmac_sql, work_dir
+from shroud.plans.protection import ACCEPTED, HELD, MESSAGES, _messages, _records
+from shroud.plans.support import RESOURCE, hmac_sql, key_table, work_dir
+from shroud.sources import sinks
 from shroud.streaming import landing as T
 
 FIELDS = ["email", "phone"]
 
 
+def _landed(spark, sf):
+    """CSV and NDJSON files of every tenant, several of a kind, protected by a sink for each; broken lines are counted and a file without the declared columns is moved aside."""
+    out, side, keys = work_dir(spark, "raw"), work_dir(spark, "side"), key_table(frame(spark, sf, "keys"))
+    users = frame(spark, sf, "users").repartition(3, "user_id")
+    n = F.col("user_id").cast("long")
+    line = F.when(n % 50 == 7, F.lit('{"user_id": broken')).otherwise(F.to_json(F.struct("user_id", "email", "phone")))
+    for tenant in [r.tenant_id for r in users.select("tenant_id").distinct().collect()]:  # five
+        inbound, own = work_dir(spark, "inbound"), users.where(F.col("tenant_id") == tenant)
+        own.where(n % 2 == 0).select("user_id", "email", "phone").write.option("header", True).csv(inbound)
+        own.where(n % 2 == 1).select(line.alias("value")).write.mode("append").format("text").save(f"{inbound}-lines")
+        own.where(n % 2 == 0).select("user_id").write.mode("append").option("header", True).csv(inbound)
+        _as_json(spark, f"{inbound}-lines", inbound)
+        sink = T.landing_batch(tenant, keys, FIELDS, out, work_dir(spark, "failed"), side, "landing")
+        T.watch_landing(spark, inbound, work_dir(spark, "check"), sink).awaitTermination()
+    return out, side, keys
+
+
+def _as_json(spark, lines, inbound):
+    """Moves files of text to the landing folder, with the suffix that it takes."""
+    fs, folder = sinks.hadoop_path(spark, lines)
+    for number, status in enumerate(fs.listStatus(folder)):
+        if status.getPath().getName().startswith("part-"):
+            fs.rename(status.getPath(), sinks.hadoop_path(spark, f"{inbound}/lines-{number}.json")[1])
+
+
 def str_landing(spark, sf):
-    """CSV and NDJSON files of one tenant each are protected; a file without the declared columns is moved aside."""
-    inbound, out, failed = (work_dir(spark, p) for p in ("inbound", "raw", "failed"))
-    users = frame(spark, sf, "users").where("tenant_id = 't1'").select("user_id", "email", "phone")
-    even = F.col("user_id").cast("long") % 2 == 0
-    users.where(even).coalesce(1).write.option("header", True).csv(inbound)
-    users.where(~even).coalesce(1).write.mode("append").json(inbound)
-    users.limit(5).select("user_id").coalesce(1).write.mode("append").option("header", True).csv(inbound)
-    sink = T.landing_batch("t1", lambda: frame(spark, sf, "keys"), FIELDS, out, failed, "landing")
-    T.watch_landing(spark, inbound, work_dir(spark, "check"), sink).awaitTermination()
-    return spark.read.parquet(out).select("tenant_id", "user_id", "email_token", F.size("pii_fields").cast("long").alias("n_fields"))
+    """Records of landing files, of users with and without a key before; a new user's token is random, so only the opened value shows."""
+    out, _, keys = _landed(spark, sf)
+    rows = spark.read.parquet(out).join(K.live(keys.read()).select(*K.KEY, "dek_hex"), K.KEY).join(frame(spark, sf, "keys").select(*K.KEY, F.lit(True).alias("known")), K.KEY, "left")
+    opened = crypto.open_bundle(F.decode("encrypted_pii", "UTF-8"), F.col("dek_hex"), F.col("user_id"))
+    return rows.select("tenant_id", "user_id", F.when(F.col("known"), F.col("email_token")).alias("email_token"), opened.alias("opened"), F.size("pii_fields").cast("long").alias("n_fields"))
+
+
+def str_landing_sides(spark, sf):
+    """Quarantined rows by reason, and lineage events by kind with the rows that they count."""
+    _, side, _ = _landed(spark, sf)
+    held = spark.read.parquet(f"{side}/quarantine").groupBy(F.lit("quarantine").alias("side"), F.col("reason").alias("what")).agg(F.count("*").alias("n"))
+    number = F.coalesce(F.get_json_object("context", "$.file_size_rows"), F.get_json_object("context", "$.record_count"), F.lit("1")).cast("long")
+    return held.unionByName(spark.read.parquet(f"{side}/lineage").groupBy(F.lit("lineage").alias("side"), F.col("event_type").alias("what")).agg(F.sum(number).alias("n")))
+
+
+def str_records(spark, sf):
+    """Records in wire form as JSON lines, some of them broken, into the raw table; each is taken once although the files come twice."""
+    source, out, dead = (work_dir(spark, p) for p in ("wire", "raw", "dead"))
+    n = F.col("user_id").cast("long")
+    line = F.when(n % 40 == 3, F.lit("{broken")).when(n % 40 == 4, F.to_json(F.struct("tenant_id", "user_id"))).otherwise(F.to_json(F.struct("*")))
+    for _ in range(2):
+        P.wire(_records(spark, sf)).select(line.alias("value")).write.mode("append").text(source)
+    T.run_once(T.parse_records(spark.readStream.option("maxFilesPerTrigger", 1).text(source)), work_dir(spark, "check"), T.record_batch(out, dead))
+    rows = spark.read.parquet(out).join(K.live(frame(spark, sf, "keys")).select(*K.KEY, "dek_hex"), K.KEY)
+    lost = spark.read.parquet(dead).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("malformed"))
+    opened = crypto.open_bundle(F.decode("encrypted_pii", "UTF-8"), F.col("dek_hex"), F.col("user_id"))
+    return rows.select("tenant_id", "user_id", "operation_id", "email_token", opened.alias("opened"), F.size("pii_fields").cast("long").alias("n_fields")).crossJoin(lost)  # one row
 
 
 def str_messages(spark, sf):
     """Messages as JSON lines, some of them broken, into records; each is taken once although the files come twice."""
+    keys = key_table(frame(spark, sf, "keys"))
     source, out, events, dead = (work_dir(spark, p) for p in ("messages", "records", "events", "dead"))
     line = F.when(F.col("user_id").cast("long") % 40 == 3, F.lit("{broken")).otherwise(F.to_json(F.struct("*")))
     for _ in range(2):
         _messages(spark, sf).select(line.alias("value")).write.mode("append").text(source)
     stream = T.parse_messages(spark.readStream.text(source))
-    T.run_once(stream, work_dir(spark, "check"), T.message_batch(lambda: frame(spark, sf, "keys"), out, events, dead))
-    rows = spark.read.parquet(out).join(K.live(frame(spark, sf, "keys")).select(*K.KEY, "dek_hex"), K.KEY)
+    T.run_once(stream, work_dir(spark, "check"), T.message_batch(keys, out, events, dead))
+    rows = spark.read.parquet(out).join(K.live(keys.read()).select(*K.KEY, "dek_hex"), K.KEY)
     return rows.select("tenant_id", "user_id", "operation_id", crypto.open_bundle(F.col("encrypted_pii"), F.col("dek_hex"), F.col("user_id")).alias("opened"))
 
 
 def str_units(spark, sf):
     """Work units as JSON lines into the vault; units that come again, and those of a vanished resource, add nothing."""
+    keys = key_table(frame(spark, sf, "keys"))
     units_dir, vault = work_dir(spark, "units"), work_dir(spark, "vault")
     users = frame(spark, sf, "users").select(F.lit(RESOURCE).alias("resource_id"), "user_id")
-    units = S.work_units(users, buckets=4).select("resource_id", "user_ids")
+    units = S.work_units(users).select("resource_id", "user_ids")
     for _ in range(2):
         units.write.mode("append").json(units_dir)
     units.limit(1).withColumn("resource_id", F.lit("gone")).write.mode("append").json(units_dir)
     stream = spark.readStream.schema("resource_id string, user_ids array<string>").option("maxFilesPerTrigger", 4).json(units_dir)
     sources = {RESOURCE: (frame(spark, sf, "users"), FIELDS)}
-    T.run_once(stream, work_dir(spark, "check"), T.unit_batch(sources, lambda: frame(spark, sf, "keys"), vault, "t0"))
-    return spark.read.parquet(vault).select("tenant_id", "user_id", "resource_id", "field_name", "token")
+    T.run_once(stream, work_dir(spark, "check"), T.unit_batch(sources, keys, vault, "t0"))
+    rows = spark.read.parquet(vault).join(frame(spark, sf, "keys").select(*K.KEY, F.lit(True).alias("known")), K.KEY, "left")
+    return rows.select("tenant_id", "user_id", "resource_id", "field_name", F.when(F.col("known"), F.col("token")).alias("token"))
 
 
 _BASE = ctes("fields", "live", "users", "keys")
+#: Users whose key isn't gone, with what is known of their key; others get a new one.
+_KEYED = "(SELECT u.*, CAST(user_id AS BIGINT) AS n, k.dek_hex, k.status FROM users u LEFT JOIN keys k USING (tenant_id, user_id))"
+_READ = "NOT (n % 2 = 1 AND n % 50 = 7)"
+_SHOWN = "(status IS NULL OR status = 'ACTIVE')"
 QUERIES = {
-    "str_landing": (str_landing, _BASE + f"SELECT tenant_id, user_id, {hmac_sql('dek_hex', 'email')} AS email_token, CAST(2 AS BIGINT) AS n_fields FROM users JOIN live USING (tenant_id, user_id) WHERE tenant_id = 't1' AND {ACCEPTED}"),
-    "str_messages": (str_messages, _BASE + f"SELECT m.tenant_id, m.user_id, concat('op-', m.user_id) AS operation_id, m.email AS opened FROM {MESSAGES} m JOIN live k ON m.tenant_id = k.tenant_id AND m.user_id = k.user_id WHERE m.email IS NOT NULL AND m.n % 40 <> 3"),
-    "str_units": (str_units, _BASE + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, {hmac_sql('dek_hex', 'value')} AS token FROM fields JOIN live USING (tenant_id, user_id)"),
+    "str_landing": (str_landing, _BASE + f"SELECT tenant_id, user_id, CASE WHEN status IS NOT NULL THEN {hmac_sql('dek_hex', 'email')} END AS email_token, email AS opened, CAST(2 AS BIGINT) AS n_fields FROM {_KEYED} WHERE {_SHOWN} AND {_READ} AND {ACCEPTED}"),
+    "str_landing_sides": (str_landing_sides, _BASE + f""", k AS (SELECT *, {_READ} AS whole, coalesce({ACCEPTED}, FALSE) AS fine FROM {_KEYED}),
+      q AS (SELECT CASE WHEN NOT whole THEN 'malformed_line' WHEN email IS NULL OR phone IS NULL THEN 'missing_field' WHEN NOT fine THEN 'malformed_email' WHEN NOT {_SHOWN} THEN 'no_live_key' END AS what, count(*) AS n FROM k GROUP BY 1)
+      SELECT 'quarantine' AS side, what, n FROM q WHERE what IS NOT NULL UNION ALL SELECT 'lineage', 'DATA_READ', count(*) FROM k WHERE whole
+      UNION ALL SELECT 'lineage', w, count(*) FROM k, (VALUES ('DATA_PUBLISHED_TO_TOPIC'), ('DATA_ENCRYPTED'), ('DATA_PROVISIONED_TO_SINK')) v(w) WHERE whole AND fine AND {_SHOWN} GROUP BY w"""),
+    "str_records": (str_records, _BASE + f"SELECT tenant_id, user_id, 'op-1' AS operation_id, {hmac_sql('dek_hex', 'email')} AS email_token, email AS opened, CAST(2 AS BIGINT) AS n_fields, (SELECT CAST(2 * count(*) AS BIGINT) FROM {HELD} WHERE CAST(user_id AS BIGINT) % 40 IN (3, 4)) AS malformed FROM {HELD} WHERE CAST(user_id AS BIGINT) % 40 NOT IN (3, 4)"),
+    "str_messages": (str_messages, _BASE + f"SELECT m.tenant_id, m.user_id, concat('op-', m.user_id) AS operation_id, m.email AS opened FROM {MESSAGES} m LEFT JOIN keys k ON m.tenant_id = k.tenant_id AND m.user_id = k.user_id WHERE {_SHOWN} AND m.tenant_id IS NOT NULL AND m.email IS NOT NULL AND m.n % 40 <> 3"),
+    "str_units": (str_units, _BASE + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, CASE WHEN status IS NOT NULL THEN {hmac_sql('dek_hex', 'value')} END AS token FROM fields LEFT JOIN keys USING (tenant_id, user_id) WHERE {_SHOWN}"),
 }

@@ -75,16 +75,16 @@ def header_columns(header: str) -> list[str]:
 
 
 def read_files(spark: SparkSession, paths: list[str], suffix: str, columns: list[str], fields: list[str]) -> DataFrame:
-    """user_id and the declared fields of files with one suffix and the same columns, with ``operation_id``, which each file keeps when it is read again."""
+    """user_id and the declared fields of files with one suffix and the same columns, with ``operation_id`` and ``day``, which each file keeps when it is read again, ``file``, and ``bad`` for a line that isn't JSON."""
     file = F.concat_ws("|", "_metadata.file_path", F.col("_metadata.file_modification_time").cast("string"))
-    operation = F.substring(F.sha2(file, 256), 1, 32).alias("operation_id")
+    of_file = [F.substring(F.sha2(file, 256), 1, 32).alias("operation_id"), F.to_date("_metadata.file_modification_time").alias("day"), F.col("_metadata.file_path").alias("file")]
     wanted = list(dict.fromkeys(["user_id", *fields]))
     if suffix == ".json":
-        lines = spark.read.text(paths).select("value", operation).where(F.trim("value") != "")
+        lines = spark.read.text(paths).select("value", *of_file).where(F.trim("value") != "")
         parsed = F.from_json("value", string_schema([*wanted, CORRUPT]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-        return lines.select(parsed.alias("r"), "operation_id").where(F.col(f"r.{CORRUPT}").isNull()).select(*[F.col(f"r.{c}").alias(c) for c in wanted], "operation_id")
+        return lines.select(parsed.alias("r"), "operation_id", "day", "file").select(*[F.col(f"r.{c}").alias(c) for c in wanted], "operation_id", "day", "file", F.col(f"r.{CORRUPT}").isNotNull().alias("bad"))
     rows = spark.read.option("header", True).option("escape", '"').schema(string_schema(columns)).csv(paths)
-    return rows.select(*[present(F.col(f"`{c}`")).alias(c) for c in wanted], operation)
+    return rows.select(*[present(F.col(f"`{c}`")).alias(c) for c in wanted], *of_file, F.lit(False).alias("bad"))
 
 
 def read_file(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:

@@ -38,6 +38,11 @@ def _list(name: str, other: str) -> Column:
     return F.coalesce(f"r.{name}", f"r.{other}", F.array().cast("array<string>"))
 
 
+def file_version(documents: DataFrame) -> DataFrame:
+    """The version that a registry file states, as a whole number in one row."""
+    return documents.agg(F.max("version").cast("long").alias("version"))
+
+
 def normalise(resources: DataFrame) -> DataFrame:
     """One row per resource with one spelling for everything: what isn't given is derived from the id or takes its default."""
     rid = non_empty(F.col("r.resourceId"), F.col("r.resource_id"), F.col("r.id"))

@@ -12,18 +12,48 @@ def append(rows: DataFrame, path: str, partition_by: list[str] | None = None) ->
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def append_once(rows: DataFrame, path: str, key: list[str]) -> None:
-    """Appends a row for each key that the table doesn't hold yet, so a batch that comes again adds nothing."""
+def append_once(rows: DataFrame, path: str, key: list[str], by: str | None = None) -> None:
+    """Appends a row for each key that the table doesn't hold yet, so a batch that comes again adds nothing.
+
+    With ``by``, a date column that a key always has the same value of, the table is partitioned by it,
+    and only the partitions of the batch's dates are read; else the key columns of the whole table are.
+    One writer at a time: two that check at once may both add a key.
+    """
     spark, rows = rows.sparkSession, rows.dropDuplicates(key)
     if exists(spark, path):
-        rows = rows.join(spark.read.parquet(path).select(*key), key, "left_anti")
-    append(rows, path)
+        held = spark.read.parquet(path)
+        if by:
+            held = held.where(F.col(by).isin([r[0] for r in rows.select(by).distinct().collect()]))
+        rows = rows.join(held.select(*key), key, "left_anti")
+    append(rows, path, [by] if by else None)
+
+
+def replace_part(rows: DataFrame, path: str, batch: int, part: int) -> None:
+    """Writes one part of a batch of a side table; when the batch comes again the part is replaced."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}/part={part}")
+
+
+def purge(spark: SparkSession, path: str, operation_id: str) -> None:
+    """Rewrites a stored table without the rows of one operation. The new files are complete before the old ones go, and rows without an operation stay."""
+    fs, old = hadoop_path(spark, path)
+    _, new = hadoop_path(spark, f"{path}.purged")
+    _, aside = hadoop_path(spark, f"{path}.before-purge")
+    spark.read.parquet(path).where(~F.col("operation_id").eqNullSafe(operation_id)).write.mode("overwrite").parquet(f"{path}.purged")
+    fs.rename(old, aside)
+    fs.rename(new, old)
+    fs.delete(aside, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a path on any file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything at a path, on any file system."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    fs, place = hadoop_path(spark, path)
+    return fs.exists(place)
 
 
 def append_vault(records: DataFrame, path: str) -> None:

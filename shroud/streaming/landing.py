@@ -18,6 +18,11 @@ from shroud.operators import vault_sync as S
 from shroud.sources import landing, sinks
 
 FILE = "path string, modificationTime timestamp, length long, content binary"
+PII_FIELDS = "array<struct<field_name:string,token:string,encrypted_value:binary>>"
+RECORD = (
+    "tenant_id string, user_id string, email_token string, encryption_version string, key_id string, encrypted_pii string, data_hash string, operation_id string, "
+    "ingested_at string, source_system string, pii_fields array<struct<field_name:string,token:string,encrypted_value:string>>"
+)
 MESSAGE = "header_tenant string, body_tenant string, user_id string, payload map<string,string>, operation_id string"
 
 
@@ -26,39 +31,56 @@ def _paths(batch: DataFrame) -> list[str]:
     return [r.path for r in batch.select("path").distinct().collect()]
 
 
-def _hadoop(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
-
-
 def dispose(spark: SparkSession, path: str, failed_dir: str | None = None) -> None:
     """Deletes a file that was taken, or moves it to a folder for failed ones."""
-    fs, source = _hadoop(spark, path)
+    fs, source = sinks.hadoop_path(spark, path)
     if failed_dir is None:
         fs.delete(source, False)
     else:
-        _, target = _hadoop(spark, failed_dir)
+        _, target = sinks.hadoop_path(spark, failed_dir)
         fs.mkdirs(target)
-        _, place = _hadoop(spark, f"{failed_dir}/{source.getName()}")
+        _, place = sinks.hadoop_path(spark, f"{failed_dir}/{source.getName()}")
         fs.rename(source, place)
 
 
-def landing_batch(tenant_id: str, keys: Callable[[], DataFrame], fields: list[str], out: str, failed_dir: str, source_system: str) -> Callable[[DataFrame, int], None]:
+def landing_batch(tenant_id: str, keys: K.KeyTable, fields: list[str], out: str, failed_dir: str, side: str, source_system: str, topic: str = "raw_users") -> Callable[[DataFrame, int], None]:
     """Protects all new files of a batch at once and appends their records; good files are deleted, bad ones moved, and neither stops the others.
 
+    Users without a key get one before their rows are protected. Below ``side`` stand, for each batch,
+    ``quarantine`` (file, user_id and reason of each row that gave no record, a line that isn't JSON
+    and a user whose key is gone among them; never a value) and ``lineage`` (two events for each record
+    and two for each file). A file goes only when all of this is written, so a batch that comes again
+    replaces its side tables and adds no record twice.
+
     A first job reads the files' headers. Files that lack a declared column are set aside, and those
     of one suffix and header are read together. Only if that fails are they taken one by one, to find
     the bad ones.
     """
 
-    def take(spark: SparkSession, paths: list[str], suffix: str, columns: list[str]) -> None:
-        rows = landing.read_files(spark, paths, suffix, columns, fields).withColumn("tenant_id", F.lit(tenant_id))
-        records = P.protect(rows, keys(), fields, F.col("operation_id"), source_system)
-        sinks.append_once(records, out, ["tenant_id", "user_id", "operation_id"])
+    def take(spark: SparkSession, paths: list[str], suffix: str, columns: list[str], batch_id: int, part: int) -> None:
+        rows = landing.read_files(spark, paths, suffix, columns, fields).withColumn("tenant_id", F.lit(tenant_id)).persist()
+        try:
+            good = rows.where("NOT bad")
+            held = keys.ensure(good)
+            records = P.protect(good, held, fields, F.col("operation_id"), source_system, keep=("day", "file"))
+            staged = f"{side}/staged/tenant={tenant_id}/batch={batch_id}/part={part}"  # ciphertext is random: all that follows reads the same
+            records.write.mode("overwrite").parquet(staged)
+            records = spark.read.schema(records.schema).parquet(staged)
+            sinks.append_once(records.drop("file"), out, ["tenant_id", "user_id", "operation_id"], "day")
+            gone = K.without_key(P.accepted(good, fields), held).select("file", "operation_id", "user_id", F.lit("no_live_key").alias("reason"))
+            broken = rows.where("bad").select("file", "operation_id", F.lit(None).cast("string").alias("user_id"), F.lit("malformed_line").alias("reason"))
+            sinks.replace_part(P.quarantine(good, fields, "file", "operation_id").unionByName(gone).unionByName(broken), f"{side}/quarantine/tenant={tenant_id}", batch_id, part)
+            figures = L.batch_figures(good, records, ("tenant_id", "file", "operation_id")).withColumnRenamed("file", "source")
+            events = L.batch_events(figures, topic).unionByName(L.row_events(records, F.col("file"), topic))
+            sinks.replace_part(events, f"{side}/lineage/tenant={tenant_id}", batch_id, part)
+            fs, place = sinks.hadoop_path(spark, staged)
+            fs.delete(place, True)
+        finally:
+            rows.unpersist()
 
-    def run(batch: DataFrame, _: int) -> None:
+    def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        paths = _paths(batch)
+        paths = sorted(_paths(batch))
         groups: dict[tuple, list[str]] = {}
         tables = [p for p in paths if p.endswith(".csv")]
         found = {r.path: r.header for r in landing.headers(spark, tables).collect()} if tables else {}
@@ -69,11 +91,12 @@ def landing_batch(tenant_id: str, keys: Callable[[], DataFrame], fields: list[st
             else:
                 groups.setdefault((".csv" if columns is not None else ".json", tuple(columns or ())), []).append(path)
         for (suffix, columns), group in groups.items():
+            one = lambda some, s=suffix, c=columns: take(spark, some, s, list(c), batch_id, paths.index(some[0]))
             try:
-                take(spark, group, suffix, list(columns))
+                one(group)
                 bad = set()
             except Exception:  # noqa: BLE001  whatever is wrong with one file, the others go on
-                bad = {p for p in group if not _taken(lambda p=p, s=suffix, c=columns: take(spark, [p], s, list(c)))}
+                bad = {p for p in group if not _taken(lambda p=p, one=one: one([p]))}
             for path in group:
                 dispose(spark, path, failed_dir if path in bad else None)
 
@@ -100,17 +123,21 @@ def parse_messages(lines: DataFrame) -> DataFrame:
     return lines.select(parsed.alias("m")).select("m.*").withColumn("bad", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
 
 
-def message_batch(keys: Callable[[], DataFrame], out: str, events: str, dead: str) -> Callable[[DataFrame, int], None]:
-    """Records and lineage of single messages, each once for its tenant, user and operation; malformed ones leave a count by reason, never their text."""
+def message_batch(keys: K.KeyTable, out: str, events: str, dead: str) -> Callable[[DataFrame, int], None]:
+    """Records and lineage of single messages, each once for its tenant, user and operation; malformed ones leave a count by reason, never their text.
+
+    Users without a key get one. A message has no date, so the key columns of the whole table are read for each batch.
+    """
     key = ["tenant_id", "user_id", "operation_id"]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         good = batch.where("NOT bad")
-        reasons = good.transform(P.rejected_messages).select("reason").unionByName(batch.where("bad").select(F.lit("malformed").alias("reason")))
-        reasons.groupBy("reason").agg(F.count("*").alias("n")).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(dead)
-        sinks.append_once(P.single_messages(good, keys()), out, key)
         named = good.withColumn("tenant_id", K.tenant(F.col("header_tenant"), F.col("body_tenant")))
+        held = keys.ensure(P.taken_messages(good))
+        reasons = good.transform(P.rejected_messages).select("reason").unionByName(batch.where("bad").select(F.lit("malformed").alias("reason")))
+        sinks.replace_part(reasons.groupBy("reason").agg(F.count("*").alias("n")), dead, batch_id, 0)
+        sinks.append_once(P.single_messages(good, held), out, key)
         taken = named.join(batch.sparkSession.read.parquet(out).select(*key), key, "left_semi")
         sinks.append_once(L.message_events(taken, out, "tenant_id"), events, key)
         batch.unpersist()
@@ -118,16 +145,45 @@ def message_batch(keys: Callable[[], DataFrame], out: str, events: str, dead: st
     return run
 
 
-def unit_batch(sources: dict[str, tuple[DataFrame, list[str]]], keys: Callable[[], DataFrame], vault: str, default_tenant: str) -> Callable[[DataFrame, int], None]:
+def parse_records(lines: DataFrame) -> DataFrame:
+    """Protected records of JSON lines in wire form (column ``value``), with base64 as bytes again and the ``day`` of their ingestion; ``bad`` is true for a line that isn't one, or whose base64 isn't."""
+    parsed = F.from_json("value", RECORD + ", _corrupt_record string", {"mode": "PERMISSIVE"})
+    opened = lambda c: F.try_to_binary(c, F.lit("base64"))
+    fields = F.transform("pii_fields", lambda f: F.struct(f["field_name"].alias("field_name"), f["token"].alias("token"), opened(f["encrypted_value"]).alias("encrypted_value")))
+    rows = lines.select(parsed.alias("m")).select("m.*").withColumn("raw", F.col("encrypted_pii")).withColumn("encrypted_pii", opened(F.col("raw"))).withColumn("pii_fields", F.coalesce(fields, F.array().cast(PII_FIELDS)))
+    whole = F.col("user_id").isNotNull() & F.col("operation_id").isNotNull() & F.col("ingested_at").isNotNull() & F.col("encrypted_pii").isNotNull() & F.forall("pii_fields", lambda f: f["encrypted_value"].isNotNull())
+    day = F.try_to_timestamp(F.substring("ingested_at", 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    return rows.withColumn("day", day).withColumn("bad", F.col("_corrupt_record").isNotNull() | ~whole | F.col("day").isNull()).drop("_corrupt_record", "raw")
+
+
+def record_batch(out: str, dead: str) -> Callable[[DataFrame, int], None]:
+    """Records in wire form into the raw table, each once for its tenant, user and operation, however often it is delivered; of malformed ones a count is left.
+
+    A failing write fails the batch, which comes again. Only the days that a batch holds are read for the comparison.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        sinks.replace_part(batch.where("bad").groupBy(F.lit("malformed").alias("reason")).agg(F.count("*").alias("n")), dead, batch_id, 0)
+        keyed = batch.where("NOT bad").drop("bad").withColumn("tenant_id", F.coalesce("tenant_id", F.lit("")))
+        sinks.append_once(keyed, out, ["tenant_id", "user_id", "operation_id"], "day")
+        batch.unpersist()
+
+    return run
+
+
+def unit_batch(sources: dict[str, tuple[DataFrame, list[str]]], keys: K.KeyTable, vault: str, default_tenant: str) -> Callable[[DataFrame, int], None]:
     """Vault rows of work units (resource_id, user_ids): the users' source rows are read again and only missing fields are added. A unit of a vanished resource is dropped."""
 
     def run(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        for resource, (source, fields) in sources.items():
+        batch.persist()
+        named = [r.resource_id for r in batch.where(F.col("resource_id").isin(list(sources))).select("resource_id").distinct().collect()]
+        for resource in sorted(named):
+            source, fields = sources[resource]
             users = batch.where(F.col("resource_id") == resource).select(F.explode("user_ids").alias("user_id"))
-            schema = ", ".join(f"{c} string" for c in S.NATURAL_KEY)
-            known = spark.read.parquet(vault) if sinks.exists(spark, vault) else spark.createDataFrame([], schema)
-            sinks.append_vault(S.sync(S.reread(source, users), known, keys(), resource, fields, default_tenant), vault)
+            sinks.append_vault(S.sync(S.reread(source, users), S.read_vault(spark, vault), keys, resource, fields, default_tenant), vault)
+        batch.unpersist()
 
     return run
 

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shroud.functions import crypto, text
-from shroud.operators import catalog_drift, discovery, encrypted_copy, ghost_scan, keys, lineage, protect, vault_sync
+from shroud.operators import catalog_drift, discovery, encrypted_copy, ghost_scan, keys, lineage, protect, sync_run, vault_sync
 from shroud.plans.support import written
-from shroud.sources import landing, registry
+from shroud.sources import landing, manifest, registry, sinks
 
 DEK = hashlib.sha256(b"one").hexdigest()
 
@@ -80,27 +80,45 @@ def test_landing_files(spark, tmp_path):
         landing.require_suffix("x.parquet")
 
 
-def test_sync_is_idempotent_and_keeps_tenants_apart(spark, people, some_keys):
+@pytest.fixture
+def key_table(some_keys, tmp_path):
+    table = keys.KeyTable(some_keys.sparkSession, str(tmp_path / "key-table"))
+    sinks.append(some_keys, table.path)
+    return table
+
+
+def test_sync_is_idempotent_and_keeps_tenants_apart(spark, people, key_table):
     none = spark.createDataFrame([], "tenant_id string, user_id string, resource_id string, field_name string")
-    first = written(vault_sync.sync(people, none, some_keys, "r", ["email", "phone"], "t0"), "vault")
-    assert first.count() == 6
-    assert vault_sync.sync(people, first, some_keys, "r", ["email", "phone"], "t0").count() == 0
-    assert vault_sync.sync(people, first, some_keys, "other", ["email"], "t0").count() == 3
+    first = written(vault_sync.sync(people, none, key_table, "r", ["email", "phone"], "t0"), "vault")
+    assert {(r.tenant_id, r.user_id) for r in first.collect()} == {("t1", "u1"), ("t1", "u2"), ("t2", "u1"), ("t1", "u4")}  # u2 is new, u5 shredded
+    assert first.count() == 7 and key_table.read().where("user_id = 'u2'").count() == 1
+    assert vault_sync.sync(people, first, key_table, "r", ["email", "phone"], "t0").count() == 0
+    assert vault_sync.sync(people, first, key_table, "other", ["email"], "t0").count() == 4
     one = first.where("tenant_id = 't1'")
     fields = vault_sync.long_fields(people, "r", ["email"], "t0")
     assert vault_sync.not_yet_synced(fields, one).where("user_id = 'u1'").count() == 1
     assert vault_sync.not_yet_synced(fields, one, tenant_in_key=False).where("user_id = 'u1'").count() == 0
 
 
-def test_wide_copy_never_shows_plain_text(spark, people, some_keys):
+def test_wide_copy_never_shows_plain_text(spark, people, key_table):
     none = spark.createDataFrame([], "tenant_id string, user_id string, resource_id string, field_name string")
-    vault = written(vault_sync.sync(people, none, some_keys, "r", ["email"], "t0"), "vault")
-    copy = encrypted_copy.wide_copy(people.withColumn("born", F.to_date(F.lit("2001-02-03"))), vault, "r", ["email", "phone"]).collect()
+    vault = written(vault_sync.sync(people, none, key_table, "r", ["email"], "t0"), "vault")
+    copy = encrypted_copy.wide_copy(people.withColumn("born", F.to_date(F.lit("2001-02-03"))), vault.unionByName(vault), "r", ["email", "phone"]).collect()
     stored = {(r.tenant_id, r.user_id): r.encrypted_value for r in vault.collect()}
     assert {(r.tenant_id, r.user_id): r.email for r in copy} == stored
     assert {r.phone for r in copy} == {None} and {r.born for r in copy} == {"2001-02-03"}
 
 
+def test_sync_run_writes_copies_of_new_users_only(spark, people, key_table, tmp_path):
+    doc = {"id": "bigquery:p.d.users", "tenantIdColumn": "tenant_id", "userIdColumn": "user_id", "ownerConnector": "manual", "sourceRedactionStrategy": "ENCRYPTED_COPY", "columns": [{"name": "email", "handling": "ENCRYPT"}]}
+    resources = registry.normalise(registry.parse_resources(spark.createDataFrame([(0, json.dumps(doc))], "pos long, value string")))
+    state = spark.createDataFrame([], "resource_id string, last_synced_at timestamp")
+    run = sync_run.Run(spark, lambda _: people, key_table, str(tmp_path / "v"), "t0", str(tmp_path / "copies"))
+    for _ in range(2):
+        assert [(r.status, r.succeeded) for r in run.all(resources, state).collect()] == [("SYNCED", True)]
+    assert spark.read.parquet(str(tmp_path / "v")).count() == spark.read.parquet(str(tmp_path / "copies" / "users_encrypted_raw")).count() == 4
+
+
 def test_incremental_rules(spark):
     import datetime as dt
 
@@ -169,3 +187,26 @@ def test_registry_file(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps(doc))
     got = registry.normalise(registry.read_documents(spark, str(tmp_path / "r.json"))).orderBy("pos").collect()
     assert [(r.id, r.type, r.system, r.tenant_scoped) for r in got] == [("bigquery:a.b.c", "bigquery_table", "bigquery", True), ("x", "external", None, False)]
+    assert registry.file_version(registry.read_documents(spark, str(tmp_path / "r.json"))).first().version == 3
+
+
+def test_approval_under_another_key(spark, tmp_path):
+    node = lambda key: {"resource_type": "model", "name": "m", "schema": "s", "meta": {key: {"mart_manual_review_approved": True}}}
+    (tmp_path / "m.json").write_text(json.dumps({"nodes": {"a": node("privacy"), "b": node("other")}}))
+    approved = lambda **k: {r.node_id: r.approved for r in manifest.read_models(spark, str(tmp_path / "m.json"), **k).collect()}
+    assert approved() == {"a": True, "b": False} and approved(meta_key="other") == {"a": False, "b": True}
+
+
+def test_times_as_iso_text(spark):
+    import datetime as dt
+
+    at = [dt.datetime(2024, 1, 2, 3, 4, 5, 123456), dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 120000), None]
+    rows = spark.createDataFrame([(a,) for a in at], "t timestamp_ntz")
+    got = [tuple(r) for r in rows.select(text.json_safe(F.col("t"), "timestamp_ntz"), text.json_safe(F.col("t").cast("timestamp"), "timestamp")).collect()]
+    assert got == [(a and a.isoformat(),) * 2 for a in at]
+
+
+def test_keys_are_made_once(spark, people, key_table):
+    for _ in range(2):
+        key_table.ensure(people)
+    assert sorted((r.tenant_id, r.user_id) for r in key_table.read().collect()) == [("t1", "u1"), ("t1", "u2"), ("t1", "u4"), ("t1", "u5"), ("t2", "u1")]

@@ -6,34 +6,73 @@ from pyspark.sql import functions as F
 
 from shroud.functions import crypto
 from shroud.operators import keys as K
+from shroud.sources.sinks import append
 from shroud.streaming import landing as T
 
 DEK = "ab" * 32
 
 
-def some_keys(spark):
-    return spark.createDataFrame([("t1", f"u{i}", "v1", "v2", DEK, "ACTIVE") for i in range(6)], "tenant_id string, user_id string, key_id string, encryption_version string, dek_hex string, status string")
+def some_keys(spark, path):
+    """Keys of u0 to u5, the last one shredded."""
+    rows = [("t1", f"u{i}", "v1", "v2", DEK, "SHREDDED" if i == 5 else "ACTIVE") for i in range(6)]
+    table = K.KeyTable(spark, str(path))
+    append(spark.createDataFrame(rows, K.KEY_SCHEMA), table.path)
+    return table
 
 
 def test_landing_files(spark, tmp_path):
     inbound, failed = tmp_path / "inbound", tmp_path / "failed"
     inbound.mkdir()
-    (inbound / "a.csv").write_text("user_id,email\nu1,a@b.com\nu9,no@key.com\n")
+    (inbound / "a.csv").write_text("user_id,email\nu1,a@b.com\nu9,new@user.com\nu5,gone@user.com\n")
     (inbound / "b.csv").write_text("email,plan,user_id\nc@d.com,x,u2\nNA,y,u3\n")
     (inbound / "c.json").write_text('{"user_id": "u4", "email": "e@f.com"}\n{broken\n')
     (inbound / "bad.csv").write_text("userId,age\nu5,3\n")
     (inbound / "empty.csv").write_text("")
     (inbound / "note.txt").write_text("u5")
-    sink = T.landing_batch("t1", lambda: some_keys(spark), ["email"], str(tmp_path / "out"), str(failed), "landing")
+    keys, side = some_keys(spark, tmp_path / "keys"), str(tmp_path / "side")
+    sink = T.landing_batch("t1", keys, ["email"], str(tmp_path / "out"), str(failed), side, "landing")
     for _ in range(2):
         T.watch_landing(spark, str(inbound), str(tmp_path / "check"), sink, files_per_trigger=2).awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out"))
-    opened = {r.user_id: r.v for r in rows.select("user_id", crypto.open_bundle(F.decode("encrypted_pii", "UTF-8"), F.lit(DEK), F.col("user_id")).alias("v")).collect()}
-    assert opened == {"u1": "a@b.com", "u2": "c@d.com", "u4": "e@f.com"}
+    held = rows.join(K.live(keys.read()).select(*K.KEY, "dek_hex"), K.KEY)
+    opened = {r.user_id: r.v for r in held.select("user_id", crypto.open_bundle(F.decode("encrypted_pii", "UTF-8"), F.col("dek_hex"), F.col("user_id")).alias("v")).collect()}
+    assert opened == {"u1": "a@b.com", "u2": "c@d.com", "u4": "e@f.com", "u9": "new@user.com"}  # a new user has a key and a record, a shredded one has neither
+    assert [r.status for r in keys.read().where("user_id = 'u9'").collect()] == ["ACTIVE"] and keys.read().where("user_id = 'u5'").count() == 1
     assert rows.select("operation_id").distinct().count() == 3
+    lost = {(r.user_id, r.reason) for r in spark.read.parquet(f"{side}/quarantine").collect()}
+    assert lost == {("u3", "missing_field"), ("u5", "no_live_key"), (None, "malformed_line")}
+    kinds = {r.event_type: r["count"] for r in spark.read.parquet(f"{side}/lineage").groupBy("event_type").count().collect()}
+    assert kinds == {"DATA_READ": 3, "DATA_PUBLISHED_TO_TOPIC": 3, "DATA_ENCRYPTED": 4, "DATA_PROVISIONED_TO_SINK": 4}
     assert sorted(os.listdir(inbound)) == ["empty.csv", "note.txt"] and {"bad.csv"} <= {f for f in os.listdir(failed) if not f.startswith(".")}
 
 
+def test_a_landing_batch_that_comes_again(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("user_id,email\nu1,a@b.com\nu9,new@user.com\n")
+    keys, side, out = some_keys(spark, tmp_path / "keys"), str(tmp_path / "side"), str(tmp_path / "out")
+    sink = T.landing_batch("t1", keys, ["email"], out, str(tmp_path / "failed"), side, "landing")
+    taken = os.stat(tmp_path / "a.csv")
+    for _ in range(2):
+        sink(spark.createDataFrame([(f"file:{tmp_path}/a.csv",)], "path string"), 0)
+        (tmp_path / "a.csv").write_text("user_id,email\nu1,a@b.com\nu9,new@user.com\n")
+        os.utime(tmp_path / "a.csv", ns=(taken.st_atime_ns, taken.st_mtime_ns))
+    assert spark.read.parquet(out).count() == 2 and keys.read().where("user_id = 'u9'").count() == 1
+    assert spark.read.parquet(f"{side}/lineage").count() == 6
+
+
+def test_records_come_twice(spark, tmp_path):
+    source = tmp_path / "m"
+    source.mkdir()
+    good = '{"tenant_id":"t1","user_id":"u1","encrypted_pii":"YWJj","operation_id":"o1","ingested_at":"2024-05-06T01:02:03+00:00","pii_fields":[{"field_name":"email","token":"x","encrypted_value":"YWJj"}]}'
+    lines = [good, good.replace("YWJj", "%%%"), good.replace("u1", "u2").replace("2024", "2023"), '{"user_id":"u3"}', "{broken"]
+    for name in "ab":
+        (source / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    out, dead = str(tmp_path / "out"), str(tmp_path / "dead")
+    T.run_once(T.parse_records(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.record_batch(out, dead))
+    rows = sorted(spark.read.parquet(out).collect(), key=lambda r: r.user_id)
+    assert [(r.user_id, bytes(r.encrypted_pii), bytes(r.pii_fields[0].encrypted_value), str(r.day)) for r in rows] == [("u1", b"abc", b"abc", "2024-05-06"), ("u2", b"abc", b"abc", "2023-05-06")]
+    assert spark.read.parquet(dead).agg(F.sum("n")).first()[0] == 6
+
+
 def test_messages_come_twice(spark, tmp_path):
     source = tmp_path / "m"
     source.mkdir()
@@ -42,7 +81,7 @@ def test_messages_come_twice(spark, tmp_path):
     for name in "ab":
         (source / f"{name}.txt").write_text("\n".join(lines) + "\n")
     out, events, dead = (str(tmp_path / n) for n in ("out", "events", "dead"))
-    T.run_once(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.message_batch(lambda: some_keys(spark), out, events, dead))
+    T.run_once(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.message_batch(some_keys(spark, tmp_path / "keys"), out, events, dead))
     assert [(r.tenant_id, r.user_id, r.operation_id) for r in spark.read.parquet(out).collect()] == [("t1", "u1", "o1")]
     assert [tuple(r.payload_keys) for r in spark.read.parquet(events).collect()] == [("email",)]
     reasons = {r.reason: r.n for r in spark.read.parquet(dead).groupBy("reason").agg(F.sum("n").alias("n")).collect()}
@@ -52,22 +91,24 @@ def test_messages_come_twice(spark, tmp_path):
 def test_units_come_twice(spark, tmp_path):
     source = spark.createDataFrame([("t1", f"u{i}", f"m{i}@x.org") for i in range(6)], "tenant_id string, user_id string, email string")
     units = spark.createDataFrame([("r", ["u1", "u2"]), ("gone", ["u3"]), ("r", ["u2", "u5"])], "resource_id string, user_ids array<string>")
-    sink = T.unit_batch({"r": (source, ["email"])}, lambda: some_keys(spark), str(tmp_path / "vault"), "t0")
+    keys = some_keys(spark, tmp_path / "keys")
+    sink = T.unit_batch({"r": (source, ["email"])}, keys, str(tmp_path / "vault"), "t0")
     for batch in range(2):
         sink(units, batch)
     vault = spark.read.parquet(str(tmp_path / "vault"))
-    assert sorted(r.user_id for r in vault.collect()) == ["u1", "u2", "u5"]
-    assert K.live(some_keys(spark)).count() == 6
+    assert sorted(r.user_id for r in vault.collect()) == ["u1", "u2"]  # u5's key is shredded
+    assert keys.read().count() == 6
 
 
 def test_messages_that_share_an_operation(spark, tmp_path):
     message = lambda tenant, user: f'{{"header_tenant":"{tenant}","user_id":"{user}","payload":{{"email":"{user}@b.com"}},"operation_id":"o1"}}'
-    keys = some_keys(spark).unionByName(some_keys(spark).withColumn("tenant_id", F.lit("t2")))
+    keys = some_keys(spark, tmp_path / "keys")
+    append(keys.read().withColumn("tenant_id", F.lit("t2")), keys.path)
     source, want = tmp_path / "m", [("t1", "u1", "o1"), ("t1", "u2", "o1"), ("t2", "u1", "o1")]
     source.mkdir()
-    for name, lines in {"a": want[:2], "b": want, "c": [("t3", "u1", "o1")]}.items():
+    for name, lines in {"a": want[:2], "b": want, "c": want[1:]}.items():
         (source / f"{name}.txt").write_text("\n".join(message(t, u) for t, u, _ in lines) + "\n")
     out, events, dead = (str(tmp_path / n) for n in ("out", "events", "dead"))
-    T.run_once(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.message_batch(lambda: keys, out, events, dead))
+    T.run_once(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.message_batch(keys, out, events, dead))
     for path in (out, events):
         assert sorted((r.tenant_id, r.user_id, r.operation_id) for r in spark.read.parquet(path).collect()) == want
