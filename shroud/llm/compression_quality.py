@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shroud.llm.common import remainder, table, text_slices, texts_of
+from shroud.llm.common import remainder, table, text_slices, texts_of, tidy
 from shroud.llm.ngrams import labelled_sample
 
 #: Dictionary bytes, bytes compressed at a time (a dictionary helps most at the start), level.
@@ -157,7 +157,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), p, pc.cast(pc.greater_equal(p, 0.5), pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -168,7 +168,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFram
         for part, p in score_batches(batches, shared.value):
             yield part.filter(pa.array(p >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def query() -> Callable:

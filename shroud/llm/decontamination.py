@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.llm.common import cut, shared_dir, table, text_slices, texts_of
+from shroud.llm.common import cut, shared_dir, table, text_slices, texts_of, tidy
 from shroud.llm.ngrams import SIGNS
 
 SEED, COVERAGE = 5, 0.8
@@ -205,7 +205,7 @@ def candidates(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame
                 take = pa.array(owner[hit])
                 yield pa.RecordBatch.from_arrays([part.column("key").take(take), part.column("check").take(take), pa.array(h[hit].view(np.int64))], names=["key", "check", "h"])
 
-    rows = docs.select(*text_key(), "text").mapInArrow(hits, "key long, check long, h long").distinct()
+    rows = docs.select(*text_key(), "text").mapInArrow(tidy(hits), "key long, check long, h long").distinct()
     met = rows.join(seeds, "h").groupBy("key", "check", "item", "item_key", "words", "width").agg(F.sum("n").alias("starts"))
     may = met.where(F.col("starts") * F.col("width") >= F.col("words") * F.lit(threshold)).select("key", "check", "item", "item_key")
     return _written(may, "candidates")
@@ -238,7 +238,7 @@ def coverages(docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE
 
     pairs = found.join(items, ["item", "item_key"]).join(texts, ["key", "check"])
     kind = items.schema["item"].dataType.simpleString()
-    return pairs.select("key", "check", "item", "item_text", "text").mapInArrow(tile, f"key long, check long, item_id {kind}, coverage double, tiles long")
+    return pairs.select("key", "check", "item", "item_text", "text").mapInArrow(tidy(tile), f"key long, check long, item_id {kind}, coverage double, tiles long")
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE) -> DataFrame:

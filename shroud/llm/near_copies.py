@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shroud.llm import simhash
-from shroud.llm.common import cut, release, text_slices, texts_of
+from shroud.llm.common import cut, release, text_slices, texts_of, tidy
 from shroud.llm.components import connected_components
 
 #: Bits within which the vantage-point trees search.
@@ -88,7 +88,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     rows = docs.count()
     some = docs.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(max(1, rows // SAMPLE))) == 0)
-    found = some.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
+    found = some.select("text").mapInArrow(tidy(run), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
     found = found.sort_values("h")
     return found["h"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
 
@@ -146,7 +146,7 @@ def _confirmed(pairs: DataFrame, nodes: Nodes) -> DataFrame:
     wanted = cut(nodes.keys.join(named, "rep", "left_semi").select("id", "key", "rep"))
     buckets = wanted.select(_bucket().alias("bucket")).distinct()  # BUCKETS of them at most: most texts that aren't wanted go no further
     texts = nodes.texts.join(F.broadcast(buckets), _bucket() == F.col("bucket"), "left_semi").join(wanted, ["id", "key"])
-    sets = cut(texts.select("rep", "text").mapInArrow(run, "rep long, s array<long>").dropDuplicates(["rep"]))
+    sets = cut(texts.select("rep", "text").mapInArrow(tidy(run), "rep long, s array<long>").dropDuplicates(["rep"]))
     met = pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("s").alias("y")), "b")
     return cut(met.where(_similar(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")))).select("a", "b"))
 
@@ -194,7 +194,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([simhash.majority(s.astype(">i8").tobytes()) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists([sketch(s) for s in sets]), _lists([prefix(s, *order) for s in sets])], names=["id", "key", "fp", "sim", "n", "sketch", "prefix"])
 
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text")
-    made = cut(texts.mapInArrow(run, "id long, key long, fp long, sim long, n int, sketch array<long>, prefix array<long>"))
+    made = cut(texts.mapInArrow(tidy(run), "id long, key long, fp long, sim long, n int, sketch array<long>, prefix array<long>"))
     first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
     sets = cut(first.select("fp", "f.*", "sim", "n", "sketch", "prefix").withColumn("rep", F.monotonically_increasing_id()))
     posts = sets.select("rep", "n", F.posexplode("prefix").alias("i", "h"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from shroud.llm.common import table, text_slices, texts_of
+from shroud.llm.common import table, text_slices, texts_of, tidy
 
 CAPACITY = 2048
 #: Remainders that wait in a task before they are packed.
@@ -234,7 +234,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACIT
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{n} long" for n in names[1:])
-    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, schema)
+    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(tidy(run), schema)
 
 
 def query(tokenizer_file: str) -> Callable:
