@@ -14,7 +14,7 @@ from shroud.llm.common import discard, shared_dir, table
 
 
 #: Words that a worker remembers while it packs: the stages before have left memories of their own in it.
-PACKING_MEMORY = 150_000
+PACKING_MEMORY = 100_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
