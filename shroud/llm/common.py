@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into Python strings at a time (one row at least).
 SLICE_BYTES = 1 << 20
+#: Bytes of rows that go to a Python worker at a time (one row at least).
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +62,13 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return whole
 
 
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Sets spark.sql.execution.arrow.maxBytesPerBatch, where the session has no such setting, to ``most``: Spark and the worker both hold a batch whole, and 10,000 long rows are a large one."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(most))
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder's path below spark.checkpoint.dir, which driver and executors share; ``discard`` deletes it."""
     made = f"{_checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

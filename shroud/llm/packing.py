@@ -199,22 +199,24 @@ class Packer:
 _encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, pool: int = POOL, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, pool: int = POOL, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY, keep: bool = True) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its ids and END_ID; a null text counts as empty, whose single token is END_ID.
     Repeated rows and null ids are documents of their own; other columns aren't read; an empty table
     gives no rows. A very long text is cut into whole windows as any other; of remainders of one length
-    the one that came first goes first. ``memory`` bounds the chunks that a worker remembers. ``capacity`` should be a power of two, so that full sequences need no padding.
+    the one that came first goes first. ``memory`` bounds the chunks that a worker remembers,
+    and without ``keep`` it forgets them and the tokenizer when its task ends. ``capacity`` should be a power of two, so that full sequences need no padding.
     Sequence ids are unique over the table: the task's number times 2**33, and a count.
     """
 
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (tokenizer_file, memory) not in _encoders:
-            _encoders[tokenizer_file, memory] = WordEncoder(tokenizer_file, memory)
-        encoder, packer, kind = _encoders[tokenizer_file, memory], Packer(TaskContext.get().partitionId(), capacity, pool), None
+        encoder = _encoders.get((tokenizer_file, memory)) or WordEncoder(tokenizer_file, memory)
+        if keep:
+            _encoders[tokenizer_file, memory] = encoder
+        packer, kind = Packer(TaskContext.get().partitionId(), capacity, pool), None
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*packer.out, strict=True)) or [()] * 7

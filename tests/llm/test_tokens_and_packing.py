@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shroud.llm import catalog, packing, token_counts
+from shroud.llm.common import small_batches
 
 sentencepiece = pytest.importorskip("sentencepiece")
 tokenizers = pytest.importorskip("tokenizers")
@@ -56,9 +57,9 @@ def test_closest_fill(counts, capacity):
     assert sum(n * k for n, k in chosen.items()) == max(sums)
 
 
-@pytest.mark.parametrize("pool", [4, 4096])
-def test_packing_keeps_every_id_once(spark, pool):
-    rows = packing.pack_documents(frame(spark), WORDS, pool=pool).collect()
+@pytest.mark.parametrize(("pool", "keep"), [(4, True), (4096, False)])
+def test_packing_keeps_every_id_once(spark, pool, keep):
+    rows = packing.pack_documents(frame(spark), WORDS, pool=pool, keep=keep).collect()
     documents, sequences = {}, {}
     for r in rows:
         documents.setdefault((r.doc_id, r.doc_tokens), []).append(r)
@@ -84,3 +85,16 @@ def test_packing_keeps_every_id_once(spark, pool):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert token_counts.count_tokens(none, PIECES).collect() == packing.pack_documents(none, WORDS).collect() == []
+
+
+def test_small_batches_leave_a_setting_as_it_is(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        small_batches(spark, 1000)
+        small_batches(spark, 2000)
+        assert spark.conf.get(name) == "1000"
+        assert packing.pack_documents(frame(spark), WORDS).count() >= len(TEXTS)
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
