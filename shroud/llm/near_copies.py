@@ -7,8 +7,9 @@ such a tree can be pruned, so an exact way takes what lies beyond the trees' rea
 are put in one order for all texts, rare ones first; of two sets that are similar enough, the first fifth
 of one and of the other share a shingle, so sets meet by the shingles of their prefixes only. The order
 takes common shingles from a bounded sample; a poor order costs time, never a pair. Each set is compared
-with the smallest one it meets at a shingle; what is linked then isn't compared again, so a large group
-of near copies costs a number of pairs in line with its size.
+with the smallest one it meets at a shingle, and what stays outside the shingle's largest component with
+PIVOTS sets in it; what is linked then isn't compared again, so of a large group of near copies few are left
+for the join of all pairs between components, which loses no link.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from shroud.llm.components import connected_components
 REACH = 2
 #: Words of a shingle. Sets link if their intersection is at least four fifths of their union.
 WIDTH = 5
+#: Sets of a shingle's largest component with which the other sets are compared before the exact join.
+PIVOTS = 4
 #: Rows from which common shingles are taken, and how many of those tasks are told, at most.
 SAMPLE, COMMON = 1 << 12, 1 << 18
 #: Buckets of text hashes of which tasks are told, at most.
@@ -159,6 +162,17 @@ def tree_links(sets: DataFrame, nodes: Nodes) -> DataFrame:
     return _confirmed(same.unionByName(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), nodes)
 
 
+def _labelled(shared: DataFrame, near: DataFrame) -> DataFrame:
+    """The posts with the ``label`` of their set's component under the edges ``near``."""
+    group = connected_components(near).withColumnRenamed("component", "label")
+    return cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", "first", F.coalesce("label", F.col("p.rep")).alias("label")))
+
+
+def _several(held: DataFrame) -> DataFrame:
+    """The shingles that sets of several components hold, with the component that most of them are in."""
+    return held.groupBy("h").agg(F.mode("label", True).alias("main"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("h", "main")
+
+
 def links(posts: DataFrame, nodes: Nodes, known: DataFrame) -> DataFrame:
     """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i); ``known`` are edges found before.
 
@@ -170,11 +184,12 @@ def links(posts: DataFrame, nodes: Nodes, known: DataFrame) -> DataFrame:
     shared = cut(several.join(several.groupBy("h").agg(F.min("p").alias("first")), "h"))
     met = shared.where("p.rep <> first.rep").where(_may("first", "p")).select(F.least("first.rep", "p.rep").alias("a"), F.greatest("first.rep", "p.rep").alias("b"))
     near = cut(known.unionByName(_confirmed(met.join(known, ["a", "b"], "left_anti"), nodes)))
-    group = connected_components(near).withColumnRenamed("component", "label")
-    held = shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", "first", F.coalesce("label", F.col("p.rep")).alias("label"))
-    held = cut(held)
-    most = held.groupBy("h").agg(F.mode("label", True).alias("main"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("h", "main")
-    rest = held.join(most, "h").where("label <> main AND p.rep <> first.rep").select("h", F.col("p").alias("q"), F.col("label").alias("other"))
+    held = _labelled(shared, near)
+    main = held.join(_several(held), "h").where("label = main").groupBy("h", "main").agg(F.array([F.min_by("p", F.xxhash64("p.rep", F.lit(k))) for k in range(PIVOTS)]).alias("pivots"))
+    tried = held.join(main, "h").where("label <> main").select("p", F.explode("pivots").alias("q")).where(_may("p", "q"))
+    near = cut(near.unionByName(_confirmed(tried.select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")), nodes)))
+    held = _labelled(shared, near)
+    rest = held.join(_several(held), "h").where("label <> main AND p.rep <> first.rep").select("h", F.col("p").alias("q"), F.col("label").alias("other"))
     pairs = held.where("p.rep <> first.rep").join(rest, "h").where("label <> other").where(_may("p", "q"))
     return near.unionByName(_confirmed(pairs.select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")), nodes))
 
