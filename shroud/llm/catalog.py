@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from shroud.llm import compression_quality, decontamination, hard_negatives, language_id, media_jpeg, packing, periodic_runs, simhash, token_counts, toxicity, url_filter, warc
+from shroud.llm import compression_quality, decontamination, hard_negatives, language_id, maxent_lm, media_jpeg, packing, periodic_runs, simhash, token_counts, toxicity, url_filter, warc
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -32,6 +32,7 @@ def queries() -> dict[str, Callable]:
         "op8_url_filter": url_filter.query(),
         "op9_toxicity": toxicity.query(),
         "op10_language": language_id.query(),
+        "op11_maxent_lm": maxent_lm.query(),
         "op12_hard_negatives": hard_negatives.query(),
         "op13_periodic_runs": periodic_runs.query(),
     }
