@@ -6,10 +6,12 @@ confirmed on the whole sets. Sets of a similarity near 0.8 lie up to 20 bits apa
 such a tree can be pruned, so an exact way takes what lies beyond the trees' reach: the shingles of a set
 are put in one order for all texts, rare ones first; of two sets that are similar enough, the first fifth
 of one and of the other share a shingle, so sets meet by the shingles of their prefixes only. The order
-takes common shingles from a bounded sample; a poor order costs time, never a pair. Each set is compared
-with the smallest one it meets at a shingle, and what stays outside the shingle's largest component with
-PIVOTS sets in it; what is linked then isn't compared again, so of a large group of near copies few are left
-for the join of all pairs between components, which loses no link.
+takes common shingles from a bounded sample; a poor order costs time, never a pair.
+
+A large group of near copies is linked by a few pairs of each set before any pairs are listed: a set belongs to
+the hub that it meets most often, and is compared with the hub and some members of its neighbourhood, the
+closest of them by their sketches. What that links is one component; only sets of different components that
+share a shingle are then compared pair by pair, which loses no link.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shroud.llm import simhash
 from shroud.llm.common import cut, release, text_slices, texts_of, tidy
@@ -30,8 +33,8 @@ from shroud.llm.components import connected_components
 REACH = 2
 #: Words of a shingle. Sets link if their intersection is at least four fifths of their union.
 WIDTH = 5
-#: Sets of a shingle's largest component with which the other sets are compared before the exact join.
-PIVOTS = 4
+#: Members of a hub's neighbourhood that stand for it, and how many of them, the closest, a set is compared with.
+PIVOTS, CLOSEST = 12, 2
 #: Rows from which common shingles are taken, and how many of those tasks are told, at most.
 SAMPLE, COMMON = 1 << 12, 1 << 18
 #: Buckets of text hashes of which tasks are told, at most.
@@ -126,24 +129,25 @@ def _folded(sketch: Column, size: Column) -> Column:
 
 
 def _may_reach(pairs: DataFrame, nodes: Nodes) -> DataFrame:
-    """The distinct pairs whose sizes and sketches don't rule 0.8 out: where sketches differ in a bit, the sets differ in a shingle."""
+    """The distinct pairs whose sizes and sketches don't rule 0.8 out, and by how many bits their sketches ``differ``: where they do in a bit, the sets do in a shingle."""
     of = lambda end, *names: nodes.keys.select(F.col("rep").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in names])
     met = pairs.distinct().join(of("a", "n", "sketch"), "a").join(of("b", "n", "sketch"), "b")
     sizes = met.where(_similar(F.col("n_a"), F.col("n_b"), F.least("n_a", "n_b")))
     size = F.least(F.size("sketch_a"), F.size("sketch_b"))
     bits = F.zip_with(_folded(F.col("sketch_a"), size), _folded(F.col("sketch_b"), size), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return sizes.where(9 * F.aggregate(bits, F.lit(0), lambda s, x: s + x) <= F.col("n_a") + F.col("n_b")).select("a", "b")
+    differ = sizes.withColumn("differ", F.aggregate(bits, F.lit(0), lambda s, x: s + x))
+    return differ.where(9 * F.col("differ") <= F.col("n_a") + F.col("n_b")).select("a", "b", "differ")
 
 
 def _confirmed(pairs: DataFrame, nodes: Nodes) -> DataFrame:
-    """The pairs ``a``, ``b`` of ids whose sets reach 0.8: those that sketches leave are compared on sets made again from the texts."""
+    """Those of the pairs ``a``, ``b``, as sketches leave them, whose sets reach 0.8: they are compared on sets made again from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("rep"), _lists([shingle_set(t) for t in texts_of(part, "text")])], names=["rep", "s"])
 
-    pairs = cut(_may_reach(pairs, nodes))
+    pairs = cut(pairs.select("a", "b").distinct())
     release(pairs.sparkSession)
     named = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     wanted = cut(nodes.keys.join(named, "rep", "left_semi").select("id", "key", "rep"))
@@ -154,44 +158,57 @@ def _confirmed(pairs: DataFrame, nodes: Nodes) -> DataFrame:
     return cut(met.where(_similar(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")))).select("a", "b"))
 
 
-def tree_links(sets: DataFrame, nodes: Nodes) -> DataFrame:
-    """Edges ``a``, ``b`` between sets (rep, sim) that reach 0.8, out of those with the same fingerprint or one that the trees reach."""
+def _ends(x: Column, y: Column) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def tree_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of sets (rep, sim) with the same fingerprint or one that the trees reach."""
     prints = cut(sets.groupBy("sim").agg(F.min("rep").alias("first")))
     same = sets.join(prints, "sim").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
     near = simhash.links(prints.select(F.col("sim").alias("fp"), F.col("first").alias("rep")), REACH)
-    return _confirmed(same.unionByName(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), nodes)
+    return same.unionByName(near).select(*_ends(F.col("a"), F.col("b")))
 
 
-def _labelled(shared: DataFrame, near: DataFrame) -> DataFrame:
-    """The posts with the ``label`` of their set's component under the edges ``near``."""
-    group = connected_components(near).withColumnRenamed("component", "label")
-    return cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", "first", F.coalesce("label", F.col("p.rep")).alias("label")))
+def meetings(posts: DataFrame) -> DataFrame:
+    """The posts (h, rep, size n, place i) that may join sets, as ``p`` beside the ``first``, that of the smallest set with the shingle.
 
+    The smaller set of a pair holds a shingle of both within the first ninth of its own, so a shingle
+    that stands there in no set joins none.
+    """
+    all_of = Window.partitionBy("h")
+    seen = posts.select("h", F.struct("n", "rep", "i").alias("p"), F.count("*").over(all_of).alias("many"), F.count_if(F.expr("9 * i <= n")).over(all_of).alias("early"), F.min(F.struct("n", "rep", "i")).over(all_of).alias("first"))
+    return seen.where("many > 1 AND early > 0").select("h", "p", "first")
 
-def _several(held: DataFrame) -> DataFrame:
-    """The shingles that sets of several components hold, with the component that most of them are in."""
-    return held.groupBy("h").agg(F.mode("label", True).alias("main"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("h", "main")
 
+def neighbours(shared: DataFrame, nodes: Nodes) -> DataFrame:
+    """For each set the CLOSEST of its hub and the PIVOTS members that stand for its hub's neighbourhood, as pairs ``a``, ``b``."""
+    own = cut(shared.where("p.rep <> first.rep").where(_may("first", "p")).groupBy("p.rep").agg(F.mode("first.rep", True).alias("hub")))
+    pivots = own.groupBy("hub").agg(F.array_distinct(F.array("hub", *[F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)])).alias("pivots"))
+    tried = own.join(pivots, "hub").select(F.col("rep").alias("a"), F.explode("pivots").alias("b")).where("a <> b")
+    nearest = Window.partitionBy("a").orderBy("differ", "b")
+    return _may_reach(tried, nodes).withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= CLOSEST).select(*_ends(F.col("a"), F.col("b")))
 
-def links(posts: DataFrame, nodes: Nodes, known: DataFrame) -> DataFrame:
-    """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i); ``known`` are edges found before.
 
-    The smaller set of a pair holds a shingle of both within the first ninth of its own, so a shingle
-    that stands there in no set joins none.
+def across(shared: DataFrame, near: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of sets that share a shingle and are in different components under the edges ``near``.
+
+    Of a shingle's sets those outside its largest component are paired with all that aren't in theirs.
     """
-    met = posts.groupBy("h").agg(F.count("*").alias("many"), F.count_if(F.expr("9 * i <= n")).alias("early")).where("many > 1 AND early > 0").select("h")
-    several = cut(posts.join(met, "h").select("h", F.struct("n", "rep", "i").alias("p")))
-    shared = cut(several.join(several.groupBy("h").agg(F.min("p").alias("first")), "h"))
-    met = shared.where("p.rep <> first.rep").where(_may("first", "p")).select(F.least("first.rep", "p.rep").alias("a"), F.greatest("first.rep", "p.rep").alias("b"))
-    near = cut(known.unionByName(_confirmed(met.join(known, ["a", "b"], "left_anti"), nodes)))
-    held = _labelled(shared, near)
-    main = held.join(_several(held), "h").where("label = main").groupBy("h", "main").agg(F.array([F.min_by("p", F.xxhash64("p.rep", F.lit(k))) for k in range(PIVOTS)]).alias("pivots"))
-    tried = held.join(main, "h").where("label <> main").select("p", F.explode("pivots").alias("q")).where(_may("p", "q"))
-    near = cut(near.unionByName(_confirmed(tried.select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")), nodes)))
-    held = _labelled(shared, near)
-    rest = held.join(_several(held), "h").where("label <> main AND p.rep <> first.rep").select("h", F.col("p").alias("q"), F.col("label").alias("other"))
-    pairs = held.where("p.rep <> first.rep").join(rest, "h").where("label <> other").where(_may("p", "q"))
-    return near.unionByName(_confirmed(pairs.select(F.least("p.rep", "q.rep").alias("a"), F.greatest("p.rep", "q.rep").alias("b")), nodes))
+    group = connected_components(near)
+    held = cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", F.coalesce("component", F.col("p.rep")).alias("label")))
+    sizes = held.groupBy("h", "label").agg(F.count("*").alias("sets"))
+    several = sizes.groupBy("h").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("h", "main")
+    rest = held.join(several, "h").where("label <> main").select("h", F.col("p").alias("q"), F.col("label").alias("other"))
+    return held.join(rest, "h").where("label <> other").where(_may("p", "q")).select(*_ends(F.col("p.rep"), F.col("q.rep")))
+
+
+def links(posts: DataFrame, nodes: Nodes, offered: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i); ``offered`` are pairs to try first."""
+    shared = cut(meetings(posts))
+    release(shared.sparkSession)
+    near = _confirmed(neighbours(shared, nodes).unionByName(_may_reach(offered, nodes).select("a", "b")), nodes)
+    return near.unionByName(_confirmed(_may_reach(across(shared, near), nodes), nodes))
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -211,13 +228,15 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text")
     made = cut(texts.mapInArrow(tidy(run), "id long, key long, fp long, sim long, n int, sketch array<long>, prefix array<long>"))
     first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
-    sets = cut(first.select("fp", "f.*", "sim", "n", "sketch", "prefix").withColumn("rep", F.monotonically_increasing_id()))
-    posts = sets.select("rep", "n", F.posexplode("prefix").alias("i", "h"))
-    nodes = Nodes(texts, sets.select("id", "key", "rep", "n", "sketch"))
-    found = connected_components(links(posts, nodes, tree_links(sets, nodes)))
-    label = sets.select("fp", "id", "rep").join(found, F.col("rep") == F.col("node"), "left").select("fp", "id", F.coalesce("component", "rep").alias("group"))
+    sets, rows = cut(first.select(F.col("fp").alias("rep"), "f.*", "sim", "n", "sketch", "prefix")), cut(made.select("id", "key", "fp"))
+    del made, first
+    release(docs.sparkSession)
+    nodes = Nodes(texts, cut(sets.select("id", "key", "rep", "n", "sketch")))
+    offered = cut(tree_pairs(sets.select("rep", "sim")))
+    found = connected_components(links(sets.select("rep", "n", F.posexplode("prefix").alias("i", "h")), nodes, offered))
+    label = nodes.keys.select("rep", "id").join(found, F.col("rep") == F.col("node"), "left").select(F.col("rep").alias("fp"), "id", F.coalesce("component", "rep").alias("group"))
     least = label.groupBy("group").agg(F.min("id").alias("component_id"))
-    return made.select("id", "key", "fp"), cut(label.join(least, "group").select("fp", "component_id"))
+    return rows, cut(label.join(least, "group").select("fp", "component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def test_one_id_with_two_texts(spark):
 def test_empty_tables(spark, tmp_path):
     import __spark_entry__ as entry
 
-    for name in ("documents", "labels", "benchmark", "pages"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name, query in entry.queries().items():
         if name == "pipeline" or name.startswith("op"):
@@ -63,4 +63,4 @@ def test_queries_are_registered(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
