@@ -95,10 +95,11 @@ def redact(metadata: Column, of_bytes: bool = False) -> Column:
 
 
 def json_safe(value: Column, kind: str) -> Column:
-    """Text of a cell: dates and times in ISO form, bytes as UTF-8 with replacements, others as Spark writes them."""
+    """Text of a cell: dates and times in ISO form, an instant with the session's offset, bytes as UTF-8 with replacements, others as Spark writes them."""
     if kind in ("timestamp", "timestamp_ntz"):  # a fraction is shown, with six digits, if there is one
-        whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
-        return F.when(F.date_format(value, "SSSSSS") == "000000", whole).otherwise(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        zone = "xxx" if kind == "timestamp" else ""
+        whole = F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss{zone}")
+        return F.when(F.date_format(value, "SSSSSS") == "000000", whole).otherwise(F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{zone}"))
     if kind == "date":
         return F.date_format(value, "yyyy-MM-dd")
     if kind == "binary":

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shroud.functions.text import json_safe
+from shroud.sources import sinks
 
 
 def wide_copy(source: DataFrame, vault: DataFrame, resource_id: str, fields: list[str], synced_at=None) -> DataFrame:
@@ -24,6 +25,31 @@ def wide_copy(source: DataFrame, vault: DataFrame, resource_id: str, fields: lis
     return rows.select(*plain, *[F.try_element_at("cells", F.lit(f)).alias(f) for f in fields], at.alias("synced_at"))
 
 
+def copy_path(copies: str, resource_id: str) -> str:
+    """Where a resource's copy stands below the folder of copies: named by project, dataset and table, so that tables of one name in two datasets have two."""
+    return f"{copies}/{resource_id.partition(':')[2] or resource_id}_encrypted_raw"
+
+
+def append_copy(spark: SparkSession, source: DataFrame, vault: str, copies: str, resource_id: str, fields: list[str]) -> None:
+    """Appends the wide rows of the users that the stored vault holds for the resource and the copy doesn't, so what an earlier run failed to copy is made up for."""
+    path = copy_path(copies, resource_id)
+    held = spark.read.parquet(vault).where(F.col("resource_id") == resource_id)
+    lacking = held.select("tenant_id", "user_id").distinct()
+    if sinks.exists(spark, path):
+        lacking = lacking.join(spark.read.parquet(path).select("tenant_id", "user_id"), ["tenant_id", "user_id"], "left_anti")
+    wide = source.select("tenant_id", "user_id", *[f for f in fields if f not in ("tenant_id", "user_id")]).join(lacking, ["tenant_id", "user_id"], "left_semi")
+    sinks.append(wide_copy(wide, held, resource_id, fields).withColumn("resource_id", F.lit(resource_id)), path)
+
+
+def made_up_for(spark: SparkSession, source: DataFrame, vault: str, copies: str, resource_id: str, fields: list[str]) -> str | None:
+    """``append_copy``, whose failure never undoes what the vault holds: what went wrong is given back, and the next run makes up for it."""
+    try:
+        append_copy(spark, source, vault, copies, resource_id, fields)
+    except Exception as error:  # noqa: BLE001  the vault is complete without the copy
+        return f"copy: {(str(error).strip().splitlines() or [type(error).__name__])[0][:500]}"
+    return None
+
+
 def latest(copy: DataFrame, user_column: str = "user_id", order: tuple[str, ...] = ("synced_at",)) -> DataFrame:
     """The latest row of each user of an append-only copy."""
     newest = Window.partitionBy(user_column).orderBy(*[F.col(c).desc() for c in order])

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 
 from shroud.functions.crypto import masks
 from shroud.functions.text import non_empty
-from shroud.sources.sinks import append, exists
+from shroud.sources.versions import Versions
 
 KEY = ["tenant_id", "user_id"]
 #: States in which a key must not be used.
@@ -68,19 +68,71 @@ def new_keys(users: DataFrame, keys: DataFrame) -> DataFrame:
 KEY_SCHEMA = "tenant_id string, user_id string, key_id string, encryption_version string, dek_hex string, status string"
 
 
-class KeyTable:
-    """Keys in a Parquet table: read as they are at the moment, and new ones appended for users without any. One writer at a time, or a user may get two keys."""
+#: Buckets of a key table, and folders of one that are merged into one.
+BUCKETS, MERGED = 16, 24
+
+
+def bucket(buckets: int) -> Column:
+    """The bucket of a (tenant, user)."""
+    return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(KEY_SCHEMA).parquet(self.path) if exists(self.spark, self.path) else self.spark.createDataFrame([], KEY_SCHEMA)
+class KeyTable:
+    """Keys in a table with versions, dealt to ``buckets`` folders by a hash of (tenant, user); a larger table wants more of them.
+
+    A batch reads the buckets of its users only. New keys are committed after the version in which their users
+    had none, so of two writers that make a key for the same user the second finds the first one's.
+    """
 
-    def ensure(self, users: DataFrame) -> DataFrame:
-        """All keys, after every (tenant, user) of ``users`` without one got one. New keys are random, so they are written before anyone reads them."""
-        append(new_keys(users, self.read()), self.path)
-        return self.read()
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, path, buckets
+        self.versions = Versions(spark, path, f"{KEY_SCHEMA}, bucket int")
+
+    def read(self, users: DataFrame | None = None) -> DataFrame:
+        """The keys as they are at the moment; with ``users``, those of their buckets."""
+        return self._held(self.versions.newest(), None if users is None else self._buckets(users))
+
+    def _buckets(self, users: DataFrame) -> list[int]:
+        return [r[0] for r in users.select(bucket(self.buckets).alias("b")).distinct().collect()]  # ``buckets`` of them at most
+
+    def _held(self, version: int, found: list[int] | None) -> DataFrame:
+        held = self.versions.read(version)
+        return (held if found is None else held.where(F.col("bucket").isin(found))).drop("bucket")
+
+    def add(self, keys: DataFrame) -> None:
+        """Adds keys, whoever has one already."""
+        name = self._staged(keys)
+        while not self._commit(self.versions.newest(), name):
+            pass
+
+    def ensure(self, users: DataFrame, tries: int = 50) -> DataFrame:
+        """The keys of the users' buckets, after every (tenant, user) of ``users`` without one got one. New keys are random, so they are written before anyone reads them."""
+        found = self._buckets(users.where("user_id IS NOT NULL"))
+        for _ in range(tries):
+            version = self.versions.newest()
+            name = self._staged(new_keys(users, self._held(version, found)))
+            if self.versions.folder(name).isEmpty():
+                self.versions.drop(name)
+                return self._held(version, found)
+            if self._commit(version, name):
+                return self._held(self.versions.newest(), found)
+            self.versions.drop(name)
+        raise RuntimeError(f"{tries} times another writer came first")
+
+    def _staged(self, keys: DataFrame) -> str:
+        dealt = keys.select(*[c.split()[0] for c in KEY_SCHEMA.split(", ")], bucket(self.buckets).alias("bucket"))
+        return self.versions.stage(dealt.repartition("bucket"), ["bucket"])
+
+    def _commit(self, version: int, name: str) -> bool:
+        """Commits a folder; every MERGED folders become one, so a table has few files."""
+        names = [*self.versions.folders(version), name]
+        if len(names) < MERGED:
+            return self.versions.commit(version, names)
+        merged = self._staged(self.versions.folder(*names))
+        if self.versions.commit(version, [merged]):
+            return True
+        self.versions.drop(merged)
+        return False
 
 
 def attach(rows: DataFrame, keys: DataFrame) -> DataFrame:

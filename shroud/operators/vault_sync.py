@@ -6,11 +6,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shroud.functions import crypto
 from shroud.operators import keys as K
-from shroud.sources.sinks import exists
+from shroud.operators.numbering import numbered
+from shroud.sources.sinks import append_vault, exists
 
 UNIT = 100
 VAULT = "tenant_id string, user_id string, key_id string, token string, encrypted_value string, synced_at timestamp, resource_id string, field_name string"
@@ -25,16 +25,14 @@ def changed_users(source: DataFrame, user_column: str, updated_column: str | Non
     return rows.where(F.col(user_column).isNotNull()).select(F.col(user_column).cast("string").alias("user_id")).distinct()
 
 
-def work_units(users: DataFrame, size: int = UNIT, buckets: int = 64) -> DataFrame:
-    """Units of at most ``size`` user ids of each resource, sorted, with a running unit number; ids only, never values.
+def work_units(users: DataFrame, size: int = UNIT) -> DataFrame:
+    """Units of exactly ``size`` user ids of each resource but for its last, in order and with a running unit number; ids only, never values.
 
-    Ids are numbered within ``buckets`` hash buckets of each resource, so no task numbers them all; a bucket's last unit may be short.
+    Ids are numbered by ``numbered``, so no task sees a whole resource.
     """
-    bucket = F.conv(F.substring(F.md5(F.encode("user_id", "UTF-8")), 1, 8), 16, 10).cast("long") % buckets
-    order = Window.partitionBy("resource_id", "bucket").orderBy("user_id")
-    unit = F.floor((F.row_number().over(order) - 1) / size)
-    rows = users.select("resource_id", "user_id").distinct().withColumn("bucket", bucket).withColumn("unit", unit.cast("long"))
-    return rows.groupBy("resource_id", "bucket", "unit").agg(F.array_sort(F.collect_list("user_id")).alias("user_ids"))
+    ids = users.select("resource_id", "user_id").where("user_id IS NOT NULL").distinct()
+    rows = numbered(ids, ["resource_id"], ["user_id"])
+    return rows.groupBy("resource_id", F.floor(F.col("number") / size).cast("long").alias("unit")).agg(F.array_sort(F.collect_list("user_id")).alias("user_ids"))
 
 
 def reread(source: DataFrame, users: DataFrame, user_column: str = "user_id") -> DataFrame:
@@ -74,6 +72,16 @@ def sync(source: DataFrame, vault: DataFrame, keys: K.KeyTable, resource_id: str
     return vault_records(missing, keys.ensure(missing))
 
 
+def sync_users(source: DataFrame, users: DataFrame, vault: str, keys: K.KeyTable, resource_id: str, fields: list[str], default_tenant: str, updated_column: str | None = None) -> None:
+    """Reads the users' source rows again, once, and appends the missing fields to the stored vault."""
+    known = read_vault(source.sparkSession, vault).where(F.col("resource_id") == resource_id)
+    missing = not_yet_synced(long_fields(reread(source, users), resource_id, fields, default_tenant, updated_column), known).persist()
+    try:
+        append_vault(vault_records(missing, keys.ensure(missing)), vault)
+    finally:
+        missing.unpersist()
+
+
 def read_vault(spark: SparkSession, path: str) -> DataFrame:
     """The stored vault, or an empty one before the first row is written."""
     return spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], VAULT)
@@ -106,6 +114,20 @@ def advance(state: DataFrame, runs: DataFrame) -> DataFrame:
     return state.join(latest, "resource_id", "full").select("resource_id", F.greatest("last_synced_at", "mark").alias("last_synced_at"), F.greatest("last_attempt_at", "attempt").alias("last_attempt_at"))
 
 
+OUTCOME = "run_id string, resource_id string, unit_id string, users long, status string, tries int, error string"
+
+
+def unit_id() -> Column:
+    """What names a unit of work: its resource and its users."""
+    return F.sha2(F.concat_ws("\n", "resource_id", F.array_join("user_ids", "\n")), 256)
+
+
+def settled(outcomes: DataFrame) -> DataFrame:
+    """One outcome of each unit of a run, however often it came: COMPLETED if it ever was, else FAILED if that, else DROPPED."""
+    best = F.min(F.struct(F.when(F.col("status") == "COMPLETED", 0).when(F.col("status") == "FAILED", 1).otherwise(2).alias("order"), "status", "error")).alias("o")
+    return outcomes.groupBy("run_id", "resource_id", "unit_id").agg(best).select("run_id", "resource_id", "unit_id", "o.status", "o.error")
+
+
 def run_progress(units: DataFrame) -> DataFrame:
     """Units of each run in total, completed and failed."""
     return units.groupBy("run_id").agg(F.count("*").alias("units"), F.count_if(F.col("status") == "COMPLETED").alias("completed"), F.count_if(F.col("status") == "FAILED").alias("failed"))

@@ -17,6 +17,7 @@ from shroud.operators import keys as K
 from shroud.operators import lineage as L
 from shroud.operators import policy as Y
 from shroud.operators import sync_run as R
+from shroud.operators.sync_state import SyncState
 from shroud.operators import vault_sync as S
 from shroud.plans.fixtures import ctes, frame
 from shroud.plans.protection import HELD
@@ -143,23 +144,21 @@ def inc_sync_run(spark, sf):
 
         return of
 
-    state, out = spark.createDataFrame([], "resource_id string, last_synced_at timestamp, last_attempt_at timestamp"), []
+    state, out = SyncState(spark, work_dir(spark, "state")), []
     for number in range(2):
-        results = R.Run(spark, source(number), keys, vault, "t0").all(resources, state)
+        results = R.Run(spark, source(number), keys, vault, "t0", state).all(resources)
         held = written(spark.read.parquet(vault).groupBy("resource_id").agg(F.count("*").alias("fields")), "held")
         out.append(results.join(held, "resource_id", "left").select(F.lit(number).cast("long").alias("run"), "resource_id", "status", "reason", "units", F.coalesce("fields", F.lit(0)).cast("long").alias("fields")))
-        state = S.advance(state, results)
     return out[0].unionByName(out[1])
 
 
 def inc_sync_one(spark, sf):
     """A run of one resource at a time: of another owner, not declared, and skipped ones."""
     resources = _resources(spark, sf)
-    run = R.Run(spark, lambda resource_id: frame(spark, sf, "users"), key_table(frame(spark, sf, "keys")), work_dir(spark, "one-vault"), "t0")
-    state = spark.createDataFrame([], "resource_id string, last_synced_at timestamp")
+    run = R.Run(spark, lambda resource_id: frame(spark, sf, "users"), key_table(frame(spark, sf, "keys")), work_dir(spark, "one-vault"), "t0", SyncState(spark, work_dir(spark, "state")))
     first = resources.where("owner_connector = 'crm'").agg(F.min("id")).first()[0]
     none = resources.where("owner_connector = 'manual' AND (system IS NULL OR system <> 'bigquery')").agg(F.min("id")).first()[0]
-    return reduce(DataFrame.unionByName, [run.one(resources, i, state) for i in (first, none, "bigquery:a.b.nowhere")]).select("resource_id", "status", "reason", "units")
+    return reduce(DataFrame.unionByName, [run.one(resources, i) for i in (first, none, "bigquery:a.b.nowhere")]).select("resource_id", "status", "reason", "units")
 
 
 def inc_latest_value(spark, sf):
@@ -179,7 +178,7 @@ def joi_reread_users(spark, sf):
 
 def win_work_units(spark, sf):
     users = frame(spark, sf, "users").select(F.concat(F.lit("bigquery:proj.ds."), "tenant_id").alias("resource_id"), "user_id")
-    return S.work_units(users).select("resource_id", "bucket", "unit", F.size("user_ids").cast("long").alias("n"), _JOIN("user_ids").alias("user_ids"))
+    return S.work_units(users).select("resource_id", "unit", F.size("user_ids").cast("long").alias("n"), _JOIN("user_ids").alias("user_ids"))
 
 
 def _runs(spark, sf):
@@ -202,10 +201,6 @@ def inc_advance(spark, sf):
     return out.select("resource_id", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("last_synced_at", "last_attempt_at")])
 
 
-def agg_run_progress(spark, sf):
-    return S.run_progress(_runs(spark, sf))
-
-
 def agg_run_summary(spark, sf):
     return S.run_summary(_runs(spark, sf))
 
@@ -520,23 +515,22 @@ QUERIES = {
     "inc_changed_users": (inc_changed_users, ctes("sync_source") + "SELECT DISTINCT user_id FROM sync_source WHERE updated_at >= TIMESTAMP '2024-01-15 00:00:00' AND user_id IS NOT NULL"),
     "inc_new_records": (inc_new_records, ctes("fields", "users", "keys") + f"""SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, 'v1' AS key_id, CASE WHEN status IS NOT NULL THEN {hmac_sql('dek_hex', 'value')} END AS token, TRUE AS fits, value AS opened
       FROM fields LEFT JOIN keys USING (tenant_id, user_id) WHERE status IS NULL OR status = 'ACTIVE'"""),
-    "inc_sync_run": (inc_sync_run, ctes("sync_resources", "users", "keys") + """, numbered AS (SELECT u.*, CAST(user_id AS BIGINT) % 10 = 3 AS late, CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % 64 AS bucket, coalesce(k.status, 'ACTIVE') AS state FROM users u LEFT JOIN keys k USING (tenant_id, user_id)),
+    "inc_sync_run": (inc_sync_run, ctes("sync_resources", "users", "keys") + """, numbered AS (SELECT u.*, CAST(user_id AS BIGINT) % 10 = 3 AS late, coalesce(k.status, 'ACTIVE') AS state FROM users u LEFT JOIN keys k USING (tenant_id, user_id)),
       runs AS (SELECT CAST(0 AS BIGINT) AS run UNION ALL SELECT 1), pairs AS (SELECT * FROM runs, sync_resources),
-      reads AS (SELECT p.run, p.resource_id, n.bucket, count(*) AS users FROM pairs p JOIN numbered n ON p.k IN (0, 4) AND CASE WHEN p.run = 0 THEN NOT n.late ELSE p.k = 4 OR n.late END GROUP BY 1, 2, 3),
+      reads AS (SELECT p.run, p.resource_id, count(*) AS users FROM pairs p JOIN numbered n ON p.k IN (0, 4) AND CASE WHEN p.run = 0 THEN NOT n.late ELSE p.k = 4 OR n.late END GROUP BY 1, 2),
       units AS (SELECT run, resource_id, CAST(sum(ceil(users / 100.0)) AS BIGINT) AS units FROM reads GROUP BY 1, 2),
       held AS (SELECT p.run, p.resource_id, count(*) AS fields FROM pairs p JOIN numbered n ON n.state = 'ACTIVE' AND (p.run = 1 OR NOT n.late) AND ((p.k = 0 AND n.email IS NOT NULL) OR (p.k = 4 AND n.phone IS NOT NULL)) GROUP BY 1, 2)
-      SELECT p.run, p.resource_id, CASE p.k WHEN 1 THEN 'ERROR' WHEN 2 THEN 'ERROR' WHEN 3 THEN 'SKIPPED' ELSE 'SYNCED' END AS status, CASE p.k WHEN 1 THEN 'bad_id' WHEN 2 THEN 'FileNotFoundError' WHEN 3 THEN 'other_system' END AS reason, coalesce(units, 0) AS units, coalesce(fields, 0) AS fields
+      SELECT p.run, p.resource_id, CASE p.k WHEN 1 THEN 'ERROR' WHEN 2 THEN 'ERROR' WHEN 3 THEN 'SKIPPED' ELSE 'SYNCED' END AS status, CASE p.k WHEN 1 THEN 'bad_id' WHEN 2 THEN p.resource_id WHEN 3 THEN 'other_system' END AS reason, coalesce(units, 0) AS units, coalesce(fields, 0) AS fields
       FROM pairs p LEFT JOIN units USING (run, resource_id) LEFT JOIN held USING (run, resource_id)"""),
     "inc_sync_one": (inc_sync_one, ctes("registry_raw") + f"""SELECT min(id) AS resource_id, 'ERROR' AS status, 'other_owner' AS reason, CAST(0 AS BIGINT) AS units FROM {_NORMAL} WHERE owner = 'crm'
       UNION ALL SELECT min(id), 'SKIPPED', 'other_system', 0 FROM {_NORMAL} WHERE owner = 'manual' AND (system IS NULL OR system <> 'bigquery') UNION ALL SELECT 'bigquery:a.b.nowhere', 'ERROR', 'not_declared', 0"""),
     "inc_latest_value": (inc_latest_value, ctes("sync_source") + "SELECT tenant_id, user_id, 'bigquery:proj.ds.events' AS resource_id, 'email' AS field_name, arg_max(email, (updated_at, email)) AS value FROM sync_source GROUP BY 1, 2"),
     "joi_not_yet_synced": (joi_not_yet_synced, _ID_FIELDS + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, value FROM fields ANTI JOIN vault_rows USING (tenant_id, user_id, field_name)"),
     "joi_reread_users": (joi_reread_users, ctes("vault_rows") + "SELECT c_custkey, c_name FROM customer WHERE CAST(c_custkey AS VARCHAR) IN (SELECT user_id FROM vault_rows WHERE field_name = 'phone')"),
-    "win_work_units": (win_work_units, ctes("users") + "SELECT resource_id, bucket, unit, count(*) AS n, string_agg(user_id, ',' ORDER BY user_id) AS user_ids FROM (SELECT *, (row_number() OVER (PARTITION BY resource_id, bucket ORDER BY user_id) - 1) // 100 AS unit FROM (SELECT concat('bigquery:proj.ds.', tenant_id) AS resource_id, user_id, CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % 64 AS bucket FROM users)) GROUP BY 1, 2, 3"),
+    "win_work_units": (win_work_units, ctes("users") + "SELECT resource_id, unit, count(*) AS n, string_agg(user_id, ',' ORDER BY user_id) AS user_ids FROM (SELECT concat('bigquery:proj.ds.', tenant_id) AS resource_id, user_id, (row_number() OVER (PARTITION BY tenant_id ORDER BY user_id) - 1) // 100 AS unit FROM users) GROUP BY 1, 2"),
     "inc_advance": (inc_advance, f"""SELECT resource_id, strftime(greatest(s.last_synced_at, r.mark), '%Y-%m-%d %H:%M:%S') AS last_synced_at, strftime(r.attempt, '%Y-%m-%d %H:%M:%S') AS last_attempt_at
       FROM (SELECT concat('res', CAST(i AS VARCHAR)) AS resource_id, CASE WHEN i % 2 = 0 THEN TIMESTAMP '2024-01-01 00:10:00' WHEN i = 5 THEN TIMESTAMP '2025-01-01' END AS last_synced_at FROM range(9) t(i)) s
       FULL JOIN (SELECT resource_id, max(started_at) FILTER (succeeded AND updated_at_column IS NOT NULL) AS mark, max(started_at) AS attempt FROM {_RUNS} GROUP BY 1) r USING (resource_id)"""),
-    "agg_run_progress": (agg_run_progress, f"SELECT run_id, count(*) AS units, count(*) FILTER (WHERE status = 'COMPLETED') AS completed, count(*) FILTER (WHERE status = 'FAILED') AS failed FROM {_RUNS} GROUP BY 1"),
     "agg_run_summary": (agg_run_summary, f"SELECT run_id, resource_id, count(*) FILTER (WHERE status <> 'ERROR') AS queued, count(*) FILTER (WHERE status = 'ERROR') AS errors FROM {_RUNS} GROUP BY 1, 2"),
     "agg_users_synced": (agg_users_synced, _ID_FIELDS + f"SELECT '{RESOURCE}' AS resource_id, count(DISTINCT (tenant_id, user_id)) AS users_synced FROM {_SYNCED}"),
     "joi_wide_copy": (joi_wide_copy, _ID_FIELDS + f"SELECT u.tenant_id, u.user_id, u.plan, max(CASE WHEN s.field_name = 'email' THEN s.value END) AS email, max(CASE WHEN s.field_name = 'phone' THEN s.value END) AS phone FROM users u JOIN {_SYNCED} s ON u.tenant_id = s.tenant_id AND u.user_id = s.user_id GROUP BY 1, 2, 3"),

@@ -29,12 +29,17 @@ def _fields_with_keys(spark, sf):
 
 
 def src_csv(spark, sf):
+    """Cells of text as they are, line breaks in quoted ones too; rows with a cell too many are left out."""
     users = frame(spark, sf, "users")
-    n = F.col("user_id").cast("long") % 6
-    plan = F.when(n == 0, "NA").when(n == 1, "null").when(n == 2, "").when(n == 3, "#N/A").when(n == 4, "None!").otherwise(F.col("plan"))
+    n = F.col("user_id").cast("long")
+    plan = F.when(n % 6 == 0, "NA").when(n % 6 == 1, "null").when(n % 6 == 2, "").when(n % 6 == 3, "#N/A").when(n % 6 == 4, "None!").otherwise(F.col("plan"))
+    note = F.when(n % 5 == 0, F.concat(F.lit('a "'), "plan", F.lit('"\nb, c'))).otherwise(F.lit("x"))
     path = work_dir(spark, "csv")
-    users.select("user_id", F.concat(F.lit("00"), "user_id").alias("code"), "phone", plan.alias("plan")).write.option("header", True).csv(path)
-    return landing.read_csv(spark, path, ["user_id", "code", "phone", "plan"])
+    users.where(n % 9 != 0).select("user_id", F.concat(F.lit("00"), "user_id").alias("code"), "phone", note.alias("note"), plan.alias("plan")).write.option("header", True).option("escape", '"').csv(path)
+    longer = F.concat_ws(",", "user_id", F.lit("00"), F.lit(""), F.lit("x"), "plan", F.lit("one more"))
+    lines = users.where(n % 9 == 0).groupBy(F.floor(n / 5000)).agg(F.array_join(F.collect_list(longer), "\n").alias("lines"))
+    lines.select(F.concat(F.lit("user_id,code,phone,note,plan\n"), "lines").alias("value")).write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    return landing.read_csv(spark, path, ["user_id", "code", "phone", "note", "plan"])
 
 
 def src_ndjson(spark, sf):
@@ -239,7 +244,7 @@ _FIELDS_HELD = "(SELECT f.*, k.dek_hex, k.key_id FROM fields f JOIN live k USING
 _BASE = ctes("fields", "live", "users", "keys")
 
 QUERIES = {
-    "src_csv": (src_csv, ctes("users") + "SELECT user_id, concat('00', user_id) AS code, phone, CASE WHEN CAST(user_id AS BIGINT) % 6 < 4 THEN NULL WHEN CAST(user_id AS BIGINT) % 6 = 4 THEN 'None!' ELSE plan END AS plan FROM users"),
+    "src_csv": (src_csv, ctes("users") + "SELECT user_id, concat('00', user_id) AS code, phone, CASE WHEN CAST(user_id AS BIGINT) % 5 = 0 THEN concat('a \"', plan, '\"', chr(10), 'b, c') ELSE 'x' END AS note, CASE WHEN CAST(user_id AS BIGINT) % 6 < 4 THEN NULL WHEN CAST(user_id AS BIGINT) % 6 = 4 THEN 'None!' ELSE plan END AS plan FROM users WHERE CAST(user_id AS BIGINT) % 9 <> 0"),
     "src_ndjson": (src_ndjson, ctes("users") + "SELECT user_id, email, user_id AS n FROM users WHERE CAST(user_id AS BIGINT) % 50 <> 7"),
     "src_chosen_files": (src_chosen_files, """SELECT concat('inbound/', p_name, CAST(p_partkey AS VARCHAR), CASE p_partkey % 6 WHEN 1 THEN '.json' ELSE '.csv' END) AS name FROM part WHERE p_partkey % 6 IN (0, 1, 4)"""),
     "prj_required_columns": (prj_required_columns, "SELECT CAST(p_size % 8 AS BIGINT) AS kind, count(*) AS files, concat_ws(',', CASE WHEN p_size % 8 // 2 % 2 = 0 THEN 'email' END, CASE WHEN p_size % 8 // 4 % 2 = 0 THEN 'phone' END, CASE WHEN p_size % 2 = 0 THEN 'user_id' END) AS missing FROM part GROUP BY 1, 3"),
@@ -249,7 +254,7 @@ QUERIES = {
     "prj_tenant": (prj_tenant, ctes("users") + f"SELECT user_id, tenant_id AS tenant FROM {MESSAGES}"),
     "prj_rejected_messages": (prj_rejected_messages, ctes("users") + f"SELECT concat('op-', user_id) AS operation_id, CASE WHEN tenant_id IS NULL THEN 'missing_tenant' ELSE 'missing_email' END AS reason FROM {MESSAGES} WHERE tenant_id IS NULL OR email IS NULL"),
     "prj_key_documents": (prj_key_documents, ctes("keys") + "SELECT user_id, tenant_id, CASE CAST(user_id AS BIGINT) % 4 WHEN 1 THEN 'k9' WHEN 3 THEN 'v3' ELSE 'v1' END AS key_id, dek_hex AS dek, CASE CAST(user_id AS BIGINT) % 4 WHEN 2 THEN 'v2' ELSE 'v1' END AS encryption_version, status FROM keys WHERE status = 'ACTIVE'"),
-    "prj_json_safe": (prj_json_safe, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ordered, concat(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S'), CASE o_orderkey % 3 WHEN 1 THEN '.125000' WHEN 2 THEN '.250000' ELSE '' END) AS later, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS state FROM orders"),
+    "prj_json_safe": (prj_json_safe, "SELECT o_orderkey, concat(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S'), '') AS ordered, concat(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S'), CASE o_orderkey % 3 WHEN 1 THEN '.125000' WHEN 2 THEN '.250000' ELSE '' END, '+00:00') AS later, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS state FROM orders"),
     "cry_round_trip": (cry_round_trip, _BASE + f"SELECT tenant_id, user_id, field_name, {hmac_sql('dek_hex', 'value')} AS token, value AS opened, {_b64('(octet_length(encode(value)) + 28)')} AS payload_chars FROM {_FIELDS_HELD}"),
     "cry_wrong_key": (cry_wrong_key, _BASE + f"SELECT user_id, field_name, CAST(NULL AS VARCHAR) AS other_user, CAST(NULL AS VARCHAR) AS other_key FROM {_FIELDS_HELD}"),
     "cry_tokens": (cry_tokens, _BASE + f"SELECT tenant_id, user_id, field_name, {hmac_sql('dek_hex', 'value')} AS token FROM {_FIELDS_HELD}"),

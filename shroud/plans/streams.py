@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shroud.functions import crypto
+from shroud.operators import encrypted_copy as C
 from shroud.operators import keys as K
 from shroud.operators import protect as P
 from shroud.operators import vault_sync as S
@@ -15,31 +16,40 @@ from shroud.sources import sinks
 from shroud.streaming import landing as T
 
 FIELDS = ["email", "phone"]
+#: A resource whose source fails for one user.
+BROKEN = "bigquery:proj.broken.users"
 
 
 def _landed(spark, sf):
-    """CSV and NDJSON files of every tenant, several of a kind, protected by a sink for each; broken lines are counted and a file without the declared columns is moved aside."""
-    out, side, keys = work_dir(spark, "raw"), work_dir(spark, "side"), key_table(frame(spark, sf, "keys"))
+    """CSV and NDJSON files of every tenant in a folder of its own, protected by one stream; cells hold line breaks, broken lines and rows with a cell too many are counted, and files without the declared columns are moved aside."""
+    out, side, keys, inbound = work_dir(spark, "raw"), work_dir(spark, "side"), key_table(frame(spark, sf, "keys")), work_dir(spark, "inbound")
     users = frame(spark, sf, "users").repartition(3, "user_id")
     n = F.col("user_id").cast("long")
+    note = F.when(n % 4 == 0, F.concat(F.lit('said "'), "plan", F.lit('",\nand left'))).otherwise(F.col("plan")).alias("note")
+    users.where((n % 2 == 0) & (n % 100 != 8)).select("tenant_id", "user_id", note, "email", "phone").write.partitionBy("tenant_id").option("header", True).option("escape", '"').csv(inbound)
+    users.where(n % 2 == 0).select("tenant_id", "user_id").write.partitionBy("tenant_id").mode("append").option("header", True).csv(inbound)
     line = F.when(n % 50 == 7, F.lit('{"user_id": broken')).otherwise(F.to_json(F.struct("user_id", "email", "phone")))
-    for tenant in [r.tenant_id for r in users.select("tenant_id").distinct().collect()]:  # five
-        inbound, own = work_dir(spark, "inbound"), users.where(F.col("tenant_id") == tenant)
-        own.where(n % 2 == 0).select("user_id", "email", "phone").write.option("header", True).csv(inbound)
-        own.where(n % 2 == 1).select(line.alias("value")).write.mode("append").format("text").save(f"{inbound}-lines")
-        own.where(n % 2 == 0).select("user_id").write.mode("append").option("header", True).csv(inbound)
-        _as_json(spark, f"{inbound}-lines", inbound)
-        sink = T.landing_batch(tenant, keys, FIELDS, out, work_dir(spark, "failed"), side, "landing")
-        T.watch_landing(spark, inbound, work_dir(spark, "check"), sink).awaitTermination()
+    _moved(spark, users.where(n % 2 == 1).select("tenant_id", line.alias("value")), inbound, ".json")
+    longer = F.concat_ws(",", "user_id", F.coalesce("email", F.lit("")), F.coalesce("phone", F.lit("")), F.lit("one more"))
+    rows = F.concat(F.lit("user_id,email,phone\n"), F.array_join(F.sort_array(F.collect_list(longer)), "\n"))
+    _moved(spark, users.where(n % 100 == 8).groupBy("tenant_id", F.floor(n / 5000).alias("g")).agg(rows.alias("value")).drop("g"), inbound, ".csv")
+    tenant = lambda path: F.regexp_extract(path, "tenant_id=([^/]+)", 1)
+    sink = T.landing_batch(tenant, keys, FIELDS, out, work_dir(spark, "failed"), side, "landing")
+    T.watch_landing(spark, f"{inbound}/*", work_dir(spark, "check"), sink).awaitTermination()
     return out, side, keys
 
 
-def _as_json(spark, lines, inbound):
-    """Moves files of text to the landing folder, with the suffix that it takes."""
-    fs, folder = sinks.hadoop_path(spark, lines)
-    for number, status in enumerate(fs.listStatus(folder)):
-        if status.getPath().getName().startswith("part-"):
-            fs.rename(status.getPath(), sinks.hadoop_path(spark, f"{inbound}/lines-{number}.json")[1])
+def _moved(spark, texts, inbound, suffix):
+    """Writes texts (tenant_id, value) as files with a suffix into the tenants' landing folders."""
+    drafts = work_dir(spark, "drafts")
+    texts.write.partitionBy("tenant_id").option("maxRecordsPerFile", 1 if suffix == ".csv" else 0).text(drafts)
+    fs, folder = sinks.hadoop_path(spark, drafts)
+    for tenant in fs.listStatus(folder):
+        for number, status in enumerate(fs.listStatus(tenant.getPath()) if tenant.isDirectory() else []):
+            if status.getPath().getName().startswith("part-"):
+                _, place = sinks.hadoop_path(spark, f"{inbound}/{tenant.getPath().getName()}/moved-{number}{suffix}")
+                fs.mkdirs(place.getParent())
+                fs.rename(status.getPath(), place)
 
 
 def str_landing(spark, sf):
@@ -65,7 +75,7 @@ def str_records(spark, sf):
     line = F.when(n % 40 == 3, F.lit("{broken")).when(n % 40 == 4, F.to_json(F.struct("tenant_id", "user_id"))).otherwise(F.to_json(F.struct("*")))
     for _ in range(2):
         P.wire(_records(spark, sf)).select(line.alias("value")).write.mode("append").text(source)
-    T.run_once(T.parse_records(spark.readStream.option("maxFilesPerTrigger", 1).text(source)), work_dir(spark, "check"), T.record_batch(out, dead))
+    T.take_records(T.parse_records(spark.readStream.option("maxFilesPerTrigger", 2).text(source)), work_dir(spark, "check"), out, dead)
     rows = spark.read.parquet(out).join(K.live(frame(spark, sf, "keys")).select(*K.KEY, "dek_hex"), K.KEY)
     lost = spark.read.parquet(dead).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("malformed"))
     opened = crypto.open_bundle(F.decode("encrypted_pii", "UTF-8"), F.col("dek_hex"), F.col("user_id"))
@@ -80,31 +90,45 @@ def str_messages(spark, sf):
     for _ in range(2):
         _messages(spark, sf).select(line.alias("value")).write.mode("append").text(source)
     stream = T.parse_messages(spark.readStream.text(source))
-    T.run_once(stream, work_dir(spark, "check"), T.message_batch(keys, out, events, dead))
+    T.take_messages(stream, work_dir(spark, "check"), keys, out, events, dead)
     rows = spark.read.parquet(out).join(K.live(keys.read()).select(*K.KEY, "dek_hex"), K.KEY)
     return rows.select("tenant_id", "user_id", "operation_id", crypto.open_bundle(F.col("encrypted_pii"), F.col("dek_hex"), F.col("user_id")).alias("opened"))
 
 
-def str_units(spark, sf):
-    """Work units as JSON lines into the vault; units that come again, and those of a vanished resource, add nothing."""
-    keys = key_table(frame(spark, sf, "keys"))
-    units_dir, vault = work_dir(spark, "units"), work_dir(spark, "vault")
-    users = frame(spark, sf, "users").select(F.lit(RESOURCE).alias("resource_id"), "user_id")
-    units = S.work_units(users).select("resource_id", "user_ids")
+def _units(spark, sf):
+    """A sync run that only writes units of work, and a stream that takes them: they come twice, one resource has vanished, and the source of another breaks on one user."""
+    keys, folder, vault, outcomes, dead, copies = key_table(frame(spark, sf, "keys")), *(work_dir(spark, p) for p in ("units", "unit-vault", "outcomes", "dead", "copies"))
+    users = frame(spark, sf, "users")
+    broken = users.withColumn("email", F.when(F.col("user_id") == "3", F.raise_error(F.lit("no such row"))).otherwise(F.col("email")))
+    units = S.work_units(users.select(F.explode(F.array(F.lit(RESOURCE), F.lit(BROKEN), F.lit("gone"))).alias("resource_id"), "user_id")).withColumn("run_id", F.lit("run-1"))
     for _ in range(2):
-        units.write.mode("append").json(units_dir)
-    units.limit(1).withColumn("resource_id", F.lit("gone")).write.mode("append").json(units_dir)
-    stream = spark.readStream.schema("resource_id string, user_ids array<string>").option("maxFilesPerTrigger", 4).json(units_dir)
-    sources = {RESOURCE: (frame(spark, sf, "users"), FIELDS)}
-    T.run_once(stream, work_dir(spark, "check"), T.unit_batch(sources, keys, vault, "t0"))
-    rows = spark.read.parquet(vault).join(frame(spark, sf, "keys").select(*K.KEY, F.lit(True).alias("known")), K.KEY, "left")
-    return rows.select("tenant_id", "user_id", "resource_id", "field_name", F.when(F.col("known"), F.col("token")).alias("token"))
+        units.select("run_id", "resource_id", "user_ids").write.mode("append").json(folder)
+    stream = spark.readStream.schema("run_id string, resource_id string, user_ids array<string>").option("maxFilesPerTrigger", 16).json(folder)
+    sources = {RESOURCE: (users, FIELDS), BROKEN: (lambda: broken, ["email"])}
+    T.run_once(stream, work_dir(spark, "check"), T.unit_batch(sources, keys, vault, "t0", outcomes, dead, copies))
+    return vault, outcomes, dead, copies
+
+
+def str_units(spark, sf):
+    """Vault rows of work units; units that come again, those of a vanished resource and the one that fails add nothing."""
+    vault, _, _, copies = _units(spark, sf)
+    copied = spark.read.parquet(C.copy_path(copies, RESOURCE)).select(F.lit(RESOURCE).alias("resource_id"), *K.KEY, F.lit(True).alias("copied"))
+    rows = spark.read.parquet(vault).join(frame(spark, sf, "keys").select(*K.KEY, F.lit(True).alias("known")), K.KEY, "left").join(copied, ["resource_id", *K.KEY], "left")
+    wanted = rows.where(F.col("resource_id") == RESOURCE)
+    return wanted.select("tenant_id", "user_id", "resource_id", "field_name", F.when(F.col("known"), F.col("token")).alias("token"), F.coalesce("copied", F.lit(False)).alias("copied"))
+
+
+def agg_run_progress(spark, sf):
+    """Progress of a run from the outcomes that the stream of its units left, each unit once."""
+    _, outcomes, dead, _ = _units(spark, sf)
+    again = spark.read.json(dead).select(F.explode("user_ids").alias("u")).distinct().agg(F.count("*").alias("users_to_send_again"))
+    return S.run_progress(S.settled(spark.read.schema(S.OUTCOME).parquet(outcomes))).crossJoin(again)  # one row
 
 
 _BASE = ctes("fields", "live", "users", "keys")
 #: Users whose key isn't gone, with what is known of their key; others get a new one.
 _KEYED = "(SELECT u.*, CAST(user_id AS BIGINT) AS n, k.dek_hex, k.status FROM users u LEFT JOIN keys k USING (tenant_id, user_id))"
-_READ = "NOT (n % 2 = 1 AND n % 50 = 7)"
+_READ = "(NOT (n % 2 = 1 AND n % 50 = 7) AND n % 100 <> 8)"
 _SHOWN = "(status IS NULL OR status = 'ACTIVE')"
 QUERIES = {
     "str_landing": (str_landing, _BASE + f"SELECT tenant_id, user_id, CASE WHEN status IS NOT NULL THEN {hmac_sql('dek_hex', 'email')} END AS email_token, email AS opened, CAST(2 AS BIGINT) AS n_fields FROM {_KEYED} WHERE {_SHOWN} AND {_READ} AND {ACCEPTED}"),
@@ -114,5 +138,7 @@ QUERIES = {
       UNION ALL SELECT 'lineage', w, count(*) FROM k, (VALUES ('DATA_PUBLISHED_TO_TOPIC'), ('DATA_ENCRYPTED'), ('DATA_PROVISIONED_TO_SINK')) v(w) WHERE whole AND fine AND {_SHOWN} GROUP BY w"""),
     "str_records": (str_records, _BASE + f"SELECT tenant_id, user_id, 'op-1' AS operation_id, {hmac_sql('dek_hex', 'email')} AS email_token, email AS opened, CAST(2 AS BIGINT) AS n_fields, (SELECT CAST(2 * count(*) AS BIGINT) FROM {HELD} WHERE CAST(user_id AS BIGINT) % 40 IN (3, 4)) AS malformed FROM {HELD} WHERE CAST(user_id AS BIGINT) % 40 NOT IN (3, 4)"),
     "str_messages": (str_messages, _BASE + f"SELECT m.tenant_id, m.user_id, concat('op-', m.user_id) AS operation_id, m.email AS opened FROM {MESSAGES} m LEFT JOIN keys k ON m.tenant_id = k.tenant_id AND m.user_id = k.user_id WHERE {_SHOWN} AND m.tenant_id IS NOT NULL AND m.email IS NOT NULL AND m.n % 40 <> 3"),
-    "str_units": (str_units, _BASE + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, CASE WHEN status IS NOT NULL THEN {hmac_sql('dek_hex', 'value')} END AS token FROM fields LEFT JOIN keys USING (tenant_id, user_id) WHERE {_SHOWN}"),
+    "str_units": (str_units, _BASE + f"SELECT tenant_id, user_id, '{RESOURCE}' AS resource_id, field_name, CASE WHEN status IS NOT NULL THEN {hmac_sql('dek_hex', 'value')} END AS token, TRUE AS copied FROM fields LEFT JOIN keys USING (tenant_id, user_id) WHERE {_SHOWN}"),
+    "agg_run_progress": (agg_run_progress, ctes("users") + """, u AS (SELECT user_id, (row_number() OVER (ORDER BY user_id) - 1) // 100 AS unit FROM users), bad AS (SELECT unit FROM u WHERE user_id = '3'), n AS (SELECT count(DISTINCT unit) AS units FROM u)
+      SELECT 'run-1' AS run_id, 3 * units AS units, 2 * units - (SELECT count(*) FROM bad) AS completed, (SELECT count(*) FROM bad) AS failed, (SELECT count(*) FROM u JOIN bad USING (unit)) AS users_to_send_again FROM n"""),
 }

@@ -2,49 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from shroud.operators.keys import KeyTable
-from shroud.sources.sinks import append, hadoop_path
+from shroud.sources.scratch import discard, work_dir, written  # noqa: F401  the plans take them from here
 
 #: Fixed resource of the derived inputs.
 RESOURCE = "bigquery:proj.ds.users"
 
 
-def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path below the folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    made = f"{(root or 'file://' + tempfile.mkdtemp(prefix='work-')).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    _made.append(made)
-    return made
-
-
-_made: list[str] = []
-
-
-def discard(spark: SparkSession) -> None:
-    """Deletes all that ``work_dir`` named in this process: call it once nothing reads it any more."""
-    while _made:
-        fs, place = hadoop_path(spark, _made.pop())
-        fs.delete(place, True)
-
-
-def written(rows: DataFrame, purpose: str) -> DataFrame:
-    """The rows after they were written as a table: random ciphertext is the same for all that reads it."""
-    path = work_dir(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
-
-
 def key_table(keys: DataFrame) -> KeyTable:
     """A table of the given keys in a folder of its own."""
     made = KeyTable(keys.sparkSession, work_dir(keys.sparkSession, "keys"))
-    append(keys.select("tenant_id", "user_id", "key_id", "encryption_version", "dek_hex", "status"), made.path)
+    made.add(keys)
     return made
 
 

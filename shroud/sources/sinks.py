@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,27 +23,82 @@ def append_once(rows: DataFrame, path: str, key: list[str], by: str | None = Non
     """
     spark, rows = rows.sparkSession, rows.dropDuplicates(key)
     if exists(spark, path):
-        held = spark.read.parquet(path)
+        held = spark.read.schema(rows.schema).parquet(path)  # there may be no row yet
         if by:
             held = held.where(F.col(by).isin([r[0] for r in rows.select(by).distinct().collect()]))
         rows = rows.join(held.select(*key), key, "left_anti")
     append(rows, path, [by] if by else None)
 
 
-def replace_part(rows: DataFrame, path: str, batch: int, part: int) -> None:
-    """Writes one part of a batch of a side table; when the batch comes again the part is replaced."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}/part={part}")
+def replace_part(rows: DataFrame, path: str, batch: int, part: int, partition_by: list[str] | None = None) -> None:
+    """Writes one part of a batch of a table; when the batch comes again the part is replaced."""
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/batch={batch}/part={part}")
 
 
 def purge(spark: SparkSession, path: str, operation_id: str) -> None:
-    """Rewrites a stored table without the rows of one operation. The new files are complete before the old ones go, and rows without an operation stay."""
-    fs, old = hadoop_path(spark, path)
-    _, new = hadoop_path(spark, f"{path}.purged")
-    _, aside = hadoop_path(spark, f"{path}.before-purge")
-    spark.read.parquet(path).where(~F.col("operation_id").eqNullSafe(operation_id)).write.mode("overwrite").parquet(f"{path}.purged")
-    fs.rename(old, aside)
-    fs.rename(new, old)
-    fs.delete(aside, True)
+    """Takes the rows of one operation out of a stored table; rows without an operation stay.
+
+    Only the files that hold such rows are read whole and replaced, each set within its own partition, so other
+    partitions' files aren't touched and the table is always there. What takes the files' place is complete before
+    anything moves, and a list of the files stands until they are gone, so the next call finishes one that was
+    interrupted; a reader that looks meanwhile sees rows that stay twice, never too few.
+    """
+    _finish_purge(spark, path)
+    table = spark.read.parquet(path)
+    taken = F.col("operation_id").eqNullSafe(operation_id)
+    files = [r[0] for r in table.where(taken).select("_metadata.file_path").distinct().collect()]  # names only
+    if not files:
+        return
+    within = [c for c in table.columns if c not in spark.read.parquet(files[0]).columns]
+    rest = spark.read.schema(table.schema).option("basePath", path).parquet(*files).where(~taken)
+    writer = rest.write.mode("overwrite")
+    (writer.partitionBy(*within) if within else writer).parquet(f"{path}/_purge/rows")
+    put_text(spark, f"{path}/_purge/files", json.dumps(files))
+    _finish_purge(spark, path)
+
+
+def _finish_purge(spark: SparkSession, path: str) -> None:
+    """Moves what replaces files to their place and deletes them, if a purge has come so far; else forgets what it wrote."""
+    fs, below = hadoop_path(spark, f"{path}/_purge")
+    if exists(spark, f"{path}/_purge/files"):
+        _, staged = hadoop_path(spark, f"{path}/_purge/rows")
+        for name in _parquet_files(fs, staged):
+            _, target = hadoop_path(spark, f"{path}/{name}")
+            fs.mkdirs(target.getParent())
+            fs.rename(hadoop_path(spark, f"{path}/_purge/rows/{name}")[1], target)
+        for name in json.loads(get_text(spark, f"{path}/_purge/files")):
+            fs.delete(hadoop_path(spark, name)[1], False)
+    fs.delete(below, True)
+
+
+def _parquet_files(fs, folder) -> list[str]:
+    """Paths of the Parquet files below a folder, relative to it."""
+    found, listed = [], fs.listFiles(folder, True)
+    while listed.hasNext():
+        place = listed.next().getPath().toString()
+        if place.endswith(".parquet"):
+            found.append(place[place.index(folder.toUri().getPath()) + len(folder.toUri().getPath()) + 1 :])
+    return found
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete once it is there."""
+    fs, place = hadoop_path(spark, path)
+    _, draft = hadoop_path(spark, f"{path}.draft")
+    stream = fs.create(draft, True)
+    stream.write(text.encode())
+    stream.close()
+    fs.rename(draft, place)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    fs, place = hadoop_path(spark, path)
+    stream = fs.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def hadoop_path(spark: SparkSession, path: str):

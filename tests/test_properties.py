@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shroud.functions import crypto, text
-from shroud.operators import catalog_drift, discovery, encrypted_copy, ghost_scan, keys, lineage, protect, sync_run, vault_sync
+from shroud.operators import catalog_drift, discovery, encrypted_copy, ghost_scan, keys, lineage, numbering, protect, sync_run, sync_state, vault_sync
 from shroud.plans.support import written
 from shroud.sources import landing, manifest, registry, sinks
 
@@ -83,7 +83,7 @@ def test_landing_files(spark, tmp_path):
 @pytest.fixture
 def key_table(some_keys, tmp_path):
     table = keys.KeyTable(some_keys.sparkSession, str(tmp_path / "key-table"))
-    sinks.append(some_keys, table.path)
+    table.add(some_keys)
     return table
 
 
@@ -109,14 +109,136 @@ def test_wide_copy_never_shows_plain_text(spark, people, key_table):
     assert {r.phone for r in copy} == {None} and {r.born for r in copy} == {"2001-02-03"}
 
 
+def declared(spark, *ids):
+    doc = {"tenantIdColumn": "tenant_id", "userIdColumn": "user_id", "ownerConnector": "manual", "sourceRedactionStrategy": "ENCRYPTED_COPY", "columns": [{"name": "email", "handling": "ENCRYPT"}]}
+    return registry.normalise(registry.parse_resources(spark.createDataFrame([(k, json.dumps(doc | {"id": i})) for k, i in enumerate(ids)], "pos long, value string")))
+
+
 def test_sync_run_writes_copies_of_new_users_only(spark, people, key_table, tmp_path):
-    doc = {"id": "bigquery:p.d.users", "tenantIdColumn": "tenant_id", "userIdColumn": "user_id", "ownerConnector": "manual", "sourceRedactionStrategy": "ENCRYPTED_COPY", "columns": [{"name": "email", "handling": "ENCRYPT"}]}
-    resources = registry.normalise(registry.parse_resources(spark.createDataFrame([(0, json.dumps(doc))], "pos long, value string")))
-    state = spark.createDataFrame([], "resource_id string, last_synced_at timestamp")
-    run = sync_run.Run(spark, lambda _: people, key_table, str(tmp_path / "v"), "t0", str(tmp_path / "copies"))
+    """Two tables of one name in two datasets have a copy each."""
+    resources, state = declared(spark, "bigquery:p.d.users", "bigquery:p.e.users"), sync_state.SyncState(spark, str(tmp_path / "state"))
+    run = sync_run.Run(spark, lambda _: people, key_table, str(tmp_path / "v"), "t0", state, str(tmp_path / "copies"))
     for _ in range(2):
-        assert [(r.status, r.succeeded) for r in run.all(resources, state).collect()] == [("SYNCED", True)]
-    assert spark.read.parquet(str(tmp_path / "v")).count() == spark.read.parquet(str(tmp_path / "copies" / "users_encrypted_raw")).count() == 4
+        assert [(r.status, r.succeeded, r.reason) for r in run.all(resources).collect()] == [("SYNCED", True, None)] * 2
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 8
+    for dataset in "de":
+        assert spark.read.parquet(str(tmp_path / "copies" / f"p.{dataset}.users_encrypted_raw")).count() == 4
+
+
+def test_a_copy_that_failed_is_made_up_for(spark, people, key_table, tmp_path, monkeypatch):
+    resources, state = declared(spark, "bigquery:p.d.users"), sync_state.SyncState(spark, str(tmp_path / "state"))
+    run = sync_run.Run(spark, lambda _: people, key_table, str(tmp_path / "v"), "t0", state, str(tmp_path / "copies"))
+    copy = encrypted_copy.wide_copy
+    monkeypatch.setattr(encrypted_copy, "wide_copy", lambda *_: 1 / 0)
+    assert [(r.status, r.reason) for r in run.all(resources).collect()] == [("SYNCED", "copy: division by zero")]
+    monkeypatch.setattr(encrypted_copy, "wide_copy", copy)
+    assert [(r.status, r.reason) for r in run.all(resources).collect()] == [("SYNCED", None)]
+    assert spark.read.parquet(str(tmp_path / "copies" / "p.d.users_encrypted_raw")).count() == spark.read.parquet(str(tmp_path / "v")).count() == 4
+
+
+def test_a_failing_resource_says_why(spark, people, key_table, tmp_path):
+    def source(resource_id):
+        if resource_id.endswith("users"):
+            raise RuntimeError("quota of 7 exceeded\nsecond line")
+        return people
+
+    state = sync_state.SyncState(spark, str(tmp_path / "state"))
+    run = sync_run.Run(spark, source, key_table, str(tmp_path / "v"), "t0", state)
+    assert [(r.resource_id[-5:], r.status, r.reason) for r in run.all(declared(spark, "bigquery:p.d.users", "bigquery:p.d.other")).collect()] == [("other", "SYNCED", None), ("users", "ERROR", "quota of 7 exceeded")]
+    assert [r.resource_id for r in state.read().collect()] == ["bigquery:p.d.other"]  # a failed one is tried again from where it was
+
+
+def test_a_run_that_only_writes_units(spark, people, key_table, tmp_path):
+    state = sync_state.SyncState(spark, str(tmp_path / "state"))
+    run = sync_run.Run(spark, lambda _: people, key_table, str(tmp_path / "v"), "t0", state, units=str(tmp_path / "units"), run_id="r1")
+    run.all(declared(spark, "bigquery:p.d.users"))
+    rows = spark.read.json(str(tmp_path / "units")).collect()
+    assert [(r.run_id, r.resource_id) for r in rows] == [("r1", "bigquery:p.d.users")] and "email" not in rows[0] and not (tmp_path / "v").exists()
+
+
+def test_runs_that_overlap_never_move_a_mark_back(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    state = sync_state.SyncState(spark, str(tmp_path / "state"))
+    result = lambda name, day: spark.createDataFrame([(name, dt.datetime(2024, 1, day), True, "at")], "resource_id string, started_at timestamp, succeeded boolean, updated_at_column string")
+    state.advance(result("a", 5))
+    commit, first = state.versions.commit, []
+
+    def interrupted(after, names):
+        if not first:  # another run commits between this one's read and its commit
+            first.append(after)
+            sync_state.SyncState(spark, str(tmp_path / "state")).advance(result("a", 9))
+            sync_state.SyncState(spark, str(tmp_path / "state")).advance(result("b", 2))
+        return commit(after, names)
+
+    monkeypatch.setattr(state.versions, "commit", interrupted)
+    state.advance(result("a", 7))
+    assert {r.resource_id: r.last_synced_at.day for r in state.read().collect()} == {"a": 9, "b": 2}
+    assert state.versions.newest() == 4
+
+
+def test_two_writers_make_one_key(spark, tmp_path, monkeypatch):
+    mine, other = (keys.KeyTable(spark, str(tmp_path / "keys"), buckets=4) for _ in range(2))
+    users = spark.createDataFrame([("t", f"u{i}") for i in range(30)], "tenant_id string, user_id string")
+    commit, first = mine.versions.commit, []
+
+    def interrupted(after, names):
+        if not first:
+            first.append(after)
+            other.ensure(users.limit(20))
+        return commit(after, names)
+
+    monkeypatch.setattr(mine.versions, "commit", interrupted)
+    held = mine.ensure(users)
+    assert held.count() == held.select("user_id").distinct().count() == other.read().count() == 30
+    assert {r.dek_hex for r in held.collect()} == {r.dek_hex for r in other.read().collect()}
+
+
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    table = keys.KeyTable(spark, str(tmp_path / "keys"), buckets=8)
+    users = spark.createDataFrame([("t", f"u{i}") for i in range(200)], "tenant_id string, user_id string")
+    table.ensure(users)
+    one = table.ensure(users.limit(1))
+    plan = one._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+    read = lambda rows: rows.select(F.input_file_name()).distinct().count()
+    assert 0 < one.count() < 60 and read(one) == 1 and read(table.read()) == 8
+
+
+def test_many_batches_leave_few_files(spark, tmp_path):
+    table = keys.KeyTable(spark, str(tmp_path / "keys"), buckets=2)
+    for k in range(keys.MERGED + 3):
+        table.ensure(spark.createDataFrame([("t", f"u{k}")], "tenant_id string, user_id string"))
+    assert table.read().count() == keys.MERGED + 3 and len(table.versions.folders(table.versions.newest())) < keys.MERGED
+
+
+def test_numbers_have_no_gaps(spark):
+    rows = spark.createDataFrame([(g, i * 37 % 1000) for g, n in (("a", 1000), ("b", 1), (None, 40)) for i in range(n)], "g string, v int").repartition(7)
+    got = numbering.numbered(rows, ["g"], ["v"]).collect()
+    for g in ("a", "b", None):
+        own = sorted((r.number, r.v) for r in got if r.g == g)
+        assert [n for n, _ in own] == list(range(len(own))) and [v for _, v in own] == sorted(v for _, v in own)
+
+
+def test_purge_leaves_other_partitions_alone(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(f"d{i % 3}", f"u{i}", "op" if i in (0, 3) else None if i == 6 else f"o{i}") for i in range(12)], "day string, user_id string, operation_id string")
+    path = str(tmp_path / "t")
+    sinks.append(rows, path, ["day"])
+    files = lambda day: sorted(f.name for f in (tmp_path / "t" / f"day={day}").iterdir() if f.name.endswith(".parquet"))
+    before = files("d1"), files("d2")
+    finish = sinks._finish_purge
+    calls = []
+    monkeypatch.setattr(sinks, "_finish_purge", lambda *a: calls.append(a) or (finish(*a) if len(calls) == 1 else 1 / 0))
+    with pytest.raises(ZeroDivisionError):  # interrupted once all is written
+        sinks.purge(spark, path, "op")
+    assert spark.read.parquet(path).count() == 12
+    monkeypatch.setattr(sinks, "_finish_purge", finish)
+    sinks.purge(spark, path, "op")
+    held = spark.read.parquet(path)
+    assert sorted(r.user_id for r in held.collect()) == sorted(f"u{i}" for i in range(12) if i not in (0, 3))
+    assert (files("d1"), files("d2")) == before and held.where("operation_id IS NULL").count() == 1
+    sinks.purge(spark, path, "nobody's")
+    assert spark.read.parquet(path).count() == 10
 
 
 def test_incremental_rules(spark):
@@ -129,11 +251,12 @@ def test_incremental_rules(spark):
     assert ids(updated_column="at", last_synced=mark, force_full=True) == ids(last_synced=mark) == ids(updated_column="at") == ["1", "2"]
 
 
-def test_units_cover_all_users_once(spark):
-    users = spark.range(950).select(F.lit("r").alias("resource_id"), F.col("id").cast("string").alias("user_id"))
-    units = vault_sync.work_units(users, buckets=3).collect()
-    assert all(0 < len(u.user_ids) <= 100 for u in units)
-    assert sorted(i for u in units for i in u.user_ids) == sorted(str(i) for i in range(950))
+@pytest.mark.parametrize("users,sizes", [(250, [100, 100, 50]), (100, [100]), (101, [100, 1]), (0, [])])
+def test_units_are_full_but_for_the_last(spark, users, sizes):
+    rows = spark.range(users).select(F.lit("r").alias("resource_id"), F.col("id").cast("string").alias("user_id")).repartition(5)
+    units = vault_sync.work_units(rows.unionByName(rows)).orderBy("unit").collect()
+    assert [len(u.user_ids) for u in units] == sizes and [u.unit for u in units] == list(range(len(sizes)))
+    assert [i for u in units for i in u.user_ids] == sorted(str(i) for i in range(users))
 
 
 @pytest.mark.parametrize("cell,kind", [(" a@b.co ", "EMAIL"), ("+1 (415) 555-0100", "PHONE"), ("Ada King Lovelace", "NAME"), ("Ada", None), ("12345", None), ("", None), (None, None), (" a@b.co ", "EMAIL"), ("a@b", None), ("O'Neil Shaw", None)])
@@ -203,7 +326,7 @@ def test_times_as_iso_text(spark):
     at = [dt.datetime(2024, 1, 2, 3, 4, 5, 123456), dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 120000), None]
     rows = spark.createDataFrame([(a,) for a in at], "t timestamp_ntz")
     got = [tuple(r) for r in rows.select(text.json_safe(F.col("t"), "timestamp_ntz"), text.json_safe(F.col("t").cast("timestamp"), "timestamp")).collect()]
-    assert got == [(a and a.isoformat(),) * 2 for a in at]
+    assert got == [(a and a.isoformat(), a and f"{a.isoformat()}+00:00") for a in at]
 
 
 def test_keys_are_made_once(spark, people, key_table):

@@ -2,11 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shroud.functions import crypto
 from shroud.operators import keys as K
-from shroud.sources.sinks import append
+from shroud.operators import vault_sync as S
 from shroud.streaming import landing as T
 
 DEK = "ab" * 32
@@ -16,7 +17,7 @@ def some_keys(spark, path):
     """Keys of u0 to u5, the last one shredded."""
     rows = [("t1", f"u{i}", "v1", "v2", DEK, "SHREDDED" if i == 5 else "ACTIVE") for i in range(6)]
     table = K.KeyTable(spark, str(path))
-    append(spark.createDataFrame(rows, K.KEY_SCHEMA), table.path)
+    table.add(spark.createDataFrame(rows, K.KEY_SCHEMA))
     return table
 
 
@@ -46,19 +47,92 @@ def test_landing_files(spark, tmp_path):
     assert sorted(os.listdir(inbound)) == ["empty.csv", "note.txt"] and {"bad.csv"} <= {f for f in os.listdir(failed) if not f.startswith(".")}
 
 
-def test_a_landing_batch_that_comes_again(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("user_id,email\nu1,a@b.com\nu9,new@user.com\n")
+def landing_sink(spark, tmp_path, fields=("email",)):
     keys, side, out = some_keys(spark, tmp_path / "keys"), str(tmp_path / "side"), str(tmp_path / "out")
-    sink = T.landing_batch("t1", keys, ["email"], out, str(tmp_path / "failed"), side, "landing")
-    taken = os.stat(tmp_path / "a.csv")
-    for _ in range(2):
-        sink(spark.createDataFrame([(f"file:{tmp_path}/a.csv",)], "path string"), 0)
-        (tmp_path / "a.csv").write_text("user_id,email\nu1,a@b.com\nu9,new@user.com\n")
-        os.utime(tmp_path / "a.csv", ns=(taken.st_atime_ns, taken.st_mtime_ns))
+    return keys, side, out, T.landing_batch("t1", keys, list(fields), out, str(tmp_path / "failed"), side, "landing")
+
+
+def files_of(spark, tmp_path, *names):
+    return spark.createDataFrame([(f"file:{tmp_path}/{n}",) for n in names], "path string")
+
+
+def test_a_landing_batch_that_comes_again(spark, tmp_path, monkeypatch):
+    """A batch that fails while its side tables are written is written again whole; one that fails later only disposes of its files."""
+    (tmp_path / "a.csv").write_text("user_id,email\nu1,a@b.com\nu9,new@user.com\n")
+    keys, side, out, sink = landing_sink(spark, tmp_path)
+    written = T.sinks.put_text
+    monkeypatch.setattr(T.sinks, "put_text", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sink(files_of(spark, tmp_path, "a.csv"), 0)
+    assert (tmp_path / "a.csv").exists()
+    monkeypatch.setattr(T.sinks, "put_text", written)
+    sink(files_of(spark, tmp_path, "a.csv"), 0)
+    assert not (tmp_path / "a.csv").exists()
     assert spark.read.parquet(out).count() == 2 and keys.read().where("user_id = 'u9'").count() == 1
     assert spark.read.parquet(f"{side}/lineage").count() == 6
 
 
+def test_a_landing_batch_that_stops_between_its_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("user_id,email\nu1,a@b.com\nu2,NA\n")
+    (tmp_path / "b.json").write_text('{"user_id": "u3", "email": "c@d.com"}\n')
+    (tmp_path / "c.csv").write_text("user_id,age\nu3,1\n")
+    _, side, out, sink = landing_sink(spark, tmp_path)
+    dispose, calls = T.dispose, []
+
+    def second_fails(*given):
+        calls.append(given)
+        if len(calls) == 2:
+            raise OSError("no such host")
+        dispose(*given)
+
+    monkeypatch.setattr(T, "dispose", second_fails)
+    with pytest.raises(OSError):
+        sink(files_of(spark, tmp_path, "a.csv", "b.json", "c.csv"), 0)
+    assert not (tmp_path / "a.csv").exists() and (tmp_path / "b.json").exists()
+    sink(files_of(spark, tmp_path, "b.json", "c.csv"), 0)  # what is still there
+    assert sorted(f for f in os.listdir(tmp_path / "failed") if not f.startswith(".")) == ["c.csv"] and not (tmp_path / "b.json").exists()
+    assert sorted(r.user_id for r in spark.read.parquet(out).collect()) == ["u1", "u3"]
+    assert [(r.user_id, r.reason) for r in spark.read.parquet(f"{side}/quarantine").collect()] == [("u2", "missing_field")]
+    events = spark.read.parquet(f"{side}/lineage")
+    assert events.count() == 8 and {r.source.rpartition("/")[2] for r in events.where("event_type = 'DATA_READ'").collect()} == {"a.csv", "b.json"}
+
+
+def test_a_sink_that_fails_keeps_the_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("user_id,email\nu1,a@b.com\n")
+    _, _, out, sink = landing_sink(spark, tmp_path)
+    append = T.sinks.append_once
+    monkeypatch.setattr(T.sinks, "append_once", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sink(files_of(spark, tmp_path, "a.csv"), 0)
+    assert (tmp_path / "a.csv").exists() and not (tmp_path / "failed").exists()
+    monkeypatch.setattr(T.sinks, "append_once", append)
+    sink(files_of(spark, tmp_path, "a.csv"), 0)
+    assert spark.read.parquet(out).count() == 1 and not (tmp_path / "a.csv").exists()
+
+
+def test_cells_with_line_breaks_and_rows_with_a_cell_too_many(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('user_id,email,n\nu1,a@b.com,1\nu2,"c@\nd.com",2\nu3,"say ""hi""\n, twice",3\nu4,e@f.com,4,EXTRA\nu0,g@h.com\n')
+    (tmp_path / "b.csv").write_text("user_id,email,n\nu5,x@y.com,1,2,3\n")
+    keys, side, out, sink = landing_sink(spark, tmp_path)
+    sink(files_of(spark, tmp_path, "a.csv", "b.csv"), 0)
+    assert sorted(r.user_id for r in spark.read.parquet(out).collect()) == ["u0", "u1"]
+    lost = sorted(((r.user_id, r.reason) for r in spark.read.parquet(f"{side}/quarantine").collect()), key=str)
+    assert lost == [("u2", "malformed_email"), ("u3", "malformed_email"), (None, "malformed_line"), (None, "malformed_line")]
+    assert keys.read().count() == 6  # no piece of a cell became a user
+
+
+def test_one_stream_serves_all_tenants(spark, tmp_path):
+    for tenant, user in (("t1", "u1"), ("t2", "u1"), ("t2", "u7")):
+        folder = tmp_path / "in" / tenant
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{user}.csv").write_text(f"user_id,email\n{user},{user}@{tenant}.com\n")
+    keys, out = some_keys(spark, tmp_path / "keys"), str(tmp_path / "out")
+    sink = T.landing_batch(lambda path: F.element_at(F.split(path, "/"), -2), keys, ["email"], out, str(tmp_path / "failed"), str(tmp_path / "side"), "landing")
+    T.watch_landing(spark, str(tmp_path / "in" / "*"), str(tmp_path / "check"), sink).awaitTermination()
+    assert sorted((r.tenant_id, r.user_id) for r in spark.read.parquet(out).collect()) == [("t1", "u1"), ("t2", "u1"), ("t2", "u7")]
+    assert keys.read().where("tenant_id = 't2'").count() == 2
+
+
 def test_records_come_twice(spark, tmp_path):
     source = tmp_path / "m"
     source.mkdir()
@@ -67,7 +141,7 @@ def test_records_come_twice(spark, tmp_path):
     for name in "ab":
         (source / f"{name}.txt").write_text("\n".join(lines) + "\n")
     out, dead = str(tmp_path / "out"), str(tmp_path / "dead")
-    T.run_once(T.parse_records(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.record_batch(out, dead))
+    T.take_records(T.parse_records(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), out, dead)
     rows = sorted(spark.read.parquet(out).collect(), key=lambda r: r.user_id)
     assert [(r.user_id, bytes(r.encrypted_pii), bytes(r.pii_fields[0].encrypted_value), str(r.day)) for r in rows] == [("u1", b"abc", b"abc", "2024-05-06"), ("u2", b"abc", b"abc", "2023-05-06")]
     assert spark.read.parquet(dead).agg(F.sum("n")).first()[0] == 6
@@ -81,7 +155,7 @@ def test_messages_come_twice(spark, tmp_path):
     for name in "ab":
         (source / f"{name}.txt").write_text("\n".join(lines) + "\n")
     out, events, dead = (str(tmp_path / n) for n in ("out", "events", "dead"))
-    T.run_once(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.message_batch(some_keys(spark, tmp_path / "keys"), out, events, dead))
+    T.take_messages(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), some_keys(spark, tmp_path / "keys"), out, events, dead)
     assert [(r.tenant_id, r.user_id, r.operation_id) for r in spark.read.parquet(out).collect()] == [("t1", "u1", "o1")]
     assert [tuple(r.payload_keys) for r in spark.read.parquet(events).collect()] == [("email",)]
     reasons = {r.reason: r.n for r in spark.read.parquet(dead).groupBy("reason").agg(F.sum("n").alias("n")).collect()}
@@ -92,23 +166,61 @@ def test_units_come_twice(spark, tmp_path):
     source = spark.createDataFrame([("t1", f"u{i}", f"m{i}@x.org") for i in range(6)], "tenant_id string, user_id string, email string")
     units = spark.createDataFrame([("r", ["u1", "u2"]), ("gone", ["u3"]), ("r", ["u2", "u5"])], "resource_id string, user_ids array<string>")
     keys = some_keys(spark, tmp_path / "keys")
-    sink = T.unit_batch({"r": (source, ["email"])}, keys, str(tmp_path / "vault"), "t0")
+    sink = T.unit_batch({"r": (source, ["email"])}, keys, str(tmp_path / "vault"), "t0", str(tmp_path / "outcomes"))
     for batch in range(2):
         sink(units, batch)
     vault = spark.read.parquet(str(tmp_path / "vault"))
     assert sorted(r.user_id for r in vault.collect()) == ["u1", "u2"]  # u5's key is shredded
     assert keys.read().count() == 6
+    settled = S.settled(spark.read.schema(S.OUTCOME).parquet(str(tmp_path / "outcomes")))
+    assert sorted((r.resource_id, r.status) for r in settled.collect()) == [("gone", "DROPPED"), ("r", "COMPLETED"), ("r", "COMPLETED")]
+
+
+def test_a_unit_that_fails_stands_alone(spark, tmp_path):
+    rows = spark.createDataFrame([("t1", f"u{i}", f"m{i}@x.org") for i in range(40)], "tenant_id string, user_id string, email string")
+    source = rows.withColumn("email", F.when(F.col("user_id") == "u13", F.raise_error(F.lit("bad cell"))).otherwise(F.col("email")))
+    units = spark.createDataFrame([("run", r, [f"u{i}", f"u{i + 1}"]) for r in ("bad", "good") for i in range(0, 40, 2)], "run_id string, resource_id string, user_ids array<string>")
+    paths = [str(tmp_path / p) for p in ("vault", "outcomes", "dead", "copies")]
+    sources = {"bad": (source, ["email"]), "good": (lambda: rows, ["email"])}
+    T.unit_batch(sources, some_keys(spark, tmp_path / "keys"), paths[0], "t0", *paths[1:], tries=1)(units, 0)
+    held = spark.read.parquet(paths[0]).groupBy("resource_id").count().collect()
+    assert {r.resource_id: r["count"] for r in held} == {"bad": 37, "good": 39}  # u5's key is shredded
+    progress = S.run_progress(S.settled(spark.read.schema(S.OUTCOME).parquet(paths[1]))).collect()
+    assert [tuple(r) for r in progress] == [("run", 40, 39, 1)]
+    assert "bad cell" in spark.read.schema(S.OUTCOME).parquet(paths[1]).where("status = 'FAILED'").first().error
+    again = spark.read.schema(units.schema).json(paths[2])
+    assert [r.user_ids for r in again.collect()] == [["u12", "u13"]]
+    T.unit_batch({"bad": (rows, ["email"])}, some_keys(spark, tmp_path / "keys"), paths[0], "t0", *paths[1:])(again, 1)
+    assert spark.read.parquet(paths[0]).where("resource_id = 'bad'").count() == 39
+    assert [r.failed for r in S.run_progress(S.settled(spark.read.schema(S.OUTCOME).parquet(paths[1]))).collect()] == [0]
+    assert [spark.read.parquet(f"{paths[3]}/{r}_encrypted_raw").count() for r in ("bad", "good")] == [39, 39]
+
+
+def test_a_stream_remembers_what_it_took(spark, tmp_path):
+    """The same message in a later run of the stream adds nothing, and no batch reads the table of records."""
+    source = tmp_path / "m"
+    source.mkdir()
+    line = '{"header_tenant":"t1","user_id":"u%d","payload":{"email":"a@b.com"},"operation_id":"o1"}'
+    out, events, dead = (str(tmp_path / n) for n in ("out", "events", "dead"))
+    keys = some_keys(spark, tmp_path / "keys")
+    for k, users in enumerate([(1, 2), (2, 3), (3, 1)]):
+        (source / f"{k}.txt").write_text("\n".join(line % u for u in users) + "\n")
+        T.take_messages(T.parse_messages(spark.readStream.text(str(source))), str(tmp_path / "check"), keys, out, events, dead)
+        if k == 1:
+            (tmp_path / "out" / "batch=0").rename(tmp_path / "aside")  # the table is not what is asked
+    assert sorted(r.user_id for r in spark.read.parquet(out).collect()) == ["u3"]
+    assert sorted(r.user_id for r in spark.read.parquet(str(tmp_path / "aside")).collect()) == ["u1", "u2"]
 
 
 def test_messages_that_share_an_operation(spark, tmp_path):
     message = lambda tenant, user: f'{{"header_tenant":"{tenant}","user_id":"{user}","payload":{{"email":"{user}@b.com"}},"operation_id":"o1"}}'
     keys = some_keys(spark, tmp_path / "keys")
-    append(keys.read().withColumn("tenant_id", F.lit("t2")), keys.path)
+    keys.add(keys.read().withColumn("tenant_id", F.lit("t2")))
     source, want = tmp_path / "m", [("t1", "u1", "o1"), ("t1", "u2", "o1"), ("t2", "u1", "o1")]
     source.mkdir()
     for name, lines in {"a": want[:2], "b": want, "c": want[1:]}.items():
         (source / f"{name}.txt").write_text("\n".join(message(t, u) for t, u, _ in lines) + "\n")
     out, events, dead = (str(tmp_path / n) for n in ("out", "events", "dead"))
-    T.run_once(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), T.message_batch(keys, out, events, dead))
+    T.take_messages(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), keys, out, events, dead)
     for path in (out, events):
         assert sorted((r.tenant_id, r.user_id, r.operation_id) for r in spark.read.parquet(path).collect()) == want
