@@ -20,6 +20,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,19 +30,19 @@ from pyspark.sql import functions as F
 
 from shroud.llm.common import cut, release, remainder, shared_dir, table, text_slices, texts_of, tidy
 
-#: Choices of a word's path, and options of each.
-DEPTH, WAYS = 3, 16
+#: Choices of a word's path, and options of each, 4 bits of the slot.
+DEPTH, WAYS, BITS = 3, 16, 4
 #: Slots in all, and those that words share by their last letters.
 SLOTS, SHARED = WAYS**DEPTH, 512
 #: Rows of weights of each feature and choice.
 ROWS_BITS, FEATURES = 15, 3
 ROWS = 1 << ROWS_BITS
 #: Rounds of training, documents' text for a task, words of a gradient step and its rate.
-ROUNDS, TASK_BYTES, STEP, RATE = 2, 32 << 20, 8192, 0.7
+ROUNDS, TASK_BYTES, STEP, RATE = 2, 32 << 20, 1 << 16, 0.7
 #: Frequent words whose counts tasks are told, at most.
 TABLE = 1 << 19
 #: Words that a task counts before it sends them on (those of more than LONG bytes at once), and bytes of words that it remembers.
-COUNTED, MEMORY, LONG = 300_000, 16 << 20, 64
+COUNTED, MEMORY, LONG = 300_000, 48 << 20, 64
 #: Powers of options are bounded by that of this number.
 HIGHEST = np.float32(60)
 #: Rows of weights that are sent together.
@@ -80,7 +81,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         held: Counter = Counter()
         for batch in batches:
             for part in text_slices(batch, "text"):
-                found = Counter(w for t in texts_of(part, "text") for w in words_of(t))
+                found = Counter(chain.from_iterable(map(words_of, texts_of(part, "text"))))
                 if long := {w: n for w, n in found.items() if len(w) > LONG}:
                     yield batch_of(Counter(long))
                     found.subtract(long)
@@ -206,7 +207,7 @@ class Reader:
         if self.held > self.memory:
             self.forget()
         split = [words_of(t) for t in texts]
-        flat = [w for t in split for w in t]
+        flat = list(chain.from_iterable(split))
         if new := list(set(flat).difference(self.index)):
             self._add(new)
         sizes = np.fromiter(map(len, split), np.int64, len(split))
@@ -229,19 +230,24 @@ def rows_of(contexts: list[np.ndarray], slot: np.ndarray) -> list[list[np.ndarra
     """For each choice and feature the row of weights of each token."""
     found = []
     for depth in range(DEPTH):
-        before = (slot // WAYS ** (DEPTH - depth)).astype(np.uint64) * _ODD
+        before = choices(slot, depth).astype(np.uint64) * _ODD
         found.append([((c ^ before) * _MIX >> np.uint64(64 - ROWS_BITS)).astype(np.uint16) for c in contexts])
     return found
 
 
+def choices(slot: np.ndarray, depth: int) -> np.ndarray:
+    """The options taken before a choice, as a number."""
+    return slot >> BITS * (DEPTH - depth)
+
+
 def option(slot: np.ndarray, depth: int) -> np.ndarray:
     """Which option of a choice leads to each slot."""
-    return slot // WAYS ** (DEPTH - 1 - depth) % WAYS
+    return choices(slot, depth + 1) & (WAYS - 1)
 
 
 def choice_powers(weights: np.ndarray, biases: list[np.ndarray], rows: list[np.ndarray], slot: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """For each token the exponential of every option of one choice, and their sum."""
-    z, more = biases[depth][slot // WAYS ** (DEPTH - depth)], np.empty((len(slot), WAYS), np.float32)
+    z, more = np.take(biases[depth], choices(slot, depth), axis=0), np.empty((len(slot), WAYS), np.float32)
     for f, row in enumerate(rows):
         np.take(weights[depth, f], row, axis=0, out=more, mode="clip")
         z += more
