@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into Python strings at a time (one row at least).
 SLICE_BYTES = 1 << 20
+#: Characters of the longest word that a worker remembers: memories are bounded by their number of words, so words must be short.
+LONGEST = 64
 #: Bytes of rows that go to a Python worker at a time (one row at least).
 BATCH_BYTES = 4 << 20
 

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.llm.common import cut, shared_dir, table, text_slices, texts_of, tidy
+from shroud.llm.common import LONGEST, cut, shared_dir, table, text_slices, texts_of, tidy
 from shroud.llm.ngrams import SIGNS
 
 SEED, COVERAGE = 5, 0.8
 #: Bits of the bitmap of seeds: as many for each seed, between the least and the most (16 MB).
 BITS_PER_SEED, LEAST_BITS, MOST_BITS = 256, 1 << 20, 1 << 27
-#: Words whose hash a worker remembers.
+#: Words of at most LONGEST characters whose hash a worker remembers.
 MEMORY = 150_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -40,7 +40,9 @@ class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         from xxhash import xxh64_intdigest
 
-        self[word] = found = xxh64_intdigest(word)
+        found = xxh64_intdigest(word)
+        if len(word) <= LONGEST:
+            self[word] = found
         return found
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shroud.llm.common import cut
+from shroud.llm.common import LONGEST, cut
 
 #: Words whose scores a worker remembers.
 MEMORY = 200_000
@@ -44,24 +44,30 @@ class WordScores:
     def __init__(self, scores: np.ndarray, low: int, high: int, memory: int = MEMORY):
         self.scores, self.low, self.high, self.memory = scores, low, high, memory
         self.index: dict[str, int] = {}
+        self.used = 0  # rows of values
         self.values = np.zeros((0, scores.shape[1]), np.float32)
 
     def of(self, words: list[str]) -> np.ndarray:
         """A row of scores for each word."""
-        if len(self.index) > self.memory:
-            self.index, self.values = {}, self.values[:0]
+        if self.used > self.memory:
+            self.index, self.values, self.used = {}, self.values[:0], 0
         if new := list(set(words).difference(self.index)):
             owner, bucket = word_ngrams(new, self.low, self.high, int(len(self.scores)).bit_length() - 1)
             many = np.maximum(np.bincount(owner, minlength=len(new)), 1)
             made = np.stack([np.bincount(owner, self.scores[bucket, k], len(new)) / many for k in range(self.scores.shape[1])], axis=1)
-            start = len(self.index)
-            self.index.update(zip(new, range(start, start + len(new)), strict=True))
-            if len(self.index) > len(self.values):
-                room = np.zeros((max(len(self.index), 2 * len(self.values)), self.values.shape[1]), np.float32)
+            start = self.used
+            self.used += len(new)
+            self.index.update(zip(new, range(start, self.used), strict=True))
+            if self.used > len(self.values):
+                room = np.zeros((max(self.used, 2 * len(self.values)), self.values.shape[1]), np.float32)
                 room[:start] = self.values[:start]
                 self.values = room
-            self.values[start : start + len(new)] = made
-        return self.values[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
+            self.values[start : self.used] = made
+        found = self.values[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
+        for word in new:
+            if len(word) > LONGEST:
+                del self.index[word]
+        return found
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, most: int, most_bytes: int) -> list[tuple[str, object]]:

@@ -16,13 +16,14 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from shroud.llm.common import table, text_slices, texts_of, tidy
+from shroud.llm.common import LONGEST, table, text_slices, texts_of, tidy
 
 CAPACITY = 2048
 #: Remainders that wait in a task before they are packed.
@@ -77,6 +78,7 @@ class WordEncoder:
         self.memory = memory
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.long: list[str] = []  # learned for this batch only
         with open(tokenizer_file, encoding="utf-8") as file:
             suffix = json.load(file)["model"]["end_of_word_suffix"]
         vocabulary = self.tokenizer.get_vocab()
@@ -97,7 +99,11 @@ class WordEncoder:
         known = self.chunks
         self._learn({c for chunks in split if chunks for c in chunks if c not in known})
         whole = iter(self.tokenizer.encode_batch_fast([t for t, chunks in zip(texts, split, strict=True) if chunks is None], add_special_tokens=False))
-        return [_raw(next(whole).ids) if chunks is None else b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        found = [_raw(next(whole).ids) if chunks is None else b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for memory in (self.chunks, self.words):
+            for word in self.long:
+                memory.pop(word, None)
+        return found
 
     def _learn(self, chunks: set[str]) -> None:
         words, pairs, plain, rest = self.words, [], set(), set()
@@ -115,6 +121,7 @@ class WordEncoder:
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new[at : at + 4000])], add_special_tokens=False)[0].ids, "<u4")
             raw, stops = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             words.update(zip(new[at : at + 4000], [raw[i:j] for i, j in zip([0, *stops], stops, strict=False)], strict=True))
+        self.long = [w for w in chain(chunks, plain, rest) if len(w) > LONGEST]
         signs = sorted(rest.difference(words))
         for chunk, found in zip(signs, self.tokenizer.encode_batch_fast(signs, add_special_tokens=False), strict=True):
             words[chunk] = _raw(found.ids)

@@ -19,9 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from shroud.llm.common import text_slices, texts_of
+from shroud.llm.common import LONGEST, text_slices, texts_of
 
-#: Stretches that a worker remembers.
+#: Stretches of at most LONGEST characters that a worker remembers.
 MEMORY = 500_000
 SPACE = "▁"
 
@@ -45,7 +45,9 @@ class PieceCounter:
 
         class Chunks(dict):
             def __missing__(self, key: str) -> int:
-                self[key] = found = outer._chunk(key if key[:1] == "\n" else SPACE + key)
+                found = outer._chunk(key if key[:1] == "\n" else SPACE + key)
+                if len(key) <= LONGEST:
+                    self[key] = found
                 return found
 
         self.chunks = Chunks()
@@ -73,9 +75,11 @@ class PieceCounter:
         for i in range(1, len(chunk) + 1):
             if i == len(chunk) or chunk[i - 1 : i + 1] not in pairs:
                 part = chunk[start:i]
-                if part not in known:
-                    known[part] = self.merged(part)
-                total += known[part]
+                if (found := known.get(part)) is None:
+                    found = self.merged(part)
+                    if len(part) <= LONGEST:
+                        known[part] = found
+                total += found
                 start = i
         return total
 

@@ -39,9 +39,9 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
 
 
 def best_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
-    """struct(verdict, rule) of the longest rule that fits, null if none does; of equally long ones an allow goes before a block."""
+    """struct(verdict, rule) of the longest rule that fits, null if none does; of equally long ones an allow goes before a block, then the greater as text."""
     found = F.lit(None).cast("struct<verdict:string,rule:string>")
-    for verdict, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == "allow")):  # the last that fits stands
+    for verdict, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == "allow", r[1] + r[2])):  # the last that fits stands
         fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
         found = F.when(fits, F.struct(F.lit(verdict).alias("verdict"), F.lit(rule_host + rule_path).alias("rule"))).otherwise(found)
     return found

@@ -98,3 +98,22 @@ def test_small_batches_leave_a_setting_as_it_is(spark):
         assert packing.pack_documents(frame(spark), WORDS).count() >= len(TEXTS)
     finally:
         spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def test_memories_hold_no_long_words():
+    """A hundred megabytes of words of 5 KB: none is remembered."""
+    from shroud.llm import decontamination, ngrams
+
+    counter, encoder, scores = token_counts.PieceCounter(PIECES), packing.WordEncoder(WORDS), ngrams.WordScores(np.zeros((1 << 10, 1), np.float32), 3, 5)
+    decontamination._hashes.clear()
+    rng = np.random.default_rng(2)
+    base = "".join(chr(c) for c in rng.integers(97, 123, 5000))
+    for k in range(40):
+        texts = [f"{base[i:]}{k}x{i}{base[:i]}" for i in range(500)]
+        if k % 20 == 0:
+            assert counter.count(texts[0]) == len(LIBRARY.encode(texts[0]))
+            assert encoder.encode(texts[:3]) == [np.array(TOKENIZER.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[:3]]
+            assert len(scores.of(texts[:20])) == 20
+        decontamination.seed_hashes(texts, [1])
+    held = [counter.chunks, counter.stretches, encoder.chunks, encoder.words, scores.index, decontamination._hashes]
+    assert sum(len(w) for memory in held for w in memory) < 100_000

@@ -97,3 +97,12 @@ def test_empty_tables(spark, tmp_path):
     none = frame(spark).limit(0)
     assert warc.archive_and_read(spark, none, str(tmp_path / "w")).collect() == []
     assert url_filter.judge(none, url_filter.RULES, str(tmp_path / "f")).collect() == []
+
+
+def test_rules_of_equal_length_in_both_forms(spark):
+    """A list and a table of rules report the same one: an allow first, then the greater as text."""
+    rules = [("block", "a.net", "/x"), ("block", "net", "/xab"), ("allow", "b.net", "/y"), ("block", "net", "/yab")]
+    rows = spark.createDataFrame([("a.net", "/xab"), ("b.net", "/yab"), ("c.org", "/")], "host string, path string")
+    shown = lambda given: sorted((r.host, r.found and tuple(r.found)) for r in url_filter.with_rules(rows, given).collect())
+    for order in (rules, rules[::-1]):
+        assert shown(order) == shown(spark.createDataFrame(order, "verdict string, host string, path string")) == [("a.net", ("block", "net/xab")), ("b.net", ("allow", "b.net/y")), ("c.org", None)]
