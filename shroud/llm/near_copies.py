@@ -10,8 +10,9 @@ takes common shingles from a bounded sample; a poor order costs time, never a pa
 
 A large group of near copies is linked by a few pairs of each set before any pairs are listed: a set belongs to
 the hub that it meets most often, and is compared with the hub and some members of its neighbourhood, the
-closest of them by their sketches. What that links is one component; only sets of different components that
-share a shingle are then compared pair by pair, which loses no link.
+closest of them by their sketches; then components that share a shingle are compared by some members of each.
+Only sets that are in different components after that, and share a shingle, are compared pair by pair, which
+loses no link.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ REACH = 2
 WIDTH = 5
 #: Members of a hub's neighbourhood that stand for it, and how many of them, the closest, a set is compared with.
 PIVOTS, CLOSEST = 12, 2
+#: Members of a component that stand for it at a shingle, and how many pairs of two components, the closest, are compared.
+STANDING, BRIDGES = 3, 4
+#: Posts of a block, about, and how many a task holds at most before it hands them on.
+BLOCK_POSTS, HELD_POSTS = 1 << 16, 1 << 21
 #: Rows from which common shingles are taken, and how many of those tasks are told, at most.
 SAMPLE, COMMON = 1 << 12, 1 << 18
 #: Buckets of text hashes of which tasks are told, at most.
@@ -112,7 +117,7 @@ def _may(a: str, b: str) -> Column:
 
 @dataclass
 class Nodes:
-    """Where the texts of sets are: ``texts`` (id, key, text) and the ``keys`` (id, key, rep, n, sketch) of one text for each set."""
+    """Where the texts of sets are: ``texts`` (id, key, text) and the ``keys`` (id, key, rep, fp, n, sketch) of one text for each set."""
 
     texts: DataFrame
     keys: DataFrame
@@ -170,15 +175,82 @@ def tree_pairs(sets: DataFrame) -> DataFrame:
     return same.unionByName(near).select(*_ends(F.col("a"), F.col("b")))
 
 
-def meetings(posts: DataFrame) -> DataFrame:
-    """The posts (h, rep, size n, place i) that may join sets, as ``p`` beside the ``first``, that of the smallest set with the shingle.
+def _packed(block: int, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([len(columns[0])], pa.int32()), pa.array([b"".join([c.astype("<u4").tobytes() for c in columns])])], names=["block", "many", "data"])
 
-    The smaller set of a pair holds a shingle of both within the first ninth of its own, so a shingle
-    that stands there in no set joins none.
+
+def meetings(sets: DataFrame) -> DataFrame:
+    """Of the shingles ``h`` in the prefixes of ``sets`` (rep, size n, prefix) those that several sets hold: each set with its place i as ``p`` (n, rep, i), beside ``first``, a small set with the shingle.
+
+    Posts travel in packed blocks by ranges of their hash, a few bytes each, and tasks sort block by block. A
+    block has about BLOCK_POSTS; of one that a hot shingle makes larger a task keeps one set for each shingle
+    and hands on the others as they come. 32 bits tell the shingles of a block apart: two that agree
+    in them make sets meet in vain, no more.
     """
-    all_of = Window.partitionBy("h")
-    seen = posts.select("h", F.struct("n", "rep", "i").alias("p"), F.count("*").over(all_of).alias("many"), F.count_if(F.expr("9 * i <= n")).over(all_of).alias("early"), F.min(F.struct("n", "rep", "i")).over(all_of).alias("first"))
-    return seen.where("many > 1 AND early > 0").select("h", "p", "first")
+    total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    bits = max(1, (total // BLOCK_POSTS).bit_length())
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        many = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            h, rep, n, i = (np.concatenate(c) for c in zip(*held, strict=True))
+            block, low = h >> np.uint64(64 - bits), (h << np.uint64(bits)) >> np.uint64(32)
+            order = np.argsort(block, kind="stable")
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(block[order])) + 1, [len(h)]])
+            for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                at = order[start:stop]
+                if len(at):
+                    yield _packed(int(block[at[0]]), low[at], rep[at] & 0xFFFFFFFF, rep[at] >> 32, n[at], i[at])
+
+        for batch in batches:
+            lists = batch.column("prefix")
+            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            of_set = [np.repeat(batch.column(c).to_numpy(), sizes) for c in ("rep", "n")]
+            held.append((lists.flatten().to_numpy().astype(np.uint64), *of_set, np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)))
+            many += len(held[-1][0])
+            if many >= HELD_POSTS // 2:
+                yield from flush()
+                held, many = [], 0
+        if held:
+            yield from flush()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held, at, many = None, [], None, 0
+
+        def settled(last: bool) -> Iterator[pa.RecordBatch]:
+            """Posts whose shingle came twice; keeps the first post of each shingle and whether it was handed on, until the block's end."""
+            nonlocal kept, held, many
+            rows = np.concatenate([*([kept] if kept is not None else []), *held])  # h, n, rep, i, handed on
+            rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+            start = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+            size = np.diff(start, append=len(rows))
+            first, several = np.repeat(start, size), np.repeat(size > 1, size)
+            out = np.flatnonzero(several & (rows[:, 4] == 0))
+            if len(out):
+                p, f = rows[out], rows[first[out]]
+                yield pa.RecordBatch.from_arrays([pa.array((at << 32) | p[:, 0]), *[pa.array(c) for c in (p[:, 1], p[:, 2], p[:, 3], f[:, 1], f[:, 2], f[:, 3])]], names=["h", "n", "rep", "i", "fn", "frep", "fi"])
+            rows[:, 4] |= several
+            kept, held, many = None if last else rows[start], [], 0
+
+        for batch in batches:
+            for block, m, data in zip(batch.column("block").to_pylist(), batch.column("many").to_pylist(), batch.column("data"), strict=True):
+                if block != at and held:
+                    yield from settled(True)
+                if block != at:
+                    kept, at = None, block
+                h, low, high, n, i = np.frombuffer(data.as_buffer(), "<u4").reshape(5, m).astype(np.int64)
+                held.append(np.stack([h, n, high << 32 | low, i, np.zeros(m, np.int64)], axis=1))
+                many += m
+                if many >= HELD_POSTS:
+                    yield from settled(False)
+        if held:
+            yield from settled(True)
+
+    dealt = sets.select("rep", "n", "prefix").mapInArrow(tidy(deal), "block long, many int, data binary")
+    met = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(meet), "h long, n long, rep long, i long, fn long, frep long, fi long")
+    return met.select("h", F.struct("n", "rep", "i").alias("p"), F.struct(F.col("fn").alias("n"), F.col("frep").alias("rep"), F.col("fi").alias("i")).alias("first"))
 
 
 def neighbours(shared: DataFrame, nodes: Nodes) -> DataFrame:
@@ -190,25 +262,50 @@ def neighbours(shared: DataFrame, nodes: Nodes) -> DataFrame:
     return _may_reach(tried, nodes).withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= CLOSEST).select(*_ends(F.col("a"), F.col("b")))
 
 
-def across(shared: DataFrame, near: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of sets that share a shingle and are in different components under the edges ``near``.
+def _held(shared: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The posts with the ``label`` of their set's component under the edges ``near``, and of each shingle with several components the labels, with members that stand for each, and which is the ``main`` one."""
+    group = connected_components(near)
+    held = cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", F.coalesce("component", F.col("p.rep")).alias("label")))
+    standing = F.array_distinct(F.array(*[F.min_by("p", F.xxhash64("p.rep", F.lit(k))) for k in range(STANDING)])).alias("standing")
+    labels = cut(held.groupBy("h", "label").agg(F.count("*").alias("sets"), standing))
+    main = labels.groupBy("h").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("h", "main")
+    return held, labels.join(main, "h")
+
+
+def bridges(labels: DataFrame, nodes: Nodes) -> DataFrame:
+    """For each two components that share a shingle, one of them its largest, the BRIDGES closest pairs ``a``, ``b`` of members that stand for them."""
+    largest = labels.where("label = main").select("h", F.col("label").alias("other"), F.explode("standing").alias("q"))
+    tried = labels.where("label <> main").select("h", "label", F.explode("standing").alias("p")).join(largest, "h").where(_may("p", "q"))
+    pairs = cut(tried.select("label", "other", F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct())
+    nearest = Window.partitionBy("label", "other").orderBy("differ", "a", "b")
+    close = _may_reach(pairs.select("a", "b"), nodes).join(pairs, ["a", "b"]).withColumn("place", F.row_number().over(nearest))
+    return close.where(F.col("place") <= BRIDGES).select(*_ends(F.col("a"), F.col("b")))
+
+
+def across(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of sets that share a shingle and are in different components.
 
     Of a shingle's sets those outside its largest component are paired with all that aren't in theirs.
     """
-    group = connected_components(near)
-    held = cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", F.coalesce("component", F.col("p.rep")).alias("label")))
-    sizes = held.groupBy("h", "label").agg(F.count("*").alias("sets"))
-    several = sizes.groupBy("h").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("h", "main")
+    several = labels.where("label = main").select("h", "main")
     rest = held.join(several, "h").where("label <> main").select("h", F.col("p").alias("q"), F.col("label").alias("other"))
     return held.join(rest, "h").where("label <> other").where(_may("p", "q")).select(*_ends(F.col("p.rep"), F.col("q.rep")))
 
 
-def links(posts: DataFrame, nodes: Nodes, offered: DataFrame) -> DataFrame:
-    """Edges ``a``, ``b`` that join all sets that reach 0.8, over ``posts`` (h, rep, size n, place i); ``offered`` are pairs to try first."""
-    shared = cut(meetings(posts))
-    release(shared.sparkSession)
+def links(sets: DataFrame, nodes: Nodes, offered: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` that join all sets (rep, size n, prefix) that reach 0.8; ``offered`` are pairs to try first.
+
+    The smaller set of a pair holds a shingle of both within the first ninth of its own, so a shingle
+    that stands there in no set joins none.
+    """
+    met = cut(meetings(sets))
+    release(met.sparkSession)
+    shared = cut(met.join(met.where("9 * p.i <= p.n").select("h").distinct(), "h", "left_semi"))
     near = _confirmed(neighbours(shared, nodes).unionByName(_may_reach(offered, nodes).select("a", "b")), nodes)
-    return near.unionByName(_confirmed(_may_reach(across(shared, near), nodes), nodes))
+    _, labels = _held(shared, near)
+    near = cut(near.unionByName(_confirmed(bridges(labels, nodes), nodes)))
+    held, labels = _held(shared, near)
+    return near.unionByName(_confirmed(_may_reach(across(held, labels), nodes), nodes))
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -228,13 +325,13 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text")
     made = cut(texts.mapInArrow(tidy(run), "id long, key long, fp long, sim long, n int, sketch array<long>, prefix array<long>"))
     first = made.where("id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("id", "key")).alias("f"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
-    sets, rows = cut(first.select(F.col("fp").alias("rep"), "f.*", "sim", "n", "sketch", "prefix")), cut(made.select("id", "key", "fp"))
+    sets, rows = cut(first.select("fp", "f.*", "sim", "n", "sketch", "prefix").withColumn("rep", F.monotonically_increasing_id())), cut(made.select("id", "key", "fp"))
     del made, first
     release(docs.sparkSession)
-    nodes = Nodes(texts, cut(sets.select("id", "key", "rep", "n", "sketch")))
+    nodes = Nodes(texts, cut(sets.select("id", "key", "rep", "fp", "n", "sketch")))
     offered = cut(tree_pairs(sets.select("rep", "sim")))
-    found = connected_components(links(sets.select("rep", "n", F.posexplode("prefix").alias("i", "h")), nodes, offered))
-    label = nodes.keys.select("rep", "id").join(found, F.col("rep") == F.col("node"), "left").select(F.col("rep").alias("fp"), "id", F.coalesce("component", "rep").alias("group"))
+    found = connected_components(links(sets.select("rep", "n", "prefix"), nodes, offered))
+    label = nodes.keys.select("rep", "fp", "id").join(found, F.col("rep") == F.col("node"), "left").select("fp", "id", F.coalesce("component", "rep").alias("group"))
     least = label.groupBy("group").agg(F.min("id").alias("component_id"))
     return rows, cut(label.join(least, "group").select("fp", "component_id"))
 
