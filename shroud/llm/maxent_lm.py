@@ -3,9 +3,10 @@
 A word is a path of three choices among 16: its class, the class within that class, and its slot there. The
 most frequent words have slots of their own, in an order in which words spelt alike stand together; all
 other words share slots by their last letters, and within a shared slot a word has its add-one share of the
-slot's count. Each choice is a softmax over features of what stands before: the word before, the two words
-before, and the skip feature of the second word before, each hashed together with the choices made so far
-to a row of 16 weights. Without features the model is the unigram distribution of the slots.
+slot's count. Each choice is a softmax over features of what stands before: the bigram feature of the word before
+and the skip feature of the second word before, each hashed together with the choices made so far
+to a row of 16 weights. (A trigram feature of both words made held-out texts less likely: its hashes are too many
+for the rows.) Without features the model is the unigram distribution of the slots.
 
 Training goes through every training document once, in rounds. In a round each task takes gradient steps over its
 part of the documents, beginning with the weights of the round before, and sends what it changed; a row of
@@ -35,7 +36,7 @@ DEPTH, WAYS, BITS = 3, 16, 4
 #: Slots in all, and those that words share by their last letters.
 SLOTS, SHARED = WAYS**DEPTH, 512
 #: Rows of weights of each feature and choice.
-ROWS_BITS, FEATURES = 15, 3
+ROWS_BITS, FEATURES = 15, 2
 ROWS = 1 << ROWS_BITS
 #: Rounds of training, documents' text for a task, words of a gradient step and its rate.
 ROUNDS, TASK_BYTES, STEP, RATE = 2, 32 << 20, 1 << 16, 0.7
@@ -214,7 +215,7 @@ class Reader:
         return np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat)), np.cumsum(sizes) - sizes
 
     def contexts(self, tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """A hash of each feature's words before each token: the last one, the last two, and the one before the last."""
+        """A hash of each feature's word before each token: the last one, and the one before it."""
         key = self.key.astype(np.uint64) * _MIX
         before = []
         for back in (1, 2):
@@ -223,7 +224,7 @@ class Reader:
                 inside = starts + k < np.append(starts[1:], len(tokens))
                 number[(starts + k)[inside]] = 0  # START
             before.append(key[number])
-        return [before[0], before[0] * _ODD ^ before[1], before[1] + _ODD]
+        return [before[0], before[1] + _ODD]
 
 
 def rows_of(contexts: list[np.ndarray], slot: np.ndarray) -> list[list[np.ndarray]]:
