@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shroud.functions import crypto, text
+from shroud.operators import compaction
 from shroud.operators import keys as K
 from shroud.operators import protect as P
 from shroud.plans.fixtures import ctes, frame
@@ -225,6 +226,21 @@ def snk_purge(spark, sf):
     return before.join(counts("rows_after"), "operation_id", "left").select("operation_id", "rows_before", F.coalesce("rows_after", F.lit(0)).cast("long").alias("rows_after"))
 
 
+def snk_compact(spark, sf):
+    """A raw table that grew by many small appends, by day, and an append-only copy: the same rows, and the same latest rows, in few files."""
+    raw, copy, n = work_dir(spark, "grown"), work_dir(spark, "grown-copy"), F.col("user_id").cast("long")
+    users = frame(spark, sf, "users").select("tenant_id", "user_id", F.concat(F.lit("d"), (n % 3).cast("string")).alias("day"), n.alias("n"))
+    for k in range(4):
+        sinks.append(users.where(n % 4 == k).repartition(4), raw, ["day"])
+        sinks.append(users.where(n % 4 <= k).select("tenant_id", "user_id", F.lit(k).alias("synced_at"), (F.col("n") * (k + 1)).alias("v")), copy)
+    compaction.compact(spark, raw)
+    compaction.compact(spark, copy, latest=("user_id", ("synced_at",)))
+    files = lambda path: len(sinks.parquet_files(spark, path))
+    rows = spark.read.parquet(raw).groupBy("day").agg(F.count("*").alias("rows"), F.sum("n").alias("total")).withColumn("few", F.lit(files(raw) <= 3))
+    held = spark.read.parquet(copy)
+    return rows.unionByName(held.agg(F.lit("latest").alias("day"), F.count("*").alias("rows"), F.sum("v").alias("total")).withColumn("few", F.lit(files(copy) == 1)))
+
+
 def prj_required_columns(spark, sf):
     """The required columns that files lack, for files with every second column of a list that the parts give."""
     given = frame(spark, sf, "part").select((F.col("p_size") % 8).alias("kind")).groupBy("kind").agg(F.count("*").alias("files")).collect()  # eight kinds at most
@@ -271,5 +287,7 @@ QUERIES = {
     "snk_raw_users": (snk_raw_users, _BASE + f"SELECT tenant_id, user_id, key_id, encryption_version, {hmac_sql('dek_hex', 'email')} AS email_token, 'op-1' AS operation_id, 'landing' AS source_system, CAST(2 AS BIGINT) AS n_fields FROM {HELD}"),
     "snk_flat": (snk_flat, _BASE + f"SELECT tenant_id, user_id, {hmac_sql('dek_hex', 'email')} AS email_token, {_bundle_chars('email')} AS pii_bytes FROM {HELD}"),
     "snk_wire": (snk_wire, _BASE + f"SELECT tenant_id, user_id, {_b64(_bundle_chars('email'))} AS pii_chars, concat('email:', CAST({_b64(_bundle_chars('email'))} AS VARCHAR), ',phone:', CAST({_b64(_bundle_chars('phone'))} AS VARCHAR)) AS field_chars FROM {HELD}"),
+    "snk_compact": (snk_compact, ctes("users") + """, n AS (SELECT CAST(user_id AS BIGINT) AS n FROM users)
+      SELECT concat('d', CAST(n % 3 AS VARCHAR)) AS day, count(*) AS rows, CAST(sum(n) AS BIGINT) AS total, TRUE AS few FROM n GROUP BY 1 UNION ALL SELECT 'latest', count(*), CAST(sum(4 * n) AS BIGINT), TRUE FROM n"""),
     "snk_purge": (snk_purge, _BASE + f"SELECT 'op-1' AS operation_id, count(*) AS rows_before, count(*) AS rows_after FROM {HELD} UNION ALL SELECT 'op-canary', 1, 0"),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,45 +41,55 @@ def purge(spark: SparkSession, path: str, operation_id: str) -> None:
     """Takes the rows of one operation out of a stored table; rows without an operation stay.
 
     Only the files that hold such rows are read whole and replaced, each set within its own partition, so other
-    partitions' files aren't touched and the table is always there. What takes the files' place is complete before
-    anything moves, and a list of the files stands until they are gone, so the next call finishes one that was
-    interrupted; a reader that looks meanwhile sees rows that stay twice, never too few.
+    partitions' files aren't touched; see ``replace_files``.
     """
-    _finish_purge(spark, path)
+    finish_replacing(spark, path)
     table = spark.read.parquet(path)
     taken = F.col("operation_id").eqNullSafe(operation_id)
     files = [r[0] for r in table.where(taken).select("_metadata.file_path").distinct().collect()]  # names only
-    if not files:
-        return
-    within = [c for c in table.columns if c not in spark.read.parquet(files[0]).columns]
-    rest = spark.read.schema(table.schema).option("basePath", path).parquet(*files).where(~taken)
-    writer = rest.write.mode("overwrite")
-    (writer.partitionBy(*within) if within else writer).parquet(f"{path}/_purge/rows")
-    put_text(spark, f"{path}/_purge/files", json.dumps(files))
-    _finish_purge(spark, path)
-
-
-def _finish_purge(spark: SparkSession, path: str) -> None:
-    """Moves what replaces files to their place and deletes them, if a purge has come so far; else forgets what it wrote."""
-    fs, below = hadoop_path(spark, f"{path}/_purge")
-    if exists(spark, f"{path}/_purge/files"):
-        _, staged = hadoop_path(spark, f"{path}/_purge/rows")
-        for name in _parquet_files(fs, staged):
+    if files:
+        replace_files(spark, path, files, lambda rows: rows.where(~taken))
+
+
+def replace_files(spark: SparkSession, path: str, files: list[str], change: Callable[[DataFrame], DataFrame], target: str | None = None) -> None:
+    """Puts what ``change`` makes of the files' rows in the files' place, by the partition columns of the table, or below ``target`` without any.
+
+    The table is always there: what takes the files' place is complete before anything moves, and a list of
+    the files stands until they are gone, so the next call finishes one that was interrupted (see
+    ``finish_replacing``); a reader that looks meanwhile sees rows twice, never too few. One writer at a time.
+    """
+    table = spark.read.parquet(path)
+    own = spark.read.parquet(files[0]).columns
+    within = [] if target else [c for c in table.columns if c not in own]
+    rows = change(spark.read.schema(table.schema).option("basePath", path).parquet(*files))
+    writer = (rows.select(*own) if target else rows).write.mode("overwrite")
+    (writer.partitionBy(*within) if within else writer).parquet(f"{path}/_replacing/rows{'/' + target if target else ''}")
+    put_text(spark, f"{path}/_replacing/files", json.dumps(files))
+    finish_replacing(spark, path)
+
+
+def finish_replacing(spark: SparkSession, path: str) -> None:
+    """Moves what replaces files to their place and deletes them, if ``replace_files`` has come so far; else forgets what it wrote."""
+    fs, below = hadoop_path(spark, f"{path}/_replacing")
+    if exists(spark, f"{path}/_replacing/files"):
+        for name, _ in parquet_files(spark, f"{path}/_replacing/rows"):
             _, target = hadoop_path(spark, f"{path}/{name}")
             fs.mkdirs(target.getParent())
-            fs.rename(hadoop_path(spark, f"{path}/_purge/rows/{name}")[1], target)
-        for name in json.loads(get_text(spark, f"{path}/_purge/files")):
+            fs.rename(hadoop_path(spark, f"{path}/_replacing/rows/{name}")[1], target)
+        for name in json.loads(get_text(spark, f"{path}/_replacing/files")):
             fs.delete(hadoop_path(spark, name)[1], False)
     fs.delete(below, True)
 
 
-def _parquet_files(fs, folder) -> list[str]:
-    """Paths of the Parquet files below a folder, relative to it."""
-    found, listed = [], fs.listFiles(folder, True)
+def parquet_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Paths of the Parquet files below a folder, relative to it, and their sizes; hidden folders are left out."""
+    fs, folder = hadoop_path(spark, path)
+    found, listed, above = [], fs.listFiles(folder, True), f"{fs.getFileStatus(folder).getPath().toUri().getPath()}/"
     while listed.hasNext():
-        place = listed.next().getPath().toString()
-        if place.endswith(".parquet"):
-            found.append(place[place.index(folder.toUri().getPath()) + len(folder.toUri().getPath()) + 1 :])
+        status = listed.next()
+        name = status.getPath().toUri().getPath().removeprefix(above)
+        if name.endswith(".parquet") and not any(part[0] in "._" for part in name.split("/")):
+            found.append((name, status.getLen()))
     return found
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shroud.functions import crypto, text
-from shroud.operators import catalog_drift, discovery, encrypted_copy, ghost_scan, keys, lineage, numbering, protect, sync_run, sync_state, vault_sync
+from shroud.operators import catalog_drift, compaction, discovery, encrypted_copy, ghost_scan, keys, lineage, numbering, protect, sync_run, sync_state, vault_sync
 from shroud.plans.support import written
 from shroud.sources import landing, manifest, registry, sinks
 
@@ -226,13 +226,13 @@ def test_purge_leaves_other_partitions_alone(spark, tmp_path, monkeypatch):
     sinks.append(rows, path, ["day"])
     files = lambda day: sorted(f.name for f in (tmp_path / "t" / f"day={day}").iterdir() if f.name.endswith(".parquet"))
     before = files("d1"), files("d2")
-    finish = sinks._finish_purge
+    finish = sinks.finish_replacing
     calls = []
-    monkeypatch.setattr(sinks, "_finish_purge", lambda *a: calls.append(a) or (finish(*a) if len(calls) == 1 else 1 / 0))
+    monkeypatch.setattr(sinks, "finish_replacing", lambda *a: calls.append(a) or (finish(*a) if len(calls) == 1 else 1 / 0))
     with pytest.raises(ZeroDivisionError):  # interrupted once all is written
         sinks.purge(spark, path, "op")
     assert spark.read.parquet(path).count() == 12
-    monkeypatch.setattr(sinks, "_finish_purge", finish)
+    monkeypatch.setattr(sinks, "finish_replacing", finish)
     sinks.purge(spark, path, "op")
     held = spark.read.parquet(path)
     assert sorted(r.user_id for r in held.collect()) == sorted(f"u{i}" for i in range(12) if i not in (0, 3))
@@ -241,6 +241,42 @@ def test_purge_leaves_other_partitions_alone(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(path).count() == 10
 
 
+def test_small_files_are_joined(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(f"r{i % 3}", f"u{i}", i) for i in range(60)], "resource_id string, user_id string, v int")
+    for k in range(5):
+        sinks.append(rows.where(f"v % 5 = {k} AND (v % 3 < 2 OR v % 5 = 0)").repartition(2), path, ["resource_id"])
+    before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    alone = [f for f in sinks.parquet_files(spark, path) if f[0].startswith("resource_id=r2")]
+    assert compaction.compact(spark, path) > 10
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
+    assert len(sinks.parquet_files(spark, path)) <= 3 and len(alone) >= 1
+    assert compaction.compact(spark, path) == 0
+
+
+def test_a_copy_keeps_its_latest_rows(spark, tmp_path):
+    path = str(tmp_path / "copy")
+    for k in range(4):
+        sinks.append(spark.createDataFrame([(f"u{i}", k * 10 + i, k) for i in range(k, 6)], "user_id string, v int, synced_at int"), path)
+    want = sorted(map(tuple, encrypted_copy.latest(spark.read.parquet(path)).collect()))
+    compaction.compact(spark, path, latest=("user_id", ("synced_at",)))
+    held = spark.read.parquet(path)
+    assert sorted((r.user_id, r.v, r.synced_at) for r in held.collect()) == want and len(sinks.parquet_files(spark, path)) == 1
+
+
+def test_closed_batches_are_merged(spark, tmp_path):
+    path = str(tmp_path / "side")
+    part = lambda n: spark.createDataFrame([(n, f"x{i}") for i in range(3)], "n int, v string")
+    for n in range(6):
+        sinks.replace_part(part(n), path, n, 0)
+        sinks.replace_part(part(n + 100), path, n, 1)
+    assert compaction.merge_batches(spark, path) >= 8
+    sinks.replace_part(part(5), path, 5, 0)  # the newest may come again
+    rows = spark.read.parquet(path)
+    assert rows.count() == 36 and sorted(r.batch for r in rows.select("batch").distinct().collect()) == [-1, 4, 5]
+    assert len([f for f in sinks.parquet_files(spark, path) if f[0].startswith("batch=-1")]) == 1
+
+
 def test_incremental_rules(spark):
     import datetime as dt
 
