@@ -56,14 +56,19 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # the C library of Linux has it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return whole
 
 
+def give_back() -> None:
+    """Gives memory that this process no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library of Linux has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Sets spark.sql.execution.arrow.maxBytesPerBatch, where the session has no such setting, to ``most``: Spark and the worker both hold a batch whole, and 10,000 long rows are a large one."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -99,8 +104,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of frames that are no longer referenced, such as those behind a checkpoint."""
-    gc.collect()
+    """Lets Spark's cleaner delete the shuffle files, and forget the broadcasts, of frames that are no longer referenced, such as those behind a checkpoint."""
+    give_back()
     spark.sparkContext._jvm.System.gc()
 
 

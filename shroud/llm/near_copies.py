@@ -160,7 +160,9 @@ def _confirmed(pairs: DataFrame, nodes: Nodes) -> DataFrame:
     texts = nodes.texts.join(F.broadcast(buckets), _bucket() == F.col("bucket"), "left_semi").join(wanted, ["id", "key"])
     sets = cut(texts.select("rep", "text").mapInArrow(tidy(run), "rep long, s array<long>").dropDuplicates(["rep"]))
     met = pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("s").alias("y")), "b")
-    return cut(met.where(_similar(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")))).select("a", "b"))
+    found = cut(met.where(_similar(F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y")))).select("a", "b"))
+    release(found.sparkSession)
+    return found
 
 
 def _ends(x: Column, y: Column) -> list[Column]:
@@ -265,6 +267,7 @@ def neighbours(shared: DataFrame, nodes: Nodes) -> DataFrame:
 def _held(shared: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The posts with the ``label`` of their set's component under the edges ``near``, and of each shingle with several components the labels, with members that stand for each, and which is the ``main`` one."""
     group = connected_components(near)
+    release(shared.sparkSession)
     held = cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", F.coalesce("component", F.col("p.rep")).alias("label")))
     standing = F.array_distinct(F.array(*[F.min_by("p", F.xxhash64("p.rep", F.lit(k))) for k in range(STANDING)])).alias("standing")
     labels = cut(held.groupBy("h", "label").agg(F.count("*").alias("sets"), standing))
@@ -330,6 +333,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     release(docs.sparkSession)
     nodes = Nodes(texts, cut(sets.select("id", "key", "rep", "fp", "n", "sketch")))
     offered = cut(tree_pairs(sets.select("rep", "sim")))
+    release(docs.sparkSession)
     found = connected_components(links(sets.select("rep", "n", "prefix"), nodes, offered))
     label = nodes.keys.select("rep", "fp", "id").join(found, F.col("rep") == F.col("node"), "left").select("fp", "id", F.coalesce("component", "rep").alias("group"))
     least = label.groupBy("group").agg(F.min("id").alias("component_id"))
