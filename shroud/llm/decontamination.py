@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shroud.llm.common import LONGEST, cut, shared_dir, table, text_slices, texts_of, tidy
 from shroud.llm.ngrams import SIGNS
@@ -30,6 +31,8 @@ from shroud.llm.ngrams import SIGNS
 SEED, COVERAGE = 5, 0.8
 #: Bits of the bitmap of seeds: as many for each seed, between the least and the most (16 MB).
 BITS_PER_SEED, LEAST_BITS, MOST_BITS = 256, 1 << 20, 1 << 27
+#: Items that may share a seed before it counts as common, and items that a text is tiled with at a time.
+COMMON, TOGETHER = 64, 64
 #: Words of at most LONGEST characters whose hash a worker remembers.
 MEMORY = 150_000
 _BASE = 0x9E3779B97F4A7C15
@@ -171,6 +174,21 @@ def item_seeds(items: DataFrame) -> DataFrame:
     return made.groupBy("item", "item_key", "words", "width", "h").agg(F.count("*").alias("n"))
 
 
+def telling_seeds(seeds: DataFrame, threshold: float) -> DataFrame:
+    """The seeds but for common ones, and ``least``, how many starts of an item's seeds that are left a text must share.
+
+    A text that covers the threshold shares so many starts of an item's seeds that it shares others even where
+    the item's commonest ones are left out, as long as those have fewer starts. So a phrase of many items
+    doesn't join all of them with all texts that hold it; an item of nothing but such phrases keeps them.
+    """
+    often = seeds.groupBy("h").agg(F.count("*").alias("items"))
+    need = F.ceil(F.col("words") * threshold / F.col("width") - 1e-9)
+    commonest = Window.partitionBy("item", "item_key").orderBy(F.desc("items"), "h")
+    ranked = seeds.join(often, "h").withColumn("so_far", F.sum("n").over(commonest)).withColumn("out", (F.col("items") > COMMON) & (F.col("so_far") < need))
+    left_out = F.sum(F.when(F.col("out"), F.col("n")).otherwise(0)).over(Window.partitionBy("item", "item_key"))
+    return ranked.withColumn("least", need - left_out).where("NOT out").select(*seeds.columns, "least")
+
+
 def seed_bitmap(seeds: DataFrame) -> np.ndarray:
     """The bitmap of the seeds' hashes as 64-bit words, made by Spark; at most MOST_BITS."""
     bits = LEAST_BITS
@@ -192,7 +210,7 @@ def text_key() -> list:
 
 def candidates(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """``key``, ``check``, ``item``, ``item_key`` of every text and item whose shared seeds could cover the threshold, as a table of known size."""
-    seeds = cut(item_seeds(items))
+    seeds = cut(telling_seeds(cut(item_seeds(items)), threshold))
     widths = [int(r.width) for r in seeds.select("width").distinct().collect()]  # SEED of them at most
     shared = docs.sparkSession.sparkContext.broadcast(seed_bitmap(seeds))
 
@@ -208,8 +226,8 @@ def candidates(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame
                 yield pa.RecordBatch.from_arrays([part.column("key").take(take), part.column("check").take(take), pa.array(h[hit].view(np.int64))], names=["key", "check", "h"])
 
     rows = docs.select(*text_key(), "text").mapInArrow(tidy(hits), "key long, check long, h long").distinct()
-    met = rows.join(seeds, "h").groupBy("key", "check", "item", "item_key", "words", "width").agg(F.sum("n").alias("starts"))
-    may = met.where(F.col("starts") * F.col("width") >= F.col("words") * F.lit(threshold)).select("key", "check", "item", "item_key")
+    met = rows.join(seeds, "h").groupBy("key", "check", "item", "item_key", "least").agg(F.sum("n").alias("starts"))
+    may = met.where(F.col("starts") >= F.col("least")).select("key", "check", "item", "item_key")
     return _written(may, "candidates")
 
 
@@ -228,19 +246,20 @@ def coverages(docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                covered, n_tiles, last, words = [], [], None, []
-                for text, item in zip(texts_of(part, "text"), texts_of(part, "item_text"), strict=True):
-                    if text != last:
-                        last, words = text, words_of(text)
-                    item_words = words_of(item)
-                    found = tile_words(words, item_words)
-                    covered.append(sum(n for *_, n in found) / len(item_words))
-                    n_tiles.append(len(found))
-                yield pa.RecordBatch.from_arrays([part.column(k) for k in ("key", "check", "item")] + [pa.array(covered, pa.float64()), pa.array(n_tiles, pa.int64())], names=["key", "check", "item_id", "coverage", "tiles"])
-
-    pairs = found.join(items, ["item", "item_key"]).join(texts, ["key", "check"])
+                rows = []
+                for k, (text, listed) in enumerate(zip(texts_of(part, "text"), part.column("items").to_pylist(), strict=True)):
+                    words = words_of(text)
+                    for one in listed:
+                        item_words = words_of(one["item_text"])
+                        found = tile_words(words, item_words)
+                        rows.append((k, one["item"], sum(n for *_, n in found) / len(item_words), len(found)))
+                of, item, covered, n_tiles = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(k).take(pa.array(of)) for k in ("key", "check")] + [pa.array(item, part.schema.field("items").type.value_type.field("item").type), pa.array(covered, pa.float64()), pa.array(n_tiles, pa.int64())], names=["key", "check", "item_id", "coverage", "tiles"])
+
+    place = F.row_number().over(Window.partitionBy("key", "check").orderBy("item", "item_key")) - 1
+    lists = found.withColumn("part", F.floor(place / TOGETHER)).join(items, ["item", "item_key"]).groupBy("key", "check", "part").agg(F.collect_list(F.struct("item", "item_text")).alias("items"))  # TOGETHER of them at most
     kind = items.schema["item"].dataType.simpleString()
-    return pairs.select("key", "check", "item", "item_text", "text").mapInArrow(tidy(tile), f"key long, check long, item_id {kind}, coverage double, tiles long")
+    return lists.join(texts, ["key", "check"]).select("key", "check", "items", "text").mapInArrow(tidy(tile), f"key long, check long, item_id {kind}, coverage double, tiles long")
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, threshold: float = COVERAGE) -> DataFrame:

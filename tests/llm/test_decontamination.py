@@ -109,3 +109,19 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     assert D.decontaminate(none, some.withColumnRenamed("doc_id", "item_id")).collect() == []
     assert [r.contaminated for r in D.decontaminate(some, none.withColumnRenamed("doc_id", "item_id")).collect()] == [False]
+
+
+def test_a_phrase_in_all_items_and_documents(spark):
+    """It joins no item with a document, items are still found, and no text is copied for each of its items."""
+    phrase = "answer the following question with one word only please"
+    item = lambda k: f"{phrase} " + " ".join(f"q{k}x{i}" for i in range(40))
+    items = [(k, item(k)) for k in range(D.COMMON + 20)] + [(1000 + k, phrase) for k in range(D.COMMON + 20)]
+    docs = [(k, f"{phrase} and nothing else but k{k}") for k in range(30)] + [(100, item(5)), (101, " ".join(item(k) for k in range(70)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    seeds = D.item_seeds(D.items_of(bench)).cache()
+    left = D.telling_seeds(seeds, D.COVERAGE)
+    assert left.where("item < 1000 AND n > 0").count() == seeds.where("item < 1000").count() - (D.COMMON + 20) * 5  # the seeds within the phrase
+    assert {(r.least, r["count"]) for r in left.where("item >= 1000").groupBy("item", "least").count().collect()} == {(1, 4)}  # an item of nothing else keeps what it needs: two of five seeds
+    got = {r.doc_id: r for r in D.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert (got[0].contaminated, got[0].n_items, got[0].item_id) == (True, D.COMMON + 20, 1000)
+    assert (got[100].n_items, got[101].n_items) == (D.COMMON + 21, D.COMMON + 90)
