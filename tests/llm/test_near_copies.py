@@ -84,3 +84,56 @@ def test_prefixes_meet(spark):
         order = common, rng.integers(2, 9, len(common))
         if 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y)):
             assert set(near_copies.prefix(x, *order)) & set(near_copies.prefix(y, *order))
+
+
+def test_stage_with_clashing_names_repeated_ids_and_long_texts(spark):
+    rng = random.Random(9)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(60_000))
+    cut = " ".join(long.split()[:55_000])  # 0.92 of it
+    rows = [(1, long, 1, "x"), (2, cut, 2, "x"), (3, "one text of some seven words here", 3, "x"), (3, "one text of some seven words here", 4, "x"), (4, "one text of some seven words here", 5, "x"), (None, "one text of some seven words here", 6, "x"), (7, "a" * 300_000, 7, "x"), (8, "a" * 300_000, 8, "x"), (9, None, 9, "x"), (10, "", 10, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rep long, component_id string").selectExpr("*", "1 AS key", "2 AS fp", "3 AS h", "4 AS sketch", "5 AS label").repartition(4)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text == long) for r in kept.collect()) == [("1", True), ("3", False), ("7", False), ("9", False), ("None", False)]
+
+
+def test_a_large_group_of_near_copies_is_linked_by_few_pairs(spark, monkeypatch):
+    """Copies of one text whose pairs reach 0.8 only in part: one group, though the exact join meets few of their pairs."""
+    rng = random.Random(5)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    base = [word() for _ in range(200)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(200)] = word()
+        rows.append((k, " ".join(words)))
+    met = []
+    across = near_copies.across
+    monkeypatch.setattr(near_copies, "across", lambda *given: met.append(across(*given)) or met[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(r.doc_id for r in near_copies.keep_one(docs).collect())
+    assert got == plain_kept(rows) and len(got) < 20
+    assert met[0].distinct().count() < 1500  # of 11175
+
+
+def test_meetings_are_those_of_a_plain_join(spark, monkeypatch):
+    """Also where a block is handed on in parts."""
+    rng = np.random.default_rng(8)
+    hashes = rng.integers(-(1 << 63), 1 << 63, 600)
+    sets = [(k << 33 | k, int(n), rng.choice(hashes, n).tolist() + [int(hashes[7])]) for k, n in enumerate(rng.integers(0, 12, 80))]
+    sets = [(rep, n, sorted(set(h), key=h.index)) for rep, n, h in sets]
+    frame = spark.createDataFrame(sets, "rep long, n int, prefix array<long>").repartition(3)
+    want = {}
+    for rep, n, prefix in sets:
+        for i, h in enumerate(prefix):
+            want.setdefault(h, set()).add((n, rep, i))
+    want = sorted(sorted(v) for v in want.values() if len(v) > 1)
+    for held in (1 << 21, 16):
+        monkeypatch.setattr(near_copies, "HELD_POSTS", held)
+        rows, found = near_copies.meetings(frame).collect(), {}
+        for r in rows:
+            found.setdefault(r.h, []).append(tuple(r.p))
+        assert sorted(sorted(v) for v in found.values()) == want
+        assert all(tuple(r.first) <= tuple(r.p) or held == 16 for r in rows)
