@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shroud.llm.common import cut
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60, whole: bool = True) -> DataFrame:
     """``node`` and ``component``, the smallest node reachable, for every node of an edge.
 
     Every node points to a parent, at first itself. In each round a node and its parent take the
@@ -17,6 +17,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     end in a checkpoint, so both sides of each join are plain shuffles and a hub's rows, however
     many, are split among tasks by Spark's skew join. Minima are taken in each task before rows are
     shuffled, so the task that holds a hub receives one row for it from each task at most.
+    Without ``whole`` it ends after ``most_rounds``, converged or not: nodes with one label are in one component
+    then, while those of one component may still have several labels.
     Edges with a null end are left out; loops and repeated edges change nothing; no edges, no rows.
     """
     clean = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
@@ -36,6 +38,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
             .unionByName(offers.select(F.col("parent").alias("node"), F.lit(None).cast(dict(both.dtypes)["u"]).alias("old"), F.col("offer").alias("new")))
         )
         parents = cut(pointers.groupBy("node").agg(F.min("new").alias("parent"), F.max("old").alias("old")).select("node", "parent", (F.col("parent") != F.col("old")).alias("moved")))
-        if parents.where("moved").isEmpty():
+        if whole and parents.where("moved").isEmpty():
             return parents.select("node", F.col("parent").alias("component"))
+    if not whole:
+        return parents.select("node", F.col("parent").alias("component"))
     raise RuntimeError(f"components still changed after {most_rounds} rounds")

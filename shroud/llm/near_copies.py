@@ -264,9 +264,12 @@ def neighbours(shared: DataFrame, nodes: Nodes) -> DataFrame:
     return _may_reach(tried, nodes).withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= CLOSEST).select(*_ends(F.col("a"), F.col("b")))
 
 
-def _held(shared: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The posts with the ``label`` of their set's component under the edges ``near``, and of each shingle with several components the labels, with members that stand for each, and which is the ``main`` one."""
-    group = connected_components(near)
+def _held(shared: DataFrame, near: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """The posts with the ``label`` of their set's component under the edges ``near``, and of each shingle with several components the labels, with members that stand for each, and which is the ``main`` one.
+
+    Labels are what so many rounds reach: a component that keeps several of them costs pairs, no link.
+    """
+    group = connected_components(near, most_rounds=rounds, whole=False)
     release(shared.sparkSession)
     held = cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", F.coalesce("component", F.col("p.rep")).alias("label")))
     standing = F.array_distinct(F.array(*[F.min_by("p", F.xxhash64("p.rep", F.lit(k))) for k in range(STANDING)])).alias("standing")
@@ -305,9 +308,9 @@ def links(sets: DataFrame, nodes: Nodes, offered: DataFrame) -> DataFrame:
     release(met.sparkSession)
     shared = cut(met.join(met.where("9 * p.i <= p.n").select("h").distinct(), "h", "left_semi"))
     near = _confirmed(neighbours(shared, nodes).unionByName(_may_reach(offered, nodes).select("a", "b")), nodes)
-    _, labels = _held(shared, near)
+    _, labels = _held(shared, near, 2)
     near = cut(near.unionByName(_confirmed(bridges(labels, nodes), nodes)))
-    held, labels = _held(shared, near)
+    held, labels = _held(shared, near, 3)
     return near.unionByName(_confirmed(_may_reach(across(held, labels), nodes), nodes))
 
 
@@ -316,6 +319,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A null or empty text has the empty set, which links to itself alone.
     """
+    release(docs.sparkSession)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -167,3 +167,14 @@ def test_window_means(window):
         runs = [(values[i : i + window].mean(), i) for i in range(a, b - window + 1)] or [(values[a:b].mean() if b > a else 0.0, a)]
         assert best[k] == pytest.approx(max(runs)[0])
         assert sizes[k] == 0 or at[k] == max(runs)[1]
+
+
+def test_a_long_text_of_many_words(spark):
+    """A million words, one of them toxic, are scored whole, and like any other text by quality and language."""
+    long = "the river and the house of the old man " * 110_000
+    docs = spark.createDataFrame([(1, long), (2, f"{long} you disgusting idiot"), (3, long)], "doc_id long, text string").repartition(3)
+    tox = {r.doc_id: r for r in toxicity.score(docs, toxicity.train(spark, SF)).collect()}
+    assert tox[1].score == tox[3].score < tox[2].score
+    assert len({r.score for r in compression_quality.score(docs, compression_quality.train(spark, SF)).collect() if r.doc_id != 2}) == 1
+    lang = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, language_id.train(spark, SF)).collect()}
+    assert lang[1] == lang[3] and lang[1][0] == lang[2][0]
