@@ -235,10 +235,14 @@ def snk_compact(spark, sf):
         sinks.append(users.where(n % 4 <= k).select("tenant_id", "user_id", F.lit(k).alias("synced_at"), (F.col("n") * (k + 1)).alias("v")), copy)
     compaction.compact(spark, raw)
     compaction.compact(spark, copy, latest=("user_id", ("synced_at",)))
-    files = lambda path: len(sinks.parquet_files(spark, path))
-    rows = spark.read.parquet(raw).groupBy("day").agg(F.count("*").alias("rows"), F.sum("n").alias("total")).withColumn("few", F.lit(files(raw) <= 3))
+    def few(path, parts):
+        """One file of each partition, and one more for every SMALL bytes."""
+        sizes = [size for _, size in sinks.parquet_files(spark, path)]
+        return F.lit(len(sizes) <= parts + sum(sizes) // compaction.SMALL)
+
+    rows = spark.read.parquet(raw).groupBy("day").agg(F.count("*").alias("rows"), F.sum("n").alias("total")).withColumn("few", few(raw, 3))
     held = spark.read.parquet(copy)
-    return rows.unionByName(held.agg(F.lit("latest").alias("day"), F.count("*").alias("rows"), F.sum("v").alias("total")).withColumn("few", F.lit(files(copy) == 1)))
+    return rows.unionByName(held.agg(F.lit("latest").alias("day"), F.count("*").alias("rows"), F.sum("v").alias("total")).withColumn("few", few(copy, 1)))
 
 
 def prj_required_columns(spark, sf):

@@ -264,6 +264,27 @@ def test_a_copy_keeps_its_latest_rows(spark, tmp_path):
     assert sorted((r.user_id, r.v, r.synced_at) for r in held.collect()) == want and len(sinks.parquet_files(spark, path)) == 1
 
 
+def test_files_are_counted_by_their_bytes(spark, tmp_path):
+    """Rows that a shuffle would deal to several tasks make one file if their bytes fit, by partition and of a copy, and else as many as they fill."""
+    rows = spark.range(240_000).selectExpr("concat('u', id) AS user_id", "id AS v", "id % 3 AS day")
+    for k in range(4):
+        sinks.append(rows.where(f"v % 4 = {k}"), str(tmp_path / "raw"), ["day"])
+        sinks.append(rows.selectExpr("user_id", f"{k} AS synced_at", "v"), str(tmp_path / "copy"))
+        sinks.replace_part(rows.where(f"v % 4 = {k}"), str(tmp_path / "side"), k, 0)
+    sizes = lambda name: [size for _, size in sinks.parquet_files(spark, str(tmp_path / name))]
+    small = sum(sizes("side"))
+    assert compaction.compact(spark, str(tmp_path / "raw"), sum(sizes("raw")) // 3 + 10_000) > 10 and len(sizes("raw")) == 3
+    compaction.compact(spark, str(tmp_path / "copy"), sum(sizes("copy")) // 2, latest=("user_id", ("synced_at",)))
+    assert len(sizes("copy")) == 1
+    compaction.merge_batches(spark, str(tmp_path / "side"), small, open_=0)
+    assert len(sizes("side")) == 1
+    sinks.append(rows.repartition(16), str(tmp_path / "raw"), ["day"])
+    compaction.compact(spark, str(tmp_path / "raw"), max(sizes("raw")) // 2)
+    assert 6 < len(sizes("raw")) <= 12
+    assert spark.read.parquet(str(tmp_path / "raw")).agg(F.count("*"), F.sum("v")).first()[:] == (480_000, 240_000 * 239_999)
+    assert spark.read.parquet(str(tmp_path / "copy")).agg(F.count("*"), F.min("synced_at"), F.sum("v")).first()[:] == (240_000, 3, 120_000 * 239_999)
+
+
 def test_closed_batches_are_merged(spark, tmp_path):
     path = str(tmp_path / "side")
     part = lambda n: spark.createDataFrame([(n, f"x{i}") for i in range(3)], "n int, v string")
