@@ -25,6 +25,8 @@ RECORD = (
     "tenant_id string, user_id string, email_token string, encryption_version string, key_id string, encrypted_pii string, data_hash string, operation_id string, "
     "ingested_at string, source_system string, pii_fields array<struct<field_name:string,token:string,encrypted_value:string>>"
 )
+#: Users that can't be read which a batch of units looks for before its units are halved instead.
+SEARCHED = 1000
 MESSAGE = "header_tenant string, body_tenant string, user_id string, payload map<string,string>, operation_id string"
 
 
@@ -210,30 +212,79 @@ def unit_batch(sources: dict[str, tuple[DataFrame | Callable[[], DataFrame], lis
 
     Every unit of a batch leaves an outcome (S.OUTCOME): COMPLETED, FAILED with the error's first line, or
     DROPPED if its resource has vanished. All units of a resource are taken together; if that fails ``tries``
-    times they are halved until the bad ones stand alone, so neither another resource nor another unit fails
-    with them. Failed units go to ``dead`` as JSON lines, ids only, from where they can be sent again.
+    times, the users whose source rows can't be read are searched by halves, with reads that keep nothing, and the
+    units without them are taken together again; only if that fails too are they halved until the bad ones stand alone, so neither
+    another resource nor another unit fails with them. Failed units go to ``dead`` as JSON lines, ids only, from where they can be sent again.
     ``sources`` gives rows, or what makes them, and the fields of each resource; wide copies go below ``copies``.
     """
 
-    def attempt(spark: SparkSession, resource: str, users: DataFrame) -> None:
+    def rows_of(resource: str) -> tuple[DataFrame, list[str]]:
         source, fields = sources[resource]
-        source = source() if callable(source) else source
+        return source() if callable(source) else source, fields
+
+    def attempt(spark: SparkSession, resource: str, users: DataFrame, kept: Column) -> None:
+        source, fields = rows_of(resource)
+        source = source.where(kept)
         S.sync_users(source, users, vault, keys, resource, fields, default_tenant)
         if copies:
             C.made_up_for(spark, S.reread(source, users), vault, copies, resource, fields)
 
-    def failures(spark: SparkSession, resource: str, units: DataFrame, ids: list[str]) -> dict[str, tuple[int, str]]:
-        """Tries and error of each unit that fails alone."""
+    def readable(resource: str, kept: Column) -> bool:
+        """Whether the source gives the cells of some users; nothing is kept."""
+        try:
+            source, fields = rows_of(resource)
+            source.where(kept).select("tenant_id", *[F.col(f).alias(f"cell_{n}") for n, f in enumerate(fields)]).write.format("noop").mode("overwrite").save()
+        except Exception:  # noqa: BLE001  the unit that is left alone is attempted and says why
+            return False
+        return True
+
+    def unreadable(resource: str) -> list[str]:
+        """Users whose rows the source can't give: its users are halved by a hash of their id, and a half beside a good one isn't asked again.
+
+        The hash is a filter, so a read touches its own half only, however it is joined. None if they are more than SEARCHED.
+        """
+        try:
+            source = rows_of(resource)[0].where("user_id IS NOT NULL").select(F.col("user_id").cast("string").alias("user_id"))
+            n, found = source.count(), []
+        except Exception:  # noqa: BLE001  the source as a whole is gone
+            return []
+        share = lambda m, r: F.col("user_id").isNotNull() & (F.pmod(F.xxhash64(F.col("user_id").cast("string")), F.lit(m)) == r)
+        todo = [(1, 0)] if not readable(resource, share(1, 0)) else []
+        while todo and len(found) <= SEARCHED:
+            m, r = todo.pop()
+            left = [u.user_id for u in source.where(share(m, r)).distinct().take(2)] if m >= n else None
+            if left is not None and len(left) < 2:
+                found += left
+                continue
+            if readable(resource, share(2 * m, r)):
+                todo.append((2 * m, r + m))
+            else:
+                todo += [(2 * m, r)] if readable(resource, share(2 * m, r + m)) else [(2 * m, r), (2 * m, r + m)]
+        return found if len(found) <= SEARCHED else []
+
+    def failures(spark: SparkSession, resource: str, units: DataFrame, ids: list[str], kept: Column | None = None) -> dict[str, tuple[int, str]]:
+        """Tries and error of each of the units that fails alone; ``kept`` are the users that the source is asked for."""
+        own = units.where(F.col("unit_id").isin(ids))
+        asked = kept
+        if len(ids) == 1:  # the ids of a unit are a filter, which no other user's row passes
+            asked = F.col("user_id").cast("string").isin(own.first().user_ids)
         for k in range(tries):
             try:
-                attempt(spark, resource, units.where(F.col("unit_id").isin(ids)).select(F.explode("user_ids").alias("user_id")).distinct())
+                attempt(spark, resource, own.select(F.explode("user_ids").alias("user_id")).distinct(), F.lit(True) if asked is None else asked)
                 return {}
             except Exception as error:  # noqa: BLE001  it is kept as the unit's outcome
                 said, tried = (str(error).strip().splitlines() or [type(error).__name__])[0][:500], k + 1
         if len(ids) == 1:
             return {ids[0]: (tried, said)}
+        bad = unreadable(resource) if kept is None else []
+        if bad:
+            touched = [r.unit_id for r in own.where(F.arrays_overlap("user_ids", F.array(*map(F.lit, bad)))).select("unit_id").distinct().collect()]
+            rest, others = sorted(set(ids).difference(touched)), ~F.col("user_id").cast("string").isin(bad)
+            lost = {i: why for one in sorted(touched) for i, why in failures(spark, resource, units, [one], others).items()}
+            return lost | (failures(spark, resource, units, rest, others) if rest else {})
         half = len(ids) // 2
-        return failures(spark, resource, units, ids[:half]) | failures(spark, resource, units, ids[half:])
+        kept = F.lit(True) if kept is None else kept  # not searched again
+        return failures(spark, resource, units, ids[:half], kept) | failures(spark, resource, units, ids[half:], kept)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

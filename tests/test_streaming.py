@@ -196,6 +196,23 @@ def test_a_unit_that_fails_stands_alone(spark, tmp_path):
     assert [spark.read.parquet(f"{paths[3]}/{r}_encrypted_raw").count() for r in ("bad", "good")] == [39, 39]
 
 
+def test_a_bad_row_fails_its_unit_only_when_joins_shuffle(spark, tmp_path):
+    """Nothing is small enough to be sent to all tasks, so a join reads all rows of its sides."""
+    rows = spark.range(400).selectExpr("'t1' AS tenant_id", "concat('u', id) AS user_id", "concat('m', id, '@x.org') AS email")
+    source = rows.withColumn("email", F.when(F.col("user_id").isin("u130", "u391"), F.raise_error(F.lit("bad cell"))).otherwise(F.col("email")))
+    units = spark.createDataFrame([("run", "bad", [f"u{i + k}" for k in range(10)]) for i in range(0, 400, 10)], "run_id string, resource_id string, user_ids array<string>")
+    vault, outcomes, dead = (str(tmp_path / p) for p in ("vault", "outcomes", "dead"))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, "-1")
+    try:
+        T.unit_batch({"bad": (source, ["email"])}, some_keys(spark, tmp_path / "keys"), vault, "t0", outcomes, dead, tries=1)(units, 0)
+    finally:
+        spark.conf.unset(setting)
+    assert spark.read.parquet(vault).count() == 379  # u5's key is shredded
+    assert {r.user_ids[0] for r in spark.read.json(dead).collect()} == {"u130", "u390"}
+    assert spark.read.schema(S.OUTCOME).parquet(outcomes).where("status = 'COMPLETED'").count() == 38
+
+
 def test_a_stream_remembers_what_it_took(spark, tmp_path):
     """The same message in a later run of the stream adds nothing, and no batch reads the table of records."""
     source = tmp_path / "m"
