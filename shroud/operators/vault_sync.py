@@ -41,13 +41,19 @@ def reread(source: DataFrame, users: DataFrame, user_column: str = "user_id") ->
     return source.join(wanted, F.col(user_column).cast("string") == F.col("wanted"), "left_semi")
 
 
-def long_fields(source: DataFrame, resource_id: str, fields: list[str], default_tenant: str, updated_column: str | None = None) -> DataFrame:
-    """One row per natural key with its value; nulls are left out, and of repeated users the latest row counts, then the larger value."""
+def latest_fields(source: DataFrame, fields: list[str], default_tenant: str, updated_column: str | None = None) -> DataFrame:
+    """One row per user with ``f``, name and value of each field that isn't null; of repeated users the latest row counts, then the larger value."""
     order = F.col(updated_column) if updated_column else F.lit(0)
-    rows = source.where("user_id IS NOT NULL").select(F.coalesce(F.col("tenant_id").cast("string"), F.lit(default_tenant)).alias("tenant_id"), F.col("user_id").cast("string").alias("user_id"), order.alias("at"), *[F.col(f).cast("string").alias(f) for f in fields])
-    tall = rows.unpivot(["tenant_id", "user_id", "at"], fields, "field_name", "value").where("value IS NOT NULL")
-    best = F.max_by("value", F.struct("at", "value")).alias("value")
-    return tall.groupBy("tenant_id", "user_id", "field_name").agg(best).withColumn("resource_id", F.lit(resource_id)).select(*NATURAL_KEY, "value")
+    rows = source.where("user_id IS NOT NULL").select(F.coalesce(F.col("tenant_id").cast("string"), F.lit(default_tenant)).alias("tenant_id"), F.col("user_id").cast("string").alias("user_id"), order.alias("at"), *[F.col(f).cast("string").alias(f"cell_{n}") for n, f in enumerate(fields)])
+    best = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("at", c)))
+    each = F.array(*[F.struct(F.lit(f).alias("field_name"), best(f"cell_{n}").alias("value")) for n, f in enumerate(fields)])
+    return rows.groupBy(*K.KEY).agg(F.filter(each, lambda one: one["value"].isNotNull()).alias("f"))
+
+
+def long_fields(source: DataFrame, resource_id: str, fields: list[str], default_tenant: str, updated_column: str | None = None) -> DataFrame:
+    """``latest_fields`` as one row per natural key with its value."""
+    tall = latest_fields(source, fields, default_tenant, updated_column).select(*K.KEY, F.inline("f"))
+    return tall.withColumn("resource_id", F.lit(resource_id)).select(*NATURAL_KEY, "value")
 
 
 def not_yet_synced(fields: DataFrame, vault: DataFrame, tenant_in_key: bool = True) -> DataFrame:
@@ -56,10 +62,28 @@ def not_yet_synced(fields: DataFrame, vault: DataFrame, tenant_in_key: bool = Tr
     return fields.join(vault.select(*on), on, "left_anti")
 
 
+def lacking(users: DataFrame, vault: DataFrame, fields: list[str]) -> DataFrame:
+    """Users of ``latest_fields`` with those of their fields that the vault's rows of one resource don't hold; users without any are left out.
+
+    Rows stay dealt by user, so the users' keys are all that is shuffled for them later.
+    """
+    has = [F.max(F.col("field_name") == f).alias(f"has_{n}") for n, f in enumerate(fields)]
+    held = users.join(vault.groupBy(*K.KEY).agg(*has), K.KEY, "left")
+    known = F.array(*[F.when(F.col(f"has_{n}"), F.lit(f)) for n, f in enumerate(fields)])
+    rest = F.filter("f", lambda one: ~F.coalesce(F.array_contains(known, one["field_name"]), F.lit(False)))
+    return held.select(*K.KEY, rest.alias("f")).where(F.size("f") > 0)
+
+
 def vault_records(fields: DataFrame, keys: DataFrame, synced_at: Column | None = None) -> DataFrame:
     """Rows for the vault: token and stored form of each value under its user's live key. Write them before anything is derived."""
     users = fields.groupBy(*K.KEY).agg(F.collect_list(F.struct("resource_id", "field_name", "value")).alias("f"))  # a key is joined and masked once for a user
-    held = K.attach(users, keys).select("*", F.explode("f").alias("one")).select(*K.KEY, "key_id", "dek_hex", "inner_mask", "outer_mask", "one.*")
+    return _sealed(users, keys, synced_at=synced_at)
+
+
+def _sealed(users: DataFrame, keys: DataFrame, resource_id: str | None = None, synced_at: Column | None = None) -> DataFrame:
+    """Rows for the vault of users with their fields ``f``, of one resource or of those that the fields name."""
+    held = K.attach(users, keys).select(*K.KEY, "key_id", "dek_hex", "inner_mask", "outer_mask", F.inline("f"))
+    held = held if resource_id is None else held.withColumn("resource_id", F.lit(resource_id))
     stored = crypto.vault_value(crypto.bundle(F.col("value"), F.col("dek_hex"), F.col("user_id"), F.col("key_id")))
     at = F.current_timestamp() if synced_at is None else synced_at
     return held.select(*NATURAL_KEY, "key_id", crypto.masked_token(F.col("value")).alias("token"), stored.alias("encrypted_value"), at.alias("synced_at"))
@@ -68,16 +92,16 @@ def vault_records(fields: DataFrame, keys: DataFrame, synced_at: Column | None =
 def sync(source: DataFrame, vault: DataFrame, keys: K.KeyTable, resource_id: str, fields: list[str], default_tenant: str, updated_column: str | None = None) -> DataFrame:
     """New vault rows of one resource; users of a missing field who have no key get one first, and shredded users none. The vault is read for this resource and its key columns only."""
     known = vault.where(F.col("resource_id") == resource_id)
-    missing = not_yet_synced(long_fields(source, resource_id, fields, default_tenant, updated_column), known)
-    return vault_records(missing, keys.ensure(missing))
+    missing = lacking(latest_fields(source, fields, default_tenant, updated_column), known, fields)
+    return _sealed(missing, keys.ensure(missing), resource_id)
 
 
 def sync_users(source: DataFrame, users: DataFrame, vault: str, keys: K.KeyTable, resource_id: str, fields: list[str], default_tenant: str, updated_column: str | None = None) -> None:
     """Reads the users' source rows again, once, and appends the missing fields to the stored vault."""
     known = read_vault(source.sparkSession, vault).where(F.col("resource_id") == resource_id)
-    missing = not_yet_synced(long_fields(reread(source, users), resource_id, fields, default_tenant, updated_column), known).persist()
+    missing = lacking(latest_fields(reread(source, users), fields, default_tenant, updated_column), known, fields).persist()
     try:
-        append_vault(vault_records(missing, keys.ensure(missing)), vault)
+        append_vault(_sealed(missing, keys.ensure(missing), resource_id), vault)
     finally:
         missing.unpersist()
 

@@ -100,6 +100,17 @@ def test_sync_is_idempotent_and_keeps_tenants_apart(spark, people, key_table):
     assert vault_sync.not_yet_synced(fields, one, tenant_in_key=False).where("user_id = 'u1'").count() == 0
 
 
+def test_only_lacking_fields_are_synced_and_users_stay_dealt(spark):
+    rows = spark.createDataFrame([("t1", "u1", "a@b.com", None, 1), ("t1", "u1", "c@d.com", "+1", 0), (None, "u2", "e@f.com", "+2", 0)], "tenant_id string, user_id string, email string, phone string, at int")
+    vault = spark.createDataFrame([("t1", "u1", "email"), ("t9", "u2", "email"), ("t0", "u2", "other")], "tenant_id string, user_id string, field_name string")
+    latest = vault_sync.latest_fields(rows, ["email", "phone"], "t0", "at")
+    assert {r.user_id: [tuple(f) for f in r.f] for r in latest.collect()} == {"u1": [("email", "a@b.com"), ("phone", "+1")], "u2": [("email", "e@f.com"), ("phone", "+2")]}
+    missing = vault_sync.lacking(latest, vault, ["email", "phone"])
+    assert {r.user_id: [tuple(f) for f in r.f] for r in missing.collect()} == {"u1": [("phone", "+1")], "u2": [("email", "e@f.com"), ("phone", "+2")]}
+    plan = missing.dropDuplicates(["tenant_id", "user_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2  # one of the source, one of the vault
+
+
 def test_wide_copy_never_shows_plain_text(spark, people, key_table):
     none = spark.createDataFrame([], "tenant_id string, user_id string, resource_id string, field_name string")
     vault = written(vault_sync.sync(people, none, key_table, "r", ["email"], "t0"), "vault")
