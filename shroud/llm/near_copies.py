@@ -40,10 +40,12 @@ PIVOTS, CLOSEST = 12, 2
 STANDING, BRIDGES = 3, 4
 #: Posts of a block, about, and how many a task holds at most before it hands them on.
 BLOCK_POSTS, HELD_POSTS = 1 << 16, 1 << 21
-#: Rows from which common shingles are taken, and how many of those tasks are told, at most.
-SAMPLE, COMMON = 1 << 12, 1 << 18
+#: Common shingles are taken from one in ONE_IN texts, of few texts from about SAMPLE; how many of them tasks are told, at most.
+SAMPLE, ONE_IN, COMMON = 1 << 12, 10, 1 << 18
 #: Buckets of text hashes of which tasks are told, at most.
 BUCKETS = 1 << 20
+#: 64-bit words of a sketch that travel with the posts of sets that are compared pair by pair.
+BRIEF = 8
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -89,7 +91,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of a sample hold, sorted, and in how many they are."""
+    """Shingles that several texts of a sample hold, sorted, and in how many they are.
+
+    The sample grows with the texts: with one of a fixed size the shingles that it doesn't see come ever more
+    often, and pairs of sets that share one with their square.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +104,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))], names=["h"])
 
     rows = docs.count()
-    some = docs.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(max(1, rows // SAMPLE))) == 0)
+    some = docs.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(max(1, min(rows // SAMPLE, ONE_IN)))) == 0)
     found = some.select("text").mapInArrow(tidy(run), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
     found = found.sort_values("h")
     return found["h"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
@@ -133,14 +139,27 @@ def _folded(sketch: Column, size: Column) -> Column:
     return F.when(F.size(sketch) > size, halves).otherwise(sketch)
 
 
+def _brief(sketch: Column) -> Column:
+    """A sketch folded to BRIEF words at most."""
+    xor = lambda x, y: F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b))
+    rest = F.sequence(F.lit(1), (F.size(sketch) / BRIEF).cast("int") - 1)
+    folded = F.aggregate(rest, F.slice(sketch, 1, BRIEF), lambda made, k: xor(made, F.slice(sketch, k * BRIEF + 1, F.lit(BRIEF))))
+    return F.when(F.size(sketch) > BRIEF, folded).otherwise(sketch)
+
+
+def _differ(x: Column, y: Column) -> Column:
+    """By how many bits two sketches differ, the larger one folded to the smaller one's size."""
+    size = F.least(F.size(x), F.size(y))
+    bits = F.zip_with(_folded(x, size), _folded(y, size), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda s, b: s + b)
+
+
 def _may_reach(pairs: DataFrame, nodes: Nodes) -> DataFrame:
     """The distinct pairs whose sizes and sketches don't rule 0.8 out, and by how many bits their sketches ``differ``: where they do in a bit, the sets do in a shingle."""
     of = lambda end, *names: nodes.keys.select(F.col("rep").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in names])
     met = pairs.distinct().join(of("a", "n", "sketch"), "a").join(of("b", "n", "sketch"), "b")
     sizes = met.where(_similar(F.col("n_a"), F.col("n_b"), F.least("n_a", "n_b")))
-    size = F.least(F.size("sketch_a"), F.size("sketch_b"))
-    bits = F.zip_with(_folded(F.col("sketch_a"), size), _folded(F.col("sketch_b"), size), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    differ = sizes.withColumn("differ", F.aggregate(bits, F.lit(0), lambda s, x: s + x))
+    differ = sizes.withColumn("differ", _differ(F.col("sketch_a"), F.col("sketch_b")))
     return differ.where(9 * F.col("differ") <= F.col("n_a") + F.col("n_b")).select("a", "b", "differ")
 
 
@@ -181,13 +200,14 @@ def _packed(block: int, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([len(columns[0])], pa.int32()), pa.array([b"".join([c.astype("<u4").tobytes() for c in columns])])], names=["block", "many", "data"])
 
 
-def meetings(sets: DataFrame) -> DataFrame:
+def meetings(sets: DataFrame, early: bool = False) -> DataFrame:
     """Of the shingles ``h`` in the prefixes of ``sets`` (rep, size n, prefix) those that several sets hold: each set with its place i as ``p`` (n, rep, i), beside ``first``, a small set with the shingle.
 
     Posts travel in packed blocks by ranges of their hash, a few bytes each, and tasks sort block by block. A
     block has about BLOCK_POSTS; of one that a hot shingle makes larger a task keeps one set for each shingle
     and hands on the others as they come. 32 bits tell the shingles of a block apart: two that agree
-    in them make sets meet in vain, no more.
+    in them make sets meet in vain, no more. With ``early`` shingles go that no set holds within the first
+    ninth of its own, but for those of a block that is handed on in parts.
     """
     total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
     bits = max(1, (total // BLOCK_POSTS).bit_length())
@@ -229,7 +249,10 @@ def meetings(sets: DataFrame) -> DataFrame:
             start = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
             size = np.diff(start, append=len(rows))
             first, several = np.repeat(start, size), np.repeat(size > 1, size)
-            out = np.flatnonzero(several & (rows[:, 4] == 0))
+            wanted = several & (rows[:, 4] == 0)
+            if early and last and kept is None:
+                wanted &= np.repeat(np.logical_or.reduceat(9 * rows[:, 3] <= rows[:, 1], start), size)
+            out = np.flatnonzero(wanted)
             if len(out):
                 p, f = rows[out], rows[first[out]]
                 yield pa.RecordBatch.from_arrays([pa.array((at << 32) | p[:, 0]), *[pa.array(c) for c in (p[:, 1], p[:, 2], p[:, 3], f[:, 1], f[:, 2], f[:, 3])]], names=["h", "n", "rep", "i", "fn", "frep", "fi"])
@@ -256,12 +279,18 @@ def meetings(sets: DataFrame) -> DataFrame:
 
 
 def neighbours(shared: DataFrame, nodes: Nodes) -> DataFrame:
-    """For each set the CLOSEST of its hub and the PIVOTS members that stand for its hub's neighbourhood, as pairs ``a``, ``b``."""
-    own = cut(shared.where("p.rep <> first.rep").where(_may("first", "p")).groupBy("p.rep").agg(F.mode("first.rep", True).alias("hub")))
-    pivots = own.groupBy("hub").agg(F.array_distinct(F.array("hub", *[F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)])).alias("pivots"))
-    tried = own.join(pivots, "hub").select(F.col("rep").alias("a"), F.explode("pivots").alias("b")).where("a <> b")
-    nearest = Window.partitionBy("a").orderBy("differ", "b")
-    return _may_reach(tried, nodes).withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= CLOSEST).select(*_ends(F.col("a"), F.col("b")))
+    """For each set the CLOSEST of its hub and the PIVOTS members that stand for its hub's neighbourhood, as pairs ``a``, ``b``.
+
+    The hub's row holds the sketches of all that stand for it, so a set is one row until its closest are known.
+    """
+    of = nodes.keys.select("rep", "n", "sketch")
+    own = cut(shared.where("p.rep <> first.rep").where(_may("first", "p")).groupBy("p.rep").agg(F.mode("first.rep", True).alias("hub")).join(of, "rep"))
+    chosen = own.groupBy("hub").agg(F.array_distinct(F.array("hub", *[F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)])).alias("pivots"))
+    pivots = chosen.select("hub", F.explode("pivots").alias("rep")).join(of, "rep").groupBy("hub").agg(F.collect_list(F.struct("rep", "n", "sketch")).alias("pivots"))
+    near = F.transform("pivots", lambda x: F.struct(_differ(F.col("sketch"), x["sketch"]).alias("differ"), x["rep"].alias("b"), x["n"].alias("m")))
+    may = F.filter(near, lambda x: (x["b"] != F.col("rep")) & _similar(F.col("n"), x["m"], F.least("n", x["m"])) & (9 * x["differ"] <= F.col("n") + x["m"]))
+    tried = own.join(pivots, "hub").select(F.col("rep").alias("a"), F.slice(F.array_sort(may), 1, CLOSEST).alias("nearest"))
+    return tried.select("a", F.explode("nearest.b").alias("b")).select(*_ends(F.col("a"), F.col("b")))
 
 
 def _held(shared: DataFrame, near: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
@@ -273,8 +302,9 @@ def _held(shared: DataFrame, near: DataFrame, rounds: int) -> tuple[DataFrame, D
     release(shared.sparkSession)
     held = cut(shared.join(group, F.col("p.rep") == F.col("node"), "left").select("h", "p", F.coalesce("component", F.col("p.rep")).alias("label")))
     standing = F.array_distinct(F.array(*[F.min_by("p", F.xxhash64("p.rep", F.lit(k))) for k in range(STANDING)])).alias("standing")
-    labels = cut(held.groupBy("h", "label").agg(F.count("*").alias("sets"), standing))
-    main = labels.groupBy("h").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("h", "main")
+    mixed = held.groupBy("h").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("h")
+    labels = cut(held.join(mixed, "h", "left_semi").groupBy("h", "label").agg(F.count("*").alias("sets"), standing))
+    main = labels.groupBy("h").agg(F.max_by("label", F.struct("sets", "label")).alias("main"))
     return held, labels.join(main, "h")
 
 
@@ -288,14 +318,19 @@ def bridges(labels: DataFrame, nodes: Nodes) -> DataFrame:
     return close.where(F.col("place") <= BRIDGES).select(*_ends(F.col("a"), F.col("b")))
 
 
-def across(held: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of sets that share a shingle and are in different components.
+def across(held: DataFrame, labels: DataFrame, nodes: Nodes) -> DataFrame:
+    """Pairs ``a``, ``b`` of sets that share a shingle and are in different components, as far as their brief sketches don't rule 0.8 out.
 
-    Of a shingle's sets those outside its largest component are paired with all that aren't in theirs.
+    Of a shingle's sets those outside its largest component are paired with all that aren't in theirs. Posts carry
+    their set's brief sketch, so what can't reach 0.8 makes no row.
     """
     several = labels.where("label = main").select("h", "main")
-    rest = held.join(several, "h").where("label <> main").select("h", F.col("p").alias("q"), F.col("label").alias("other"))
-    return held.join(rest, "h").where("label <> other").where(_may("p", "q")).select(*_ends(F.col("p.rep"), F.col("q.rep")))
+    brief = nodes.keys.select("rep", _brief(F.col("sketch")).alias("s"))
+    posts = cut(held.join(several, "h").join(brief, F.col("p.rep") == F.col("rep")).select("h", "p", "label", "main", "s"))
+    rest = posts.where("label <> main").select("h", F.col("p").alias("q"), F.col("label").alias("other"), F.col("s").alias("t"))
+    n, m = F.col("p.n"), F.col("q.n")
+    pairs = posts.drop("main").join(rest, "h").where("label <> other").where(_may("p", "q") & (9 * _differ(F.col("s"), F.col("t")) <= n + m))
+    return pairs.select(*_ends(F.col("p.rep"), F.col("q.rep")))
 
 
 def links(sets: DataFrame, nodes: Nodes, offered: DataFrame) -> DataFrame:
@@ -304,14 +339,16 @@ def links(sets: DataFrame, nodes: Nodes, offered: DataFrame) -> DataFrame:
     The smaller set of a pair holds a shingle of both within the first ninth of its own, so a shingle
     that stands there in no set joins none.
     """
-    met = cut(meetings(sets))
+    met = cut(meetings(sets, True))
     release(met.sparkSession)
     shared = cut(met.join(met.where("9 * p.i <= p.n").select("h").distinct(), "h", "left_semi"))
+    del met
     near = _confirmed(neighbours(shared, nodes).unionByName(_may_reach(offered, nodes).select("a", "b")), nodes)
-    _, labels = _held(shared, near, 2)
-    near = cut(near.unionByName(_confirmed(bridges(labels, nodes), nodes)))
-    held, labels = _held(shared, near, 3)
-    return near.unionByName(_confirmed(_may_reach(across(held, labels), nodes), nodes))
+    near = cut(near.unionByName(_confirmed(bridges(_held(shared, near, 2)[1], nodes), nodes)))
+    apart = across(*_held(shared, near, 3), nodes)
+    del shared
+    release(near.sparkSession)
+    return near.unionByName(_confirmed(_may_reach(apart, nodes), nodes))
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -321,6 +358,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     release(docs.sparkSession)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
+    release(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = common.value

@@ -137,3 +137,42 @@ def test_meetings_are_those_of_a_plain_join(spark, monkeypatch):
             found.setdefault(r.h, []).append(tuple(r.p))
         assert sorted(sorted(v) for v in found.values()) == want
         assert all(tuple(r.first) <= tuple(r.p) or held == 16 for r in rows)
+
+
+def test_sets_that_share_a_shingle_without_being_near_make_no_pairs(spark, monkeypatch):
+    """Texts with one rare passage in common, in components of their own: their sketches rule the pairs out within the join; none that reaches 0.8 is lost."""
+    rng = random.Random(7)
+    word = lambda: f"u{rng.randrange(10**6)}"
+    passage = " ".join(word() for _ in range(12))
+    rows = [(k, " ".join([passage, *[word() for _ in range(60)]])) for k in range(120)]
+    rows += [(200 + k, " ".join([*text.split()[:-2], word(), word()])) for k, text in rows[:10]]
+    made = []
+    across = near_copies.across
+    monkeypatch.setattr(near_copies, "across", lambda *given: made.append(across(*given)) or made[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(r.doc_id for r in near_copies.keep_one(docs).collect())
+    assert got == plain_kept(rows) == list(range(120))
+    assert made[0].count() < 200  # of 7140 pairs for each shingle of the passage
+
+
+def test_the_sample_of_common_shingles_grows_with_the_texts(spark, monkeypatch):
+    """A shingle that comes as often as one in a few hundred texts is known to be common however many texts there are."""
+    monkeypatch.setattr(near_copies, "SAMPLE", 8)
+    often = [f"t{i} x{i} same five words in a row y{i}" if i % 10 == 0 else f"a{i} b{i} c{i} d{i} e{i}" for i in range(4000)]
+    shingles, counts = near_copies.common_shingles(spark.createDataFrame([(t,) for t in often], "text string"))
+    assert len(shingles) == 2 and min(counts) > 15
+
+
+def test_neighbours_are_the_closest_that_stand_for_a_hub(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 40, 300))
+    sets = [np.unique(np.concatenate([base[k:], rng.integers(1 << 41, 1 << 42, k)])) for k in range(20)]
+    keys = spark.createDataFrame([(k, len(s), near_copies.sketch(s).tolist()) for k, s in enumerate(sets)], "rep long, n int, sketch array<long>")
+    post = lambda k: (len(sets[k]), k, 0)
+    shared = spark.createDataFrame([(1, post(k), post(0)) for k in range(20)], "h long, p struct<n:long,rep:long,i:long>, first struct<n:long,rep:long,i:long>")
+    asked = []
+    may_reach = near_copies._may_reach
+    monkeypatch.setattr(near_copies, "_may_reach", lambda pairs, nodes: asked.append(pairs) or may_reach(pairs, nodes))
+    got = {(r.a, r.b) for r in near_copies.neighbours(shared, near_copies.Nodes(None, keys)).collect()}
+    assert len(got) >= 19 and all(a < b for a, b in got)
+    assert not asked  # no row for each of a set's pairs
