@@ -207,7 +207,7 @@ def meetings(sets: DataFrame, early: bool = False) -> DataFrame:
     block has about BLOCK_POSTS; of one that a hot shingle makes larger a task keeps one set for each shingle
     and hands on the others as they come. 32 bits tell the shingles of a block apart: two that agree
     in them make sets meet in vain, no more. With ``early`` shingles go that no set holds within the first
-    ninth of its own, but for those of a block that is handed on in parts.
+    ninth of its own, but for those of a block that is handed on in parts (``parted``).
     """
     total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
     bits = max(1, (total // BLOCK_POSTS).bit_length())
@@ -244,18 +244,19 @@ def meetings(sets: DataFrame, early: bool = False) -> DataFrame:
         def settled(last: bool) -> Iterator[pa.RecordBatch]:
             """Posts whose shingle came twice; keeps the first post of each shingle and whether it was handed on, until the block's end."""
             nonlocal kept, held, many
+            parted = kept is not None or not last
             rows = np.concatenate([*([kept] if kept is not None else []), *held])  # h, n, rep, i, handed on
             rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
             start = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
             size = np.diff(start, append=len(rows))
             first, several = np.repeat(start, size), np.repeat(size > 1, size)
             wanted = several & (rows[:, 4] == 0)
-            if early and last and kept is None:
+            if early and not parted:
                 wanted &= np.repeat(np.logical_or.reduceat(9 * rows[:, 3] <= rows[:, 1], start), size)
             out = np.flatnonzero(wanted)
             if len(out):
                 p, f = rows[out], rows[first[out]]
-                yield pa.RecordBatch.from_arrays([pa.array((at << 32) | p[:, 0]), *[pa.array(c) for c in (p[:, 1], p[:, 2], p[:, 3], f[:, 1], f[:, 2], f[:, 3])]], names=["h", "n", "rep", "i", "fn", "frep", "fi"])
+                yield pa.RecordBatch.from_arrays([pa.array((at << 32) | p[:, 0]), *[pa.array(c) for c in (p[:, 1], p[:, 2], p[:, 3], f[:, 1], f[:, 2], f[:, 3])], pa.array(np.full(len(out), parted))], names=["h", "n", "rep", "i", "fn", "frep", "fi", "parted"])
             rows[:, 4] |= several
             kept, held, many = None if last else rows[start], [], 0
 
@@ -274,8 +275,8 @@ def meetings(sets: DataFrame, early: bool = False) -> DataFrame:
             yield from settled(True)
 
     dealt = sets.select("rep", "n", "prefix").mapInArrow(tidy(deal), "block long, many int, data binary")
-    met = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(meet), "h long, n long, rep long, i long, fn long, frep long, fi long")
-    return met.select("h", F.struct("n", "rep", "i").alias("p"), F.struct(F.col("fn").alias("n"), F.col("frep").alias("rep"), F.col("fi").alias("i")).alias("first"))
+    met = dealt.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(meet), "h long, n long, rep long, i long, fn long, frep long, fi long, parted boolean")
+    return met.select("h", F.struct("n", "rep", "i").alias("p"), F.struct(F.col("fn").alias("n"), F.col("frep").alias("rep"), F.col("fi").alias("i")).alias("first"), "parted")
 
 
 def neighbours(shared: DataFrame, nodes: Nodes) -> DataFrame:
@@ -339,10 +340,10 @@ def links(sets: DataFrame, nodes: Nodes, offered: DataFrame) -> DataFrame:
     The smaller set of a pair holds a shingle of both within the first ninth of its own, so a shingle
     that stands there in no set joins none.
     """
-    met = cut(meetings(sets, True))
-    release(met.sparkSession)
-    shared = cut(met.join(met.where("9 * p.i <= p.n").select("h").distinct(), "h", "left_semi"))
-    del met
+    shared = cut(meetings(sets, True))
+    release(shared.sparkSession)
+    if not shared.where("parted").isEmpty():
+        shared = cut(shared.join(shared.where("9 * p.i <= p.n").select("h").distinct(), "h", "left_semi"))
     near = _confirmed(neighbours(shared, nodes).unionByName(_may_reach(offered, nodes).select("a", "b")), nodes)
     near = cut(near.unionByName(_confirmed(bridges(_held(shared, near, 2)[1], nodes), nodes)))
     apart = across(*_held(shared, near, 3), nodes)

@@ -176,3 +176,15 @@ def test_neighbours_are_the_closest_that_stand_for_a_hub(spark, monkeypatch):
     got = {(r.a, r.b) for r in near_copies.neighbours(shared, near_copies.Nodes(None, keys)).collect()}
     assert len(got) >= 19 and all(a < b for a, b in got)
     assert not asked  # no row for each of a set's pairs
+
+
+def test_early_meetings_leave_out_shingles_that_stand_early_in_no_set(spark, monkeypatch):
+    """Blocks that are handed on in parts keep them, and say so."""
+    sets = [(k, 18, [100 * k + j for j in range(3)] + ([7777] if k % 2 else [])) for k in range(10)] + [(20 + k, 18, [5555, 100 * k + 4000]) for k in range(4)]
+    frame = spark.createDataFrame([(rep, n, [h << 40 for h in held]) for rep, n, held in sets], "rep long, n int, prefix array<long>").repartition(2)
+    whole = near_copies.meetings(frame, True).collect()
+    assert sorted(r.p.rep for r in whole) == [20, 21, 22, 23] and not any(r.parted for r in whole)
+    assert len(near_copies.meetings(frame).collect()) == 9
+    monkeypatch.setattr(near_copies, "HELD_POSTS", 4)
+    parts = near_copies.meetings(frame, True).collect()
+    assert {20, 21, 22, 23} <= {r.p.rep for r in parts} and all(r.parted for r in parts if r.p.rep < 20)
