@@ -16,6 +16,8 @@ from shroud.sources import sinks
 from shroud.streaming import landing as T
 
 FIELDS = ["email", "phone"]
+#: Users whose rows come in one round of landing files, about; a round has files of each tenant.
+ROUND = 100_000
 #: A resource whose source fails for one user.
 BROKEN = "bigquery:proj.broken.users"
 
@@ -23,7 +25,8 @@ BROKEN = "bigquery:proj.broken.users"
 def _landed(spark, sf):
     """CSV and NDJSON files of every tenant in a folder of its own, protected by one stream; cells hold line breaks, broken lines and rows with a cell too many are counted, and files without the declared columns are moved aside."""
     out, side, keys, inbound = work_dir(spark, "raw"), work_dir(spark, "side"), key_table(frame(spark, sf, "keys")), work_dir(spark, "inbound")
-    users = frame(spark, sf, "users").repartition(3, "user_id")
+    users = frame(spark, sf, "users")
+    users = users.repartition(_rounds(users.count()), "user_id")
     n = F.col("user_id").cast("long")
     note = F.when(n % 4 == 0, F.concat(F.lit('said "'), "plan", F.lit('",\nand left'))).otherwise(F.col("plan")).alias("note")
     users.where((n % 2 == 0) & (n % 100 != 8)).select("tenant_id", "user_id", note, "email", "phone").write.partitionBy("tenant_id").option("header", True).option("escape", '"').csv(inbound)
@@ -39,6 +42,11 @@ def _landed(spark, sf):
     return out, side, keys
 
 
+def _rounds(users):
+    """Rounds of landing files for so many users: files that are read in one piece stay bounded, and more of them are written and read side by side."""
+    return max(3, -(-users // ROUND))
+
+
 def _moved(spark, texts, inbound, suffix):
     """Writes texts (tenant_id, value) as files with a suffix into the tenants' landing folders."""
     drafts = work_dir(spark, "drafts")

@@ -22,11 +22,11 @@ def append_once(rows: DataFrame, path: str, key: list[str], by: str | None = Non
     and only the partitions of the batch's dates are read; else the key columns of the whole table are.
     One writer at a time: two that check at once may both add a key.
     """
-    spark, rows = rows.sparkSession, rows.dropDuplicates(key)
+    spark, given, rows = rows.sparkSession, rows, rows.dropDuplicates(key)
     if exists(spark, path):
         held = spark.read.schema(rows.schema).parquet(path)  # there may be no row yet
         if by:
-            held = held.where(F.col(by).isin([r[0] for r in rows.select(by).distinct().collect()]))
+            held = held.where(F.col(by).isin([r[0] for r in given.select(by).distinct().collect()]))
         rows = rows.join(held.select(*key), key, "left_anti")
     append(rows, path, [by] if by else None)
 

@@ -241,3 +241,10 @@ def test_messages_that_share_an_operation(spark, tmp_path):
     T.take_messages(T.parse_messages(spark.readStream.option("maxFilesPerTrigger", 1).text(str(source))), str(tmp_path / "check"), keys, out, events, dead)
     for path in (out, events):
         assert sorted((r.tenant_id, r.user_id, r.operation_id) for r in spark.read.parquet(path).collect()) == want
+
+
+def test_landing_files_grow_in_number_not_in_size():
+    from shroud.plans import streams
+
+    assert streams._rounds(15) == streams._rounds(15_000) == 3
+    assert all(users / streams._rounds(users) <= streams.ROUND for users in (900_000, 5_400_001))
