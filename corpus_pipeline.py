@@ -10,40 +10,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shroud.llm import catalog, compression_quality, decontamination, near_copies, packing, toxicity
-from shroud.llm.common import discard, shared_dir, small_batches, table
+from shroud.llm.common import discard, release, shared_dir, small_batches, table
 
 
 #: Words that a worker remembers while it packs: the stages before have left memories of their own in it.
 PACKING_MEMORY = 100_000
 
 
+def _begin(spark: SparkSession) -> None:
+    """Before each stage: bounded batches, and memory of the stages before goes back to the system."""
+    small_batches(spark)
+    release(spark)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model doesn't reject; null and empty texts stay, repeated rows share their fate, very long ones count by their worst words, clashing columns pass through."""
-    small_batches(spark)
+    _begin(spark)
     return toxicity.keep_clean(docs, toxicity.train(spark, sf_dir))
 
 
 def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model doesn't reject; null and empty texts count as average good ones, repeated rows share their fate, long ones are scored whole, clashing columns pass through."""
-    small_batches(spark)
+    _begin(spark)
     return compression_quality.keep_good(docs, compression_quality.train(spark, sf_dir))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id: five-word shingles, Jaccard similarity of at least 0.8. Null and empty texts are one group; rows without an id stay; of rows that repeat a kept id one stays."""
-    small_batches(spark)
+    _begin(spark)
     return near_copies.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item; null and empty texts stay, copies share their fate, long and repetitive ones are tiled whole, clashing columns pass through."""
-    small_batches(spark)
+    _begin(spark)
     return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of tokens; a null or empty text is its end token alone, repeated rows are documents of their own."""
-    small_batches(spark)
+    _begin(spark)
     return packing.pack_documents(docs, catalog.tokenizer("word_bpe_49k.json"), memory=PACKING_MEMORY, keep=False)
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,9 +105,28 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files, and forget the broadcasts, of frames that are no longer referenced, such as those behind a checkpoint."""
+    """Lets Spark's cleaner delete the shuffle files, and forget the broadcasts, of frames that are no longer referenced, such as those behind a checkpoint, and gives the memory that the driver no longer uses back to the system."""
     give_back()
     spark.sparkContext._jvm.System.gc()
+    _trim(spark)
+
+
+def _trim(spark: SparkSession) -> None:
+    """What ``give_back`` does for Python, for the driver's JVM: freed native memory of plans and of compiled code stays with the C library until it is asked for. A JVM without this command of its management interface keeps it."""
+    gateway = spark.sparkContext._gateway
+    java, named = gateway.jvm.java, gateway.jvm.java.lang.Class.forName
+
+    def array(kind, *items):
+        made = gateway.new_array(kind, len(items))
+        for k, x in enumerate(items):
+            made[k] = x
+        return made
+
+    with contextlib.suppress(Py4JError):
+        kinds = [named(x) for x in ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")]
+        invoke = named("javax.management.MBeanServer").getMethod("invoke", array(java.lang.Class, *kinds))
+        commands = gateway.jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        invoke.invoke(java.lang.management.ManagementFactory.getPlatformMBeanServer(), array(java.lang.Object, commands, "systemTrimNativeHeap", array(java.lang.Object), array(java.lang.String)))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.llm.common import cut
+from shroud.llm.common import cut, release
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60, whole: bool = True) -> DataFrame:
@@ -19,6 +19,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     shuffled, so the task that holds a hub receives one row for it from each task at most.
     Without ``whole`` it ends after ``most_rounds``, converged or not: nodes with one label are in one component
     then, while those of one component may still have several labels.
+    Each round lets go of what the one before left in the driver's memory.
     Edges with a null end are left out; loops and repeated edges change nothing; no edges, no rows.
     """
     clean = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
@@ -38,6 +39,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
             .unionByName(offers.select(F.col("parent").alias("node"), F.lit(None).cast(dict(both.dtypes)["u"]).alias("old"), F.col("offer").alias("new")))
         )
         parents = cut(pointers.groupBy("node").agg(F.min("new").alias("parent"), F.max("old").alias("old")).select("node", "parent", (F.col("parent") != F.col("old")).alias("moved")))
+        del up, state, seen, offers, pointers
+        release(edges.sparkSession)
         if whole and parents.where("moved").isEmpty():
             return parents.select("node", F.col("parent").alias("component"))
     if not whole:
