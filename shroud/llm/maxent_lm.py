@@ -21,10 +21,10 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,16 +53,28 @@ END, START = b" ", b"  "
 _MIX, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words of a text without its ASCII capitals, and the end."""
-    return [*text.encode().lower().split(), END]
+def numbered_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of the texts without their ASCII capitals, the number of each text's words in a row, and where each text starts there, with a last stop. Arrow splits and numbers them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    coded = lists.values.dictionary_encode()
+    words, numbers = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+    stops = lists.offsets.to_numpy().astype(np.int64)
+    if b"" in words:  # what white space at either end of a text leaves
+        keep = numbers != words.index(b"")
+        numbers, stops = numbers[keep], np.append(0, np.cumsum(keep))[stops]
+    return words, numbers, stops
 
 
-def word_key(word: bytes) -> int:
+def word_keys(words: list[bytes]) -> np.ndarray:
     """64 bits by which words are told apart."""
     from xxhash import xxh64_intdigest
 
-    return xxh64_intdigest(word) - (1 << 63)
+    return (np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words)) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def word_key(word: bytes) -> int:
+    """The key of one word."""
+    return int(word_keys([word])[0])
 
 
 def shared_slot(word: bytes) -> int:
@@ -76,13 +88,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def batch_of(counts: Counter) -> pa.RecordBatch:
         words = list(counts)
         short = [w[:24].decode("utf-8", "ignore") for w in words]
-        return pa.RecordBatch.from_arrays([pa.array([word_key(w) for w in words], pa.int64()), pa.array(short, pa.string()), pa.array([shared_slot(w) for w in words], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["key", "word", "slot", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(word_keys(words)), pa.array(short, pa.string()), pa.array([shared_slot(w) for w in words], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["key", "word", "slot", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
             for part in text_slices(batch, "text"):
-                found = Counter(chain.from_iterable(map(words_of, texts_of(part, "text"))))
+                words, numbers, _ = numbered_words(texts_of(part, "text"))
+                found = Counter({w: n for w, n in zip(words, np.bincount(numbers, minlength=len(words)).tolist(), strict=True) if n})
+                found[END] = part.num_rows
                 if long := {w: n for w, n in found.items() if len(w) > LONG}:
                     yield batch_of(Counter(long))
                     found.subtract(long)
@@ -193,7 +207,7 @@ class Reader:
         self._add([START, END])
 
     def _add(self, new: list[bytes]) -> None:
-        keys = np.array([word_key(w) for w in new], np.int64)
+        keys = word_keys(new)
         at = np.minimum(np.searchsorted(self.words.keys, keys), max(len(self.words.keys) - 1, 0))
         known = self.words.keys[at] == keys if len(self.words.keys) else np.zeros(len(new), bool)
         at = at[known]
@@ -207,12 +221,12 @@ class Reader:
         """(number of each token's word, where each text starts), for the texts' tokens in a row; numbers hold until the next call."""
         if self.held > self.memory:
             self.forget()
-        split = [words_of(t) for t in texts]
-        flat = list(chain.from_iterable(split))
-        if new := list(set(flat).difference(self.index)):
+        words, numbers, stops = numbered_words(texts)
+        if new := [w for w in words if w not in self.index]:
             self._add(new)
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        return np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat)), np.cumsum(sizes) - sizes
+        own = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        starts = stops[:-1] + np.arange(len(texts))  # an end follows each text
+        return np.insert(own[numbers], stops[1:], self.index[END]), starts
 
     def contexts(self, tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         """A hash of each feature's word before each token: the last one, and the one before it."""

@@ -129,3 +129,12 @@ def test_words_spelt_alike_stand_together():
     order = [words[k][:4] for k in M.spelling_order(words)]
     assert sorted(M.spelling_order(words)) == list(range(12))
     assert sum(a != b for a, b in zip(order, order[1:])) <= 5
+
+
+def test_words_are_numbered_as_python_splits_them():
+    texts = ["", " ", " A\tb\x0bc \x0c", "\x1c x\x85\xa0É  Q", "\n\nq", "q q", "ÀB \x00 b"]
+    words, numbers, stops = M.numbered_words(texts)
+    want = [t.encode().lower().split() for t in texts]
+    assert [[words[n] for n in numbers[i:j]] for i, j in zip(stops[:-1], stops[1:], strict=True)] == want
+    assert len(set(words)) == len(words)
+    assert M.word_keys([b"a", "é".encode()]).tolist() == [M.word_key(b"a"), M.word_key("é".encode())]
