@@ -11,15 +11,16 @@ pool and no more, whatever the size of a source or a group of copies.
 
 from __future__ import annotations
 
-import json
+import os
 import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -62,25 +63,28 @@ class WordEncoder:
     """Token ids of texts as little-endian 32-bit bytes, from a word-level tokenizers file.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    chunks, which are remembered. That holds for the characters of SAFE; other texts, and those that
-    may hold the string of a special token, are encoded whole.
+    chunks. Texts are split, and their distinct chunks numbered, by Arrow; each distinct chunk of a
+    call is looked up once, and the ids of all texts are gathered by numpy. Words are remembered.
+    That holds for the characters of SAFE; other texts, and those that may hold the string of a
+    special token, are encoded whole.
     """
 
     #: No white space but the plain kind, and below U+0250 lower case is one to one and composition changes nothing.
     UNSAFE = re.compile("[\x1c-\x1fİɐ-\U0010ffff]|<\\|")
-    #: Letters, then signs: two pieces before merging. Letters alone are one, which ends with the first token that ends a word.
-    PARTS = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")
+    #: Signs that may follow letters: two pieces before merging. Letters alone are one, which ends with the first token that ends a word.
+    SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, tokenizer_file: str, memory: int = MEMORY):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.usual = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.plain = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.memory = memory
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}  # words with signs behind them
         self.words: dict[str, bytes] = {}
-        self.long: list[str] = []  # learned for this batch only
-        with open(tokenizer_file, encoding="utf-8") as file:
-            suffix = json.load(file)["model"]["end_of_word_suffix"]
+        suffix = self.tokenizer.model.end_of_word_suffix
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -91,42 +95,67 @@ class WordEncoder:
         return self.UNSAFE.search(text) is not None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self._unsafe(t) else t.lower().split() for t in texts]
-        if len(self.chunks) > self.memory:
-            self.chunks.clear()
-        if len(self.words) > self.memory:
-            self.words.clear()
-        known = self.chunks
-        self._learn({c for chunks in split if chunks for c in chunks if c not in known})
-        whole = iter(self.tokenizer.encode_batch_fast([t for t, chunks in zip(texts, split, strict=True) if chunks is None], add_special_tokens=False))
-        found = [_raw(next(whole).ids) if chunks is None else b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        for memory in (self.chunks, self.words):
-            for word in self.long:
-                memory.pop(word, None)
-        return found
-
-    def _learn(self, chunks: set[str]) -> None:
-        words, pairs, plain, rest = self.words, [], set(), set()
-        for chunk in chunks:
-            if chunk.isalpha():
-                plain.add(chunk)
-            elif found := self.PARTS.fullmatch(chunk):
-                pairs.append((chunk, found[1], found[2]))
-                plain.add(found[1])
-                rest.add(found[2])
+        unsafe = [self._unsafe(t) for t in texts]
+        whole = iter(self.tokenizer.encode_batch_fast([t for t, u in zip(texts, unsafe, strict=True) if u], add_special_tokens=False))
+        split = iter(self._encode_split([t for t, u in zip(texts, unsafe, strict=True) if not u]))
+        return [_raw(next(whole).ids) if u else next(split) for u in unsafe]
+
+    def _encode_split(self, texts: list[str]) -> list[bytes]:
+        lists = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        coded = lists.values.dictionary_encode()
+        number = coded.indices.to_numpy()
+        known = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids, sizes = np.frombuffer(b"".join(known), "<u4"), size[number]
+        ends = np.cumsum(sizes)
+        at = np.repeat((np.cumsum(size) - size)[number] - (ends - sizes), sizes)  # from a place in the texts to that in the distinct chunks
+        at += np.arange(len(at))
+        raw = ids[at].tobytes()
+        stops = 4 * np.append(0, ends)[lists.offsets.to_numpy()]
+        return [raw[i:j] for i, j in pairwise(stops.tolist())]
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks."""
+        words, pairs = self.words, self.chunks
+        for memory in (words, pairs):
+            if len(memory) > self.memory:
+                memory.clear()
+        words[""] = b""  # what white space at either end of a text leaves
+        found = list(map(words.get, chunks))
+        plain, rest, two = set(), set(), []
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            chunk = chunks[k]
+            if (ids := pairs.get(chunk)) is not None:
+                found[k] = ids
+            elif (word := chunk.rstrip(self.SIGNS)).isalpha():
+                if word not in words:
+                    plain.add(word)
+                if word != chunk:
+                    two.append((k, word, after := chunk[len(word) :]))
+                    if after not in words:
+                        rest.add(after)
             else:
                 rest.add(chunk)
-        new = sorted(plain.difference(words))
-        for at in range(0, len(new), 4000):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new[at : at + 4000])], add_special_tokens=False)[0].ids, "<u4")
+        self._learn(sorted(plain), sorted(rest))
+        for k, word, after in two:
+            found[k] = pairs[chunks[k]] = words[word] + words[after]
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            found[k] = words[chunks[k]]
+        for memory, new in ((words, chain(plain, rest)), (pairs, [chunks[k] for k, _, _ in two])):
+            for chunk in [c for c in new if len(c) > LONGEST]:
+                del memory[chunk]
+        return found
+
+    def _learn(self, plain: list[str], rest: list[str]) -> None:
+        """Remembers the ids of letters alone, many of which are encoded as one text that needs splitting at spaces only, and of other chunks."""
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.plain
+        for at in range(0, len(plain), 4000):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain[at : at + 4000])], add_special_tokens=False)[0].ids, "<u4")
             raw, stops = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            words.update(zip(new[at : at + 4000], [raw[i:j] for i, j in zip([0, *stops], stops, strict=False)], strict=True))
-        self.long = [w for w in chain(chunks, plain, rest) if len(w) > LONGEST]
-        signs = sorted(rest.difference(words))
-        for chunk, found in zip(signs, self.tokenizer.encode_batch_fast(signs, add_special_tokens=False), strict=True):
-            words[chunk] = _raw(found.ids)
-        self.chunks.update((c, words[c]) for c in chunks.intersection(words))
-        self.chunks.update((c, words[word] + words[after]) for c, word, after in pairs)
+            self.words.update(zip(plain[at : at + 4000], [raw[i:j] for i, j in zip([0, *stops], stops, strict=False)], strict=True))
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.usual
+        for chunk, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.words[chunk] = _raw(found.ids)
 
 
 def _raw(ids: list[int]) -> bytes:
@@ -184,7 +213,11 @@ class Packer:
         self._emit(pieces)
 
     def pack(self) -> None:
-        """Packs the pool into full sequences until less than one sequence waits."""
+        """Packs the pool into full sequences until less than one sequence waits: first each two lengths that fill a sequence exactly, then multisets."""
+        for length in sorted(n for n in self.waiting if 2 * n >= self.capacity):
+            other = self.capacity - length
+            while length in self.waiting and other in self.waiting and (length != other or len(self.waiting[length]) > 1):
+                self._emit([self._take(length), self._take(other)])
         total = sum(n * len(w) for n, w in self.waiting.items())
         while total >= self.capacity:
             chosen = closest_fill({n: len(w) for n, w in self.waiting.items()}, self.capacity)
@@ -206,6 +239,13 @@ class Packer:
 _encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
+def _encoder(tokenizer_file: str, memory: int) -> WordEncoder:
+    """The worker's encoder; tasks reach it by this function's name, as what a task itself refers to comes to it as a copy."""
+    if (tokenizer_file, memory) not in _encoders:
+        _encoders[tokenizer_file, memory] = WordEncoder(tokenizer_file, memory)
+    return _encoders[tokenizer_file, memory]
+
+
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, pool: int = POOL, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY, keep: bool = True) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -220,9 +260,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACIT
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get((tokenizer_file, memory)) or WordEncoder(tokenizer_file, memory)
-        if keep:
-            _encoders[tokenizer_file, memory] = encoder
+        encoder = _encoder(tokenizer_file, memory) if keep else WordEncoder(tokenizer_file, memory)
         packer, kind = Packer(TaskContext.get().partitionId(), capacity, pool), None
 
         def flush() -> pa.RecordBatch:

@@ -117,3 +117,31 @@ def test_memories_hold_no_long_words():
         decontamination.seed_hashes(texts, [1])
     held = [counter.chunks, counter.stretches, encoder.chunks, encoder.words, scores.index, decontamination._hashes]
     assert sum(len(w) for memory in held for w in memory) < 100_000
+
+
+def test_lengths_that_fill_a_sequence_are_paired_without_a_search(monkeypatch):
+    monkeypatch.setattr(packing, "closest_fill", None)
+    packer = packing.Packer(0, capacity=64)
+    for i, length in enumerate([40, 24, 24, 40, 32, 32, 1, 63]):
+        packer.add(i, bytes(4 * length))
+    packer.finish()
+    assert sorted(r[5] for r in packer.out) == [0, 0, 1, 1, 2, 2, 3, 3] and not packer.waiting
+
+
+def test_each_distinct_chunk_of_a_call_is_looked_up_once(monkeypatch):
+    encoder, asked = packing.WordEncoder(WORDS), []
+    monkeypatch.setattr(encoder, "_ids_of", lambda chunks, f=encoder._ids_of: asked.append(chunks) or f(chunks))
+    texts = [" one two,  two,", "ONE\x0bone two, \x85", ""]
+    assert encoder.encode(texts) == [np.array(TOKENIZER.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert sorted(c for c in asked[0] if c) == ["one", "two,"]
+
+
+def test_an_encoder_is_made_without_a_copy_of_its_file():
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        packing.WordEncoder(WORDS)
+        assert tracemalloc.get_traced_memory()[1] < 15 << 20
+    finally:
+        tracemalloc.stop()
