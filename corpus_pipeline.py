@@ -14,7 +14,7 @@ from shroud.llm.common import discard, release, shared_dir, small_batches, table
 
 
 #: Words that a worker remembers while it packs: the stages before have left memories of their own in it.
-PACKING_MEMORY = 100_000
+PACKING_MEMORY = 30_000
 
 
 def _begin(spark: SparkSession) -> None:

@@ -57,6 +57,11 @@ def words_of(text: str) -> list[str]:
     return [w for chunk in text.lower().split() if (w := chunk.strip(SIGNS))]
 
 
+def forget_hashes() -> None:
+    """Empties the worker's memory of words, so that it doesn't stand beside what later tasks need."""
+    _hashes.clear()
+
+
 def seed_hashes(texts: list[str], widths: list[int]) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """(text, hash) of every run of each width in words, repeats included, and each text's number of words. A shorter text has no run."""
     split = [words_of(t) for t in texts]
@@ -224,6 +229,7 @@ def candidates(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame
                 hit = (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
                 take = pa.array(owner[hit])
                 yield pa.RecordBatch.from_arrays([part.column("key").take(take), part.column("check").take(take), pa.array(h[hit].view(np.int64))], names=["key", "check", "h"])
+        forget_hashes()
 
     rows = docs.select(*text_key(), "text").mapInArrow(tidy(hits), "key long, check long, h long").distinct()
     met = rows.join(seeds, "h").groupBy("key", "check", "item", "item_key", "least").agg(F.sum("n").alias("starts"))
